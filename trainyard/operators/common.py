@@ -28,7 +28,14 @@ def first_non_null(value, order, cond=None):
     return F.min_by(value, F.when(keep, order))
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into ``spark.checkpoint.dir`` (shared storage on
-    a cluster); used between rounds of the iterative graph jobs."""
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "round") -> DataFrame:
+    """Materialise ``df`` as a Parquet table under ``spark.checkpoint.dir``
+    (shared storage on a cluster) and continue from the written table.
+
+    Used between rounds of the iterative jobs: the plan stays short, a lost
+    executor only costs the current round, and the write is a single job
+    (an RDD checkpoint of an unpersisted Dataset computes it twice)."""
+    from trainyard.session import work_dir
+    path = work_dir(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -95,25 +95,32 @@ def shortest_hops(nodes: DataFrame, edges: DataFrame, requests: DataFrame,
     """Fewest-hop paths for ``requests(request_id, source, target)``.
     Returns ``(request_id, source_station, target_station, hops, path,
     path_text)``; unknown stations or unreachable targets give no row.  Of
-    several shortest paths the lexicographically smallest is returned."""
+    several shortest paths the lexicographically smallest is returned.
+
+    Level-synchronous BFS for all requests at once.  Per level one job
+    writes the new frontier (expand along edges, drop visited nodes, keep
+    the smallest path per node, flag targets); requests whose target was
+    reached leave the frontier.  ``visited`` is the union of the written
+    frontiers, so nothing is rewritten."""
+    # the graph is read once per level: materialise it once
+    nodes = cut_lineage(nodes, "hops-nodes")
+    edges = cut_lineage(edges, "hops-edges")
     src = resolve_stations(nodes, requests.select(
         "request_id", F.col("source").alias("text"))) \
         .withColumnRenamed("station", "source_station")
     dst = resolve_stations(nodes, requests.select(
         "request_id", F.col("target").alias("text"))) \
         .withColumnRenamed("station", "target_station")
-    req = cut_lineage(src.join(dst, "request_id"))
-    frontier = req.select("request_id", F.col("source_station")
-                          .alias("node"),
-                          F.array("source_station").alias("path"))
-    visited = frontier.select("request_id", "node")
-    found = [frontier.join(req, "request_id")
-             .filter(F.col("node") == F.col("target_station"))
-             .select("request_id", "path")]
-    open_req = req.join(found[0].select("request_id"), "request_id",
-                        "left_anti").select("request_id", "target_station")
-    frontier = frontier.join(open_req.select("request_id"), "request_id",
-                             "left_semi")
+    req = cut_lineage(src.join(dst, "request_id"), "hops-req")
+    targets = req.select("request_id", "target_station")
+    start = cut_lineage(req.select(
+        "request_id", F.col("source_station").alias("node"),
+        F.array("source_station").alias("path"),
+        (F.col("source_station") == F.col("target_station")).alias("hit")),
+        "hops-level")
+    levels = [start]
+    frontier = start.filter(~F.col("hit"))
+    visited = start.select("request_id", "node")
     e = edges.select(F.col("src").alias("node"), "dst")
     rounds = 0
     while not frontier.isEmpty():
@@ -126,21 +133,19 @@ def shortest_hops(nodes: DataFrame, edges: DataFrame, requests: DataFrame,
         step = step.join(visited, ["request_id", "node"], "left_anti")
         nxt = step.groupBy("request_id", "node").agg(
             F.min("path").alias("path"))
-        nxt = cut_lineage(nxt)
-        hit = nxt.join(open_req, "request_id") \
-            .filter(F.col("node") == F.col("target_station")) \
-            .select("request_id", "path")
-        hit = cut_lineage(hit)
-        found.append(hit)
-        visited = cut_lineage(visited.unionByName(
-            nxt.select("request_id", "node")))
-        open_req = cut_lineage(open_req.join(hit, "request_id", "left_anti"))
-        frontier = nxt.join(open_req.select("request_id"), "request_id",
-                            "left_semi")
-    res = found[0]
-    for h in found[1:]:
-        res = res.unionByName(h)
-    return res.join(req, "request_id").select(
+        nxt = nxt.join(targets, "request_id").select(
+            "request_id", "node", "path",
+            (F.col("node") == F.col("target_station")).alias("hit"))
+        nxt = cut_lineage(nxt, "hops-level")
+        levels.append(nxt)
+        visited = visited.unionByName(nxt.select("request_id", "node"))
+        done = nxt.filter("hit").select("request_id")
+        frontier = nxt.join(done, "request_id", "left_anti")
+    found = levels[0]
+    for lv in levels[1:]:
+        found = found.unionByName(lv)
+    found = found.filter("hit").select("request_id", "path")
+    return found.join(req, "request_id").select(
         "request_id", "source_station", "target_station",
         (F.size("path") - 1).alias("hops"), "path",
         F.array_join("path", ARROW).alias("path_text"))
@@ -215,6 +220,10 @@ def earliest_arrival(conns: DataFrame, requests: DataFrame,
     arrival, legs)`` where ``legs`` is the itinerary (array of structs
     from_station, departure_time, to_station, arrival_time, train_id).
     Source = target gives the departure time and no legs."""
+    # the timetable is read once per round: materialise it once
+    conns = cut_lineage(conns.select("from_station", "to_station",
+                                     "departure_time", "arrival_time",
+                                     "train_id"), "ea-conns")
     stations = conns.select(F.col("from_station").alias("station")) \
         .unionByName(conns.select(F.col("to_station").alias("station"))) \
         .distinct()
@@ -227,9 +236,12 @@ def earliest_arrival(conns: DataFrame, requests: DataFrame,
     req = cut_lineage(src.join(dst, "request_id").join(
         requests.select("request_id", F.col("departure")
                         .cast("timestamp_ntz").alias("departure")),
-        "request_id"))
+        "request_id"), "ea-req")
     label_t = "struct<arr:timestamp_ntz,dep:timestamp_ntz,from:string," \
               "train:bigint>"
+    # labels(request_id, station, lab, improved): best known arrival per
+    # station with the connection that gave it; ``improved`` marks the
+    # labels changed in the last round (the frontier).
     labels = req.select("request_id",
                         F.col("source_station").alias("station"),
                         F.struct(F.col("departure").alias("arr"),
@@ -237,16 +249,17 @@ def earliest_arrival(conns: DataFrame, requests: DataFrame,
                                  .alias("dep"),
                                  F.lit(None).cast("string").alias("from"),
                                  F.lit(None).cast("bigint").alias("train"))
-                        .cast(label_t).alias("lab"))
-    labels = cut_lineage(labels)
-    frontier = labels
+                        .cast(label_t).alias("lab"),
+                        F.lit(True).alias("improved"))
+    labels = cut_lineage(labels, "ea-labels")
     c = conns.select(F.col("from_station").alias("station"), "to_station",
                      "departure_time", "arrival_time", "train_id")
     rounds = 0
-    while not frontier.isEmpty():
+    while not labels.filter("improved").isEmpty():
         rounds += 1
         if max_rounds is not None and rounds > max_rounds:
             break
+        frontier = labels.filter("improved")
         cand = frontier.join(c, "station") \
             .filter(F.col("departure_time") >= F.col("lab.arr")) \
             .groupBy("request_id", F.col("to_station").alias("station")) \
@@ -254,18 +267,16 @@ def earliest_arrival(conns: DataFrame, requests: DataFrame,
                 F.col("arrival_time").alias("arr"),
                 F.col("departure_time").alias("dep"),
                 F.col("station").alias("from"),
-                F.col("train_id").alias("train"))).alias("new"))
-        old = labels.withColumnRenamed("lab", "old")
-        better = cand.join(old, ["request_id", "station"], "left") \
-            .filter(F.col("old").isNull() | (F.col("new") < F.col("old"))) \
-            .select("request_id", "station",
-                    F.col("new").cast(label_t).alias("lab"))
-        better = cut_lineage(better)
-        labels = cut_lineage(
-            labels.join(better.select("request_id", "station"),
-                        ["request_id", "station"], "left_anti")
-            .unionByName(better))
-        frontier = better
+                F.col("train_id").alias("train"))).cast(label_t)
+                .alias("new"))
+        merged = labels.select("request_id", "station", "lab") \
+            .join(cand, ["request_id", "station"], "full")
+        better = F.col("new").isNotNull() & \
+            (F.col("lab").isNull() | (F.col("new") < F.col("lab")))
+        labels = cut_lineage(merged.select(
+            "request_id", "station",
+            F.when(better, F.col("new")).otherwise(F.col("lab")).alias("lab"),
+            better.alias("improved")), "ea-labels")
     # back-track the itinerary from the target label
     arrived = req.join(labels, (req["request_id"] == labels["request_id"]) &
                        (req["target_station"] == labels["station"])) \
@@ -283,7 +294,7 @@ def earliest_arrival(conns: DataFrame, requests: DataFrame,
                 F.col("station").alias("to_station"),
                 F.col("lab.arr").alias("arrival_time"),
                 F.col("lab.train").alias("train_id")).alias("leg"))
-        step = cut_lineage(step)
+        step = cut_lineage(step, "ea-legs")
         if step.isEmpty():
             break
         legs = step if legs is None else legs.unionByName(step)

@@ -89,14 +89,14 @@ def nearest_station(dim_station: DataFrame, points: DataFrame,
                          (F.col("pj") + 2) * cell - F.col("lon"))
         settled_cond = F.lit(True) if last else \
             (F.col("b.d2") < margin * margin)
-        best = cut_lineage(best.withColumn("ok", settled_cond))
+        best = cut_lineage(best.withColumn("ok", settled_cond), "nn-level")
         results.append(best.filter("ok").select(
             "request_id", F.col("b.station_name").alias("station_name"),
             F.col("b.d2").alias("d2")))
         if last:
             break
         todo = cut_lineage(todo.join(best.filter("ok").select("request_id"),
-                                     "request_id", "left_anti"))
+                                     "request_id", "left_anti"), "nn-todo")
         if todo.isEmpty():
             break
     out = results[0]
