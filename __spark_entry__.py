@@ -25,6 +25,8 @@ from trainyard.operators import graph as G
 from trainyard.operators import lake as L
 from trainyard.operators.nearest import nearest_station
 from trainyard.plans import proxies as P
+from trainyard.schemas import STOP
+from pyspark.sql import types as T
 from trainyard.session import (apply_runtime_conf, ensure_checkpoint_dir,
                                work_dir)
 from trainyard.sources.stations import read_station_entries
@@ -228,7 +230,8 @@ def _event_docs(spark, d):
         fname.alias("file_name"), snap.alias("snapshot"),
         F.concat(F.lit("/w/"), snap, F.lit("/"), F.col("event_id")
                  .cast("string"), F.lit("/"), fname).alias("file_path"),
-        F.when(F.col("value") > 19.0, F.lit("<timetable")).alias("_bad"))
+        F.when(F.col("value") > 19.0, F.lit("<timetable")).alias("_bad"),
+        F.lit(None).cast(T.ArrayType(STOP)).alias("s"))
 
 
 def _nation_entries(spark, d):
