@@ -39,3 +39,18 @@ def cut_lineage(df: DataFrame, name: str = "round") -> DataFrame:
     path = work_dir(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def cut_and_count(df: DataFrame, name: str, cond: str | F.Column
+                  ) -> tuple[DataFrame, int]:
+    """:func:`cut_lineage` that also returns how many written rows satisfy
+    ``cond``, observed during the same write (no extra job)."""
+    from pyspark.sql import Observation
+    from trainyard.session import work_dir
+    c = F.expr(cond) if isinstance(cond, str) else cond
+    obs = Observation(f"{name}-count")
+    path = work_dir(df.sparkSession, name)
+    df.observe(obs, F.sum(F.when(c, 1).otherwise(0)).alias("n")) \
+        .write.mode("overwrite").parquet(path)
+    n = obs.get.get("n") or 0
+    return df.sparkSession.read.parquet(path), int(n)

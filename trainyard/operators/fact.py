@@ -103,7 +103,23 @@ def unpivot_events(stops: DataFrame, stop_col: str = "stop") -> DataFrame:
 
 
 def _doc_order():
-    return F.struct(F.col("path_order"), F.col("stop_pos"), F.col("ev_idx"))
+    return F.struct(F.col("file_rank").cast("long").alias("file_rank"),
+                    F.col("stop_pos").cast("long").alias("stop_pos"),
+                    F.col("ev_idx").cast("long").alias("ev_idx"))
+
+
+def with_file_rank(docs: DataFrame) -> DataFrame:
+    """Add ``file_rank``: the visiting order of a file among the files of
+    its snapshot stamp (folder components compared one by one, as a sorted
+    directory walk visits them).  Ranking runs over the distinct files of
+    each snapshot only, and turns the order key of the upsert into
+    numbers."""
+    from pyspark.sql import Window
+    files = docs.select("snapshot", "file_path", "path_order").distinct()
+    w = Window.partitionBy("snapshot").orderBy("path_order", "file_path")
+    ranked = files.select("snapshot", "file_path",
+                          F.dense_rank().over(w).alias("file_rank"))
+    return docs.join(ranked, ["snapshot", "file_path"])
 
 
 def plan_event_rows(stops: DataFrame) -> DataFrame:
@@ -168,8 +184,9 @@ def fact_as_rows(fact: DataFrame, dim_train: DataFrame) -> DataFrame:
     """Existing fact rows as the earliest plan-phase rows of an upsert, so a
     new batch folds onto the stored state (incremental load)."""
     t = fact.join(dim_train, "train_key", "left")
-    seq = F.struct(F.array().cast("array<string>").alias("path_order"),
-                   F.lit(-1).alias("stop_pos"), F.lit(-1).alias("ev_idx"))
+    seq = F.struct(F.lit(-1).cast("long").alias("file_rank"),
+                   F.lit(-1).cast("long").alias("stop_pos"),
+                   F.lit(-1).cast("long").alias("ev_idx"))
     return t.select(
         F.lit(0).alias("phase"), seq.alias("seq"), *NATURAL_KEY,
         F.struct(*[F.col(p) for p in DIM_TRAIN_PARTS]).alias("train"),

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from trainyard.functions.delay import minutes_between
 from trainyard.functions.text import normalize_station, split_path
-from trainyard.operators.common import cut_lineage
+from trainyard.operators.common import cut_and_count, cut_lineage
 from trainyard.operators.textmatch import request_lengths, substrings
 
 ARROW = " → "
@@ -45,21 +45,33 @@ def unique_path_stations(paths: DataFrame, normalize: bool = True
     return ex.distinct().orderBy("station")
 
 
-def static_graph(paths: DataFrame) -> tuple[DataFrame, DataFrame]:
+def static_graph(paths: DataFrame, materialize: bool = True
+                 ) -> tuple[DataFrame, DataFrame]:
     """(nodes(station), edges(src, dst)).  Edges join consecutive stations
     of one path after normalisation; blank segments are dropped before
     pairing, a name emptied by normalisation breaks the chain, self-loops
-    are dropped and direction is kept."""
-    st = paths.select(F.transform(split_path("planned_path"),
-                                  normalize_station).alias("st"))
-    m = F.greatest(F.size("st") - 1, F.lit(0))
-    pairs = F.zip_with(F.slice("st", 1, m), F.slice("st", 2, m),
-                       lambda a, b: F.struct(a.alias("src"), b.alias("dst")))
-    nodes = st.select(F.explode("st").alias("station")) \
-        .filter(F.col("station") != "").distinct()
-    edges = st.select(F.explode(pairs).alias("e")).select("e.src", "e.dst") \
-        .filter((F.col("src") != "") & (F.col("dst") != "") &
-                (F.col("src") != F.col("dst"))).distinct()
+    are dropped and direction is kept.
+
+    Normalisation runs once per distinct raw segment name (a small set),
+    not once per path element; consecutive pairs come from a ``lead`` over
+    the positions of each path (a path is short, so no group is large).
+    With ``materialize`` nodes and edges are written once to the shared
+    folder, so every search round reads the small tables."""
+    seg = paths.select("planned_path", F.posexplode(
+        split_path("planned_path")).alias("i", "raw"))
+    names = seg.select("raw").distinct() \
+        .withColumn("station", normalize_station("raw"))
+    seg = seg.join(names, "raw")
+    w = Window.partitionBy("planned_path").orderBy("i")
+    pairs = seg.select(F.col("station").alias("src"),
+                       F.lead("station").over(w).alias("dst"))
+    edges = pairs.filter(F.col("dst").isNotNull() & (F.col("src") != "") &
+                         (F.col("dst") != "") &
+                         (F.col("src") != F.col("dst"))).distinct()
+    nodes = names.filter(F.col("station") != "").select("station").distinct()
+    if materialize:
+        nodes = cut_lineage(nodes, "graph-nodes")
+        edges = cut_lineage(edges, "graph-edges")
     return nodes, edges
 
 
@@ -72,6 +84,7 @@ def resolve_stations(nodes: DataFrame, requests: DataFrame,
     else the nodes containing it case-insensitively -- a single one, else
     the first (by name) that ends with it, else the first by name.
     Unresolved requests are absent."""
+    nodes = cut_lineage(nodes.select("station"), "resolve-nodes")
     r = requests.select("request_id",
                         normalize_station(F.col(text_col)).alias("q"))
     exact = r.join(nodes, r["q"] == nodes["station"]).select(
@@ -113,17 +126,17 @@ def shortest_hops(nodes: DataFrame, edges: DataFrame, requests: DataFrame,
         .withColumnRenamed("station", "target_station")
     req = cut_lineage(src.join(dst, "request_id"), "hops-req")
     targets = req.select("request_id", "target_station")
-    start = cut_lineage(req.select(
+    start, open_n = cut_and_count(req.select(
         "request_id", F.col("source_station").alias("node"),
         F.array("source_station").alias("path"),
         (F.col("source_station") == F.col("target_station")).alias("hit")),
-        "hops-level")
+        "hops-level", "NOT hit")
     levels = [start]
     frontier = start.filter(~F.col("hit"))
     visited = start.select("request_id", "node")
     e = edges.select(F.col("src").alias("node"), "dst")
     rounds = 0
-    while not frontier.isEmpty():
+    while open_n > 0:
         rounds += 1
         if max_rounds is not None and rounds > max_rounds:
             break
@@ -136,7 +149,7 @@ def shortest_hops(nodes: DataFrame, edges: DataFrame, requests: DataFrame,
         nxt = nxt.join(targets, "request_id").select(
             "request_id", "node", "path",
             (F.col("node") == F.col("target_station")).alias("hit"))
-        nxt = cut_lineage(nxt, "hops-level")
+        nxt, open_n = cut_and_count(nxt, "hops-level", "NOT hit")
         levels.append(nxt)
         visited = visited.unionByName(nxt.select("request_id", "node"))
         done = nxt.filter("hit").select("request_id")
@@ -162,12 +175,12 @@ def timetable_events(fact: DataFrame, dim_station: DataFrame,
         t = t.filter(F.col("date") == F.lit(date).cast("date"))
     f = fact.filter(F.col("event_type").isin("A", "D") &
                     ~F.col("is_cancelled"))
-    j = f.join(dim_station.select("station_key", "station_name"),
-               "station_key") \
+    st = dim_station.select("station_key", normalize_station(
+        "station_name").alias("station"))
+    j = f.join(st, "station_key") \
         .join(t, f["planned_time_key"] == t["time_key"])
-    return j.select("train_key",
-                    normalize_station("station_name").alias("station"),
-                    "event_type", "ts", "stop_id", "date")
+    return j.select("train_key", "station", "event_type", "ts", "stop_id",
+                    "date")
 
 
 def next_in_sequence(events: DataFrame, part: list[str], order: list[str],
@@ -251,11 +264,11 @@ def earliest_arrival(conns: DataFrame, requests: DataFrame,
                                  F.lit(None).cast("bigint").alias("train"))
                         .cast(label_t).alias("lab"),
                         F.lit(True).alias("improved"))
-    labels = cut_lineage(labels, "ea-labels")
+    labels, n_improved = cut_and_count(labels, "ea-labels", "improved")
     c = conns.select(F.col("from_station").alias("station"), "to_station",
                      "departure_time", "arrival_time", "train_id")
     rounds = 0
-    while not labels.filter("improved").isEmpty():
+    while n_improved > 0:
         rounds += 1
         if max_rounds is not None and rounds > max_rounds:
             break
@@ -273,10 +286,10 @@ def earliest_arrival(conns: DataFrame, requests: DataFrame,
             .join(cand, ["request_id", "station"], "full")
         better = F.col("new").isNotNull() & \
             (F.col("lab").isNull() | (F.col("new") < F.col("lab")))
-        labels = cut_lineage(merged.select(
+        labels, n_improved = cut_and_count(merged.select(
             "request_id", "station",
             F.when(better, F.col("new")).otherwise(F.col("lab")).alias("lab"),
-            better.alias("improved")), "ea-labels")
+            better.alias("improved")), "ea-labels", "improved")
     # back-track the itinerary from the target label
     arrived = req.join(labels, (req["request_id"] == labels["request_id"]) &
                        (req["target_station"] == labels["station"])) \
@@ -294,8 +307,8 @@ def earliest_arrival(conns: DataFrame, requests: DataFrame,
                 F.col("station").alias("to_station"),
                 F.col("lab.arr").alias("arrival_time"),
                 F.col("lab.train").alias("train_id")).alias("leg"))
-        step = cut_lineage(step, "ea-legs")
-        if step.isEmpty():
+        step, n_steps = cut_and_count(step, "ea-legs", F.lit(True))
+        if n_steps == 0:
             break
         legs = step if legs is None else legs.unionByName(step)
         cur = step.select("request_id",

@@ -43,39 +43,45 @@ def norm_name(x: str) -> str:
 
 TK = "CAST(strftime({}, '%Y%m%d%H%M') AS BIGINT)"
 
-PLAN_RAW = """
+def in_week(day, hours, minutes):
+    return (f"(TIMESTAMP '2025-09-01 00:00:00' + to_days(CAST(date_diff("
+            f"'day', DATE '1995-01-01', CAST({day} AS DATE)) % 7 AS INTEGER))"
+            f" + to_hours(CAST({hours} AS BIGINT))"
+            f" + to_minutes(CAST({minutes} AS BIGINT)))")
+
+
+DEP = in_week("o_orderdate", "o_orderkey % 24", "o_custkey % 60")
+SHIP = in_week("l_shipdate", "l_orderkey % 24", "l_linenumber * 7")
+
+PLAN_RAW = f"""
 plan_raw AS (
   SELECT 'S' || CAST(o_custkey % 40 AS VARCHAR) AS station_name,
          CAST(o_orderkey AS VARCHAR) AS stop_id,
          o_orderpriority AS train_category,
          CAST(o_custkey AS VARCHAR) AS train_number,
-         CASE WHEN o_orderstatus <> 'O' THEN o_orderdate
-              + to_hours(CAST(o_orderkey % 24 AS BIGINT))
-              - INTERVAL 7 MINUTE END AS planned_arrival,
+         CASE WHEN o_orderstatus <> 'O' THEN {DEP} - INTERVAL 7 MINUTE END
+           AS planned_arrival,
          substr(o_orderpriority, 1, 1) AS platform_arrival,
-         CASE WHEN o_orderstatus <> 'F' THEN o_orderdate
-              + to_hours(CAST(o_orderkey % 24 AS BIGINT)) END
-              AS planned_departure,
+         CASE WHEN o_orderstatus <> 'F' THEN {DEP} END AS planned_departure,
          substr(o_orderpriority, 1, 1) AS platform_departure
   FROM orders)"""
 
-CHANGE_RAW = """
+CHANGE_RAW = f"""
 change_raw AS (
   SELECT CAST(l_orderkey AS VARCHAR) AS stop_id,
-    CASE WHEN l_discount >= 0.03 THEN l_shipdate
-         + to_minutes(CAST(l_linenumber * 37 AS BIGINT)) END AS actual_arrival,
+    CASE WHEN l_discount >= 0.03 THEN {SHIP} END AS actual_arrival,
     CAST(l_linenumber AS VARCHAR) AS actual_platform_arrival,
     CASE WHEN l_returnflag = 'R' THEN 'c' WHEN l_returnflag = 'A' THEN 'a'
          END AS arrival_status,
-    CASE WHEN l_tax >= 0.02 THEN l_shipdate
-         + to_minutes(CAST(l_linenumber * 41 AS BIGINT)) END
+    CASE WHEN l_tax >= 0.02 THEN {SHIP}
+         + to_minutes(CAST(l_linenumber * 4 AS BIGINT)) END
          AS actual_departure,
     CAST(l_suppkey % 10 AS VARCHAR) AS actual_platform_departure,
     CASE WHEN l_linestatus = 'O' AND l_returnflag = 'N' THEN 'c'
          WHEN l_linestatus = 'F' THEN 'p' END AS departure_status,
-    'changes/' || strftime(l_shipdate, '%y%m%d%H%M') || '/'
+    'changes/' || strftime({SHIP}, '%y%m%d%H') || '00/'
          || CAST(l_suppkey AS VARCHAR) || '.xml' AS source_file,
-    strftime(l_shipdate, '%y%m%d%H%M') AS update_timestamp
+    strftime({SHIP}, '%y%m%d%H') || '00' AS update_timestamp
   FROM lineitem)"""
 
 LATEST = """

@@ -31,10 +31,24 @@ def _stamp(ts):
 
 
 # ------------------------------------------------------------ lake inputs
+# The movement proxy spans one week (as a timetable snapshot series does),
+# so the date/hour layout has 7 x 24 folders at every scale.
+WEEK0 = "2025-09-01 00:00:00"
+EPOCH_DAY = "1995-01-01"
+
+
+def _in_week(day_col, hours, minutes):
+    """Week start + (days since EPOCH_DAY mod 7) + hours + minutes."""
+    days = F.datediff(F.to_date(day_col), F.lit(EPOCH_DAY).cast("date")) % 7
+    t = F.timestamp_add("DAY", days, F.lit(WEEK0).cast("timestamp_ntz"))
+    return _plus(_plus(t, hours, "HOUR"), minutes, "MINUTE")
+
+
 def plan_raw(spark, sf_dir) -> DataFrame:
     """orders -> raw plan rows (one stop per order)."""
     o = table(spark, sf_dir, "orders")
-    dep = _plus(F.col("o_orderdate"), F.col("o_orderkey") % 24, "HOUR")
+    dep = _in_week("o_orderdate", F.col("o_orderkey") % 24,
+                   F.col("o_custkey") % 60)
     return o.select(
         F.concat(F.lit("S"), (F.col("o_custkey") % 40).cast("string"))
         .alias("station_name"),
@@ -50,21 +64,22 @@ def plan_raw(spark, sf_dir) -> DataFrame:
 
 
 def change_raw(spark, sf_dir) -> DataFrame:
-    """lineitem -> raw change rows (snapshot stamp from the ship date)."""
+    """lineitem -> raw change rows; the snapshot stamp is the hour of the
+    (week-mapped) ship time."""
     li = table(spark, sf_dir, "lineitem")
-    stamp = _stamp(F.col("l_shipdate"))
+    base = _in_week("l_shipdate", F.col("l_orderkey") % 24,
+                    F.col("l_linenumber") * 7)
+    stamp = F.concat(F.date_format(base, "yyMMddHH"), F.lit("00"))
     return li.select(
         F.col("l_orderkey").cast("string").alias("stop_id"),
-        F.when(F.col("l_discount") >= 0.03,
-               _plus(F.col("l_shipdate"), F.col("l_linenumber") * 37,
-                     "MINUTE")).alias("actual_arrival"),
+        F.when(F.col("l_discount") >= 0.03, base).alias("actual_arrival"),
         F.col("l_linenumber").cast("string")
         .alias("actual_platform_arrival"),
         F.when(F.col("l_returnflag") == "R", "c")
         .when(F.col("l_returnflag") == "A", "a").alias("arrival_status"),
         F.when(F.col("l_tax") >= 0.02,
-               _plus(F.col("l_shipdate"), F.col("l_linenumber") * 41,
-                     "MINUTE")).alias("actual_departure"),
+               _plus(base, F.col("l_linenumber") * 4, "MINUTE"))
+        .alias("actual_departure"),
         (F.col("l_suppkey") % 10).cast("string")
         .alias("actual_platform_departure"),
         F.when((F.col("l_linestatus") == "O") & (F.col("l_returnflag") == "N"),
@@ -86,12 +101,14 @@ def _unk():
 
 
 def _li_seq():
+    # numeric order key (orderkey, linenumber, partkey, price, quantity),
+    # packed into the three long fields of the upsert's order struct
     return F.struct(
-        F.array(F.format_string("%010d", "l_orderkey"),
-                F.format_string("%03d", "l_linenumber"),
-                F.format_string("%010d", "l_partkey")).alias("path_order"),
-        F.round(F.col("l_extendedprice") * 100).cast("int").alias("stop_pos"),
-        F.round("l_quantity").cast("int").alias("ev_idx"))
+        F.col("l_orderkey").cast("long").alias("file_rank"),
+        (F.col("l_linenumber").cast("long") * (1 << 32) + F.col("l_partkey"))
+        .alias("stop_pos"),
+        (F.round(F.col("l_extendedprice") * 100).cast("long") * 256 +
+         F.round("l_quantity").cast("long")).alias("ev_idx"))
 
 
 def _li_key():
