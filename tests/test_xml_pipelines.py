@@ -176,3 +176,28 @@ def test_peak_hours_day_gap(spark):
         "hour int")
     r = peak_hour_departures(mv).first()
     assert (r.avg_peak_departures, r.days_observed) == (1.5, 2)
+
+
+def test_integrity_checks(spark, inputs):
+    from trainyard.operators.checks import star_violations
+    p, c, sj = inputs
+    t = build_star(spark, p, c, sj)
+    v = star_violations(t.dim_station, t.dim_train, t.dim_time, t.fact)
+    assert v.count() == 0
+    # a duplicated fact row and a dangling train key are reported
+    bad = t.fact.unionByName(t.fact.limit(1)).unionByName(
+        t.fact.limit(1).withColumn("train_key", t.fact["train_key"] + 1)
+        .withColumn("stop_id", t.fact["stop_id"].substr(1, 0)))
+    rules = {(r.table, r.rule): r.n for r in star_violations(
+        t.dim_station, t.dim_train, t.dim_time, bad).collect()}
+    assert rules[("fact", "natural key")] >= 1
+    assert rules[("fact", "fk train")] == 1
+
+
+def test_report_limits(spark):
+    ts = dt.datetime(2025, 9, 1, 7)
+    mv = spark.createDataFrame(
+        [(f"S{i}", ts, dt.date(2025, 9, 1), 7) for i in range(5)],
+        "station_name string, planned_departure timestamp_ntz, date date, "
+        "hour int")
+    assert peak_hour_departures(mv, top=3).count() == 3

@@ -116,27 +116,33 @@ def daily_mean_delay(movements: DataFrame,
         F.count(F.lit(1)).alias("days"))
 
 
-def daily_delay_table(movements: DataFrame, station: str) -> DataFrame:
-    """Per-day means of one station, by date (the intermediate report)."""
+def daily_delay_table(movements: DataFrame, station: str,
+                      top: int | None = 50) -> DataFrame:
+    """Per-day means of one station, by date, first ``top`` days (the
+    intermediate report)."""
     m = movements.filter((F.col("station_name") == station) &
                          ~F.col("is_cancelled"))
-    return m.groupBy("date").agg(
+    out = m.groupBy("date").agg(
         F.avg("arrival_delay_minutes").alias("avg_delay_that_day")) \
         .orderBy("date")
+    return out.limit(top) if top is not None else out
 
 
 # --------------------------------------------------------- Q33 peak hours
 def peak_hour_departures(movements: DataFrame,
-                         hours: Sequence[int] = PEAK_HOURS) -> DataFrame:
+                         hours: Sequence[int] = PEAK_HOURS,
+                         top: int | None = None) -> DataFrame:
     """Average number of planned departures in the peak hours per station
     and day (cancelled included; days without any are not counted as 0),
-    rounded to 2 decimals, and the number of days observed."""
+    rounded to 2 decimals, and the number of days observed; largest first,
+    optionally only the ``top`` stations (the report shows 200)."""
     peak = movements.filter(F.col("planned_departure").isNotNull() &
                             F.col("hour").isin(list(hours)))
     daily = peak.groupBy("station_name", "date").agg(
         F.count(F.lit(1)).alias("daily_departures"))
-    return daily.groupBy("station_name").agg(
+    out = daily.groupBy("station_name").agg(
         round_ratio(F.sum("daily_departures"), F.count(F.lit(1)))
         .alias("avg_peak_departures"),
         F.count("daily_departures").alias("days_observed"),
     ).orderBy(F.col("avg_peak_departures").desc())
+    return out.limit(top) if top is not None else out
