@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trainyard.functions.delay import minutes_between
-from trainyard.functions.text import normalize_station, split_path
+from trainyard.functions.text import normalize_station, split_path, strip
 from trainyard.operators.common import cut_and_count, cut_lineage
 from trainyard.operators.textmatch import request_lengths, substrings
 
@@ -52,26 +52,33 @@ def static_graph(paths: DataFrame, materialize: bool = True
     pairing, a name emptied by normalisation breaks the chain, self-loops
     are dropped and direction is kept.
 
-    Normalisation runs once per distinct raw segment name (a small set),
-    not once per path element; consecutive pairs come from a ``lead`` over
-    the positions of each path (a path is short, so no group is large).
-    With ``materialize`` nodes and edges are written once to the shared
-    folder, so every search round reads the small tables."""
+    Segments are exploded with their positions and blank ones dropped as
+    rows (no per-element lambda, so the normaliser runs in generated code);
+    consecutive pairs come from a ``lead`` over
+    the kept positions of each path (a path is short, so no group is
+    large).  With ``materialize`` nodes and edges are computed in one pass
+    and written once to the shared folder, so every search round reads the
+    small tables."""
     seg = paths.select("planned_path", F.posexplode(
-        split_path("planned_path")).alias("i", "raw"))
-    names = seg.select("raw").distinct() \
+        F.split("planned_path", r"\|")).alias("i", "raw")) \
+        .filter(strip("raw") != "") \
         .withColumn("station", normalize_station("raw"))
-    seg = seg.join(names, "raw")
     w = Window.partitionBy("planned_path").orderBy("i")
     pairs = seg.select(F.col("station").alias("src"),
                        F.lead("station").over(w).alias("dst"))
     edges = pairs.filter(F.col("dst").isNotNull() & (F.col("src") != "") &
                          (F.col("dst") != "") &
                          (F.col("src") != F.col("dst"))).distinct()
-    nodes = names.filter(F.col("station") != "").select("station").distinct()
+    nodes = seg.filter(F.col("station") != "").select("station").distinct()
     if materialize:
-        nodes = cut_lineage(nodes, "graph-nodes")
-        edges = cut_lineage(edges, "graph-edges")
+        both = nodes.select(F.lit(True).alias("is_node"),
+                            F.col("station").alias("src"),
+                            F.lit(None).cast("string").alias("dst")) \
+            .unionByName(edges.select(F.lit(False).alias("is_node"),
+                                      "src", "dst"))
+        both = cut_lineage(both, "graph")
+        nodes = both.filter("is_node").select(F.col("src").alias("station"))
+        edges = both.filter(~F.col("is_node")).select("src", "dst")
     return nodes, edges
 
 
@@ -115,9 +122,11 @@ def shortest_hops(nodes: DataFrame, edges: DataFrame, requests: DataFrame,
     the smallest path per node, flag targets); requests whose target was
     reached leave the frontier.  ``visited`` is the union of the written
     frontiers, so nothing is rewritten."""
-    # the graph is read once per level: materialise it once
+    # graph and requests are read many times: materialise them once
     nodes = cut_lineage(nodes, "hops-nodes")
     edges = cut_lineage(edges, "hops-edges")
+    requests = cut_lineage(requests.select("request_id", "source", "target"),
+                           "hops-requests")
     src = resolve_stations(nodes, requests.select(
         "request_id", F.col("source").alias("text"))) \
         .withColumnRenamed("station", "source_station")
@@ -237,6 +246,8 @@ def earliest_arrival(conns: DataFrame, requests: DataFrame,
     conns = cut_lineage(conns.select("from_station", "to_station",
                                      "departure_time", "arrival_time",
                                      "train_id"), "ea-conns")
+    requests = cut_lineage(requests.select("request_id", "source", "target",
+                                           "departure"), "ea-requests")
     stations = conns.select(F.col("from_station").alias("station")) \
         .unionByName(conns.select(F.col("to_station").alias("station"))) \
         .distinct()

@@ -17,11 +17,11 @@ from pyspark.sql import functions as F
 
 def request_lengths(requests: DataFrame, text_col: str, names: DataFrame,
                     name_col: str) -> list[int]:
-    """Distinct text lengths that can match at all (<= longest name).  The
-    result is bounded by the longest name, so collecting it is safe."""
-    longest = names.agg(F.max(F.char_length(name_col))).first()[0] or 0
-    rows = (requests.select(F.char_length(text_col).alias("n"))
-            .filter(F.col("n") <= longest).distinct().collect())
+    """Distinct text lengths of the requests.  The set is bounded by the
+    longest request text (a few hundred values at most), so collecting it
+    is safe; lengths longer than a name are skipped per name later."""
+    rows = requests.select(F.char_length(text_col).alias("n")) \
+        .filter(F.col("n").isNotNull()).distinct().collect()
     return sorted(r["n"] for r in rows)
 
 
