@@ -445,7 +445,7 @@ def _arrival_requests(conns):
 
 def q_earliest_arrival(spark, d):
     conns = G.connections(P.event_timetable(spark, d))
-    r = G.earliest_arrival(conns, _arrival_requests(conns))
+    r = G.earliest_arrival(conns, _arrival_requests(conns), itinerary=False)
     return r.select("target_station", "arrival")
 
 

@@ -235,13 +235,15 @@ def connections(events: DataFrame, bucket_minutes: int = 15) -> DataFrame:
 
 # ---------------------------------------------------------------------- G6
 def earliest_arrival(conns: DataFrame, requests: DataFrame,
-                     max_rounds: int | None = None) -> DataFrame:
+                     max_rounds: int | None = None,
+                     itinerary: bool = True) -> DataFrame:
     """Earliest arrival for ``requests(request_id, source, target,
     departure)`` over ``conns`` (no transfer time, any train change).
     Returns ``(request_id, source_station, target_station, departure,
     arrival, legs)`` where ``legs`` is the itinerary (array of structs
     from_station, departure_time, to_station, arrival_time, train_id).
-    Source = target gives the departure time and no legs."""
+    Source = target gives the departure time and no legs.  Without
+    ``itinerary`` the legs column is left out (no back-tracking rounds)."""
     # the timetable is read once per round: materialise it once
     conns = cut_lineage(conns.select("from_station", "to_station",
                                      "departure_time", "arrival_time",
@@ -306,6 +308,8 @@ def earliest_arrival(conns: DataFrame, requests: DataFrame,
                        (req["target_station"] == labels["station"])) \
         .select(req["request_id"], "source_station", "target_station",
                 "departure", F.col("lab.arr").alias("arrival"))
+    if not itinerary:
+        return arrived
     legs = None
     cur = arrived.select("request_id", F.col("target_station")
                          .alias("station"), F.lit(0).alias("step"))

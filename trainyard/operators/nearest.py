@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trainyard.functions.delay import sq_distance
-from trainyard.operators.common import cut_lineage
+from trainyard.operators.common import cut_and_count, cut_lineage
 
 NEIGHBOURS = [(di, dj) for di in (-1, 0, 1) for dj in (-1, 0, 1)]
 
@@ -45,10 +45,14 @@ def nearest_station(dim_station: DataFrame, points: DataFrame,
     """``points(request_id, lat, lon)`` -> ``(request_id, station_name,
     d2)``.  Stations without coordinates are ignored; points without
     coordinates or when no station has any give no row."""
+    # Stations at the same coordinates tie on distance, and ties go to the
+    # smallest name: keep only that one per coordinate (partial aggregate),
+    # so a location shared by many stations cannot flood a grid cell.
     st = dim_station.filter(F.col("lat").isNotNull() &
                             F.col("lon").isNotNull()) \
-        .select("station_name", F.col("lat").alias("s_lat"),
-                F.col("lon").alias("s_lon"))
+        .groupBy(F.col("lat").alias("s_lat"), F.col("lon").alias("s_lon")) \
+        .agg(F.min("station_name").alias("station_name"))
+    st = cut_lineage(st, "nn-stations")
     pts = points.filter(F.col("lat").isNotNull() & F.col("lon").isNotNull()) \
         .select("request_id", "lat", "lon")
     if st.isEmpty() or pts.isEmpty():
@@ -57,8 +61,9 @@ def nearest_station(dim_station: DataFrame, points: DataFrame,
     extent, n_st = _extent(st.select(F.col("s_lat").alias("lat"),
                                      F.col("s_lon").alias("lon")), pts)
     if base_cell is None:
-        # about one station per cell on average
-        base_cell = extent / max(1.0, math.sqrt(n_st))
+        # about 1/4 station per cell on average: dense areas settle at
+        # fine levels with few candidates, sparse ones move up a level
+        base_cell = extent / max(1.0, 2.0 * math.sqrt(n_st))
     levels = max(0, math.ceil(math.log2(extent / base_cell))) + 1
     results = []
     todo = pts
@@ -78,27 +83,28 @@ def nearest_station(dim_station: DataFrame, points: DataFrame,
             F.explode(offs).alias("o")) \
             .select("*", (F.col("pi") + F.col("o.a")).alias("ci"),
                     (F.col("pj") + F.col("o.b")).alias("cj"))
-        cand = p_cells.join(s_cells, ["ci", "cj"])
+        # left join: points with an empty block stay (no candidate)
+        cand = p_cells.join(s_cells, ["ci", "cj"], "left")
         best = cand.groupBy("request_id", "lat", "lon", "pi", "pj").agg(
-            F.min(F.struct(
+            F.min(F.when(F.col("station_name").isNotNull(), F.struct(
                 sq_distance("s_lat", "s_lon", "lat", "lon").alias("d2"),
-                F.col("station_name"))).alias("b"))
+                F.col("station_name")))).alias("b"))
         margin = F.least(F.col("lat") - (F.col("pi") - 1) * cell,
                          (F.col("pi") + 2) * cell - F.col("lat"),
                          F.col("lon") - (F.col("pj") - 1) * cell,
                          (F.col("pj") + 2) * cell - F.col("lon"))
-        settled_cond = F.lit(True) if last else \
-            (F.col("b.d2") < margin * margin)
-        best = cut_lineage(best.withColumn("ok", settled_cond), "nn-level")
+        settled = F.col("b").isNotNull() & (
+            F.lit(True) if last else (F.col("b.d2") < margin * margin))
+        # one job per level: settled points and the points left for the
+        # next level are written together; the open count is observed
+        best, n_open = cut_and_count(best.withColumn("ok", settled),
+                                     "nn-level", "NOT ok")
         results.append(best.filter("ok").select(
             "request_id", F.col("b.station_name").alias("station_name"),
             F.col("b.d2").alias("d2")))
-        if last:
-            break
-        todo = cut_lineage(todo.join(best.filter("ok").select("request_id"),
-                                     "request_id", "left_anti"), "nn-todo")
-        if todo.isEmpty():
+        if last or n_open == 0:
             break
+        todo = best.filter(~F.col("ok")).select("request_id", "lat", "lon")
     out = results[0]
     for r in results[1:]:
         out = out.unionByName(r)
