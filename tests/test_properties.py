@@ -14,8 +14,7 @@ from trainyard.operators.graph import (connections, earliest_arrival,
 from trainyard.operators.nearest import nearest_station
 
 UNK = ("UNK", "UNK", "", "", "")
-ROW_T = ("phase int, seq struct<file_rank:long,stop_pos:long,"
-         "ev_idx:long>, snapshot_time_key long, station_key long, "
+ROW_T = ("phase int, seq long, snapshot_time_key long, station_key long, "
          "stop_id string, event_type string, train struct<category:string,"
          "train_number:string,owner:string,trip_type:string,"
          "filter_flags:string>, planned_time_key long, changed_time_key long, "
@@ -64,7 +63,7 @@ def test_upsert_matches_fold(spark):
         phase = rnd.randint(0, 1)
         key = (1, rnd.randint(1, 3), str(rnd.randint(1, 40)),
                rnd.choice("AD"))
-        seq = (rnd.randint(0, 999), i, 0)
+        seq = (phase << 62) + (rnd.randint(0, 999) << 20) + i
         train = UNK if rnd.random() < 0.4 else \
             ("ICE", str(rnd.randint(1, 3)), "", "", "")
         vals = (maybe(rnd.randint(1, 9)),
