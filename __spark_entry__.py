@@ -166,6 +166,22 @@ def q24_avg_delay(spark, d):
                                  "supplier")
 
 
+def q21_lookup_single(spark, d):
+    """Single-text lookup as the original query: ILIKE with the text between
+    wildcards, first by name."""
+    return A.station_lookup(supplier_dim(spark, d), "plier#0")
+
+
+def q_connections_star(spark, d):
+    """Timetable connections from the star schema: fact x station x time
+    (planned times), non-cancelled A/D events, D followed by A per train
+    and date."""
+    fact = star_fact(spark, d)
+    times = D.build_dim_time(FT.observed_times(fact_rows(spark, d)))
+    ev = G.timetable_events(fact, supplier_dim(spark, d), times)
+    return G.connections(ev).drop("train_id")
+
+
 def q_dim_time(spark, d):
     o = P.table(spark, d, "orders").select(F.col("o_orderdate").alias("ts"))
     li = P.table(spark, d, "lineitem").select(F.col("l_shipdate").alias("ts"))
@@ -402,6 +418,11 @@ def q_static_graph(spark, d):
     return edges
 
 
+def q_graph_nodes(spark, d):
+    nodes, _ = G.static_graph(_paths(spark, d))
+    return nodes
+
+
 def _fuzzy_requests(spark, d):
     p = P.table(spark, d, "part")
     k = F.col("p_size") % 4
@@ -474,6 +495,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fact_upsert": q_fact_upsert,
     "incremental_load": q_incremental_load,
     "q21_station_lookup": q21_station_lookup,
+    "q21_lookup_single": q21_lookup_single,
     "q22_nearest": q22_nearest,
     "q23_cancelled_distinct": q23_cancelled_distinct,
     "q24_avg_delay": q24_avg_delay,
@@ -496,9 +518,11 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "normalise_names": q_normalise_names,
     "unique_stations": q_unique_stations,
     "static_graph": q_static_graph,
+    "graph_nodes": q_graph_nodes,
     "resolve_fuzzy": q_resolve_fuzzy,
     "shortest_hops": q_shortest_hops,
     "connections": q_connections,
+    "connections_star": q_connections_star,
     "earliest_arrival": q_earliest_arrival,
     "itinerary": q_itinerary,
 }

@@ -521,6 +521,33 @@ ORACLE: dict[str, str] = {
                                  lambda x: trim(x) <> ''))) AS x FROM paths)
       SELECT DISTINCT {norm_station('x')} AS station FROM s""",
     "static_graph": f"WITH {GRAPH} SELECT src, dst FROM edges",
+    "graph_nodes": f"WITH {GRAPH} SELECT station FROM nodes",
+    "q21_lookup_single": f"""WITH {SUPPLIER_DIM}
+      SELECT station_name, lat, lon, eva AS identifier FROM sdim
+      WHERE station_name ILIKE '%' || 'plier#0' || '%'
+      ORDER BY station_name, eva LIMIT 1""",
+    "connections_star": f"""{STAR}, {SUPPLIER_DIM},
+      keys AS (
+        SELECT snapshot_time_key AS k FROM ev_rows UNION
+        SELECT planned_time_key FROM ev_rows UNION
+        SELECT changed_time_key FROM ev_rows),
+      tdim AS (SELECT k AS time_key,
+                 strptime(CAST(k AS VARCHAR), '%Y%m%d%H%M') AS ts
+               FROM keys WHERE k IS NOT NULL),
+      tev AS (
+        SELECT f.train, {norm_station('s.station_name')} AS station,
+          f.event_type, t.ts, f.stop_id, CAST(t.ts AS DATE) AS date
+        FROM fact f JOIN sdim s ON f.station_key = s.station_key
+        JOIN tdim t ON f.planned_time_key = t.time_key
+        WHERE f.event_type IN ('A', 'D') AND NOT f.is_cancelled),
+      nx AS (
+        SELECT *, lead(event_type) OVER w AS n_et,
+          lead(station) OVER w AS n_st, lead(ts) OVER w AS n_ts
+        FROM tev WINDOW w AS (PARTITION BY train, date
+                              ORDER BY ts, event_type, station, stop_id))
+      SELECT station AS from_station, n_st AS to_station,
+        ts AS departure_time, n_ts AS arrival_time, date
+      FROM nx WHERE event_type = 'D' AND n_et = 'A'""",
     "resolve_fuzzy": f"""WITH {GRAPH},
       req AS (SELECT p_partkey AS request_id,
         {norm_station('''CASE p_size % 4
