@@ -23,6 +23,7 @@ from trainyard.operators import dims as D
 from trainyard.operators import fact as FT
 from trainyard.operators import graph as G
 from trainyard.operators import lake as L
+from trainyard.operators.common import cut_lineage
 from trainyard.operators.nearest import nearest_station
 from trainyard.plans import proxies as P
 from trainyard.schemas import STOP
@@ -464,14 +465,20 @@ def _arrival_requests(conns):
                      .alias("departure"))
 
 
+def _timetable(spark, d):
+    # the timetable feeds both the request batch and the search rounds
+    return cut_lineage(G.connections(P.event_timetable(spark, d)),
+                       "timetable")
+
+
 def q_earliest_arrival(spark, d):
-    conns = G.connections(P.event_timetable(spark, d))
+    conns = _timetable(spark, d)
     r = G.earliest_arrival(conns, _arrival_requests(conns), itinerary=False)
     return r.select("target_station", "arrival")
 
 
 def q_itinerary(spark, d):
-    conns = G.connections(P.event_timetable(spark, d))
+    conns = _timetable(spark, d)
     r = G.earliest_arrival(conns, _arrival_requests(conns))
     return G.itinerary_summary(r).select(
         "target_station", "arrival", "duration_minutes", "segments",
