@@ -583,4 +583,45 @@ ORACLE: dict[str, str] = {
           ON c.from_station = r.station AND c.departure_time >= r.arr)
       SELECT station AS target_station, min(arr) AS arrival
       FROM reach GROUP BY station""",
+    "itinerary": f"""WITH RECURSIVE {EVENT_CONN},
+      st AS (SELECT from_station AS s FROM conn UNION
+             SELECT to_station FROM conn),
+      reach(station, arr) AS (
+        SELECT s, TIMESTAMP '{DEPARTURE}' FROM st WHERE s = 'S0'
+        UNION
+        SELECT c.to_station, c.arrival_time FROM reach r JOIN conn c
+          ON c.from_station = r.station AND c.departure_time >= r.arr),
+      arrv AS (SELECT station, min(arr) AS arr FROM reach GROUP BY station),
+      par AS (
+        SELECT c.to_station AS station,
+          arg_min({{'frm': c.from_station, 'dep': c.departure_time}},
+                  (c.departure_time, c.from_station, c.train_id)) AS p
+        FROM conn c
+        JOIN arrv a ON a.station = c.from_station
+                   AND c.departure_time >= a.arr
+        JOIN arrv b ON b.station = c.to_station
+                   AND c.arrival_time = b.arr
+        WHERE c.to_station <> 'S0'
+        GROUP BY c.to_station),
+      legs(target, step, to_st, frm, dep, arr) AS (
+        SELECT a.station, 0, a.station, p.p.frm, p.p.dep, a.arr
+        FROM arrv a JOIN par p ON p.station = a.station
+        UNION ALL
+        SELECT l.target, l.step + 1, l.frm, p.p.frm, p.p.dep, a.arr
+        FROM legs l JOIN par p ON p.station = l.frm
+        JOIN arrv a ON a.station = l.frm),
+      summ AS (
+        SELECT target, count(*) AS segments,
+          count(DISTINCT to_st) AS stations,
+          string_agg(frm || ' (' || strftime(dep, '%H:%M') || ') → '
+                     || to_st || ' (' || strftime(arr, '%H:%M') || ')',
+                     '; ' ORDER BY step DESC) AS itinerary
+        FROM legs GROUP BY target)
+      SELECT a.station AS target_station, a.arr AS arrival,
+        date_diff('second', TIMESTAMP '{DEPARTURE}', a.arr) / 60.0
+          AS duration_minutes,
+        CAST(coalesce(s.segments, 0) AS INTEGER) AS segments,
+        CAST(coalesce(s.stations, 0) AS INTEGER) AS stations,
+        coalesce(s.itinerary, '') AS itinerary
+      FROM arrv a LEFT JOIN summ s ON s.target = a.station""",
 }
