@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trainyard.functions.delay import clamped_delay, signed_delay
-from trainyard.functions.text import LIVE_PATH_ALIASES, normalize_station
+from trainyard.functions.text import normalize_station
 from trainyard.functions.times import calendar_columns, parse_stamp, time_key
 from trainyard.operators import analysis as A
 from trainyard.operators import checks as C

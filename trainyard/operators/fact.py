@@ -30,8 +30,7 @@ from trainyard.functions.times import (parse_stamp, parse_stamp_strict,
                                        stamp_key, time_key)
 from trainyard.operators.common import (broadcast_if_bounded,
                                         first_non_null, last_non_null)
-from trainyard.operators.dims import (UNKNOWN_TRAIN, train_key, train_parts,
-                                      unknown_train)
+from trainyard.operators.dims import train_key, train_parts, unknown_train
 from trainyard.schemas import DIM_TRAIN_PARTS
 
 NATURAL_KEY = ["snapshot_time_key", "station_key", "stop_id", "event_type"]
