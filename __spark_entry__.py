@@ -26,6 +26,7 @@ from trainyard.operators import lake as L
 from trainyard.operators.common import cut_lineage
 from trainyard.operators.nearest import nearest_station
 from trainyard.plans import proxies as P
+from trainyard.plans.star import apply_event_rows
 from trainyard.schemas import STOP
 from pyspark.sql import types as T
 from trainyard.session import (apply_runtime_conf, ensure_checkpoint_dir,
@@ -97,40 +98,13 @@ def q_fact_upsert(spark, d):
 
 def q_incremental_load(spark, d):
     """Plans loaded first, changes folded in by a second incremental run,
-    then the change batch re-run (idempotent)."""
+    then the change batch re-applied (idempotent); read back."""
     base = work_dir(spark, "star")
-    fpath, tpath = os.path.join(base, "fact"), os.path.join(base, "train")
-
-    def load(rows, first):
-        if first:
-            merged = FT.upsert_fact(rows)
-        else:
-            old = spark.read.parquet(fpath)
-            touched = rows.select("snapshot_time_key").distinct()
-            old_rows = FT.fact_as_rows(
-                old.join(touched, "snapshot_time_key", "left_semi"),
-                spark.read.parquet(tpath)).select(*FT.EVENT_ROW_COLUMNS)
-            merged = FT.upsert_fact(old_rows.unionByName(rows))
-        trains = D.build_dim_train(merged, "train")
-        if not first:
-            trains = D.merge_dim_train(spark.read.parquet(tpath), trains)
-        out = merged.drop("train")
-        tmp = work_dir(spark, "fact-next")
-        out.write.mode("overwrite").partitionBy("snapshot_time_key") \
-            .parquet(tmp)
-        ttmp = work_dir(spark, "train-next")
-        trains.write.mode("overwrite").parquet(ttmp)
-        # swap in the new version: dynamic overwrite of touched partitions
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        spark.read.parquet(tmp).write.mode("overwrite") \
-            .partitionBy("snapshot_time_key").parquet(fpath)
-        spark.read.parquet(ttmp).write.mode("overwrite").parquet(tpath)
-
-    load(P.plan_rows(spark, d), True)
-    load(P.change_rows(spark, d), False)
-    load(P.change_rows(spark, d), False)          # re-run: no change
-    fact = spark.read.parquet(fpath)
-    trains = spark.read.parquet(tpath)
+    apply_event_rows(spark, P.plan_rows(spark, d), base, incremental=False)
+    apply_event_rows(spark, P.change_rows(spark, d), base)
+    apply_event_rows(spark, P.change_rows(spark, d), base)   # no change
+    fact = spark.read.parquet(os.path.join(base, "fact_train_movement"))
+    trains = spark.read.parquet(os.path.join(base, "dim_train"))
     return fact.join(trains, "train_key").select(
         *FACT_OUT, "category", "train_number", "owner", "trip_type",
         "filter_flags")
