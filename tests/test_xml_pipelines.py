@@ -201,3 +201,17 @@ def test_report_limits(spark):
         "station_name string, planned_departure timestamp_ntz, date date, "
         "hour int")
     assert peak_hour_departures(mv, top=3).count() == 3
+
+
+def test_empty_event_element_still_counts(spark, tmp):
+    from trainyard.operators.fact import explode_stops_with_pos, \
+        unpivot_events
+    from trainyard.sources.xml import read_timetable_docs
+    write(tmp, "w/2509021200/a.xml",
+          '<timetable station="X"><s id="1"><ar/><dp pt="2509021200"/></s>'
+          '<s id="2"><dp></dp></s><s id="3"/></timetable>')
+    d = read_timetable_docs(spark, os.path.join(tmp, "w"))
+    ev = unpivot_events(explode_stops_with_pos(d)).select(
+        "stop._id", "event_type").collect()
+    assert sorted(tuple(r) for r in ev) == [("1", "A"), ("1", "D"),
+                                            ("2", "D")]
