@@ -215,6 +215,9 @@ def test_connection_pairing(spark):
     # train 1: A sorts before D at equal times -> no D->A pair
     # train 2: pairs across 15-minute slices are still found
     assert got == [(2, "A", "B"), (2, "B", "C")]
+    one_minute = sorted((r.train_id, r.from_station, r.to_station)
+                        for r in connections(ev).collect())
+    assert one_minute == got
 
 
 def test_nearest_vs_brute_force(spark):

@@ -124,7 +124,9 @@ def with_file_rank(docs: DataFrame) -> DataFrame:
     its snapshot stamp (folder components compared one by one, as a sorted
     directory walk visits them).  Ranking runs over the distinct files of
     each snapshot only, and turns the order key of the upsert into
-    numbers."""
+    numbers.  A snapshot folder holds one document per station, so each
+    window group is bounded by the number of stations, not by data
+    volume."""
     from pyspark.sql import Window
     files = docs.select("snapshot", "file_path", "path_order").distinct()
     w = Window.partitionBy("snapshot").orderBy("path_order", "file_path")

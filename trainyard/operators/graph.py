@@ -214,11 +214,16 @@ def next_in_sequence(events: DataFrame, part: list[str], order: list[str],
                        for c in order + payload])
 
 
-def connections(events: DataFrame, bucket_minutes: int = 15) -> DataFrame:
+def connections(events: DataFrame, bucket_minutes: int = 1) -> DataFrame:
     """Departure followed directly by an arrival of the same train on the
     same date (events ordered by time, A before D at equal times, then
     station and stop id) -> ``(from_station, to_station, departure_time,
-    arrival_time, train_id, date)``."""
+    arrival_time, train_id, date)``.
+
+    Rows are ordered inside (train, date, ``bucket_minutes`` slice) groups,
+    so even the shared unknown train is sorted in many small tasks; the
+    slice summaries (at most 1,440 per train and day at one minute) link
+    the slices."""
     bucket = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) /
                      F.lit(bucket_minutes * 60_000_000))
     nxt = next_in_sequence(events, ["train_key", "date"],
