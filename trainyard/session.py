@@ -68,7 +68,10 @@ def get_session(master: str | None = None, app: str = "trainyard",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint folder, setting a private one only if unset."""
+    """Return the checkpoint folder.  The cluster's ``spark.checkpoint.dir``
+    is used as it is; only a local-mode session without one (tests) gets a
+    private temporary folder.  On a cluster a missing setting is an error:
+    a machine-local folder would not survive an executor loss."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -76,6 +79,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or \
         sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set; point it at shared "
+                "storage (HDFS, object store) before running trainyard jobs")
         configured = tempfile.mkdtemp(prefix="trainyard-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
