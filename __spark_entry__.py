@@ -414,7 +414,8 @@ def _fuzzy_requests(spark, d):
 
 def q_resolve_fuzzy(spark, d):
     nodes, _ = G.static_graph(_paths(spark, d))
-    return G.resolve_stations(nodes, _fuzzy_requests(spark, d))
+    return G.resolve_stations(nodes, _fuzzy_requests(spark, d),
+                              nodes_materialized=True)
 
 
 def q_shortest_hops(spark, d):
@@ -422,7 +423,7 @@ def q_shortest_hops(spark, d):
     req = nodes.select(F.xxhash64("station").alias("request_id"),
                        F.lit(HOP_SOURCE).alias("source"),
                        F.col("station").alias("target"))
-    r = G.shortest_hops(nodes, edges, req)
+    r = G.shortest_hops(nodes, edges, req, inputs_materialized=True)
     return r.select("target_station", "hops")
 
 

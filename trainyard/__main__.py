@@ -96,7 +96,8 @@ def cmd_hops(args):
     req = spark.createDataFrame(
         [(i, s, t) for i, (s, t) in enumerate(_pairs(args.route))],
         "request_id long, source string, target string")
-    _show(shortest_hops(nodes, edges, req).orderBy("request_id"))
+    _show(shortest_hops(nodes, edges, req, inputs_materialized=True)
+          .orderBy("request_id"))
 
 
 def cmd_earliest(args):

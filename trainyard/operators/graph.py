@@ -84,14 +84,16 @@ def static_graph(paths: DataFrame, materialize: bool = True
 
 # ---------------------------------------------------------------------- G3
 def resolve_stations(nodes: DataFrame, requests: DataFrame,
-                     text_col: str = "text") -> DataFrame:
+                     text_col: str = "text",
+                     nodes_materialized: bool = False) -> DataFrame:
     """``requests(request_id, text)`` -> ``(request_id, station)``.
 
     The text is normalised like a path station, then: an exact node name;
     else the nodes containing it case-insensitively -- a single one, else
     the first (by name) that ends with it, else the first by name.
     Unresolved requests are absent."""
-    nodes = cut_lineage(nodes.select("station"), "resolve-nodes")
+    if not nodes_materialized:
+        nodes = cut_lineage(nodes.select("station"), "resolve-nodes")
     r = requests.select("request_id",
                         normalize_station(F.col(text_col)).alias("q"))
     exact = r.join(nodes, r["q"] == nodes["station"]).select(
@@ -111,7 +113,8 @@ def resolve_stations(nodes: DataFrame, requests: DataFrame,
 
 # ---------------------------------------------------------------------- G4
 def shortest_hops(nodes: DataFrame, edges: DataFrame, requests: DataFrame,
-                  max_rounds: int | None = None) -> DataFrame:
+                  max_rounds: int | None = None,
+                  inputs_materialized: bool = False) -> DataFrame:
     """Fewest-hop paths for ``requests(request_id, source, target)``.
     Returns ``(request_id, source_station, target_station, hops, path,
     path_text)``; unknown stations or unreachable targets give no row.  Of
@@ -123,15 +126,20 @@ def shortest_hops(nodes: DataFrame, edges: DataFrame, requests: DataFrame,
     reached leave the frontier.  ``visited`` is the union of the written
     frontiers, so nothing is rewritten."""
     # graph and requests are read many times: materialise them once
-    nodes = cut_lineage(nodes, "hops-nodes")
-    edges = cut_lineage(edges, "hops-edges")
+    # (``inputs_materialized``: the graph already comes from written
+    # tables, e.g. static_graph's output)
+    if not inputs_materialized:
+        nodes = cut_lineage(nodes, "hops-nodes")
+        edges = cut_lineage(edges, "hops-edges")
     requests = cut_lineage(requests.select("request_id", "source", "target"),
                            "hops-requests")
     src = resolve_stations(nodes, requests.select(
-        "request_id", F.col("source").alias("text"))) \
+        "request_id", F.col("source").alias("text")),
+        nodes_materialized=True) \
         .withColumnRenamed("station", "source_station")
     dst = resolve_stations(nodes, requests.select(
-        "request_id", F.col("target").alias("text"))) \
+        "request_id", F.col("target").alias("text")),
+        nodes_materialized=True) \
         .withColumnRenamed("station", "target_station")
     req = cut_lineage(src.join(dst, "request_id"), "hops-req")
     targets = req.select("request_id", "target_station")
