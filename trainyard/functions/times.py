@@ -35,8 +35,14 @@ def stamp_is_bad(raw, parsed) -> Column:
 
 
 def time_key(ts) -> Column:
-    """timestamp -> ``yyyyMMddHHmm`` as bigint (e.g. 202509051116)."""
-    return F.date_format(_c(ts), "yyyyMMddHHmm").cast("long")
+    """timestamp -> ``yyyyMMddHHmm`` as bigint (e.g. 202509051116),
+    computed from the calendar fields (no text formatting per row)."""
+    ts = _c(ts)
+    k = F.year(ts).cast("long")
+    for part, width in ((F.month(ts), 100), (F.dayofmonth(ts), 100),
+                        (F.hour(ts), 100), (F.minute(ts), 100)):
+        k = k * width + part
+    return k
 
 
 def lenient_time_key(x) -> Column:
