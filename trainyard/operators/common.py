@@ -41,16 +41,19 @@ def cut_lineage(df: DataFrame, name: str = "round") -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def cut_and_count(df: DataFrame, name: str, cond: str | F.Column
-                  ) -> tuple[DataFrame, int]:
+def cut_and_count(df: DataFrame, name: str, cond, *more_conds):
     """:func:`cut_lineage` that also returns how many written rows satisfy
-    ``cond``, observed during the same write (no extra job)."""
+    ``cond`` (and each of ``more_conds``), observed during the same write
+    (no extra job).  Returns ``(table, n)`` or ``(table, n, m, ...)``."""
     from pyspark.sql import Observation
     from trainyard.session import work_dir
-    c = F.expr(cond) if isinstance(cond, str) else cond
+    conds = [F.expr(c) if isinstance(c, str) else c
+             for c in (cond, *more_conds)]
     obs = Observation(f"{name}-count")
     path = work_dir(df.sparkSession, name)
-    df.observe(obs, F.sum(F.when(c, 1).otherwise(0)).alias("n")) \
-        .write.mode("overwrite").parquet(path)
-    n = obs.get.get("n") or 0
-    return df.sparkSession.read.parquet(path), int(n)
+    metrics = [F.sum(F.when(c, 1).otherwise(0)).alias(f"n{i}")
+               for i, c in enumerate(conds)]
+    df.observe(obs, *metrics).write.mode("overwrite").parquet(path)
+    got = obs.get
+    counts = [int(got.get(f"n{i}") or 0) for i in range(len(conds))]
+    return (df.sparkSession.read.parquet(path), *counts)

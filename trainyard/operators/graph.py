@@ -120,11 +120,13 @@ def shortest_hops(nodes: DataFrame, edges: DataFrame, requests: DataFrame,
     path_text)``; unknown stations or unreachable targets give no row.  Of
     several shortest paths the lexicographically smallest is returned.
 
-    Level-synchronous BFS for all requests at once.  Per level one job
-    writes the new frontier (expand along edges, drop visited nodes, keep
-    the smallest path per node, flag targets); requests whose target was
-    reached leave the frontier.  ``visited`` is the union of the written
-    frontiers, so nothing is rewritten."""
+    Level-synchronous BFS, one per distinct source station (requests that
+    share a source share its search).  Per level one job writes the new
+    frontier (expand along edges, drop visited nodes, keep the smallest
+    path per node) and observes its size; ``visited`` is the union of the
+    written levels, so nothing is rewritten.  Answers are looked up in the
+    levels at the end.  The search stops when every requested (source,
+    target) pair is reached or no frontier is left."""
     # graph and requests are read many times: materialise them once
     # (``inputs_materialized``: the graph already comes from written
     # tables, e.g. static_graph's output)
@@ -142,40 +144,49 @@ def shortest_hops(nodes: DataFrame, edges: DataFrame, requests: DataFrame,
         nodes_materialized=True) \
         .withColumnRenamed("station", "target_station")
     req = cut_lineage(src.join(dst, "request_id"), "hops-req")
-    targets = req.select("request_id", "target_station")
-    start, open_n = cut_and_count(req.select(
-        "request_id", F.col("source_station").alias("node"),
-        F.array("source_station").alias("path"),
-        (F.col("source_station") == F.col("target_station")).alias("hit")),
-        "hops-level", "NOT hit")
+    # distinct (source, target) pairs still to reach; a level's write
+    # observes its size and how many of them it reached
+    wanted, n_wanted = cut_and_count(
+        req.select(F.col("source_station").alias("src"),
+                   F.col("target_station").alias("node")).distinct()
+        .withColumn("wanted", F.lit(True)), "hops-wanted", F.lit(True))
+
+    def tag(level):
+        return level.join(wanted, ["src", "node"], "left") \
+            .withColumn("wanted", F.coalesce("wanted", F.lit(False)))
+
+    start, n_open, n_hit = cut_and_count(
+        tag(req.select(F.col("source_station").alias("src")).distinct()
+            .select("src", F.col("src").alias("node"),
+                    F.array("src").alias("path"))),
+        "hops-level", F.lit(True), "wanted")
+    n_wanted -= n_hit
     levels = [start]
-    frontier = start.filter(~F.col("hit"))
-    visited = start.select("request_id", "node")
+    frontier = start
+    visited = start.select("src", "node")
     e = edges.select(F.col("src").alias("node"), "dst")
     rounds = 0
-    while open_n > 0:
+    while n_open > 0 and n_wanted > 0:
         rounds += 1
         if max_rounds is not None and rounds > max_rounds:
             break
         step = frontier.join(e, "node").select(
-            "request_id", F.col("dst").alias("node"),
+            "src", F.col("dst").alias("node"),
             F.concat("path", F.array("dst")).alias("path"))
-        step = step.join(visited, ["request_id", "node"], "left_anti")
-        nxt = step.groupBy("request_id", "node").agg(
-            F.min("path").alias("path"))
-        nxt = nxt.join(targets, "request_id").select(
-            "request_id", "node", "path",
-            (F.col("node") == F.col("target_station")).alias("hit"))
-        nxt, open_n = cut_and_count(nxt, "hops-level", "NOT hit")
+        step = step.join(visited, ["src", "node"], "left_anti")
+        nxt = step.groupBy("src", "node").agg(F.min("path").alias("path"))
+        nxt, n_open, n_hit = cut_and_count(tag(nxt), "hops-level",
+                                           F.lit(True), "wanted")
+        n_wanted -= n_hit
         levels.append(nxt)
-        visited = visited.unionByName(nxt.select("request_id", "node"))
-        done = nxt.filter("hit").select("request_id")
-        frontier = nxt.join(done, "request_id", "left_anti")
-    found = levels[0]
+        visited = visited.unionByName(nxt.select("src", "node"))
+        frontier = nxt
+    reached = levels[0]
     for lv in levels[1:]:
-        found = found.unionByName(lv)
-    found = found.filter("hit").select("request_id", "path")
-    return found.join(req, "request_id").select(
+        reached = reached.unionByName(lv)
+    found = req.join(reached, (req["source_station"] == reached["src"]) &
+                     (req["target_station"] == reached["node"]))
+    return found.select(
         "request_id", "source_station", "target_station",
         (F.size("path") - 1).alias("hops"), "path",
         F.array_join("path", ARROW).alias("path_text"))
