@@ -289,18 +289,23 @@ def earliest_arrival(conns: DataFrame, requests: DataFrame,
         "request_id"), "ea-req")
     label_t = "struct<arr:timestamp_ntz,dep:timestamp_ntz,from:string," \
               "train:bigint>"
-    # labels(request_id, station, lab, improved): best known arrival per
-    # station with the connection that gave it; ``improved`` marks the
-    # labels changed in the last round (the frontier).
-    labels = req.select("request_id",
-                        F.col("source_station").alias("station"),
-                        F.struct(F.col("departure").alias("arr"),
-                                 F.lit(None).cast("timestamp_ntz")
-                                 .alias("dep"),
-                                 F.lit(None).cast("string").alias("from"),
-                                 F.lit(None).cast("bigint").alias("train"))
-                        .cast(label_t).alias("lab"),
-                        F.lit(True).alias("improved"))
+    legs_t = ("array<struct<from_station:string,departure_time:"
+              "timestamp_ntz,to_station:string,arrival_time:timestamp_ntz,"
+              "train_id:bigint>>")
+    # One search per distinct (source, departure): requests sharing them
+    # share the labels.  labels(src, dep0, station, lab, improved): best
+    # known arrival per station with the connection that gave it;
+    # ``improved`` marks the labels changed in the last round (frontier).
+    S = ["src", "dep0"]
+    labels = req.select(F.col("source_station").alias("src"),
+                        F.col("departure").alias("dep0")).distinct() \
+        .select(*S, F.col("src").alias("station"),
+                F.struct(F.col("dep0").alias("arr"),
+                         F.lit(None).cast("timestamp_ntz").alias("dep"),
+                         F.lit(None).cast("string").alias("from"),
+                         F.lit(None).cast("bigint").alias("train"))
+                .cast(label_t).alias("lab"),
+                F.lit(True).alias("improved"))
     labels, n_improved = cut_and_count(labels, "ea-labels", "improved")
     c = conns.select(F.col("from_station").alias("station"), "to_station",
                      "departure_time", "arrival_time", "train_id")
@@ -312,35 +317,41 @@ def earliest_arrival(conns: DataFrame, requests: DataFrame,
         frontier = labels.filter("improved")
         cand = frontier.join(c, "station") \
             .filter(F.col("departure_time") >= F.col("lab.arr")) \
-            .groupBy("request_id", F.col("to_station").alias("station")) \
+            .groupBy(*S, F.col("to_station").alias("station")) \
             .agg(F.min(F.struct(
                 F.col("arrival_time").alias("arr"),
                 F.col("departure_time").alias("dep"),
                 F.col("station").alias("from"),
                 F.col("train_id").alias("train"))).cast(label_t)
                 .alias("new"))
-        merged = labels.select("request_id", "station", "lab") \
-            .join(cand, ["request_id", "station"], "full")
+        merged = labels.select(*S, "station", "lab") \
+            .join(cand, [*S, "station"], "full")
         better = F.col("new").isNotNull() & \
             (F.col("lab").isNull() | (F.col("new") < F.col("lab")))
         labels, n_improved = cut_and_count(merged.select(
-            "request_id", "station",
+            *S, "station",
             F.when(better, F.col("new")).otherwise(F.col("lab")).alias("lab"),
             better.alias("improved")), "ea-labels", "improved")
-    # back-track the itinerary from the target label
-    arrived = req.join(labels, (req["request_id"] == labels["request_id"]) &
-                       (req["target_station"] == labels["station"])) \
-        .select(req["request_id"], "source_station", "target_station",
-                "departure", F.col("lab.arr").alias("arrival"))
+    # answers: the label at each request's target
+    keyed = req.select("request_id", "source_station", "target_station",
+                       "departure", F.col("source_station").alias("src"),
+                       F.col("departure").alias("dep0"),
+                       F.col("target_station").alias("station"))
+    arrived = keyed.join(labels, [*S, "station"]).select(
+        "request_id", "source_station", "target_station", "departure",
+        F.col("lab.arr").alias("arrival"))
     if not itinerary:
         return arrived
+    # back-track once per distinct (source, departure, target)
+    K = [*S, "target"]
+    cur = keyed.join(labels, [*S, "station"], "left_semi").select(
+        *S, F.col("station").alias("target"), "station",
+        F.lit(0).alias("step")).distinct()
     legs = None
-    cur = arrived.select("request_id", F.col("target_station")
-                         .alias("station"), F.lit(0).alias("step"))
     while True:
-        step = cur.join(labels, ["request_id", "station"]) \
+        step = cur.join(labels, [*S, "station"]) \
             .filter(F.col("lab.from").isNotNull()) \
-            .select("request_id", "step", F.struct(
+            .select(*K, "step", F.struct(
                 F.col("lab.from").alias("from_station"),
                 F.col("lab.dep").alias("departure_time"),
                 F.col("station").alias("to_station"),
@@ -350,25 +361,21 @@ def earliest_arrival(conns: DataFrame, requests: DataFrame,
         if n_steps == 0:
             break
         legs = step if legs is None else legs.unionByName(step)
-        cur = step.select("request_id",
-                          F.col("leg.from_station").alias("station"),
+        cur = step.select(*K, F.col("leg.from_station").alias("station"),
                           (F.col("step") + 1).alias("step"))
     if legs is None:
-        return arrived.withColumn("legs", F.array().cast(
-            "array<struct<from_station:string,departure_time:timestamp_ntz,"
-            "to_station:string,arrival_time:timestamp_ntz,"
-            "train_id:bigint>>"))
-    # legs per request are bounded by the path length (hops), not by data
-    per_req = legs.groupBy("request_id").agg(
+        return arrived.withColumn("legs", F.array().cast(legs_t))
+    # legs per target are bounded by the path length, not by data volume
+    per_t = legs.groupBy(*K).agg(
         F.sort_array(F.collect_list(F.struct(
-            (-F.col("step")).alias("k"), "leg")), True).alias("l"))
-    per_req = per_req.select("request_id",
-                             F.transform("l", lambda x: x["leg"])
-                             .alias("legs"))
-    out = arrived.join(per_req, "request_id", "left")
-    return out.withColumn("legs", F.coalesce("legs", F.array().cast(
-        "array<struct<from_station:string,departure_time:timestamp_ntz,"
-        "to_station:string,arrival_time:timestamp_ntz,train_id:bigint>>")))
+            (-F.col("step")).alias("k"), "leg")), True).alias("l")) \
+        .select(*K, F.transform("l", lambda x: x["leg"]).alias("legs"))
+    out = keyed.join(per_t, (keyed["src"] == per_t["src"]) &
+                     (keyed["dep0"] == per_t["dep0"]) &
+                     (keyed["station"] == per_t["target"]), "left") \
+        .select("request_id", "legs")
+    return arrived.join(out, "request_id", "left").withColumn(
+        "legs", F.coalesce("legs", F.array().cast(legs_t)))
 
 
 # ---------------------------------------------------------------------- G7
