@@ -26,7 +26,7 @@ from trainyard.operators import lake as L
 from trainyard.operators.common import cut_lineage
 from trainyard.operators.nearest import nearest_station
 from trainyard.plans import proxies as P
-from trainyard.plans.star import apply_event_rows
+from trainyard.plans.star import apply_event_rows, build_star
 from trainyard.schemas import STOP
 from pyspark.sql import types as T
 from trainyard.session import (apply_runtime_conf, ensure_checkpoint_dir,
@@ -364,6 +364,92 @@ def q_xml_roundtrip(spark, d):
     return read_plan_raw(spark, root)
 
 
+def _event(**attrs):
+    """A full ``ar``/``dp`` struct; attributes not given are absent."""
+    fields = ["_pt", "_pp", "_ct", "_cp", "_cs", "_dc", "_l", "_ppth"]
+    return F.struct(*[(attrs[f] if f in attrs else
+                       F.lit(None).cast("string")).alias(f) for f in fields])
+
+
+def _xml_star_inputs(spark, d):
+    """Plan documents (one per order), change documents (one per order,
+    from its last line item) in one snapshot folder, and station JSON
+    lines for the stations they name, all written by Spark from the
+    driver tables."""
+    o = P.table(spark, d, "orders")
+    li = P.table(spark, d, "lineitem")
+    k = F.col("o_custkey") % 40
+    plan = P.plan_raw(spark, d)
+    stamp = "yyMMddHHmm"
+    pdocs = plan.select(
+        F.concat(F.lit("Stop "), F.substring("station_name", 2, 3))
+        .alias("_station"),
+        F.lit(None).cast("string").alias("_eva"),
+        F.array(F.struct(
+            F.col("stop_id").alias("_id"),
+            F.struct(F.col("train_category").alias("_c"),
+                     F.col("train_number").alias("_n"),
+                     F.lit(None).cast("string").alias("_o"),
+                     F.lit(None).cast("string").alias("_t"),
+                     F.lit(None).cast("string").alias("_f")).alias("tl"),
+            F.when(F.col("planned_arrival").isNotNull(), _event(
+                _pt=F.date_format("planned_arrival", stamp),
+                _pp=F.col("platform_arrival"))).alias("ar"),
+            F.when(F.col("planned_departure").isNotNull(), _event(
+                _pt=F.date_format("planned_departure", stamp),
+                _pp=F.col("platform_departure"),
+                _l=F.concat(F.lit("L"), F.substring("train_number", -1, 1)),
+                _ppth=F.concat(F.col("station_name"), F.lit("|S0"))))
+            .alias("dp"),
+        )).alias("s"))
+    # the order's last line item; equal line numbers are broken by the
+    # remaining fields, so the choice is deterministic
+    last = li.groupBy("l_orderkey").agg(F.max(F.struct(
+        "l_linenumber", "l_shipdate", "l_returnflag", "l_quantity"))
+        .alias("x"))
+    ch = last.join(o, last["l_orderkey"] == o["o_orderkey"])
+    ct = F.timestamp_add("MINUTE", F.col("x.l_linenumber") * 7,
+                         "x.l_shipdate")
+    cdocs = ch.select(
+        F.lit(None).cast("string").alias("_station"),
+        (F.lit(8000000) + k).cast("string").alias("_eva"),
+        F.array(F.struct(
+            F.col("o_orderkey").cast("string").alias("_id"),
+            F.lit(None).cast("struct<_c:string,_n:string,_o:string,"
+                             "_t:string,_f:string>").alias("tl"),
+            _event(_ct=F.date_format(ct, stamp),
+                   _cs=F.when(F.col("x.l_returnflag") == "R", "c"))
+            .alias("ar"),
+            _event(_ct=F.date_format(ct, stamp),
+                   _dc=F.when(F.col("x.l_quantity") > 25,
+                              F.col("x.l_linenumber").cast("string")))
+            .alias("dp"),
+        )).alias("s"))
+    root = work_dir(spark, "xml-star")
+    proot, croot = os.path.join(root, "plans"), os.path.join(root, "changes")
+    write_timetable_xml(pdocs, os.path.join(proot, "2509010800"))
+    write_timetable_xml(cdocs, os.path.join(croot, "2509010800"))
+    stations = o.select(k.alias("k")).distinct().select(F.to_json(F.struct(
+        F.array(F.struct(
+            F.concat(F.lit("Stop "), F.col("k").cast("string"))
+            .alias("name"),
+            F.array(F.struct((F.lit(8000000) + F.col("k")).cast("long")
+                             .alias("number"),
+                             F.lit(True).alias("isMain")))
+            .alias("evaNumbers"))).alias("result"))).alias("value"))
+    sj = os.path.join(root, "stations")
+    stations.write.mode("overwrite").text(sj)
+    return proot, croot, sj
+
+
+def q_star_from_xml(spark, d):
+    """Star load from XML documents and station JSON (S1-S8, D8-D12)."""
+    proot, croot, sj = _xml_star_inputs(spark, d)
+    t = build_star(spark, proot, croot, sj, multi_line_json=False)
+    return t.fact.join(t.dim_train, "train_key").select(
+        *FACT_OUT, *TRAIN_PARTS)
+
+
 # ==================================================================== graph
 def _paths(spark, d):
     return G.departure_paths(P.lineitem_paths(spark, d))
@@ -476,6 +562,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q33_peak_hours": q33_peak_hours,
     "fact_upsert": q_fact_upsert,
     "incremental_load": q_incremental_load,
+    "star_from_xml": q_star_from_xml,
     "q21_station_lookup": q21_station_lookup,
     "q21_lookup_single": q21_lookup_single,
     "q22_nearest": q22_nearest,

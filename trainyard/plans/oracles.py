@@ -624,4 +624,57 @@ ORACLE: dict[str, str] = {
         CAST(coalesce(s.stations, 0) AS INTEGER) AS stations,
         coalesce(s.itinerary, '') AS itinerary
       FROM arrv a LEFT JOIN summ s ON s.target = a.station""",
+    "star_from_xml": f"""WITH {PLAN_RAW},
+      pk AS (
+        SELECT CAST(substr(station_name, 2) AS INTEGER) AS k, * FROM plan_raw),
+      prow AS (
+        SELECT 8000000 + k AS station_key, stop_id, 'A' AS event_type,
+          CAST(strftime(planned_arrival, '%Y%m%d%H%M') AS BIGINT)
+            AS planned_time_key,
+          platform_arrival AS planned_platform, CAST(NULL AS VARCHAR) AS line,
+          CAST(NULL AS VARCHAR) AS planned_path,
+          train_category AS category, train_number
+        FROM pk WHERE planned_arrival IS NOT NULL
+        UNION ALL
+        SELECT 8000000 + k, stop_id, 'D',
+          CAST(strftime(planned_departure, '%Y%m%d%H%M') AS BIGINT),
+          platform_departure, 'L' || right(train_number, 1),
+          station_name || '|S0', train_category, train_number
+        FROM pk WHERE planned_departure IS NOT NULL),
+      lastli AS (
+        SELECT * FROM (
+          SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY
+            l_linenumber DESC, l_shipdate DESC, l_returnflag DESC,
+            l_quantity DESC) AS rn FROM lineitem) WHERE rn = 1),
+      crow0 AS (
+        SELECT 8000000 + o_custkey % 40 AS station_key,
+          CAST(o_orderkey AS VARCHAR) AS stop_id,
+          CAST('20' || strftime(l_shipdate + to_minutes(
+            CAST(l_linenumber * 7 AS BIGINT)), '%y%m%d%H%M') AS BIGINT) AS ck,
+          l_returnflag, l_quantity, l_linenumber
+        FROM lastli JOIN orders ON l_orderkey = o_orderkey),
+      crow AS (
+        SELECT station_key, stop_id, 'A' AS event_type,
+          ck AS changed_time_key,
+          CASE WHEN l_returnflag = 'R' THEN 'c' END AS event_status,
+          CAST(NULL AS INTEGER) AS delay_minutes,
+          l_returnflag = 'R' AS is_cancelled FROM crow0
+        UNION ALL
+        SELECT station_key, stop_id, 'D', ck, NULL,
+          CASE WHEN l_quantity > 25 THEN CAST(l_linenumber AS INTEGER) END,
+          false FROM crow0)
+      SELECT CAST(202509010800 AS BIGINT) AS snapshot_time_key,
+        CAST(coalesce(p.station_key, c.station_key) AS BIGINT) AS station_key,
+        coalesce(p.stop_id, c.stop_id) AS stop_id,
+        coalesce(p.event_type, c.event_type) AS event_type,
+        p.planned_time_key, c.changed_time_key, c.event_status,
+        p.planned_platform, CAST(NULL AS VARCHAR) AS changed_platform,
+        p.line, p.planned_path, c.delay_minutes,
+        coalesce(c.is_cancelled, false) AS is_cancelled,
+        coalesce(p.category, 'UNK') AS category,
+        coalesce(p.train_number, 'UNK') AS train_number,
+        '' AS owner, '' AS trip_type, '' AS filter_flags
+      FROM prow p FULL OUTER JOIN crow c
+        ON p.station_key = c.station_key AND p.stop_id = c.stop_id
+       AND p.event_type = c.event_type""",
 }
