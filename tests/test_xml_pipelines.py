@@ -215,3 +215,20 @@ def test_empty_event_element_still_counts(spark, tmp):
         "stop._id", "event_type").collect()
     assert sorted(tuple(r) for r in ev) == [("1", "A"), ("1", "D"),
                                             ("2", "D")]
+
+
+def test_daily_report_and_run_analyses(spark, inputs, tmp):
+    from trainyard.operators.analysis import daily_delay_table
+    from trainyard.plans.lake import run_analyses
+    mv = spark.createDataFrame(
+        [("S", dt.date(2025, 9, d), float(d), False) for d in range(1, 8)],
+        "station_name string, date date, arrival_delay_minutes double, "
+        "is_cancelled boolean")
+    rows = daily_delay_table(mv, "S", top=3).collect()
+    assert [r.date.day for r in rows] == [1, 2, 3]
+    p, c, _ = inputs
+    out = os.path.join(tmp, "mv2")
+    run_lake_pipeline(spark, p, c, out)
+    daily, peak = run_analyses(spark, out, "Berlin Alexanderplatz", [12])
+    assert daily.first().final_avg == 0.0
+    assert peak.count() >= 1
