@@ -19,7 +19,8 @@ from trainyard.schemas import TIMETABLE_XML
 from trainyard.sources.xml import with_provenance
 
 
-def snapshot_stream(spark: SparkSession, root: str, glob: str = "*/*.xml",
+def snapshot_stream(spark: SparkSession, root: str,
+                    glob: str = "*/*.[xX][mM][lL]",
                     max_files_per_trigger: int | None = None) -> DataFrame:
     """XML documents of ``root/<glob>`` as a stream, with provenance."""
     r = (spark.readStream.format("xml")
@@ -34,7 +35,8 @@ def snapshot_stream(spark: SparkSession, root: str, glob: str = "*/*.xml",
 
 def start_snapshot_stream(spark: SparkSession, root: str, kind: str,
                           station_json: str, out_dir: str,
-                          checkpoint: str, glob: str = "*/*.xml",
+                          checkpoint: str,
+                          glob: str = "*/*.[xX][mM][lL]",
                           available_now: bool = True,
                           multi_line_json: bool = True) -> StreamingQuery:
     """Start folding ``kind`` ('plan' or 'change') snapshot files into the
