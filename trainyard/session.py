@@ -3,13 +3,12 @@
 Everything that must survive an executor loss (loop checkpoints, tables
 handed from one job to the next) is written below ``spark.checkpoint.dir``,
 which on a cluster names a shared file system.  The setting is read from the
-session; a private folder is chosen only when it is unset (local tests).
+session; where it is unset, a folder below ``spark.sql.warehouse.dir`` serves,
+which is shared storage too.
 """
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -68,30 +67,21 @@ def get_session(master: str | None = None, app: str = "trainyard",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint folder.  The cluster's ``spark.checkpoint.dir``
-    is used as it is; only a local-mode session without one (tests) gets a
-    private temporary folder.  On a cluster a missing setting is an error:
-    a machine-local folder would not survive an executor loss."""
+    """Return the checkpoint folder: the cluster's ``spark.checkpoint.dir``
+    as it is, or, where that is unset, one below the SQL warehouse (shared
+    storage on a cluster, the working folder's warehouse in tests)."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or \
-        sc.getConf().get("spark.checkpoint.dir", None)
-    if not configured:
-        if not sc.master.startswith("local"):
-            raise RuntimeError(
-                "spark.checkpoint.dir is not set; point it at shared "
-                "storage (HDFS, object store) before running trainyard jobs")
-        configured = tempfile.mkdtemp(prefix="trainyard-ckpt-")
+        spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoint"
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint location for one table."""
-    base = ensure_checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    path = os.path.join(base, "trainyard", f"{name}-{uuid.uuid4().hex[:12]}")
-    return path
+    """A fresh folder (a full URI where the setting is one) under the shared
+    checkpoint location for one table."""
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/trainyard/{name}-{uuid.uuid4().hex[:12]}"
