@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,12 @@ def prepare(spark: SparkSession) -> None:
     """Session settings every operator of this package relies on."""
     apply_runtime_conf(spark)
     ensure_checkpoint_dir(spark)
+    # Python workers started from another folder must find this package too
+    # (on a cluster it is shipped, e.g. with --py-files)
+    env = spark.sparkContext.environment
+    root = str(Path(__file__).resolve().parents[2])
+    if root not in env.get("PYTHONPATH", "").split(":"):
+        env["PYTHONPATH"] = ":".join(filter(None, [root, env.get("PYTHONPATH")]))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
