@@ -70,40 +70,41 @@ def source_targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS,
             F.col("level") * F.col("weight")).alias("target"))
 
 
+def row_key() -> list[Column]:
+    """Hash and size of a row: which row of the table it is, but for equal
+    rows."""
+    return [F.xxhash64("doc_id", "text", F.lit(5)).alias("h"),
+            text_words().alias("size")]
+
+
 def mix_sources(docs: DataFrame, weights: Sequence[float] = WEIGHTS,
                 cap: float = CAP, block_words: int = BLOCK_WORDS,
-                shard_slots: int = SHARD_SLOTS, seed: int = 5,
-                keep: Sequence[str] = ("doc_id",)
+                shard_slots: int = SHARD_SLOTS, seed: int = 5
                 ) -> tuple[DataFrame, DataFrame]:
-    """Mix ``docs`` (doc_id, text, source, ...): returns (packed, mix).
+    """Mix ``docs`` (doc_id, text, source): returns (packed, mix).
 
-    ``packed``: the columns ``keep`` of every row, plus __m: struct(skey,
-    off: the row's place in its source's words (null if it has none), size,
-    source_size, target).  ``mix``: one row per stretch of a document in a
-    slot: shard, slot (place in the shard), skey, block, pass, off, w_from,
-    w_to (words of the document, from 0).
+    ``packed``, a row per row: doc_id, skey, off (the row's place in its
+    source's words; null if it has none), size, h (a hash of the row),
+    source_size, target.  ``mix``, a row per stretch of a document in a slot:
+    shard, slot (place in the shard), skey, block, pass, off, w_from, w_to
+    (words of the document, from 0).
 
     A source takes round(target) words: whole passes over all its blocks,
     then blocks in permuted order until the rest is met; the last block is
     cut.  No document is taken more than ``cap`` times.  Null text has no
     words; documents without words are never taken; null source is a source
     of its own; repeated rows are packed one after the other; an empty table
-    gives empty results."""
+    gives empty results; other columns are ignored."""
     spark = docs.sparkSession
     skey = F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("null"))
-    h = F.xxhash64(*dict.fromkeys(["doc_id", "text", *keep]), F.lit(seed))
-    n_rows = docs.select(F.lit(1)).count()
-    buckets = bucket_count(spark, n_rows)
-    rows = docs.select(
-        *[F.col(c) for c in keep], F.struct(
-            F.col("source").alias("source"), text_words().alias("size"),
-            h.alias("h")).alias("__r"), skey.alias("__skey"),
-        F.pmod(h, F.lit(buckets)).cast("int").alias("__b"))
-    rows = written(rows.withColumn("__size", F.col("__r.size"))
-                   .withColumn("__h", F.col("__r.h")), "mix-rows")
-    sizes = rows.groupBy(F.col("__skey").alias("skey")).agg(
-        F.first("__r.source").alias("source"),
-        F.sum("__size").alias("source_size"))
+    rows = written(docs.select("doc_id", "source", skey.alias("skey"),
+                               *row_key()), "mix-rows")
+    buckets = bucket_count(spark, rows.count())
+    rows = rows.withColumn("b", F.pmod(F.xxhash64("h", F.lit(seed)),
+                                       F.lit(buckets)).cast("int"))
+    sizes = rows.groupBy("skey").agg(
+        F.first("source").alias("source"),
+        F.sum("size").alias("source_size"))
     b = F.lit(block_words).cast("long")
     plan = source_targets(sizes, weights, cap)
     full = F.when(F.col("source_size") > 0, F.least(
@@ -158,19 +159,13 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = WEIGHTS,
                      F.floor(F.col("place") / shard_slots).alias("shard"),
                      (F.col("place") % shard_slots).alias("slot")))
 
-    at = running_start(rows, ["__skey"], "__b",
-                       ["__h", *[c for c in keep if c == "doc_id"], "__size"],
-                       "__size", "__off")
-    goals = plan.select(F.col("skey").alias("__skey"), F.struct(
-        "source_size", "target").alias("__t"))
-    packed = written(at.join(goals, "__skey").select(*keep, F.struct(
-        F.col("__skey").alias("skey"),
-        F.when(F.col("__size") > 0, F.col("__off")).alias("off"),
-        F.col("__size").alias("size"),
-        F.col("__t.source_size").alias("source_size"),
-        F.col("__t.target").alias("target")).alias("__m")), "mix-packed")
-    pieces = (packed.where("__m.off is not null")
-              .select("__m.skey", "__m.off", "__m.size")
+    at = running_start(rows, ["skey"], "b", ["h", "doc_id", "size"], "size",
+                       "off")
+    packed = written(at.join(
+        plan.select("skey", "source_size", "target"), "skey").select(
+        "doc_id", "skey", F.when(F.col("size") > 0, F.col("off")).alias("off"),
+        "size", "h", "source_size", "target"), "mix-packed")
+    pieces = (packed.where("off is not null").select("skey", "off", "size")
               .withColumn("block", F.explode(F.sequence(
                   F.floor(F.col("off") / b),
                   F.floor((F.col("off") + F.col("size") - 1) / b)))))
@@ -184,50 +179,54 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = WEIGHTS,
     return packed, mix
 
 
-def taken_words(packed: DataFrame, mix: DataFrame,
-                keep: Sequence[str] = ("doc_id",)) -> DataFrame:
+def taken_words(packed: DataFrame, mix: DataFrame) -> DataFrame:
     """Words the mix takes of every row, repeats counted."""
     sums = mix.groupBy("skey", "off").agg(
         F.sum(F.col("w_to") - F.col("w_from")).alias("taken"))
-    sums = sums.select(F.col("skey").alias("__k"), F.col("off").alias("__o"),
-                       F.col("taken").alias("__taken"))
-    return packed.join(sums, (F.col("__m.skey") == F.col("__k"))
-                       & (F.col("__m.off") == F.col("__o")), "left").select(
-        *keep, F.col("__m.size").alias("size"),
-        F.col("__m.source_size").cast("long").alias("source_size"),
-        F.col("__m.target").alias("target"),
-        F.coalesce("__taken", F.lit(0)).cast("long").alias("taken"))
-
-
-def mixed_documents(packed: DataFrame, mix: DataFrame,
-                    columns: Sequence[str]) -> DataFrame:
-    """The mix as documents: for every document and pass of its source one
-    row with the words taken in that pass.  A document taken whole keeps its
-    text as it is; of others the taken words are joined by single spaces.
-    ``packed`` must hold ``columns``, with text and n_chars among them."""
+    return packed.join(sums, ["skey", "off"], "left").select(
+        "doc_id", "size", F.col("source_size").cast("long")
+        .alias("source_size"), "target",
+        F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+
+
+def mixed_documents(docs: DataFrame, packed: DataFrame, mix: DataFrame
+                    ) -> DataFrame:
+    """The mix as documents, with the columns of ``docs``: for every document
+    and pass over its source one row with the words taken in that pass.  A
+    document taken whole keeps its text as it is; of others the taken words
+    are joined by single spaces.  n_chars, if there, is that of the new text.
+    Texts are shuffled once."""
     runs = mix.groupBy("skey", "off", "pass").agg(
         F.sort_array(F.collect_list(F.struct("w_from", "w_to"))).alias("runs"))
-    runs = runs.select(F.col("skey").alias("__k"), F.col("off").alias("__o"),
-                       F.col("runs").alias("__runs"))
-    got = packed.join(runs, (F.col("__m.skey") == F.col("__k"))
-                      & (F.col("__m.off") == F.col("__o")))
+    # equal rows are told apart by their order only
+    same = Window.partitionBy("h", "size").orderBy("skey", "off")
+    runs = (packed.where("off is not null")
+            .withColumn("n", F.row_number().over(same))
+            .join(runs, ["skey", "off"])
+            .select(F.struct("h", "size", "n", "runs").alias("__m")))
+    rows = docs.withColumn("__r", F.struct(*row_key()))
+    same = Window.partitionBy("__r.h", "__r.size").orderBy("source")
+    rows = rows.withColumn("__n", F.row_number().over(same))
+    # as two comparisons: the window's partitioning serves the join as well
+    got = rows.join(runs, (F.col("__r.h") == F.col("__m.h"))
+                    & (F.col("__r.size") == F.col("__m.size"))
+                    & (F.col("__n") <= F.col("__m.n"))
+                    & (F.col("__n") >= F.col("__m.n")))
+    taken = F.aggregate("__m.runs", F.lit(0).cast("long"),
+                        lambda a, r: a + r["w_to"] - r["w_from"])
+    whole = taken == F.col("__m.size")
     # a leading separator gives an empty first word
     words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda x: x != "")
-    part = F.array_join(F.flatten(F.transform("__runs", lambda r: F.slice(
+    got = got.withColumn("__words", F.when(~whole, words))
+    part = F.array_join(F.flatten(F.transform("__m.runs", lambda r: F.slice(
         F.col("__words"), (r["w_from"] + 1).cast("int"),
         (r["w_to"] - r["w_from"]).cast("int")))), " ")
-    taken = F.aggregate("__runs", F.lit(0).cast("long"),
-                        lambda a, r: a + r["w_to"] - r["w_from"])
-    whole = taken == F.col("__m.size")
-    got = got.withColumn("__whole", whole).withColumn(
-        "__words", F.when(~F.col("__whole"), words))
-    text = F.when(F.col("__whole"), F.col("text")).otherwise(part)
-    got = got.withColumn("__text", text)
-    out = {"text": F.col("__text"),
+    got = got.withColumn("__text", F.when(whole, F.col("text"))
+                         .otherwise(part))
+    new = {"text": F.col("__text"),
            "n_chars": F.char_length("__text").cast("long")}
-    return got.select(*[out.get(c, F.col(c)).alias(c) for c in columns])
+    return got.select(*[new.get(c, F.col(c)).alias(c) for c in docs.columns])
 
 
 def op5_query(docs: DataFrame) -> DataFrame:
-    packed, mix = mix_sources(docs, keep=("doc_id",))
-    return taken_words(packed, mix)
+    return taken_words(*mix_sources(docs))

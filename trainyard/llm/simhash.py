@@ -14,7 +14,7 @@ any skewed join.  Components of the links come from star contraction rounds.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
@@ -22,6 +22,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from trainyard.llm.common import LOWER, written
 
@@ -55,19 +56,21 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp long: the fingerprint's bits) of every row."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE,
+                 keep: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """The columns ``keep`` and fp (long: the fingerprint's bits) of every
+    row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fp = np.fromiter((fingerprint(t.as_py(), shingle)
                               for t in batch.column("text")),
                              np.uint64, len(batch)).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(fp)], ["doc_id", "fp"])
+                [*[batch.column(c) for c in keep], pa.array(fp)],
+                [*keep, "fp"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(
-        run, f"doc_id {kind}, fp long")
+    rows = docs.select(*keep, F.col("text").cast("string"))
+    return rows.mapInArrow(run, rows.drop("text").schema.add("fp", "long"))
 
 
 @lru_cache(maxsize=4)
@@ -232,6 +235,14 @@ def components(edges: DataFrame) -> DataFrame:
                                   F.col("v").alias("root")).distinct())
 
 
+def _groups(rows: DataFrame, max_bits: int) -> DataFrame:
+    """(fp, root) of the distinct fingerprints of ``rows``."""
+    distinct = written(rows.select("fp").distinct(), "simhash-distinct")
+    parts = components(written(links(distinct, max_bits), "simhash-links"))
+    return distinct.join(parts.withColumnRenamed("node", "fp"), "fp", "left") \
+        .select("fp", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE,
                     max_bits: int = MAX_BITS) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, fp (long) and
@@ -242,15 +253,34 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE,
     component_id.  Repeated rows give repeated rows; an empty table gives an
     empty result; other columns are ignored."""
     rows = written(fingerprints(docs, shingle), "simhash-fp")
-    distinct = written(rows.groupBy("fp").agg(F.min("doc_id").alias("first")),
-                       "simhash-distinct")
-    parts = components(written(links(distinct, max_bits), "simhash-links"))
-    named = distinct.join(parts.withColumnRenamed("node", "fp"), "fp", "left") \
-        .withColumn("root", F.coalesce("root", "fp"))
-    smallest = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = written(named.join(smallest, "root").select("fp", "component_id"),
+    first = rows.groupBy("fp").agg(F.min("doc_id").alias("first"))
+    named = written(_groups(rows, max_bits).join(first, "fp"),
                     "simhash-named")
-    return rows.join(named, "fp").select("doc_id", "fp", "component_id")
+    smallest = named.groupBy("root").agg(F.min("first").alias("component_id"))
+    return rows.join(named.join(smallest, "root").select(
+        "fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+
+
+def keep_one(docs: DataFrame, shingle: int = SHINGLE,
+             max_bits: int = MAX_BITS) -> DataFrame:
+    """The rows of ``docs`` without near-duplicates: of each component the
+    row with the smallest doc_id (null ids last; ties: by a hash of the
+    text) stays, all columns kept."""
+    key = docs.withColumn("__th", F.xxhash64("text"))
+    rows = written(fingerprints(key, shingle, ("doc_id", "__th")),
+                   "simhash-fp")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__th")
+    # per fingerprint first: copies are many
+    first = rows.groupBy("fp").agg(F.min(order).alias("f"))
+    stay = _groups(rows, max_bits).join(first, "fp").groupBy("root").agg(
+        F.min("f").alias("f")).select(F.col("f.doc_id").alias("__id"),
+                                      F.col("f.__th").alias("__h"))
+    stay = written(stay, "simhash-stay")
+    kept = key.join(stay, F.col("doc_id").eqNullSafe(F.col("__id"))
+                    & (F.col("__th") == F.col("__h")))
+    once = Window.partitionBy("__id", "__h").orderBy("__h")
+    return (kept.withColumn("__n", F.row_number().over(once))
+            .where("__n = 1").select(*docs.columns))
 
 
 def op10_query(docs: DataFrame) -> DataFrame:
