@@ -606,10 +606,21 @@ def _wrap(fn):
     return run
 
 
+def _llm() -> tuple[dict, dict]:
+    """Queries and SQL of the training-data operators, if they are there."""
+    try:
+        from trainyard.llm.queries import ORACLE_SQL, QUERIES
+    except ModuleNotFoundError as e:
+        if e.name and e.name.startswith("trainyard.llm"):
+            return {}, {}
+        raise
+    return QUERIES, ORACLE_SQL
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: _wrap(v) for k, v in _QUERIES.items()}
+    return {k: _wrap(v) for k, v in (_QUERIES | _llm()[0]).items()}
 
 
 def oracle_sql() -> dict[str, str]:
     from trainyard.plans.oracles import ORACLE
-    return dict(ORACLE)
+    return ORACLE | _llm()[1]
