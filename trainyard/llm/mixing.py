@@ -28,6 +28,7 @@ BLOCK_WORDS = 512
 SHARD_SLOTS = 1024
 # Slots a single row is expanded to at most, before rows are dealt again.
 RUN = 4096
+SLOTS_PER_TASK = 1_000_000
 
 
 def text_words() -> Column:
@@ -133,6 +134,11 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = WEIGHTS,
         F.lit(0))).withColumn("slots", F.sum("draws").over(every))
     plan = written(plan, "mix-plan")
 
+    # the plan is a few rows, the slots it grows to are not: their number
+    # sets the tasks, and neither side of the join may be taken for small
+    total = plan.agg(F.max("slots")).first()[0] or 0
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                total // SLOTS_PER_TASK)
     n = F.col("blocks")
     block = permuted(F.col("i") % n, n, [
         F.col("skey"), (F.col("i") / n).cast("long"), F.lit(seed)])
@@ -146,7 +152,7 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = WEIGHTS,
              .withColumn("i0", F.explode(F.sequence(
                  F.lit(0).cast("long"), F.col("draws") - 1,
                  F.lit(RUN).cast("long"))))
-             .repartition(F.col("skey"), F.col("i0"))
+             .repartition(tasks, "skey", "i0")
              .withColumn("i", F.explode(F.sequence(
                  F.col("i0"), F.least(F.col("i0") + RUN, F.col("draws")) - 1)))
              .withColumn("block", block).withColumn("take", take.cast("long"))
@@ -172,7 +178,8 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = WEIGHTS,
     lo = F.greatest(F.col("off"), F.col("block") * b)
     hi = F.least(F.col("off") + F.col("size"),
                  F.col("block") * b + F.col("take"))
-    mix = (pieces.join(draws, ["skey", "block"]).where(hi > lo)
+    mix = (pieces.hint("merge").join(draws.hint("merge"), ["skey", "block"])
+           .where(hi > lo)
            .select("shard", "slot", "skey", "block", "pass", "off",
                    (lo - F.col("off")).alias("w_from"),
                    (hi - F.col("off")).alias("w_to")))
