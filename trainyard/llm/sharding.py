@@ -90,6 +90,9 @@ def shard_documents(docs: DataFrame, n_shards: int = 8,
     and repeated doc_ids are rows like any other; an empty table gives an
     empty result; other columns are ignored unless named in ``keep``."""
     spark = docs.sparkSession
+    # columns named like the new ones are replaced
+    keep = [c for c in keep if c.lower() not in (
+        "size", "text_crc32", "shard", "slot")]
     if link is None:
         link = F.sha2(F.encode(F.coalesce("text", F.lit("")), "utf-8"), 256)
     salt = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(SALTS)).cast("int")

@@ -29,6 +29,7 @@ from trainyard.llm.common import LOWER, written
 SHINGLE = 3
 MAX_BITS = 2
 SEED = 42
+FINGERPRINTS_PER_TASK = 100_000
 RADIUS = 3          # of the Golay code: every 23-bit word is that near
 GOLAY = 0b110001110101  # fixed value: generator polynomial of degree 11
 
@@ -95,7 +96,6 @@ def _golay(extra: int):
                 r ^= GOLAY << (k - 11)
         column.append(r)
     leader = np.zeros(1 << 11, np.int64)
-    bits = [(1 << i, column[i]) for i in range(23)]
     for a in range(23):
         leader[column[a]] = 1 << a
         for b in range(a):
@@ -111,7 +111,6 @@ def _golay(extra: int):
         errors.append(code[near] ^ e)
         far.append(np.maximum(0, d[near] - RADIUS))
         offsets.append(offsets[-1] + len(near))
-    assert len(bits) == 23
     return (np.array(column, np.int64), leader, np.array(offsets),
             np.concatenate(errors), np.concatenate(far).astype(np.int64))
 
@@ -134,10 +133,10 @@ def anchors(fp: np.ndarray, max_bits: int, home: bool
     if home:
         return (np.arange(len(fp)),
                 (y1 ^ leader[s1]) | (y2 ^ leader[s2]) << 23)
-    at, out = [], []
-    first1, n1 = offsets[s1], offsets[s1 + 1] - offsets[s1]
+    n1 = offsets[s1 + 1] - offsets[s1]
     i = np.repeat(np.arange(len(fp)), n1)
-    k = np.arange(len(i)) - np.repeat(np.cumsum(n1) - n1, n1) + first1[i]
+    k = np.arange(len(i)) - np.repeat(np.cumsum(n1) - n1, n1) \
+        + offsets[s1][i]
     c1, e1 = y1[i] ^ errors[k], extra[k]
     n2 = (offsets[s2 + 1] - offsets[s2])[i]
     j = np.repeat(np.arange(len(i)), n2)
@@ -145,14 +144,18 @@ def anchors(fp: np.ndarray, max_bits: int, home: bool
         + offsets[s2][i][j]
     ok = e1[j] + extra[k] <= max_bits
     j, k = j[ok], k[ok]
-    at.append(i[j])
-    out.append(c1[j] | (y2[i[j]] ^ errors[k]) << 23)
-    return np.concatenate(at), np.concatenate(out)
+    return i[j], c1[j] | (y2[i[j]] ^ errors[k]) << 23
 
 
 def links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """Pairs (u, v), u < v, of distinct fingerprints (column fp) that differ
     in ``max_bits`` bits at most, each once."""
+    # each fingerprint becomes some sixty rows: deal them out first
+    n = distinct.count()
+    width = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = distinct.select("fp").repartition(
+        max(width, n // FINGERPRINTS_PER_TASK), "fp")
+
     def dealt(home: bool):
         def run(batches: Iterator[pa.RecordBatch]
                 ) -> Iterator[pa.RecordBatch]:
@@ -164,7 +167,7 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(anchor), pa.array(part[at])],
                         ["anchor", "u" if home else "v"])
-        return distinct.select("fp").mapInArrow(
+        return (distinct.select("fp") if home else spread).mapInArrow(
             run, f"anchor long, {'u' if home else 'v'} long")
 
     return (dealt(True).join(dealt(False), "anchor")
