@@ -85,5 +85,8 @@ def permuted(x: Column, n: Column, key: Sequence[Column], rounds: int = 16,
     return F.aggregate(steps, x.cast("long"), step)
 
 
-def column_type(df: DataFrame, name: str) -> str:
-    return df.schema[name].dataType.simpleString()
+def hash_share(h: Column, wanted: int, n: int) -> Column:
+    """Whether a row is in the sample of about ``wanted`` of ``n`` rows that
+    its hash ``h`` picks (all, if they are no more)."""
+    share = 1.0 if n <= wanted else wanted / n
+    return F.pmod(h, F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))

@@ -14,9 +14,10 @@ from __future__ import annotations
 
 import math
 import uuid
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain, count, repeat
 
 import numpy as np
 import public_tokenizers
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from trainyard.llm import attention
-from trainyard.llm.common import LOWER, written
+from trainyard.llm.common import LOWER, hash_share, written
 
 TOKENIZER = "byte_bpe_50k.json"
 HEAD = 100_000          # words whose counts are broadcast
@@ -54,20 +55,20 @@ def word_counts(texts: DataFrame) -> DataFrame:
     """(word binary, n): all words of all texts; the empty word counts the
     ends, one per text.  Each task adds up before it sends."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count: Counter[bytes] = Counter()
+        seen: Counter[bytes] = Counter()
 
         def out() -> pa.RecordBatch:
             b = pa.RecordBatch.from_arrays(
-                [pa.array(count.keys(), pa.binary()),
-                 pa.array(count.values(), pa.int64())], ["word", "n"])
-            count.clear()
+                [pa.array(seen.keys(), pa.binary()),
+                 pa.array(seen.values(), pa.int64())], ["word", "n"])
+            seen.clear()
             return b
 
         for batch in batches:
             for t in batch.column("text"):
-                count.update(words_of(t.as_py()))
-                count[END] += 1
-                if len(count) > 400_000:
+                seen.update(words_of(t.as_py()))
+                seen[END] += 1
+                if len(seen) > 400_000:
                     yield out()
         yield out()
 
@@ -79,40 +80,53 @@ def word_counts(texts: DataFrame) -> DataFrame:
 class Subwords:
     """Subword ids of words by a public tokenizer, in a bounded cache."""
 
-    def __init__(self, path: str, limit: int = 300_000):
+    def __init__(self, path: str, limit: int = 500_000):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.end = self.tokenizer.get_vocab_size() - 1
         self.limit = limit
-        self.known: dict[bytes, np.ndarray] = {}
+        self._clear()
+
+    def _clear(self) -> None:
+        self.known: dict[bytes, int] = {}
+        self.flat = np.zeros(0, np.int32)   # ids of the known words
+        self.edge = np.zeros(1, np.int64)
 
     def of(self, words: list[bytes]) -> attention.Words:
         """``words``: distinct; the empty word is the end token."""
         if len(self.known) > self.limit:
-            self.known.clear()
-        known = self.known
-        miss = [w for w in words if w not in known]
-        encode = self.tokenizer.encode_batch_fast
-        for i in range(0, len(miss), 20_000):
-            part = miss[i:i + 20_000]
-            for w, e in zip(part, encode(
-                    [" " + w.decode() for w in part],
-                    add_special_tokens=False)):
-                known[w] = np.array(e.ids if w else [self.end], np.int32)
-        ids = [known[w] for w in words]
-        edge = np.concatenate(([0], np.cumsum([len(x) for x in ids])))
-        return attention.Words(np.concatenate(ids), edge)
+            self._clear()
+        at = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64,
+                         len(words))
+        miss = np.flatnonzero(at < 0)
+        if len(miss):
+            new = [words[i] for i in miss.tolist()]
+            ids: list[list[int]] = []
+            for i in range(0, len(new), 20_000):
+                ids += [e.ids for e in self.tokenizer.encode_batch_fast(
+                    [" " + w.decode() for w in new[i:i + 20_000]],
+                    add_special_tokens=False)]
+            ids = [x if w else [self.end] for w, x in zip(new, ids)]
+            first = len(self.edge) - 1
+            at[miss] = np.arange(first, first + len(new))
+            self.known.update(zip(new, range(first, first + len(new))))
+            ends = np.cumsum([len(x) for x in ids]) + len(self.flat)
+            self.edge = np.concatenate([self.edge, ends])
+            self.flat = np.concatenate([self.flat, np.fromiter(
+                chain.from_iterable(ids), np.int32,
+                int(ends[-1]) - len(self.flat))])
+        return attention.Words(self.flat, self.edge).take(at)
 
 
 def numbered(texts: list[list[bytes]]
              ) -> tuple[list[np.ndarray], list[bytes]]:
     """Texts as numbers of their distinct words, number 0 the end token."""
-    number = {END: 0}
+    number: defaultdict[bytes, int] = defaultdict(count(1).__next__, {END: 0})
     out = []
     for w in texts:
-        x = [number.setdefault(t, len(number)) for t in w]
-        x.append(0)
-        out.append(np.array(x, np.int32))
+        x = np.zeros(len(w) + 1, np.int32)
+        x[:-1] = np.fromiter(map(number.__getitem__, w), np.int32, len(w))
+        out.append(x)
     return out, list(number)
 
 
@@ -136,14 +150,17 @@ def subwords(path: str) -> Subwords:
     return _SUBWORDS[path]
 
 
-def fit(train: DataFrame, tokenizer: str, texts: int = SAMPLE_TEXTS,
-        chars: int = SAMPLE_CHARS, epochs: int = EPOCHS) -> attention.Model:
-    """Network weights from the first ``texts`` training texts, in the order
-    of a hash, among those of at most ``chars`` characters."""
-    rows = (train.select(F.col("text").cast("string"), "doc_id")
+def fit(train: DataFrame, n_train: int, tokenizer: str,
+        texts: int = SAMPLE_TEXTS, chars: int = SAMPLE_CHARS,
+        epochs: int = EPOCHS) -> attention.Model:
+    """Network weights from about ``texts`` of the ``n_train`` training texts,
+    those of at most ``chars`` characters whose hash is in the share's range."""
+    h = F.xxhash64("doc_id", "text")
+    rows = (train.select("doc_id", F.col("text").cast("string"))
             .where(F.char_length(F.coalesce("text", F.lit(""))) <= chars)
-            .orderBy(F.xxhash64("doc_id", "text"), "doc_id").limit(texts)
-            .collect())
+            .where(hash_share(h, texts, n_train))
+            .select(h.alias("h"), "text").limit(2 * texts + 100).collect())
+    rows.sort(key=lambda r: (r.h, r.text or ""))
     t, words = numbered([words_of(r.text) for r in rows])
     sub = Subwords(tokenizer)
     return attention.train(t, sub.of(words), 0, sub.end + 1, epochs)
@@ -178,27 +195,44 @@ def _score(parts: list[tuple], scorer: Scorer, first: int) -> pa.RecordBatch:
     t, words = numbered(texts)
     tilt = scorer.model.tilt(t, subwords(scorer.tokenizer).of(words), 0) \
         / math.log(10)
-    known = scorer.head.get
-    value = np.array([known(w, math.nan) for w in words])
+    value = np.fromiter(map(scorer.head.get, words, repeat(math.nan)),
+                        float, len(words))
     rare = np.isnan(value)
     value[rare] = 0.0
-    base, frequent, tail = [], [], []
-    for x in t:
-        base.append(float(value[x].sum()))
-        at = x[rare[x]]
-        frequent.append(len(x) - len(at))
-        w, n = np.unique(at, return_counts=True)
-        tail.append([{"word": words[a], "n": b}
-                     for a, b in zip(w.tolist(), n.tolist())])
+    size = np.array([len(x) for x in t], np.int64)
+    flat, owner = np.concatenate(t), np.repeat(np.arange(len(t)), size)
+    seldom = rare[flat]
+    # rare words of each text, each once with its number
+    pair, n = np.unique(owner[seldom] * len(words) + flat[seldom],
+                        return_counts=True)
+    edge = np.searchsorted(pair // len(words), np.arange(len(t) + 1))
+    tail = pa.StructArray.from_arrays(
+        [pa.array(words, pa.binary()).take(pa.array(pair % len(words))),
+         pa.array(n.astype(np.int64))], ["word", "n"])
     return pa.RecordBatch.from_arrays(
         [pa.array(np.arange(first, first + len(t))), pa.concat_arrays(ids),
-         pa.array([len(x) for x in t], pa.int64()),
-         pa.array(frequent, pa.int64()), pa.array(base), pa.array(tilt),
-         pa.array(tail, pa.list_(pa.struct([("word", pa.binary()),
-                                            ("n", pa.int64())])))],
+         pa.array(size),
+         pa.array(size - np.bincount(owner[seldom], minlength=len(t))),
+         pa.array(np.bincount(owner, value[flat], len(t))), pa.array(tilt),
+         pa.ListArray.from_arrays(pa.array(edge, pa.int32()), tail)],
         ["row", "doc_id", "n_tokens", "n_head", "base", "tilt", "tail"])
 
 
+def frequent(counts: DataFrame, limit: int) -> DataFrame:
+    """The most frequent words, ``limit`` at most: all whose count is above a
+    bound taken from a histogram of counts, so that nothing is sorted and no
+    more than ``limit`` rows ever leave."""
+    level = F.floor(F.log2("n") * 16).cast("int")
+    bars = counts.groupBy(level.alias("l")).count().collect()  # < 1024 rows
+    least, total = None, 0
+    for r in sorted(bars, key=lambda r: -r["l"]):
+        total += r["count"]
+        if total > limit:
+            break
+        least = r["l"]
+    return counts.where(F.lit(False) if least is None else level >= least)
+
+
 def score_texts(docs: DataFrame, tokenizer: str | None = None,
                 head: int = HEAD) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, held_out, n_tokens,
@@ -217,11 +251,11 @@ def score_texts(docs: DataFrame, tokenizer: str | None = None,
     n_train, distinct = counts.agg(F.sum("n"), F.count("*")).first()
     n_train = n_train or 0
     log_all = math.log10(n_train + SMOOTH * (distinct + 1))
-    model = fit(train, tokenizer)
+    n_texts = counts.where(F.length("word") == 0).agg(F.sum("n")).first()[0]
+    model = fit(train, n_texts or 0, tokenizer)
     model.share = part_shares(counts, model, tokenizer)
-    top = counts.orderBy(F.desc("n"), "word").limit(head)
     most = {bytes(r.word): math.log10(r.n + SMOOTH) - log_all
-            for r in top.toLocalIterator()}
+            for r in frequent(counts, head).collect()}
     sent = spark.sparkContext.broadcast(
         Scorer(uuid.uuid4().hex, model, most, tokenizer))
 
