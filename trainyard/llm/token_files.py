@@ -14,7 +14,9 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import public_tokenizers
@@ -37,49 +39,130 @@ SLICE = 1_000_000       # characters encoded at once
 # characters that are no white space.  The tokenizer never joins ids across
 # such a place, so the pieces can be encoded apart; texts with other white
 # space are encoded whole.
-_PLAIN = re.compile(r"\s\s|[^\S \n]|^\s|\s\Z")
+_OTHER_SPACE = re.compile(
+    "[\t\x0b\x0c\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f"
+    "\u205f\u3000]")
+
+
+def _single_spaced(t: str) -> bool:
+    return not (t[0] in " \n" or t[-1] in " \n" or "  " in t or " \n" in t
+                or "\n " in t or "\n\n" in t or _OTHER_SPACE.search(t))
+
+
+# Nor does it join a line end, letters and marks (no apostrophes): a piece
+# made of them is the ids of its parts.  Latin letters are enough here.
+_PARTS = re.compile("(\n?)( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)"
+                    "([!\"#$%&()*+,./:;<=>?@|~-]*)")
+
+
+# Byte-level vocabularies write each byte as a character: printable ones of
+# Latin-1 as they are, the others, in order, as the characters from 256 on.
+_PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTE_CHARS = {b: 256 + i for i, b in enumerate(
+    b for b in range(256) if b not in _PRINTED)}
 
 
 class Encoder:
-    """Ids of whole texts, pieces kept in a bounded cache."""
+    """Ids of whole texts; those of pieces are kept in a bounded cache."""
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 1_200_000):
         self.tokenizer = Tokenizer.from_file(path)
         # names of special tokens in a text are text
         self.tokenizer.encode_special_tokens = True
         self.limit = limit
-        self.known: dict[str, np.ndarray] = {}
+        self._clear()
+
+    def _clear(self) -> None:
+        self.known: dict[str, int] = {}
+        self.flat, self.edge = array("i"), array("q", [0])
+        self._add([END])  # entry 0
+
+    def _add(self, ids) -> int:
+        self.flat.extend(ids)
+        self.edge.append(len(self.flat))
+        return len(self.edge) - 2
 
-    def _ids(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, np.int32) for e in
-                self.tokenizer.encode_batch_fast(texts,
-                                                 add_special_tokens=False)]
+    def _learn_parts(self, parts: list[str]) -> None:
+        """Parts that the tokenizer's own splitting leaves whole go to its
+        merges directly."""
+        tokenize = self.tokenizer.model.tokenize
+        for t in parts:
+            self.known[t] = self._add([x.id for x in tokenize(
+                t.encode().decode("latin-1").translate(_BYTE_CHARS))])
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text, with the end id behind."""
+    def _learn(self, texts: list[str]) -> None:
+        for i in range(0, len(texts), 20_000):
+            part = texts[i:i + 20_000]
+            for t, e in zip(part, self.tokenizer.encode_batch_fast(
+                    part, add_special_tokens=False)):
+                self.known[t] = self._add(e.ids)
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after the other with the end id behind each,
+        and the places where texts begin and end."""
         if len(self.known) > self.limit:
-            self.known.clear()
-        known, end = self.known, np.array([END], np.int32)
-        pieces: list[list[str] | None] = []
-        miss: dict[str, None] = {}
+            self._clear()
+        known = self.known
+        pieces: list[str] = []
+        count, whole = [], []
         for t in texts:
-            if not t or _PLAIN.search(t):
-                pieces.append(None)
-                continue
-            p = t.replace("\n", " \n").split(" ")
-            # a piece after a blank has the blank in front again
-            p = p[:1] + [x if x[0] == "\n" else " " + x for x in p[1:]]
-            pieces.append(p)
-            miss.update(dict.fromkeys(x for x in p if x not in known))
-        new = list(miss)
-        for i in range(0, len(new), 20_000):
-            known.update(zip(new[i:i + 20_000],
-                             self._ids(new[i:i + 20_000])))
-        whole = iter(self._ids([t for t, p in zip(texts, pieces)
-                                if p is None]))
-        return [np.concatenate([next(whole), end]) if p is None else
-                np.concatenate([*map(known.__getitem__, p), end])
-                for p in pieces]
+            if t and _single_spaced(t):
+                p = t.replace("\n", " \n").split(" ")
+                # a piece behind a blank has the blank in front again
+                pieces.append(p[0])
+                pieces += [x if x[0] == "\n" else " " + x for x in p[1:]]
+                count.append(len(p))
+            else:
+                count.append(0)
+                if t:
+                    whole.append(len(count) - 1)
+        at = np.fromiter(map(known.get, pieces, repeat(-1)), np.int64,
+                         len(pieces))
+        miss = np.flatnonzero(at < 0).tolist()
+        if miss:
+            split, new, single = {}, {}, {}
+            for i in miss:
+                x = pieces[i]
+                m = _PARTS.fullmatch(x)
+                if not m:
+                    new[x] = 0
+                    continue
+                parts = [g for g in m.groups() if g]
+                for g in parts:
+                    if g not in known:
+                        single[g] = 0
+                if len(parts) > 1:
+                    split[x] = parts
+            self._learn_parts(list(single))
+            self._learn(list(new))
+            flat, edge = self.flat, self.edge
+            for x, parts in split.items():
+                ids = array("i")
+                for g in parts:
+                    k = known[g]
+                    ids += flat[edge[k]:edge[k + 1]]
+                known[x] = self._add(ids)
+            at[miss] = [known[pieces[i]] for i in miss]
+        # the texts' own entries: pieces, then the end
+        number = np.array(count, np.int64)
+        extra = {}
+        for i, e in zip(whole, self.tokenizer.encode_batch_fast(
+                [texts[i] for i in whole], add_special_tokens=False)):
+            extra[i] = e.ids
+        flat, edge = np.array(self.flat, np.int32), np.array(self.edge)
+        entry = np.insert(at, np.cumsum(number), 0)  # entry 0 ends a text
+        n = np.diff(edge)[entry]
+        ends = np.cumsum(n)
+        ids = flat[np.arange(int(n.sum())) + np.repeat(edge[entry] - ends + n,
+                                                       n)]
+        bounds = np.concatenate(([0], ends[np.cumsum(number + 1) - 1]))
+        if extra:
+            rows = [np.concatenate([np.array(extra[i], np.int32), x])
+                    if i in extra else x
+                    for i, x in enumerate(np.split(ids, bounds[1:-1]))]
+            ids = np.concatenate(rows)
+            bounds = np.concatenate(([0], np.cumsum([len(x) for x in rows])))
+        return ids, bounds
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -109,17 +192,15 @@ def tokens(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
                     continue
                 part = batch.slice(at, i + 1 - at)
                 at, size = i + 1, 0
-                ids = encoder(path).encode(
+                ids, edge = encoder(path).encode(
                     [t or "" for t in part.column("text").to_pylist()])
-                edge = np.concatenate(
-                    ([0], np.cumsum([len(x) for x in ids])))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"),
-                     pa.array(np.full(len(ids), file, np.int32)),
+                     pa.array(np.full(len(part), file, np.int32)),
                      pa.array(before + edge[:-1]),
                      pa.ListArray.from_arrays(
                          pa.array(edge, pa.int32()),
-                         pa.array(np.concatenate(ids)))],
+                         pa.array(ids))],
                     ["doc_id", "file", "before", "ids"])
                 before += int(edge[-1])
 
