@@ -105,7 +105,7 @@ def _golay(extra: int):
                     1 << a | 1 << b | 1 << c
     offsets, errors, far = [0], [], []
     for e in leader:
-        d = np.bitwise_count(code ^ e)
+        d = np.bitwise_count(code ^ e).astype(np.int64)
         near = np.flatnonzero(d <= RADIUS + extra)
         near = near[np.argsort(d[near], kind="stable")]
         errors.append(code[near] ^ e)
