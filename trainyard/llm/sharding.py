@@ -41,32 +41,38 @@ def propagate(labels: DataFrame, n_rows: int, n_shards: int = 8,
     round every (g, s) proposes to join the shard in which most of g is (ties:
     a hash of g and shard); a shard accepts as large a share of the proposals
     as it has room for, and of a proposal of n documents that share moves
-    (rounded by a hash).  Ends when nobody wants to move or no shard has
+    (rounded by a hash).  A group larger than a shard gathers whole: what is
+    above the quota leaves again, together, when places are dealt.  Ends when nobody wants to move or no shard has
     room, after ``rounds`` rounds at the latest; what is then still apart
     stays so."""
     quota = n_rows / n_shards
     for k in range(rounds):
         rank = F.struct("n", F.xxhash64("g", "s", F.lit(seed)), "s")
-        best = labels.groupBy("g").agg(F.max(rank).alias("b")).select(
-            "g", F.col("b.s").alias("t"))
+        best = labels.groupBy("g").agg(
+            F.max(rank).alias("b"), F.sum("n").alias("n_g")).select(
+            "g", F.col("b.s").alias("t"), (F.col("n_g") > quota).alias("big"))
         wish = labels.join(best, "g")
-        stats = (wish.groupBy("s", "t").agg(F.sum("n").alias("n"))
-                 .collect())  # n_shards squared rows at most
-        load, demand = [0] * n_shards, [0] * n_shards
+        stats = (wish.groupBy("s", "t", "big").agg(F.sum("n").alias("n"))
+                 .collect())  # twice n_shards squared rows at most
+        load, demand, big = [0] * n_shards, [0] * n_shards, 0
         for r in stats:
             load[r.s] += r.n
-            demand[r.t] += r.n * (r.s != r.t)
+            if r.big:
+                big += r.n * (r.s != r.t)
+            else:
+                demand[r.t] += r.n * (r.s != r.t)
         share = [min(1.0, max(0.0, quota - load[t]) / demand[t])
                  if demand[t] else 0.0 for t in range(n_shards)]
-        if not any(share):
+        if not any(share) and not big:
             break
         accepted = F.element_at(F.array(*map(F.lit, share)), F.col("t") + 1)
         dice = F.pmod(F.xxhash64("g", "s", F.lit(seed + 1 + k)),
                       F.lit(1 << 20)) / F.lit(float(1 << 20))
         moved = F.when(F.col("s") == F.col("t"), F.lit(0)).otherwise(
             F.floor(F.col("n") * accepted + dice)).cast("long")
-        moved = F.least(F.when(accepted == 0, F.lit(0)).otherwise(moved),
-                        F.col("n"))
+        moved = F.when(F.col("big") & (F.col("s") != F.col("t")), F.col("n")) \
+            .when(accepted == 0, F.lit(0)).otherwise(
+            F.least(moved, F.col("n"))).cast("long")
         pairs = F.array(F.struct("s", (F.col("n") - moved).alias("n")),
                         F.struct(F.col("t").alias("s"), moved.alias("n")))
         labels = written(
