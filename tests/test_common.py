@@ -1,35 +1,14 @@
-"""Helpers: size-checked broadcast, counted lineage cut, overwrite mode."""
+"""Helpers: counted lineage cut, overwrite mode, order keys, exact ratios."""
 
-import contextlib
-import io
+from pyspark.sql import functions as F
 
-from trainyard.operators.common import (broadcast_if_bounded, cut_and_count,
-                                        cut_lineage)
+from trainyard.operators.analysis import round_ratio
+from trainyard.operators.common import cut_and_count, cut_lineage
+from trainyard.operators.textmatch import request_lengths
+from trainyard.plans.proxies import change_rows
 from trainyard.sources.tables import overwrite_mode
 
 
-def plan_text(df):
-    buf = io.StringIO()
-    with contextlib.redirect_stdout(buf):
-        df.explain()
-    return buf.getvalue()
-
-
-def test_broadcast_only_when_bounded(spark):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        j1 = spark.range(100).join(
-            broadcast_if_bounded(spark.range(10), 100), "id")
-        j2 = spark.range(100).join(
-            broadcast_if_bounded(spark.range(1000), 100), "id")
-        assert "BroadcastHashJoin" in plan_text(j1)
-        assert "BroadcastHashJoin" not in plan_text(j2)
-        assert j1.count() == 10 and j2.count() == 100
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold",
-                       str(32 * 1024 * 1024))
-
-
 def test_cut_and_count(spark):
     df = spark.range(20).selectExpr("id", "id % 3 = 0 AS hit")
     out, n = cut_and_count(df, "t", "hit")
@@ -44,3 +23,35 @@ def test_overwrite_mode_restores(spark):
         assert spark.conf.get(key) == "dynamic"
     assert spark.conf.get(key) == "static"
     spark.conf.set(key, "dynamic")
+
+
+def test_order_keys_of_large_tables(spark, tmp_path):
+    """Order keys neither overflow nor meet where a packed number would."""
+    li = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").limit(1)
+    rows = [(2 ** 34, 1, 1), (7, 1, 2 ** 25 + 1), (7, 2, 1)]
+    big = None
+    for o, n, p in rows:
+        r = li.withColumn("l_orderkey", F.lit(o).cast("long")) \
+            .withColumn("l_linenumber", F.lit(n)) \
+            .withColumn("l_partkey", F.lit(p).cast("long"))
+        big = r if big is None else big.unionByName(r)
+    big.write.parquet(str(tmp_path / "lineitem.parquet"))
+    got = [r.seq for r in change_rows(spark, str(tmp_path))
+           .orderBy("seq").select("seq").collect()]
+    assert [tuple(s)[1:] for s in got] == sorted(rows)
+    assert all(s.phase == 1 for s in got)
+
+
+def test_round_ratio_beyond_double_precision(spark):
+    big = 2 ** 56 + 1
+    row = spark.range(1).select(
+        round_ratio(F.lit(big), F.lit(1).cast("long"), 0).alias("a"),
+        round_ratio(F.lit(-7), F.lit(2).cast("long"), 0).alias("b")).first()
+    assert row.a == float(big) and row.b == -4.0
+
+
+def test_request_lengths_of_lower_case(spark):
+    """The lower case of U+0130 is two characters."""
+    names = spark.createDataFrame([("x",)], "name string")
+    req = spark.createDataFrame([("\u0130s",), (None,)], "q string")
+    assert request_lengths(req, "q", names, "name") == [3]

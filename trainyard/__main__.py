@@ -19,8 +19,11 @@ def _session(args):
     return get_session(args.master, app=f"trainyard-{args.cmd}")
 
 
-def _show(df, n=200):
-    df.show(n, truncate=False)
+def _show(df):
+    """Print the whole result, one partition at a time."""
+    print("\t".join(df.columns))
+    for row in df.toLocalIterator():
+        print("\t".join("" if v is None else str(v) for v in row))
 
 
 def cmd_star_load(args):
@@ -48,7 +51,7 @@ def cmd_analyze(args):
     from trainyard.sources.tables import read_movements
     spark = _session(args)
     mv = read_movements(spark, args.movements)
-    _show(daily_delay_table(mv, args.station, 50), 50)
+    _show(daily_delay_table(mv, args.station, top=50))
     _show(daily_mean_delay(mv, args.station))
     _show(peak_hour_departures(mv, args.hours, top=200))
 

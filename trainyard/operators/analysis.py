@@ -26,7 +26,7 @@ def round_ratio(num, den, scale: int = 2) -> F.Column:
     f = 10 ** scale
     a = F.abs(num).cast("long") * (2 * f) + den.cast("long")
     b = den.cast("long") * 2
-    q = ((a - a % b) / b).cast("long")          # exact integer division
+    q = F.call_function("div", a, b)            # exact integer division
     return (F.signum(num) * q).cast("double") / F.lit(float(f))
 
 
@@ -117,9 +117,9 @@ def daily_mean_delay(movements: DataFrame,
 
 
 def daily_delay_table(movements: DataFrame, station: str,
-                      top: int | None = 50) -> DataFrame:
-    """Per-day means of one station, by date, first ``top`` days (the
-    intermediate report)."""
+                      top: int | None = None) -> DataFrame:
+    """Per-day means of one station, by date, optionally only the first
+    ``top`` days (the report shows 50)."""
     m = movements.filter((F.col("station_name") == station) &
                          ~F.col("is_cancelled"))
     out = m.groupBy("date").agg(

@@ -6,14 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only when it provably has at most ``max_rows`` rows
-    (checked with a bounded count); otherwise leave the join strategy to the
-    planner (sort-merge, or an AQE broadcast after measuring)."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def last_non_null(value, order, cond=None):
     """Value at the greatest ``order`` among rows where ``value`` is not
     NULL (and ``cond`` holds).  Rows with a NULL ordering are skipped by

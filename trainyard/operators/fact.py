@@ -28,8 +28,7 @@ from trainyard.functions.delay import cancelled_event, signed_delay
 from trainyard.functions.text import norm_name, station_from_file
 from trainyard.functions.times import (parse_stamp, parse_stamp_strict,
                                        stamp_key, time_key)
-from trainyard.operators.common import (broadcast_if_bounded,
-                                        first_non_null, last_non_null)
+from trainyard.operators.common import first_non_null, last_non_null
 from trainyard.operators.dims import train_key, train_parts, unknown_train
 from trainyard.schemas import DIM_TRAIN_PARTS
 
@@ -40,9 +39,8 @@ EVENT_ROW_COLUMNS = [
     "changed_platform", "line", "planned_path", "delay_minutes",
     "is_cancelled",
 ]
-# Station master data is small (one row per station); this bounds what may
-# be broadcast to the document-level resolution joins.
-MAX_BROADCAST_STATIONS = 2_000_000
+# Type of the order key ``seq`` of event rows.
+ORDER_T = "struct<phase:int,first:bigint,second:bigint,third:bigint>"
 
 
 # ---------------------------------------------------------------- resolution
@@ -54,10 +52,8 @@ def resolve_plan_docs(docs: DataFrame, aliases: DataFrame,
     named = docs.withColumn(
         "alias", norm_name(station_from_file(F.col("_station"),
                                              F.col("file_name"))))
-    amap = broadcast_if_bounded(aliases, 3 * MAX_BROADCAST_STATIONS)
-    dim = broadcast_if_bounded(dim_station.select("eva", "station_key"),
-                               MAX_BROADCAST_STATIONS)
-    j = named.join(amap, "alias", "left").join(dim, "eva", "left")
+    dim = dim_station.select("eva", "station_key")
+    j = named.join(aliases, "alias", "left").join(dim, "eva", "left")
     ok = j.filter(F.col("station_key").isNotNull()).drop("alias", "eva")
     skipped = j.filter(F.col("station_key").isNull()).select(
         "file_path", "snapshot", F.lit("unknown station").alias("reason"))
@@ -69,8 +65,7 @@ def resolve_change_docs(docs: DataFrame, dim_station: DataFrame
     """Change documents -> station via the root ``eva`` attribute."""
     eva = F.when(F.col("_eva").rlike(r"^[0-9]+$"),
                  F.col("_eva").try_cast("long"))
-    dim = broadcast_if_bounded(dim_station.select("eva", "station_key"),
-                               MAX_BROADCAST_STATIONS)
+    dim = dim_station.select("eva", "station_key")
     j = docs.withColumn("eva", eva).join(dim, "eva", "left")
     ok = j.filter(F.col("station_key").isNotNull()).drop("eva")
     skipped = j.filter(F.col("station_key").isNull()).select(
@@ -101,22 +96,17 @@ def unpivot_events(stops: DataFrame, stop_col: str = "stop") -> DataFrame:
         F.col("e.ev_idx"), F.col("e.ev"))
 
 
-PHASE_BIT = 1 << 62
-
-
-def pack_order(phase: int, file_rank, stop_pos, ev_idx) -> F.Column:
-    """Upsert order key as one ``long``: phase (plans before changes), the
-    file's visiting order within its snapshot, the stop's position in the
-    document, A before D.  Bounds: file_rank < 2**30, stop_pos < 2**31.
-    One number keeps the order comparisons of the aggregation cheap."""
-    return (F.lit(phase * PHASE_BIT) +
-            file_rank.cast("long") * F.lit(1 << 32) +
-            stop_pos.cast("long") * F.lit(2) + ev_idx.cast("long"))
+def order_key(phase: int, first, second, third) -> F.Column:
+    """Upsert order key: phase (plans before changes), then three numbers
+    compared one by one, each with the whole range of a ``long``."""
+    return F.struct(F.lit(phase), first, second, third).cast(ORDER_T)
 
 
 def _doc_order(phase: int):
-    return pack_order(phase, F.col("file_rank"), F.col("stop_pos"),
-                      F.col("ev_idx"))
+    # the file's visiting order within its snapshot, the stop's position in
+    # the document, A before D
+    return order_key(phase, F.col("file_rank"), F.col("stop_pos"),
+                     F.col("ev_idx"))
 
 
 def with_file_rank(docs: DataFrame) -> DataFrame:
@@ -197,7 +187,8 @@ def fact_as_rows(fact: DataFrame, dim_train: DataFrame) -> DataFrame:
     """Existing fact rows as the earliest plan-phase rows of an upsert, so a
     new batch folds onto the stored state (incremental load)."""
     t = fact.join(dim_train, "train_key", "left")
-    seq = F.lit(-1).cast("long")           # before every batch row
+    zero = F.lit(0)
+    seq = order_key(-1, zero, zero, zero)  # before every batch row
     return t.select(
         F.lit(0).alias("phase"), seq.alias("seq"), *NATURAL_KEY,
         F.struct(*[F.col(p) for p in DIM_TRAIN_PARTS]).alias("train"),
@@ -208,7 +199,7 @@ def fact_as_rows(fact: DataFrame, dim_train: DataFrame) -> DataFrame:
 def upsert_fact(rows: DataFrame) -> DataFrame:
     """Fold event rows into one fact row per natural key (see module doc).
     ``seq`` orders the rows (any orderable type whose leading part is the
-    phase; the readers produce a packed ``long``)."""
+    phase; the readers produce :func:`order_key`)."""
     order = F.col("seq")                   # phase is its leading part
     is_plan = F.col("phase") == 0
     is_change = F.col("phase") == 1

@@ -17,10 +17,10 @@ from pyspark.sql import functions as F
 
 def request_lengths(requests: DataFrame, text_col: str, names: DataFrame,
                     name_col: str) -> list[int]:
-    """Distinct text lengths of the requests.  The set is bounded by the
+    """Distinct lengths of the lower-cased request texts.  The set is bounded by the
     longest request text (a few hundred values at most), so collecting it
     is safe; lengths longer than a name are skipped per name later."""
-    rows = requests.select(F.char_length(text_col).alias("n")) \
+    rows = requests.select(F.char_length(F.lower(text_col)).alias("n")) \
         .filter(F.col("n").isNotNull()).distinct().collect()
     return sorted(r["n"] for r in rows)
 

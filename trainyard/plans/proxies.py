@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from trainyard.functions.delay import signed_delay
 from trainyard.functions.times import time_key
+from trainyard.operators.fact import order_key
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -101,14 +102,9 @@ def _unk():
 
 
 def _li_seq(phase: int):
-    """Order key (phase, orderkey, linenumber, partkey) packed into one
-    long; valid while orderkey < 2**34 and partkey < 2**25 (the driver's
-    scale factors).  Within one natural key these never tie in the test
-    data (checked at sf0.001-0.1)."""
-    return (F.lit(phase * (1 << 62)) +
-            F.col("l_orderkey").cast("long") * F.lit(1 << 28) +
-            F.col("l_linenumber").cast("long") * F.lit(1 << 25) +
-            F.col("l_partkey").cast("long"))
+    """Order key (phase, orderkey, linenumber, partkey)."""
+    return order_key(phase, F.col("l_orderkey"), F.col("l_linenumber"),
+                     F.col("l_partkey"))
 
 
 def _li_key():
