@@ -215,23 +215,23 @@ def components(edges: DataFrame) -> DataFrame:
                                               F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select(
             F.col("u"), F.least("u", "m").alias("m"))
-        large = (both.join(low, "u").where("v > u and v <> m")
-                 .select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .distinct())
-        large = written(large, "star-edges")
+        # no more rows than edges, so equal ones can wait for the end
+        large = both.join(low, "u").where("v > u").select(
+            F.col("v").alias("u"), F.col("m").alias("v"))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(
-            F.explode(F.array(F.struct("u", F.col("m").alias("v")),
-                              F.struct(F.col("v").alias("u"),
-                                       F.col("m").alias("v")))).alias("e")
-        ).select("e.u", "e.v").where("u <> v").distinct()
-        small = written(small, "star-edges")
+        small = large.join(least, "u").select("m", F.explode(
+            F.array("u", "v")).alias("u")).where("u <> m").select(
+            "u", F.col("m").alias("v")).distinct()
+        edges = written(small, "star-edges")
         # only stars are left when no centre is a leaf and a leaf has one centre
-        open_ = small.join(small.select(F.col("u").alias("v")), "v",
-                           "left_semi").select("u").unionByName(
-            small.groupBy("u").count().where("count > 1").select("u"))
-        edges = small
-        if open_.isEmpty():
+        ends = edges.select(F.inline(F.array(
+            F.struct(F.col("u").alias("node"), F.lit(1).alias("leaf")),
+            F.struct(F.col("v").alias("node"), F.lit(0).alias("leaf")))))
+        still_open = ends.groupBy("node").agg(
+            F.sum("leaf").alias("centres"),
+            F.min("leaf").alias("least")).where(
+            "centres > 1 or centres = 1 and least = 0").agg(F.count("*"))
+        if still_open.first()[0] == 0:
             break
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")) \
         .unionByName(edges.select(F.col("v").alias("node"),
