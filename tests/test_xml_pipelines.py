@@ -116,6 +116,40 @@ def test_star_load(spark, inputs, tmp):
     assert tm[202509021200].dow == 2
 
 
+def test_star_keeps_every_train_and_snapshot(spark, inputs, tmp):
+    p, c, sj = inputs
+    write(p, "2509021230/nowhere.xml", "<timetable station='Nowhere'/>")
+    write(p, "2509021245/Berlin_Hbf_timetable.xml", """<timetable>
+     <s id="20"><tl c="S" n="1"/><dp pt="2509021250"/></s>
+     <s id="20"><tl c="S" n="2"/><dp pt="2509021250"/></s></timetable>""")
+    write(c, "2509021245/a.xml", """<timetable eva="8011160">
+     <s id="21"><tl c="ICE" n="77"/></s>
+     <s id="20"><tl c="RE" n="9"/><dp cp="3"/></s></timetable>""")
+    out = os.path.join(tmp, "star")
+    t = build_star(spark, p, c, sj)
+    write_star(t, out)
+    for dim in (t.dim_train, read_star(spark, out)["dim_train"]):
+        got = {(r.category, r.train_number) for r in dim.collect()}
+        # replaced in the fold, and a stop without any event
+        assert {("S", "1"), ("S", "2"), ("RE", "9"), ("ICE", "77"),
+                ("UNK", "UNK")} <= got
+        assert dim.count() == dim.select("train_key").distinct().count()
+    for dim in (t.dim_time, read_star(spark, out)["dim_time"]):
+        # its only file was skipped
+        assert dim.where("time_key = 202509021230").count() == 1
+
+
+def test_train_with_a_taken_key_is_kept(spark):
+    from trainyard.operators.dims import merge_dim_train
+    cols = "train_key long, category string, train_number string, " \
+        "owner string, trip_type string, filter_flags string"
+    old = spark.createDataFrame([(1, "S", "1", "", "", "")], cols)
+    new = spark.createDataFrame([(1, "S", "2", "", "", ""),
+                                 (1, "S", "1", "", "", "")], cols)
+    assert sorted(r.train_number for r in
+                  merge_dim_train(old, new).collect()) == ["1", "2"]
+
+
 def test_star_write_incremental_idempotent(spark, inputs, tmp):
     p, c, sj = inputs
     out = os.path.join(tmp, "star")

@@ -132,5 +132,8 @@ def build_dim_train(trains: DataFrame, parts_col: str = "train") -> DataFrame:
 
 
 def merge_dim_train(old: DataFrame, new: DataFrame) -> DataFrame:
-    return old.unionByName(new.join(old.select("train_key"), "train_key",
-                                    "left_anti"))
+    """Insert-if-absent on the five parts, so that a train whose key meets
+    another train's is not lost but shows up in the key check."""
+    return old.unionByName(new.join(old.select(*DIM_TRAIN_PARTS),
+                                    DIM_TRAIN_PARTS, "left_anti")
+                           .select(*old.columns))

@@ -183,6 +183,14 @@ def change_event_rows(stops: DataFrame) -> DataFrame:
     )
 
 
+def stop_trains(stops: DataFrame) -> DataFrame:
+    """Distinct trains (``train``) of resolved plan or change stops, also of
+    stops without any event; a stop without ``tl`` has the unknown train."""
+    train = F.when(F.col("stop.tl").isNull(), unknown_train()) \
+        .otherwise(train_parts(F.col("stop.tl")))
+    return stops.select(train.alias("train")).distinct()
+
+
 def fact_as_rows(fact: DataFrame, dim_train: DataFrame) -> DataFrame:
     """Existing fact rows as the earliest plan-phase rows of an upsert, so a
     new batch folds onto the stored state (incremental load)."""
@@ -233,12 +241,18 @@ def upsert_fact(rows: DataFrame) -> DataFrame:
         "is_cancelled", "train")
 
 
-def observed_times(rows: DataFrame) -> DataFrame:
+def observed_times(rows: DataFrame, docs: DataFrame | None = None
+                   ) -> DataFrame:
     """Every snapshot, planned and changed minute seen in the rows (one
-    pass: the three keys are unpivoted, then de-duplicated)."""
+    pass: the three keys are unpivoted, then de-duplicated), and the
+    snapshot stamps of ``docs``, also where no row of them was accepted."""
     keys = F.array("snapshot_time_key", "planned_time_key",
                    "changed_time_key")
-    k = rows.select(F.explode(keys).alias("k")).filter(F.col("k").isNotNull())
+    k = rows.select(F.explode(keys).alias("k"))
+    if docs is not None:
+        k = k.unionByName(docs.select(stamp_key(F.col("snapshot"))
+                                      .alias("k")).distinct())
+    k = k.filter(F.col("k").isNotNull())
     return k.distinct().select(
         F.to_timestamp_ntz(F.col("k").cast("string"),
                            F.lit("yyyyMMddHHmm")).alias("ts"))
