@@ -3,9 +3,9 @@
 New XML files under a week folder arrive as a Structured Streaming file
 source; every micro-batch goes through the same code as the batch load and
 is folded into the stored tables (touched snapshot partitions only).  The
-upsert is idempotent, so a micro-batch replayed after a failure leaves the
+micro-batch replayed after a failure is the latest one, which leaves the
 tables as they were; the stream's own checkpoint records which files were
-consumed.  Files of one snapshot may arrive in several batches: the stored
+consumed.  Run one stream at a time on an output folder.  Files of one snapshot may arrive in several batches: the stored
 rows of that snapshot are folded first, then the new rows.
 """
 
