@@ -401,6 +401,86 @@ def test_every_rule_is_found():
         assert [x[0] for x in licenses.licences(text)] == [name], seq
 
 
+def test_notices_of_every_licence():
+    names = {
+        "GPL-3.0-only": ["GNU General Public License, version 3", "GPLv3",
+                         "GNU GPL version 3", "GPL-3.0"],
+        "GPL-2.0-or-later": ["GNU General Public License v2 or later",
+                             "GPLv2+", "GPL, version 2 or (at your option) "
+                             "any later version"],
+        "LGPL-2.1-only": ["GNU Lesser General Public License, version 2.1",
+                          "LGPLv2.1", "GNU LGPL 2.1"],
+        "AGPL-3.0-only": ["GNU Affero General Public License v3.0", "AGPLv3"],
+        "GPL": ["GNU General Public License", "GPL"],
+        "CC-BY-4.0": ["CC BY 4.0", "CC-BY-4.0", "Creative Commons Attribution "
+                      "4.0 International License"],
+        "CC-BY-SA-3.0": ["CC BY-SA 3.0", "Creative Commons Attribution-"
+                         "ShareAlike 3.0 Unported License"],
+        "CC-BY-NC-4.0": ["CC BY-NC 4.0", "Creative Commons Attribution-"
+                         "NonCommercial 4.0 International License (CC BY-NC "
+                         "4.0)"],
+        "CC-BY-ND-4.0": ["CC BY-ND 4.0", "Creative Commons Attribution-"
+                         "NoDerivatives 4.0 International License"],
+        "CC-BY-NC-SA-4.0": ["CC BY-NC-SA 4.0"],
+        "CC-BY-NC-ND-4.0": ["CC BY-NC-ND 4.0"],
+        "CC0-1.0": ["CC0 1.0 Universal", "CC0"],
+        "MIT": ["MIT License", "MIT licence", "MIT"],
+        "ISC": ["ISC License", "ISC"],
+        "BSD-2-Clause": ["BSD 2-Clause License", "2-clause BSD license"],
+        "BSD-3-Clause": ["BSD 3-Clause License", "New BSD License"],
+        "Apache-2.0": ["Apache License, Version 2.0", "Apache 2.0",
+                       "Apache-2.0 license", "Apache License 2.0"],
+        "MPL-2.0": ["Mozilla Public License, v. 2.0", "MPL 2.0",
+                    "Mozilla Public License version 2.0"],
+        "BSL-1.0": ["Boost Software License, Version 1.0"],
+        "EPL-2.0": ["Eclipse Public License 2.0", "EPL v2.0"],
+        "Unlicense": ["Unlicense"]}
+    heads = [f"{who}{verb} under {the}" for the in ("", "the ")
+             for verb in ("licensed", "released", "distributed",
+                          "made available")
+             for who in ("", "This work is ", "This project is ",
+                         "The software is ", "Foo and its tools are ")]
+    for licence, forms in names.items():
+        for form in forms:
+            for head in heads:
+                text = f"Some words. {head[0].upper()}{head[1:]}{form}. More."
+                assert [x[0] for x in licenses.licences(text)] == [licence], \
+                    text
+            assert [x[0] for x in licenses.licences(
+                f"# Foo\n#\n# Foo is licensed\n# under the {form}\n# by me"
+            )] == [licence], form
+    for text in ("This work is not licensed under the MIT License.",
+                 "Drivers are licensed under the rules of the state.",
+                 "If it is released under the GPL, tell me.",
+                 "We talked about the MIT license and the GPL."):
+        assert licenses.licences(text) == [], text
+    assert [x[0] for x in licenses.licences(
+        "Licensed under either of Apache License, Version 2.0 or MIT license "
+        "at your option.")] == ["Apache-2.0", "MIT"]
+
+
+def test_notices_of_documents(spark):
+    texts = spark.read.parquet(
+        "/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    got = {r.doc_id: r.licences for r in licenses.op6_query(texts).collect()}
+    notices = {
+        "Licensed under the Apache License, Version 2.0.": "Apache-2.0",
+        "Released under the MIT License.": "MIT",
+        "This work is licensed under the GNU General Public License, "
+        "version 3.": "GPL-3.0-only",
+        "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0"}
+    seen = collections.Counter()
+    for r in texts.collect():
+        t = r.text or ""
+        want = sorted(k for s, k in notices.items() if s in t)
+        assert got[r.doc_id] == want, r.doc_id
+        # no notice but these
+        assert bool(re.search("licen[sc]e", t, re.I)) == bool(want)
+        seen.update(want)
+    assert seen == {"Apache-2.0": 16, "MIT": 10, "GPL-3.0-only": 9,
+                    "CC-BY-NC-4.0": 4}
+
+
 def test_license_query(docs, odd):
     got = {r.doc_id: r for r in licenses.op6_query(docs).collect()}
     for r in docs.collect():

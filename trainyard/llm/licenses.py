@@ -2,8 +2,9 @@
 
 A text is cut into sentences, each sentence is normalised (lower case, words
 and numbers only, comment marks gone) and looked up among the sentences known
-from licences, which gives its identifier.  A text is then the sequence of the
-identifiers it holds; ordered rules, the longest first, match runs of that
+from licences, which gives its identifier; a notice that names a licence ("this work is
+released under the ...") is read by a small grammar instead.  A text is then
+the sequence of the identifiers it holds; ordered rules, the longest first, match runs of that
 sequence and name the licence.  A rule may step over a few foreign sentences
 (names and years stand between licence sentences), but not over known ones.
 """
@@ -115,8 +116,12 @@ RULES = [
 ]
 BETWEEN = 2     # foreign sentences a rule may step over between its own
 
-_SENTENCE = re.compile(r"(?:[^.!?\n]|[.!?](?!\s|\Z)|\n(?![^\S\n]*\n))+")
+# "v. 2.0" ends no sentence
+_SENTENCE = re.compile(r"(?:[^.!?\n]|(?<=\W[vV])\.(?=\s[0-9])|[.!?](?!\s|\Z)"
+                       r"|\n(?![^\S\n]*\n))+")
 _WORD = re.compile(r"[0-9]+(?:\.[0-9]+)*|[^\W_0-9]+|[0-9]+")
+_SAYS = re.compile(r"(?i)licen[sc]|\bunder\b|public\s+domain")
+_PLUS = re.compile(r"(?<=[0-9])\+(?![0-9+])")
 _NUMBERING = re.compile(r"^(?:[0-9]+|[a-e]|\*|-)(?: |$)")
 _LOWER = {c: c + 32 for c in range(65, 91)}
 _NORMAL = {s: k for k, s in SENTENCES.items() if "<>" not in s}
@@ -127,12 +132,178 @@ for _k, _s in SENTENCES.items():
         _OPEN.setdefault(" ".join(_s.split()[:2]), []).append((_k, re.compile(
             "(?:[^ ]+ ){0,15}?[^ ]+".join(
                 re.escape(x) for x in _s.split("<>")) + r"\Z")))
+_NAMES = "notice: "     # before the licences that a notice names
 _FIRST = {s.split()[0] for s in SENTENCES.values()}
 _LONGEST = max(len(s.split()) for s in SENTENCES.values()) + 40
 
+# How notices name licences, on normalised words.  A version
+# may follow a name; (family, pattern), the first that matches counts.
+_LIC = "(?: licen[sc]es?)?"
+FAMILIES = [
+    ("AGPL", "(?:gnu )?(?:affero general public licen[sc]es?|agplv?)" + _LIC),
+    ("LGPL", "(?:gnu )?(?:(?:lesser|library) (?:general )?public licen[sc]es?"
+             "|lgplv?)" + _LIC),
+    ("GFDL", "(?:gnu )?(?:free documentation licen[sc]es?|g?fdlv?)" + _LIC),
+    ("GPL", "(?:gnu )?(?:general public licen[sc]es?|gplv?)" + _LIC),
+    ("Apache", "(?:apache(?: software)?(?: foundation)?|asl)" + _LIC),
+    ("MPL", "(?:mozilla public licen[sc]es?|mplv?)" + _LIC),
+    ("EPL", "(?:eclipse public licen[sc]es?|epl)" + _LIC),
+    ("EUPL", "(?:european union public licen[sc]es?|eupl)" + _LIC),
+    ("CDDL", "(?:common development and distribution licen[sc]es?|cddl)"
+             + _LIC),
+    ("BSL", "boost(?: software)?" + _LIC + "|bsl(?= 1)" + _LIC),
+    ("Artistic", "(?:perl )?artistic" + _LIC),
+    ("OFL", "(?:sil )?(?:open font licen[sc]es?|ofl)" + _LIC),
+    ("0BSD", "(?:0|zero) clause bsd|bsd (?:0|zero) clause|0 ?bsd"),
+    ("BSD-2-Clause", "(?:2|two) clause (?:simplified )?bsd|bsd (?:2|two) "
+     "clause(?: simplified)?|simplified bsd|freebsd"),
+    ("BSD-3-Clause", "(?:3|three) clause (?:new |modified |revised )?bsd"
+     "|bsd (?:3|three) clause(?: new)?(?: or)?(?: revised| modified)?"
+     "|(?:new|modified|revised) bsd"),
+    ("BSD-4-Clause", "(?:4|four) clause (?:original )?bsd|bsd (?:4|four) "
+     "clause(?: original)?|original bsd"),
+    ("BSD-style", "bsd"),
+    ("MIT", "(?:mit|expat)(?: expat| x ?11)?"),
+    ("ISC", "isc|internet systems consortium"),
+    ("Zlib", "zlib(?: libpng)?"),
+    ("WTFPL", "wtfpl|do what the fuck you want to public licen[sc]e"),
+    ("Unlicense", "(?:the )?unlicen[sc]e"),
+    ("CC0", "(?:creative commons )?cc ?0|creative commons zero"
+     "|creative commons public domain dedication"),
+    # the parts after "attribution" are read off by _CC_PARTS
+    ("CC", "(?:(?:creative commons|cc)" + _LIC + " (?:attribution|by)"
+     "|attribution(?= (?:non|share|no|[1-4])))(?: (?:nc|sa|nd|non ?commercial"
+     "|share ?alike|no ?deriv(?:ative)?s?(?: works)?))*"),
+]
+# the version that is meant where there was one only
+ONLY = {"Unlicense": "", "CC0": "1.0", "BSL": "1.0"}
+_CC_PARTS = (("NC", re.compile(r"\b(?:nc|non ?commercial)\b")),
+             ("SA", re.compile(r"\b(?:sa|share ?alike)\b")),
+             ("ND", re.compile(r"\b(?:nd|no ?deriv)")))
+_FAMILY = [(f, re.compile("(?:" + x + r")(?= |\Z)")) for f, x in FAMILIES]
+_AFTER = re.compile(
+    r"(?: as published by the free software foundation(?: inc)?)?"
+    r"(?: either)?(?: (?:version|versions|ver|v))?"
+    r"(?: (?P<v>[0-9]+(?:\.[0-9]+)*))?(?: of the licen[sc]e)?"
+    r"(?P<later> (?:or|and)(?: at your (?:option|choice))?(?: any)? "
+    r"(?:later|newer|above|higher|greater)(?: versions?)?)?(?P<only> only)?"
+    r"(?: (?:international|unported|generic|universal|public domain dedication"
+    r"|style|type|like|public|open source|free software|software|licen[sc]es?"
+    r"|version(?! [0-9])))*(?: (?:version|v) (?P<v2>[0-9]+(?:\.[0-9]+)*)"
+    r"(?P<later2> or(?: at your option)?(?: any)? later(?: versions?)?)?)?")
+_BEFORE = re.compile(
+    r"(?:either )?(?:version|v) (?P<v>[0-9]+(?:\.[0-9]+)*)(?P<later> or"
+    r"(?: at your option)?(?: any)? later(?: versions?)?)?(?: only)? of the ")
+_VERB = ("(?:(?:re|dual |multi |triple )?licen[sc]ed|released|(?:re)?distributed"
+         "|made available|made public|available|usable|published|provided"
+         "|shared|offered|issued|covered|governed|protected|free software"
+         "|open sourced?|free|open source software|subject|placed|put"
+         "|(?:released|dedicated|placed) (?:to|in|into) the public domain)")
+_HEAD = re.compile(
+    r"(?:(?:(?!(?:not|never|no|if|unless|whether|when|cannot|isn) )[^ ]+ )"
+    r"{0,10}?(?:(?:is|are|was|were|be|been|being|s) )"
+    r"|copyright (?:[^ ]+ ){0,12}?|all rights reserved )?"
+    r"(?:(?:also|now|hereby|currently|freely|free|publicly) )*"
+    rf"(?:{_VERB}(?:(?: and| or| and or)? {_VERB})*(?: (?:to you|for use|for free"
+    r"|freely|as open source|as free software))? )?"
+    r"(?:under|by|with|according to|pursuant to|to|on|as|in accordance with)"
+    r"(?: and (?:under|by))? ")
+_LABEL = re.compile(r"(?:spdx )?licen[sc]es?(?: (?:identifier|information|type))?"
+                    r"(?: is| are)? ")
+_FILLER = re.compile(
+    r"(?:(?:the|a|an|either|both|any|your choice|terms|conditions|term|rules"
+    r"|provisions|and conditions|of|one) )+")
+_JOIN = re.compile(r" (?:and or|and|or|as well as|at your option|plus)"
+                   r"(?: (?:under|at your option|alternatively))?"
+                   r"(?= )| with(?= [^ ]+(?: [^ ]+){0,4} exception)")
+_REST = re.compile(
+    r"(?:| (?:see|https?|www|which|that|as|in|for|found|available|a copy|you|with"
+    r"|the licen[sc]e|this licen[sc]e|file|c|copyright|all rights reserved|unless"
+    r"|at|by|except|to view|read|please)(?: [^ ]+){0,30})\Z")
+_PUBLIC = re.compile(
+    r"(?:(?:(?!(?:not|never|no|if|unless|whether|when|cannot) )[^ ]+ ){0,8}?"
+    r"(?:is|are|was|were|been|be) )?(?:hereby )?(?:(?:released|dedicated"
+    r"|placed|put|made available|published) )?(?:in|into|to) the "
+    r"public domain(?: by [^ ]+(?: [^ ]+){0,10})?\Z")
+# identifiers a notice shares with the sentences above
+_SAME = {"Apache-2.0": "apache2-under", "MPL-2.0": "mpl2-subject"}
+
+
+def licence_at(words: str, at: int) -> tuple[str, str, int] | None:
+    """(family, name, end) of the licence named at ``at``."""
+    # "version 3 of the ..."
+    first = _BEFORE.match(words, at)
+    if first:
+        at = first.end()
+    for family, pattern in _FAMILY:
+        m = pattern.match(words, at)
+        if not m:
+            continue
+        tail = _AFTER.match(words, m.end())
+        version = tail["v"] or tail["v2"] or (first and first["v"]) \
+            or ONLY.get(family, "")
+        later = tail["later"] or tail["later2"] or (first and first["later"])
+        if family == "CC":
+            # in any order; the word before the first part is no part
+            family = "-".join(["CC-BY", *(
+                k for k, p in _CC_PARTS if p.search(m.group()))])
+        if family in ("MIT", "ISC", "Zlib", "WTFPL", "Unlicense", "0BSD") \
+                or family.startswith("BSD"):
+            return family, family, tail.end()
+        if version and "." not in version:
+            version += ".0"
+        name = f"{family}-{version}" if version else family
+        if version and family in ("GPL", "LGPL", "AGPL", "GFDL"):
+            name += "-or-later" if later else "-only"
+        return family, name, tail.end()
+    return None
+
+
+def notice(words: str) -> list[str]:
+    """Licences that a normalised sentence names as those of a work ("... is
+    licensed under the <name>"), in order; none if it is no such notice.  A
+    family without a version is named without one."""
+    if "licen" not in words and "under" not in words:
+        if "public domain" in words and _PUBLIC.match(words):
+            return ["public-domain"]
+        return []
+    if _PUBLIC.match(words):
+        return ["public-domain"]
+    for head in (_HEAD, _LABEL):
+        m = head.match(words)
+        if not m:
+            continue
+        at, found = m.end(), []
+        while True:
+            skip = _FILLER.match(words, at)
+            got = licence_at(words, at) or (
+                licence_at(words, skip.end()) if skip else None)
+            if not got:
+                break
+            found.append(got)
+            at = got[2]
+            end = at
+            j = _JOIN.match(words, at)
+            if j:
+                at = j.end()
+            if words[at:at + 1] != " ":
+                break
+            at += 1
+        if not found or not _REST.match(words, end):
+            continue
+        # "... Public License (GPL) version 3" names one licence
+        named = {f for f, n, _ in found if n != f}
+        return list(dict.fromkeys(
+            n for f, n, _ in found
+            if n != f or f not in named))
+    return []
+
 
 def normal(sentence: str) -> str:
-    """Words and numbers in lower case (A-Z), single blanks between."""
+    """Words and numbers in lower case (A-Z), single blanks between; a + right
+    behind a number is "or later"."""
+    if "+" in sentence:
+        sentence = _PLUS.sub(" or later ", sentence)
     return " ".join(_WORD.findall(sentence.translate(_LOWER)))
 
 
@@ -145,7 +316,10 @@ def sentence_id(words: str) -> str | None:
         for key, pattern in _OPEN.get(" ".join(w.split(" ", 2)[:2]), ()):
             if pattern.match(w):
                 return key
-    return None
+    names = notice(words) or notice(_NUMBERING.sub("", words))
+    if len(names) == 1 and names[0] in _SAME:
+        return _SAME[names[0]]
+    return _NAMES + " ".join(names) if names else None
 
 
 def sentence_ids(text: str | None) -> list[tuple[str | None, int, int]]:
@@ -169,10 +343,12 @@ def sentence_ids(text: str | None) -> list[tuple[str | None, int, int]]:
             lines.append((at, at + len(line), normal(line)))
             at += len(line) + 1
         lines = [x for x in lines if x[2]]
+        # a notice may start with any word
+        said = _SAYS.search(body) is not None
         i = 0
         while i < len(lines):
             hit = None
-            if lines[i][2].split(" ", 1)[0] in _FIRST \
+            if said or lines[i][2].split(" ", 1)[0] in _FIRST \
                     or _NUMBERING.match(lines[i][2]):
                 run, n = [], 0
                 for j in range(i, len(lines)):
@@ -205,6 +381,11 @@ def licences(text: str | None) -> list[tuple[str, int, int, int]]:
              if k is not None and k != "rights"]
     out, at = [], 0
     while at < len(known):
+        if known[at][0].startswith(_NAMES):
+            out += [(name, *known[at][1:3], 1)
+                    for name in known[at][0][len(_NAMES):].split()]
+            at += 1
+            continue
         for name, seq in _BY_FIRST.get(known[at][0], ()):
             run = known[at:at + len(seq)]
             if [x[0] for x in run] == seq and all(
