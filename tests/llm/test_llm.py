@@ -627,6 +627,50 @@ def test_tilt_is_causal_and_normalised():
     assert np.exp(tilts) @ p == pytest.approx(1, abs=1e-4)
 
 
+def test_fit_reaches_every_text(spark, docs):
+    """Words of texts outside the start sample, and at the end of a text of
+    more than 50,000 characters, change the network's weights."""
+    path = public_tokenizers.path(scoring.TOKENIZER)
+    sub = scoring.Subwords(path)
+    rows = [(i, f"the cat and the dog saw a {w} by the old house " * 3)
+            for i, w in enumerate(["quokka", "zeppelin", "xylophone"] * 20)]
+    rows += [(100, "the cat sat on the old mat " * 4_000 + "kaleidoscope")]
+    rows += [(7, "many equal rows")] * 50
+    train = spark.createDataFrame(rows, "doc_id long, text string") \
+        .repartition(3)
+    model = scoring.fit(train, len(rows), path, 4)
+    first = attention.initial(sub.end + 1)["output"]
+    for w in (b"quokka", b"zeppelin", b"xylophone", b"kaleidoscope"):
+        ids = sub.of([w]).ids
+        assert (model.output[ids] != first[ids]).any(axis=1).all(), w
+    again = scoring.fit(train, len(rows), path, 4)
+    assert np.allclose(again.output, model.output, atol=1e-4)
+
+
+def test_pass_over_all_windows_is_averaged():
+    rng = np.random.default_rng(2)
+    words = attention.Words(np.arange(60), np.arange(61))
+    texts = [rng.integers(1, 30, 90).astype(np.int32) for _ in range(20)]
+    model = attention.Model(**attention.initial(60))
+    one, two = attention.Local(model), attention.Local(model)
+    one.add(texts, words, 0)
+    two.add(texts, words, 0)
+    assert one.windows == sum(-(-len(t) // attention.STRIDE) for t in texts)
+    assert one.seen.sum() == sum(map(len, texts))
+    # two tasks of the same texts move the weights as far as one does
+    sums = {k: x for k, x in one.blocks()}
+    both = {k: x + sums[k] for k, x in two.blocks()}
+    for name in (*attention.TABLES, *attention.SMALL):
+        a = getattr(attention.averaged(model, sums), name)
+        b = getattr(attention.averaged(model, both), name)
+        assert np.allclose(a, b, atol=1e-6), name
+        assert np.allclose(a, one.adam.P[name], atol=1e-5) or \
+            name in attention.TABLES
+    # words never seen as a token keep their place
+    assert (attention.averaged(model, sums).output[30:]
+            == model.output[30:]).all()
+
+
 def test_windows_score_each_token_once():
     texts = [np.arange(1, n + 1, dtype=np.int32) for n in (0, 1, 16, 17, 100)]
     x, y, ok, owner = attention.windows(texts, 0)

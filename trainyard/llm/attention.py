@@ -16,6 +16,7 @@ vectors too.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -157,90 +158,205 @@ def _back() -> np.ndarray:
         - np.arange(CONTEXT)[None, :]
 
 
+def initial(vocabulary: int, seed: int = 9) -> dict[str, np.ndarray]:
+    rng = np.random.default_rng(seed)
+
+    def normal(scale: float, *shape: int) -> np.ndarray:
+        return (rng.standard_normal(shape) * scale).astype(np.float32)
+
+    return {"embed": normal(.3, vocabulary, WIDTH),
+            "current": normal(.1, vocabulary, PARTS),
+            "output": normal(.5, vocabulary, PARTS),
+            "key": normal(WIDTH ** -.5, WIDTH, WIDTH),
+            "query": normal(WIDTH ** -.5, WIDTH, WIDTH),
+            "value": normal(WIDTH ** -.5, WIDTH, WIDTH),
+            "mix": normal(.5, WIDTH, PARTS),
+            "near": np.zeros(CONTEXT, np.float32)}
+
+
+TABLES = ("embed", "current", "output")             # a row per subword id
+SMALL = ("key", "query", "value", "mix", "near")
+
+
+class Adam:
+    """Fits the weights ``P`` in place, one batch of windows at a time."""
+
+    def __init__(self, P: dict[str, np.ndarray]):
+        self.P, self.steps = P, 0
+        self.m1 = {k: np.zeros_like(v) for k, v in P.items()}
+        self.m2 = {k: np.zeros_like(v) for k, v in P.items()}
+
+    def step(self, x: np.ndarray, y: np.ndarray, ok: np.ndarray,
+             words: Words, start: int, lr: float) -> None:
+        P, f = self.P, np.float32
+        pad = x < 0
+        here, number = np.unique(
+            np.concatenate([np.where(pad, start, x).ravel(), y.ravel()]),
+            return_inverse=True)
+        x = number[:x.size].reshape(x.shape)
+        y = number[x.size:].reshape(y.shape)
+        part = words.take(here)
+        last = x[:, -STRIDE:]
+        e = part.total(P["embed"], True)
+        ex, el = e[x], e[last]
+        k, q, v = ex @ P["key"], el @ P["query"], ex @ P["value"]
+        a = q @ k.transpose(0, 2, 1)
+        a += causal(P["near"])
+        if pad.any():
+            a += FAR * pad[:, None, :]
+        a = softmax(a)
+        c = a @ v
+        pi = softmax(c @ P["mix"] + part.total(P["current"], True)[last])
+        r_word = softmax(part.total(P["output"], False))
+        r = r_word[y]
+        n = f(max(1, ok.sum()))
+        okk = ok[:, :, None]
+        share = (r * okk).sum(axis=(0, 1)) / n
+        post = pi * r / share
+        post /= post.sum(axis=2, keepdims=True)
+        dz = (pi - post) * okk / n
+        lean = (post * okk).sum(axis=(0, 1)) / n / share
+        ds_out = (r - post + r * (lean - (r * lean).sum(
+            axis=2, keepdims=True))) * okk / n
+
+        def product(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+            return left.reshape(-1, left.shape[-1]).T \
+                @ right.reshape(-1, right.shape[-1])
+
+        g = {"mix": product(c, dz)}
+        dc = dz @ P["mix"].T
+        dv = a.transpose(0, 2, 1) @ dc
+        da = dc @ v.transpose(0, 2, 1)
+        ds = a * (da - (a * da).sum(axis=2, keepdims=True))
+        g["near"] = np.bincount(np.maximum(_back(), 0).ravel(),
+                                ds.sum(axis=0).ravel(), CONTEXT).astype(f)
+        dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
+        g["key"] = product(ex, dk)
+        g["value"] = product(ex, dv)
+        g["query"] = product(el, dq)
+        de = by_row(x, dk @ P["key"].T + dv @ P["value"].T, len(here))
+        behind = by_row(last, np.concatenate([dq @ P["query"].T, dz], axis=2),
+                        len(here))
+        de += behind[:, :WIDTH]
+        d_now = behind[:, WIDTH:]
+        d_out = by_row(y, ds_out, len(here))
+        sizes = np.diff(part.edge)
+        of = np.repeat(np.arange(len(here)), sizes)
+        ids, at = np.unique(part.ids, return_inverse=True)
+        for name, d in (("embed", de / sizes[:, None]),
+                        ("current", d_now / sizes[:, None]),
+                        ("output", d_out)):
+            g[name] = np.zeros_like(P[name])
+            g[name][ids] = by_row(at, d[of].astype(f), len(ids))
+        self.steps += 1
+        for name, w in P.items():
+            m1, m2 = self.m1[name], self.m2[name]
+            m1 += f(.1) * (g[name] - m1)
+            m2 += f(.02) * (g[name] * g[name] - m2)
+            w -= f(lr) * (m1 / f(1 - .9 ** self.steps)) / (
+                np.sqrt(m2 / f(1 - .98 ** self.steps)) + f(1e-8))
+
+
+def by_row(at: np.ndarray, values: np.ndarray, rows: int) -> np.ndarray:
+    """Sums of the rows of ``values`` by their number ``at``."""
+    at = at.ravel()
+    # 16 bits are sorted by radix
+    order = np.argsort(at.astype(np.uint16) if rows <= 1 << 16 else at,
+                       kind="stable")
+    times = np.bincount(at, minlength=rows)
+    first, some = np.cumsum(times) - times, times > 0
+    out = np.zeros((rows, values.shape[-1]), np.float32)
+    if some.any():
+        out[some] = np.add.reduceat(values.reshape(len(at), -1)[order],
+                                    first[some], axis=0)
+    return out
+
+
 def train(texts: list[np.ndarray], words: Words, start: int,
           vocabulary: int, epochs: int = 3, batch: int = 256, seed: int = 9,
           rate: float = 0.02) -> Model:
-    """Fit on a bounded sample of texts (arrays of numbers of ``words``)."""
+    """Fit on texts in memory (arrays of numbers of ``words``)."""
     rng = np.random.default_rng(seed)
-    f = np.float32
-
-    def normal(scale: float, *shape: int) -> np.ndarray:
-        return (rng.standard_normal(shape) * scale).astype(f)
-
-    P = {"embed": normal(.3, vocabulary, WIDTH),
-         "current": normal(.1, vocabulary, PARTS),
-         "output": normal(.5, vocabulary, PARTS),
-         "key": normal(WIDTH ** -.5, WIDTH, WIDTH),
-         "query": normal(WIDTH ** -.5, WIDTH, WIDTH),
-         "value": normal(WIDTH ** -.5, WIDTH, WIDTH),
-         "mix": normal(.5, WIDTH, PARTS),
-         "near": np.zeros(CONTEXT, f)}
-    m1 = {k: np.zeros_like(v) for k, v in P.items()}
-    m2 = {k: np.zeros_like(v) for k, v in P.items()}
+    adam = Adam(initial(vocabulary, seed))
     inputs, targets, valid, _ = windows(texts, start)
-    back = np.maximum(_back(), 0)
-    step, total = 0, max(1, epochs * -(-len(inputs) // batch))
+    total = max(1, epochs * -(-len(inputs) // batch))
     for _ in range(epochs):
         order = rng.permutation(len(inputs))
         for i in range(0, len(order), batch):
             rows = order[i:i + batch]
-            x, y, ok = inputs[rows], targets[rows], valid[rows]
-            pad = x < 0
-            here, number = np.unique(
-                np.concatenate([np.where(pad, start, x).ravel(), y.ravel()]),
-                return_inverse=True)
-            x = number[:x.size].reshape(x.shape)
-            y = number[x.size:].reshape(y.shape)
-            part = words.take(here)
-            last = x[:, -STRIDE:]
-            e = part.total(P["embed"], True)
-            ex, el = e[x], e[last]
-            k, q, v = ex @ P["key"], el @ P["query"], ex @ P["value"]
-            a = softmax(q @ k.transpose(0, 2, 1) + causal(P["near"])
-                        + FAR * pad[:, None, :])
-            c = a @ v
-            pi = softmax(c @ P["mix"] + part.total(P["current"], True)[last])
-            r_word = softmax(part.total(P["output"], False))
-            r = r_word[y]
-            n = f(max(1, ok.sum()))
-            okk = ok[:, :, None]
-            share = (r * okk).sum(axis=(0, 1)) / n
-            post = pi * r / share
-            post /= post.sum(axis=2, keepdims=True)
-            dz = (pi - post) * okk / n
-            lean = (post * okk).sum(axis=(0, 1)) / n / share
-            ds_out = (r - post + r * (lean - (r * lean).sum(
-                axis=2, keepdims=True))) * okk / n
-            g = {"mix": np.einsum("wsd,wsk->dk", c, dz)}
-            dc = dz @ P["mix"].T
-            dv = a.transpose(0, 2, 1) @ dc
-            da = dc @ v.transpose(0, 2, 1)
-            ds = a * (da - (a * da).sum(axis=2, keepdims=True))
-            g["near"] = np.bincount(back.ravel(), ds.sum(axis=0).ravel(),
-                                    CONTEXT).astype(f)
-            dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
-            g["key"] = np.einsum("wla,wlb->ab", ex, dk)
-            g["value"] = np.einsum("wla,wlb->ab", ex, dv)
-            g["query"] = np.einsum("wla,wlb->ab", el, dq)
-            de = np.zeros_like(e)
-            np.add.at(de, x, dk @ P["key"].T + dv @ P["value"].T)
-            np.add.at(de, last, dq @ P["query"].T)
-            d_now = np.zeros((len(here), PARTS), f)
-            np.add.at(d_now, last, dz)
-            d_out = np.zeros((len(here), PARTS), f)
-            np.add.at(d_out, y, ds_out)
-            sizes = np.diff(part.edge)
-            of = np.repeat(np.arange(len(here)), sizes)
-            for name, d in (("embed", de / sizes[:, None]),
-                            ("current", d_now / sizes[:, None]),
-                            ("output", d_out)):
-                g[name] = np.zeros_like(P[name])
-                np.add.at(g[name], part.ids, d[of].astype(f))
-            step += 1
-            lr = rate * min(1.0, step / 20) * (1 - 0.9 * step / total)
-            for name, w in P.items():
-                m1[name] += f(.1) * (g[name] - m1[name])
-                m2[name] += f(.02) * (g[name] * g[name] - m2[name])
-                w -= f(lr) * (m1[name] / f(1 - .9 ** step)) / (
-                    np.sqrt(m2[name] / f(1 - .98 ** step)) + f(1e-8))
+            step = adam.steps + 1
+            adam.step(inputs[rows], targets[rows], valid[rows], words, start,
+                      rate * min(1.0, step / 20) * (1 - 0.9 * step / total))
+    return Model(**adam.P)
+
+
+class Local:
+    """One task's share of a pass over all windows: Adam from the common
+    weights, then the change of the weights, to be averaged over the tasks.
+    A subword's rows count as often as the task has seen it, the small
+    matrices as often as it has seen windows."""
+
+    def __init__(self, model: Model, rate: float = 0.01, batch: int = 512,
+                 seed: int = 9):
+        self.model, self.rate, self.batch = model, rate, batch
+        self.adam = Adam({k: getattr(model, k).copy()
+                          for k in (*TABLES, *SMALL)})
+        self.rng = np.random.default_rng(seed)
+        self.seen = np.zeros(len(model.embed), np.float64)
+        self.windows = 0
+
+    def add(self, texts: list[np.ndarray], words: Words, start: int) -> None:
+        """Every window of the texts, each once."""
+        inputs, targets, valid, _ = windows(texts, start)
+        times = np.bincount(np.concatenate(texts),
+                            minlength=len(words.edge) - 1)
+        self.seen += np.bincount(words.ids, np.repeat(
+            times, np.diff(words.edge)), len(self.seen))
+        self.windows += len(inputs)
+        order = self.rng.permutation(len(inputs))
+        for i in range(0, len(order), self.batch):
+            rows = order[i:i + self.batch]
+            self.adam.step(inputs[rows], targets[rows], valid[rows], words,
+                           start, self.rate * min(
+                               1.0, (self.adam.steps + 1) / 20)
+                           * len(rows) / self.batch)
+
+    def blocks(self) -> Iterator[tuple[int, np.ndarray]]:
+        """(number, weight and weighted change of BLOCK subwords); the small
+        matrices have number -1."""
+        P, model = self.adam.P, self.model
+        small = np.concatenate([(P[k] - getattr(model, k)).ravel()
+                                for k in SMALL])
+        yield -1, np.append(self.windows, small * self.windows).astype(
+            np.float64)
+        for b in range(0, len(self.seen), BLOCK):
+            n = self.seen[b:b + BLOCK, None]
+            if n.any():
+                d = np.concatenate([P[k][b:b + BLOCK]
+                                    - getattr(model, k)[b:b + BLOCK]
+                                    for k in TABLES], axis=1)
+                yield b, np.concatenate(
+                    [n, n * d], axis=1).astype(np.float32).ravel()
+
+
+BLOCK = 512
+
+
+def averaged(model: Model, blocks: dict[int, np.ndarray]) -> Model:
+    """The model moved by the summed blocks of all tasks."""
+    P = {k: getattr(model, k).copy() for k in (*TABLES, *SMALL)}
+    for b, x in blocks.items():
+        if b < 0:
+            at, x = 1, x / max(x[0], 1.0)
+            for k in SMALL:
+                P[k] += x[at:at + P[k].size].reshape(P[k].shape).astype(
+                    np.float32)
+                at += P[k].size
+            continue
+        x = x.reshape(-1, 1 + WIDTH + 2 * PARTS)
+        d = x[:, 1:] / np.maximum(x[:, :1], 1)
+        for k, lo, hi in (("embed", 0, WIDTH),
+                          ("current", WIDTH, WIDTH + PARTS),
+                          ("output", WIDTH + PARTS, WIDTH + 2 * PARTS)):
+            P[k][b:b + len(d)] += d[:, lo:hi]
     return Model(**P)

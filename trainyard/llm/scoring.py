@@ -3,8 +3,9 @@
 Tokens are lower-cased words and one end per text.  Two scores are given: a
 unigram base from the word counts of all training texts, and the probability
 under the attention model of ``attention.py``, which tilts the base by
-context.  Counts, vocabulary and the model's P(k) come from every training
-text; only the network itself is fitted on a bounded sample.
+context.  Counts, vocabulary, the network's weights and the model's P(k) come
+from every training text, whatever its length; a bounded sample only gives the
+weights that the pass over all texts starts from.
 
 The counts of the ``HEAD`` most frequent words are broadcast (a bounded
 number of rows); rarer words of each text are joined to the table of counts.
@@ -32,8 +33,9 @@ from trainyard.llm.common import LOWER, hash_share, written
 
 TOKENIZER = "byte_bpe_50k.json"
 HEAD = 100_000          # words whose counts are broadcast
-SAMPLE_TEXTS = 1_000    # training texts the network is fitted on, ...
-SAMPLE_CHARS = 50_000   # ... of at most that many characters each
+START_TEXTS = 1_000     # training texts of the weights the fit starts from, ...
+START_CHARS = 50_000    # ... that many characters of each at most
+FAN = 256               # tasks whose changes of the weights are added at once
 EPOCHS = 2
 SLICE = 1_500_000       # characters of text scored at once
 FOLDS, HELD_OUT = 10, 0
@@ -150,22 +152,79 @@ def subwords(path: str) -> Subwords:
     return _SUBWORDS[path]
 
 
-def fit(train: DataFrame, n_train: int, tokenizer: str,
-        texts: int = SAMPLE_TEXTS, chars: int = SAMPLE_CHARS,
-        epochs: int = EPOCHS) -> attention.Model:
-    """Network weights from about ``texts`` of the ``n_train`` training texts,
-    those of at most ``chars`` characters whose hash is in the share's range."""
+def start_model(train: DataFrame, n_train: int, tokenizer: str,
+                texts: int = START_TEXTS, chars: int = START_CHARS,
+                epochs: int = EPOCHS) -> attention.Model:
+    """Weights that the pass over all texts starts from: about ``texts`` of
+    the ``n_train`` training texts, the beginnings of ``chars`` characters,
+    by hash; equal rows count once."""
     h = F.xxhash64("doc_id", "text")
-    rows = (train.select("doc_id", F.col("text").cast("string"))
-            .where(F.char_length(F.coalesce("text", F.lit(""))) <= chars)
-            .where(hash_share(h, texts, n_train))
-            .select(h.alias("h"), "text").limit(2 * texts + 100).collect())
-    rows.sort(key=lambda r: (r.h, r.text or ""))
+    rows = (train.where(hash_share(h, texts, n_train))
+            .select(h.alias("h"), F.substring("text", 1, chars).alias("text"))
+            .groupBy("h").agg(F.min("text").alias("text"))
+            .orderBy("h").limit(2 * texts + 100).collect())
     t, words = numbered([words_of(r.text) for r in rows])
     sub = Subwords(tokenizer)
     return attention.train(t, sub.of(words), 0, sub.end + 1, epochs)
 
 
+def fit(train: DataFrame, n_train: int, tokenizer: str,
+        texts: int = START_TEXTS) -> attention.Model:
+    """Network weights from all windows of all training texts: every task
+    goes through its texts from the common start weights, and the changes are
+    averaged, each subword's by how often a task has seen it."""
+    model = start_model(train, n_train, tokenizer, texts)
+    spark = train.sparkSession
+    sent = spark.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        local = attention.Local(sent.value)
+        texts, size = [], 0
+
+        def go() -> None:
+            t, words = numbered(texts)
+            local.add(t, subwords(tokenizer).of(words), 0)
+            texts.clear()
+
+        for batch in batches:
+            for t in batch.column("text"):
+                t = t.as_py()
+                texts.append(words_of(t))
+                size += len(t or "")
+                if size > SLICE:
+                    go()
+                    size = 0
+        if texts:
+            go()
+        if local.windows:
+            part = TaskContext.get().partitionId()
+            for k, x in local.blocks():
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([part], pa.int32()), pa.array([k], pa.int32()),
+                     pa.array([x.tobytes()], pa.binary())], ["part", "k", "x"])
+
+    def add(table: pa.Table) -> pa.Table:
+        k = table.column("k")[0].as_py()
+        kind = np.float64 if k < 0 else np.float32
+        x = sum(np.frombuffer(v.as_py(), kind) for v in table.column("x"))
+        return pa.table({"part": table.column("part").slice(0, 1),
+                         "k": table.column("k").slice(0, 1),
+                         "x": pa.array([x.tobytes()], pa.binary())})
+
+    kind = "part int, k int, x binary"
+    got = train.select("text").mapInArrow(run, kind)
+    # no group adds up more than FAN blocks, up to FAN ** 3 tasks
+    for _ in range(3):
+        got = got.withColumn("part", F.floor(F.col("part") / FAN)
+                             .cast("int")).groupBy("part", "k").applyInArrow(
+                                 add, kind)
+    total: dict[int, np.ndarray] = {}
+    for r in got.collect():  # the weights once
+        x = np.frombuffer(r.x, np.float64 if r.k < 0 else np.float32)
+        total[r.k] = total[r.k] + x if r.k in total else x
+    return attention.averaged(model, total)
+
+
 def part_shares(counts: DataFrame, model: attention.Model, tokenizer: str
                 ) -> np.ndarray:
     """P(k) over all training tokens: each distinct word once, by count."""
