@@ -580,6 +580,35 @@ def test_sharding_splits_only_what_is_too_large(spark):
     assert cut.links == 800 and 525 <= cut.cut <= 545
 
 
+@pytest.mark.parametrize("sizes", [[3], [10], [2, 3, 5, 7, 10], [5] * 9 + [1],
+                                   [40, 2], [300, 4]])
+def test_sharding_keeps_groups_whole_on_linked_rows(spark, sizes):
+    rows, group = [], 0
+    while len(rows) < 1200:
+        n = sizes[group % len(sizes)]
+        if n >= 300 and group:
+            n = 4
+        rows += [(len(rows) + i, f"text {group}", "", "", 0)
+                 for i in range(n)]
+        group += 1
+    got = sharded(spark.createDataFrame(rows, DOCS))
+    assert sorted(got.doc_id) == [r[0] for r in rows]
+    text = {r[0]: r[1] for r in rows}
+    by = got.assign(t=got.doc_id.map(text)).groupby("t").shard
+    fits = by.size() <= len(rows) // 8
+    assert (by.nunique()[fits] > 1).sum() <= 7
+    if sizes == [3] or 1 in sizes:      # shards can be filled with no split
+        assert (by.nunique() > 1).sum() == 0
+
+
+def test_departures_count_as_room():
+    # full shards that want to swap all rows may do so
+    assert sharding.accepted_shares([[5, 5], [5, 5]], [10, 10]) == [1, 1]
+    a, b = sharding.accepted_shares([[6, 4], [2, 8]], [10, 10])
+    assert a == 1 and b == pytest.approx(.5)
+    assert sharding.accepted_shares([[5, 5], [0, 10]], [10, 10]) == [0, 0]
+
+
 def test_sharding_edges(spark, odd):
     got = sharded(odd)
     assert len(got) == 9
