@@ -459,6 +459,18 @@ def test_notices_of_every_licence():
         "at your option.")] == ["Apache-2.0", "MIT"]
 
 
+@pytest.mark.parametrize("pad", [" ", "*", "-=", "/", " # "])
+def test_padded_sentences_are_looked_up(pad):
+    line = pad * 5_000 + "Licensed under the Apache License, Version 2.0"
+    assert [x[0] for x in licenses.licences(line + pad * 5_000)] == [
+        "Apache-2.0"]
+    # padding between a rule's sentences is none
+    mit = [licenses.SENTENCES[k] for k in ("mit-grant", "mit-notice")]
+    assert [x[3] for x in licenses.licences(
+        mit[0] + ". " + pad * 5_000 + mit[1])] == [2]
+    assert licenses.licences(line.replace(" License", " rule")) == []
+
+
 def test_notices_of_documents(spark):
     texts = spark.read.parquet(
         "/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")

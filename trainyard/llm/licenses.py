@@ -331,11 +331,10 @@ def sentence_ids(text: str | None) -> list[tuple[str | None, int, int]]:
     for m in _SENTENCE.finditer(text or ""):
         body = m.group()
         if "\n" not in body:
-            head = _WORD.search(body.translate(_LOWER) if len(body) < 4000
-                                else body[:4000].translate(_LOWER))
-            if head is None:
+            words = normal(body)
+            if not words:
                 continue
-            key = sentence_id(normal(body)) if len(body) < 4000 else None
+            key = sentence_id(words) if words.count(" ") < _LONGEST else None
             out.append((key, m.start(), m.end()))
             continue
         lines, at = [], m.start()
