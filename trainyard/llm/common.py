@@ -90,3 +90,32 @@ def hash_share(h: Column, wanted: int, n: int) -> Column:
     its hash ``h`` picks (all, if they are no more)."""
     share = 1.0 if n <= wanted else wanted / n
     return F.pmod(h, F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))
+
+
+def spread_join(rows: DataFrame, one: DataFrame, keys: Sequence[str],
+                least: int = 2_000) -> DataFrame:
+    """Inner join of ``rows`` with ``one`` (one row a key, no null keys), where
+    a key may hold any share of ``rows``.
+
+    A key with more than 1/(4 w) of the rows (w: shuffle partitions; at least
+    ``least`` rows) is split by a hash of the whole row, its partner is
+    repeated for each part.  There are at most 4 w such keys, so collecting
+    and broadcasting them is bounded.  ``rows`` is read twice and should be
+    a written table."""
+    spark = rows.sparkSession
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    limit = max(least, rows.count() // (4 * width))
+    hot = rows.groupBy(*keys).agg(F.count("*").alias("_n")).where(
+        F.col("_n") > limit).select(*keys, F.ceil(F.col("_n") / limit)
+                                    .cast("int").alias("_parts")).collect()
+    if not hot:
+        return rows.join(one, list(keys))
+    parts = F.broadcast(spark.createDataFrame(
+        hot, one.select(*keys).schema.add("_parts", "int")))
+    n = F.coalesce("_parts", F.lit(1))
+    left = rows.withColumn("_row", F.xxhash64(*rows.columns)).join(
+        parts, list(keys), "left").withColumn(
+        "_part", F.pmod("_row", n).cast("int")).drop("_row", "_parts")
+    right = one.join(parts, list(keys), "left").withColumn(
+        "_part", F.explode(F.sequence(F.lit(0), n - 1))).drop("_parts")
+    return left.join(right, [*keys, "_part"]).drop("_part")

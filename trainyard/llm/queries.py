@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from trainyard.llm import (decontamination, html_text, lexical, licenses,
-                           mixing, neighbours, quality, scoring, sharding,
+                           minhash, mixing, neighbours, quality, scoring, sharding,
                            simhash, token_files)
 from trainyard.llm.common import prepare, table
 
@@ -37,10 +37,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": _on(sharding.op8_query, "documents"),
     "op9_scoring": _on(scoring.op9_query, "documents"),
     "op10_simhash": _on(simhash.op10_query, "documents"),
+    "op12_minhash": _on(minhash.op12_query, "documents"),
     "op13_lexical": _on(lexical.op13_query, "documents", "benchmark"),
     "pipeline": _pipeline,
 }
 
 # The other operators' results cannot be written in SQL; the tests hold each
 # query against a brute-force version (see tests/llm).
-ORACLE_SQL: dict[str, str] = {"op13_lexical": lexical.ORACLE}
+ORACLE_SQL: dict[str, str] = {"op12_minhash": minhash.ORACLE,
+                              "op13_lexical": lexical.ORACLE}
