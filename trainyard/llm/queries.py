@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trainyard.llm import (decontamination, html_text, lexical, licenses,
-                           minhash, mixing, neighbours, quality, scoring, sharding,
-                           simhash, token_files)
+from trainyard.llm import (alignment, decontamination, html_text, lexical,
+                           licenses, minhash, mixing, neighbours, quality,
+                           scoring, sharding, simhash, token_files)
 from trainyard.llm.common import prepare, table
 
 
@@ -37,6 +37,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": _on(sharding.op8_query, "documents"),
     "op9_scoring": _on(scoring.op9_query, "documents"),
     "op10_simhash": _on(simhash.op10_query, "documents"),
+    "op11_alignment": _on(alignment.op11_query, "documents"),
     "op12_minhash": _on(minhash.op12_query, "documents"),
     "op13_lexical": _on(lexical.op13_query, "documents", "benchmark"),
     "pipeline": _pipeline,
