@@ -111,7 +111,7 @@ def spread_join(rows: DataFrame, one: DataFrame, keys: Sequence[str],
     if not hot:
         return rows.join(one, list(keys))
     parts = F.broadcast(spark.createDataFrame(
-        hot, one.select(*keys).schema.add("_parts", "int")))
+        hot, one.select(*keys).schema.add("_parts", "integer")))
     n = F.coalesce("_parts", F.lit(1))
     left = rows.withColumn("_row", F.xxhash64(*rows.columns)).join(
         parts, list(keys), "left").withColumn(
