@@ -231,6 +231,17 @@ def test_minhash_loses_no_link(spark, bases, copies):
     assert got == sorted(groups_by_hand(rows))
 
 
+def test_strays_meet_every_block(spark, monkeypatch):
+    """The same links when a group's strays and nodes fall into many blocks."""
+    monkeypatch.setattr(minhash, "STRAYS", 3)
+    monkeypatch.setattr(minhash, "NODES", 10)
+    monkeypatch.setattr(minhash, "PER_TASK", 7)
+    rows = near_texts(5, 2, 90)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(rows_of(minhash.near_duplicates(df))) == \
+        sorted(groups_by_hand(rows))
+
+
 def test_chain_of_near_copies_behind_a_leader(spark):
     """A chain where the ends are far apart is one component."""
     words = [f"a{i}" for i in range(300)]

@@ -93,21 +93,28 @@ def hash_share(h: Column, wanted: int, n: int) -> Column:
 
 
 def spread_join(rows: DataFrame, one: DataFrame, keys: Sequence[str],
-                least: int = 2_000) -> DataFrame:
+                counts: DataFrame | None = None, least: int = 2_000
+                ) -> DataFrame:
     """Inner join of ``rows`` with ``one`` (one row a key, no null keys), where
     a key may hold any share of ``rows``.
 
     A key with more than 1/(4 w) of the rows (w: shuffle partitions; at least
     ``least`` rows) is split by a hash of the whole row, its partner is
     repeated for each part.  There are at most 4 w such keys, so collecting
-    and broadcasting them is bounded.  ``rows`` is read twice and should be
-    a written table."""
+    and broadcasting them is bounded.  ``counts`` (keys, _n: rows of the key)
+    saves counting them; it, else ``rows``, is read twice and should be a
+    written table."""
     spark = rows.sparkSession
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    limit = max(least, rows.count() // (4 * width))
-    hot = rows.groupBy(*keys).agg(F.count("*").alias("_n")).where(
-        F.col("_n") > limit).select(*keys, F.ceil(F.col("_n") / limit)
-                                    .cast("int").alias("_parts")).collect()
+    if counts is None:
+        total = rows.count()
+        counts = rows.groupBy(*keys).agg(F.count("*").alias("_n"))
+    else:
+        total = counts.agg(F.sum("_n")).first()[0] or 0
+    limit = max(least, total // (4 * width))
+    hot = counts.where(F.col("_n") > limit).select(
+        *keys, F.ceil(F.col("_n") / limit).cast("int").alias("_parts")) \
+        .collect()
     if not hot:
         return rows.join(one, list(keys))
     parts = F.broadcast(spark.createDataFrame(
