@@ -11,7 +11,8 @@ from conftest import write
 from trainyard.operators.analysis import (daily_mean_delay,
                                           peak_hour_departures)
 from trainyard.plans.lake import run_lake_pipeline
-from trainyard.plans.star import build_star, read_star, write_star
+from trainyard.plans.star import (build_star, read_quarantine, read_star,
+                                  write_star)
 from trainyard.sources.tables import read_movements
 
 STATIONS = {"result": [
@@ -139,15 +140,125 @@ def test_star_keeps_every_train_and_snapshot(spark, inputs, tmp):
         assert dim.where("time_key = 202509021230").count() == 1
 
 
-def test_train_with_a_taken_key_is_kept(spark):
-    from trainyard.operators.dims import merge_dim_train
+def test_trains_whose_key_is_taken(spark):
+    """A stored train keeps its key, then the unknown one, then the first."""
+    from trainyard.operators.dims import new_trains, taken_keys
     cols = "train_key long, category string, train_number string, " \
         "owner string, trip_type string, filter_flags string"
     old = spark.createDataFrame([(1, "S", "1", "", "", "")], cols)
-    new = spark.createDataFrame([(1, "S", "2", "", "", ""),
-                                 (1, "S", "1", "", "", "")], cols)
-    assert sorted(r.train_number for r in
-                  merge_dim_train(old, new).collect()) == ["1", "2"]
+    new = spark.createDataFrame([
+        (1, "S", "2", "", "", ""), (1, "S", "1", "", "", ""),
+        (2, "RE", "8", "", "", ""), (2, "RE", "7", "", "", ""),
+        (3, "A", "A", "", "", ""), (3, "UNK", "UNK", "", "", "")], cols)
+    members = new_trains(old, new)
+    assert members.count() == 5
+    assert sorted(r.train_number for r in taken_keys(old, members)
+                  .collect()) == ["2", "8", "A"]
+
+
+def tables_of(spark, out):
+    t = read_star(spark, out)
+    fact = t["fact_train_movement"]
+    return (sorted(map(str, fact.select(*sorted(fact.columns)).collect())),
+            sorted(map(str, t["dim_time"].collect())),
+            sorted(map(str, t["dim_train"].collect())))
+
+
+@pytest.mark.parametrize("order", ["cp", "pcp", "cpc", "ccpp", "pcpc"])
+def test_batches_in_any_order(spark, inputs, tmp, order):
+    """Plans, changes and replays of either, in any order: one result."""
+    p, c, sj = inputs
+    whole = os.path.join(tmp, "whole")
+    write_star(build_star(spark, p, c, sj), whole)
+    out = os.path.join(tmp, order)
+    for i, kind in enumerate(order):
+        t = build_star(spark, p if kind == "p" else None,
+                       c if kind == "c" else None, sj)
+        write_star(t, out, incremental=i > 0)
+    assert tables_of(spark, out) == tables_of(spark, whole)
+
+
+def test_a_file_sent_again_replaces_its_rows(spark, inputs, tmp):
+    p, c, sj = inputs
+    out = os.path.join(tmp, "star")
+    write_star(build_star(spark, p, c, sj), out)
+    write(c, "2509021200/b.xml", CH_B.replace('cp="5"', 'cp="9" cs="x"'))
+    write(p, "2509021215/Berlin_Hbf_timetable.xml", "<timetable/>")
+    write(c, "2509021215/a.xml", "<timetable eva='8011160'/>")
+    write_star(build_star(spark, p, c, sj), out, incremental=True)
+    rows = {(r.stop_id, r.event_type): r for r in spark.read.parquet(
+        os.path.join(out, "fact_train_movement")).collect()
+        if r.station_key == 8011160}
+    assert rows["1", "A"].changed_platform is None      # quarantined now
+    assert rows["1", "A"].event_status == "c"
+    # the later snapshot has no rows left
+    assert {r.snapshot_time_key for r in rows.values()} == {202509021200}
+    bad = read_quarantine(spark, out).collect()
+    assert [(r.rule, r.event_status) for r in bad] == [("event_status", "x")]
+    write(c, "2509021200/b.xml", CH_B)
+    write_star(build_star(spark, None, c, sj), out, incremental=True)
+    assert read_quarantine(spark, out).count() == 0
+
+
+def test_ledger_and_sole_writer(spark, inputs, tmp):
+    from trainyard.sources.tables import sole_writer
+    p, c, sj = inputs
+    out = os.path.join(tmp, "star")
+    t = build_star(spark, p, None, sj)
+    write_star(t, out, batch="a")
+    for _ in range(2):      # the second time it is in the ledger
+        write_star(t, out, incremental=True, batch="b")
+    ledger = spark.read.parquet(os.path.join(out, "batches")).collect()
+    assert sorted(r.batch for r in ledger) == ["a", "b"]
+    with sole_writer(spark, out):
+        with pytest.raises(RuntimeError, match="has a writer already"):
+            write_star(t, out, incremental=True)
+    write_star(t, out, incremental=True, batch="c")
+
+
+def test_every_file_is_counted(spark, inputs, tmp):
+    """Good, malformed, empty, foreign and unknown files are all files."""
+    p, c, sj = inputs
+    write(p, "2509021200/empty.xml", "")
+    write(p, "2509021215/foreign.XML", "<stations><s id='1'/></stations>")
+    write(c, "2509021230/blank.xml", "  \n")
+    write(p, "notes/other.xml", "<timetable/>")     # not in a snapshot
+    t = build_star(spark, p, c, sj)
+    s = t.stats.first()
+    assert (s.snapshots, s.xml_files) == (3, 14)
+    assert (s.skipped_station, s.bad_xml, s.no_document) == (2, 1, 3)
+    reasons = {}
+    for r in t.rejects.collect():
+        reasons.setdefault(r.reason, []).append(os.path.basename(r.file_path))
+    assert sorted(reasons["no timetable"]) == ["blank.xml", "empty.xml",
+                                               "foreign.XML"]
+    good = t.rows.select("folder", "file").distinct().count()
+    assert good + 2 + 1 + 3 == 14
+    assert t.dim_time.filter("time_key = 202509021230").count() == 1
+
+
+def test_each_tree_is_parsed_once(spark, inputs, monkeypatch):
+    """One XML scan a tree; all tables read the stops written by it."""
+    from trainyard.plans import star
+    plans, real = [], star.cut_lineage
+
+    def counted(df, name="round"):
+        plans.append((name, df._jdf.queryExecution().toString()))
+        return real(df, name)
+
+    monkeypatch.setattr(star, "cut_lineage", counted)
+    p, c, sj = inputs
+    t = build_star(spark, p, c, sj)
+
+    def scans(text):
+        return text.split("== Physical Plan ==")[1].count("FileScan xml")
+
+    assert [n for n, text in plans if scans(text)] == ["bronze", "bronze"]
+    assert all(scans(text) <= 1 for _, text in plans)
+    for df in (t.dim_station, t.dim_train, t.dim_time, t.fact, t.rejects,
+               t.stats, t.rows, t.trains, t.files):
+        text = df._jdf.queryExecution().toString()
+        assert scans(text) == 0 and "FileScan json" not in text
 
 
 def test_star_write_incremental_idempotent(spark, inputs, tmp):

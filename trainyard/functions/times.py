@@ -18,22 +18,20 @@ def parse_stamp(x) -> Column:
     """Lenient ``YYMMDDHHMM`` -> timestamp_ntz; NULL unless ten ASCII digits
     forming a real date (years are 2000 + YY)."""
     x = _c(x)
-    return F.when(x.rlike(STAMP_RE),
-                  F.try_to_timestamp(x, F.lit("yyMMddHHmm"))
-                  ).cast("timestamp_ntz")
+
+    def two(i: int) -> Column:
+        return F.substring(x, i, 2).cast("int")
+
+    return F.when(x.rlike(STAMP_RE), F.try_make_timestamp_ntz(
+        two(1) + 2000, two(3), two(5), two(7), two(9), F.lit(0)))
 
 
 def parse_stamp_strict(x) -> Column:
     """Plan-side parse: surrounding blanks are ignored; a present value that
-    does not parse is reported by :func:`stamp_is_bad` (reject table)."""
+    does not parse goes to the reject table."""
     return parse_stamp(strip(_c(x)))
 
 
-def stamp_is_bad(raw, parsed) -> Column:
-    raw, parsed = _c(raw), _c(parsed)
-    return raw.isNotNull() & (raw != "") & parsed.isNull()
-
-
 def time_key(ts) -> Column:
     """timestamp -> ``yyyyMMddHHmm`` as bigint (e.g. 202509051116),
     computed from the calendar fields (no text formatting per row)."""
@@ -54,6 +52,19 @@ def stamp_key(stamp) -> Column:
     return F.concat(F.lit("20"), _c(stamp)).cast("long")
 
 
+def is_minute(key) -> Column:
+    """Whether a ``yyyyMMddHHmm`` key is a minute of the calendar; NULL for
+    no key."""
+    key = _c(key)
+
+    def part(width: int) -> Column:
+        return F.pmod(F.floor(key / width), F.lit(100)).cast("int")
+
+    return F.when(key.isNotNull(), F.try_make_timestamp_ntz(
+        F.floor(key / 100_000_000).cast("int"), part(1_000_000),
+        part(10_000), part(100), part(1), F.lit(0)).isNotNull())
+
+
 def snapshot_stamp(path) -> Column:
     """Parent-folder stamp of a file path ('' when the parent is not ten
     digits)."""

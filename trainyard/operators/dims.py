@@ -65,6 +65,14 @@ def merge_dim_station(old: DataFrame, new: DataFrame) -> DataFrame:
                        "v.station_name", "v.lat", "v.lon")
 
 
+def changed_stations(old: DataFrame, new: DataFrame) -> DataFrame | None:
+    """The merged stations, or None where the new ones change nothing."""
+    cols = ["eva", "station_name", "lat", "lon"]
+    if new.select(*cols).exceptAll(old.select(*cols)).isEmpty():
+        return None
+    return merge_dim_station(old, new)
+
+
 def build_station_aliases(entries: DataFrame) -> DataFrame:
     """Normalised-name -> EVA map.  Each entry contributes its normalised
     name, plus the name without a leading ``berlin `` or with it added;
@@ -94,10 +102,10 @@ def build_dim_time(times: DataFrame, ts_col: str = "ts") -> DataFrame:
                      *calendar_columns(F.col("ts")))
 
 
-def merge_dim_time(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Insert-if-absent."""
-    return old.unionByName(new.join(old.select("time_key"), "time_key",
-                                    "left_anti"))
+def new_times(old: DataFrame, new: DataFrame) -> DataFrame:
+    """The minutes that ``old`` has not."""
+    return new.join(old.select("time_key"), "time_key", "left_anti") \
+        .select(*old.columns)
 
 
 def train_parts(tl) -> F.Column:
@@ -121,19 +129,41 @@ def train_key(parts) -> F.Column:
     return F.xxhash64(*[parts[p] for p in DIM_TRAIN_PARTS])
 
 
-def build_dim_train(trains: DataFrame, parts_col: str = "train") -> DataFrame:
+def build_dim_train(trains: DataFrame, parts_col: str = "train",
+                    key=train_key) -> DataFrame:
     """Distinct train keys plus the one unknown-train member."""
     spark = trains.sparkSession
     unk = spark.range(1).select(unknown_train().alias(parts_col))
     t = trains.select(parts_col).unionByName(unk).distinct()
-    return t.select(train_key(F.col(parts_col)).alias("train_key"),
+    return t.select(key(F.col(parts_col)).alias("train_key"),
                     *[F.col(f"{parts_col}.{p}").alias(p)
                       for p in DIM_TRAIN_PARTS])
 
 
-def merge_dim_train(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Insert-if-absent on the five parts, so that a train whose key meets
-    another train's is not lost but shows up in the key check."""
-    return old.unionByName(new.join(old.select(*DIM_TRAIN_PARTS),
-                                    DIM_TRAIN_PARTS, "left_anti")
-                           .select(*old.columns))
+def new_trains(old: DataFrame | None, new: DataFrame) -> DataFrame:
+    """The trains (told apart by their five parts) that ``old`` has not."""
+    if old is None:
+        return new
+    return new.join(old.select(*DIM_TRAIN_PARTS), DIM_TRAIN_PARTS,
+                    "left_anti").select(*old.columns)
+
+
+def taken_keys(old: DataFrame | None, new: DataFrame) -> DataFrame:
+    """Parts of the ``new`` trains whose key another train has: a stored one,
+    else the unknown train, else the one with the smallest parts."""
+    parts = F.struct(*DIM_TRAIN_PARTS)
+    order = F.struct((parts != unknown_train()).alias("known"), *
+                     DIM_TRAIN_PARTS)
+    every = new.select("train_key", F.lit(1).alias("load"),
+                       order.alias("train"))
+    if old is not None:
+        every = every.unionByName(old.join(
+            new.select("train_key").distinct(), "train_key",
+            "left_semi").select("train_key", F.lit(0).alias("load"),
+                                order.alias("train")))
+    first = every.groupBy("train_key").agg(
+        F.min(F.struct("load", "train")).alias("f"),
+        F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return new.join(first, "train_key").filter(
+        (F.col("f.load") == 0) | (F.col("f.train") != order)) \
+        .select(*DIM_TRAIN_PARTS)

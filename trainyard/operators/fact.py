@@ -15,6 +15,10 @@ event_type)`` by a single aggregation that reproduces the row-by-row upsert
   train; the unknown train only if nothing else exists;
 * cancelled: sticky (OR over all rows).
 
+A tree of documents is parsed once, into a written table of stops
+(:func:`bronze_stops`, one row per stop, one per document without stops) that
+everything else is derived from.
+
 All aggregates are declarative, so Spark combines them map-side and a hot
 key never reaches one reducer as raw rows.
 """
@@ -30,7 +34,6 @@ from trainyard.functions.times import (parse_stamp, parse_stamp_strict,
                                        stamp_key, time_key)
 from trainyard.operators.common import first_non_null, last_non_null
 from trainyard.operators.dims import train_key, train_parts, unknown_train
-from trainyard.schemas import DIM_TRAIN_PARTS
 
 NATURAL_KEY = ["snapshot_time_key", "station_key", "stop_id", "event_type"]
 EVENT_ROW_COLUMNS = [
@@ -39,6 +42,8 @@ EVENT_ROW_COLUMNS = [
     "changed_platform", "line", "planned_path", "delay_minutes",
     "is_cancelled",
 ]
+# What the event log keeps of a row: also the file it came from.
+LOG_COLUMNS = [*EVENT_ROW_COLUMNS, "folder", "file"]
 # Type of the order key ``seq`` of event rows.
 ORDER_T = "struct<phase:int,first:bigint,second:bigint,third:bigint>"
 
@@ -60,13 +65,17 @@ def resolve_plan_docs(docs: DataFrame, aliases: DataFrame,
     return ok, skipped
 
 
+def change_eva() -> F.Column:
+    """The EVA number of a change document's root; NULL unless all digits."""
+    return F.when(F.col("_eva").rlike(r"^[0-9]+$"),
+                  F.col("_eva").try_cast("long"))
+
+
 def resolve_change_docs(docs: DataFrame, dim_station: DataFrame
                         ) -> tuple[DataFrame, DataFrame]:
     """Change documents -> station via the root ``eva`` attribute."""
-    eva = F.when(F.col("_eva").rlike(r"^[0-9]+$"),
-                 F.col("_eva").try_cast("long"))
     dim = dim_station.select("eva", "station_key")
-    j = docs.withColumn("eva", eva).join(dim, "eva", "left")
+    j = docs.withColumn("eva", change_eva()).join(dim, "eva", "left")
     ok = j.filter(F.col("station_key").isNotNull()).drop("eva")
     skipped = j.filter(F.col("station_key").isNull()).select(
         "file_path", "snapshot", F.lit("unknown station").alias("reason"))
@@ -74,11 +83,47 @@ def resolve_change_docs(docs: DataFrame, dim_station: DataFrame
 
 
 # ---------------------------------------------------------------- event rows
-def explode_stops_with_pos(docs: DataFrame) -> DataFrame:
-    """One row per ``s`` element (``stop``) with its document position
-    ``stop_pos``; documents without stops vanish."""
-    return docs.select("*", F.posexplode("s").alias("stop_pos", "stop")) \
-        .drop("s")
+def bronze_stops(docs: DataFrame, phase: int, dim_station: DataFrame,
+                 aliases: DataFrame | None = None) -> DataFrame:
+    """Documents of one phase (0 plan, 1 change) inside snapshot folders ->
+    one row per stop: phase, file_path, snapshot, folder, file, bad,
+    station_key (NULL: unknown station), stop_pos, stop.  A document without
+    stops, and one that did not parse, is one row with NULL stop.  Written,
+    this is the only thing that reads the XML."""
+    docs = docs.filter(F.col("snapshot") != "")
+    dim = dim_station.select("eva", "station_key")
+    if phase == 0:
+        name = norm_name(station_from_file(F.col("_station"),
+                                           F.col("file_name")))
+        known = docs.withColumn("alias", name).join(aliases, "alias", "left")
+    else:
+        known = docs.withColumn("eva", change_eva())
+    known = known.join(dim, "eva", "left")
+    bad = F.col("_bad").isNotNull()
+    parts = F.col("path_order")
+    return known.select(
+        F.lit(phase).alias("phase"), "file_path", "snapshot",
+        F.array_join(F.slice(parts, 1, F.size(parts) - 1), "/")
+        .alias("folder"), F.element_at(parts, -1).alias("file"),
+        bad.alias("bad"), F.when(~bad, F.col("station_key"))
+        .alias("station_key"),
+        F.posexplode_outer(F.when(~bad, F.col("s")))
+        .alias("stop_pos", "stop"))
+
+
+def bronze_rejects(bronze: DataFrame) -> DataFrame:
+    """Documents that are no good: (file_path, snapshot, reason), one row
+    each."""
+    first = bronze.filter(F.coalesce("stop_pos", F.lit(0)) == 0)
+    return first.filter(F.col("bad") | F.col("station_key").isNull()).select(
+        "file_path", "snapshot", F.when(F.col("bad"), "malformed xml")
+        .otherwise("unknown station").alias("reason"))
+
+
+def resolved_stops(bronze: DataFrame, phase: int) -> DataFrame:
+    return bronze.filter((F.col("phase") == phase) &
+                         F.col("station_key").isNotNull() &
+                         F.col("stop").isNotNull())
 
 
 def unpivot_events(stops: DataFrame, stop_col: str = "stop") -> DataFrame:
@@ -103,31 +148,33 @@ def order_key(phase: int, first, second, third) -> F.Column:
 
 
 def _doc_order(phase: int):
-    # the file's visiting order within its snapshot, the stop's position in
-    # the document, A before D
-    return order_key(phase, F.col("file_rank"), F.col("stop_pos"),
-                     F.col("ev_idx"))
-
-
-def with_file_rank(docs: DataFrame) -> DataFrame:
-    """Add ``file_rank``: the visiting order of a file among the files of
-    its snapshot stamp (folder components compared one by one, as a sorted
-    directory walk visits them).  Ranking runs over the distinct files of
-    each snapshot only, and turns the order key of the upsert into
-    numbers.  A snapshot folder holds one document per station, so each
-    window group is bounded by the number of stations, not by data
-    volume."""
+    # the stop's position in the document, A before D; the file's visiting
+    # order comes before them (see with_file_rank)
+    return order_key(phase, F.col("stop_pos"), F.col("ev_idx"), F.lit(0))
+
+
+def with_file_rank(rows: DataFrame) -> DataFrame:
+    """Add ``folder_rank`` and ``file_rank``: the order in which a sorted
+    directory walk visits the rows' files (folder components compared one by
+    one, then the file name).
+
+    Ranked are the distinct folders, one per snapshot, and the distinct file
+    names, one per station; the two small tables are joined to the rows (and
+    broadcast while the planner finds them small), so no row is shuffled for
+    its rank."""
     from pyspark.sql import Window
-    files = docs.select("snapshot", "file_path", "path_order").distinct()
-    w = Window.partitionBy("snapshot").orderBy("path_order", "file_path")
-    ranked = files.select("snapshot", "file_path",
-                          F.dense_rank().over(w).alias("file_rank"))
-    return docs.join(ranked, ["snapshot", "file_path"])
+    folders = rows.select("folder").distinct().select(
+        "folder", F.dense_rank().over(Window.partitionBy(F.lit(0)).orderBy(
+            F.split("folder", "/"))).alias("folder_rank"))
+    files = rows.select("file").distinct().select(
+        "file", F.dense_rank().over(Window.partitionBy(F.lit(0)).orderBy(
+            "file")).alias("file_rank"))
+    return rows.join(folders, "folder").join(files, "file")
 
 
 def plan_event_rows(stops: DataFrame) -> DataFrame:
     """Resolved plan stops (``snapshot``, ``station_key``, ``stop``,
-    ``path_order``, ``stop_pos``) -> event rows.  A present ``pt`` that does
+    ``stop_pos``, ``folder``, ``file``) -> event rows.  A present ``pt`` that does
     not parse gives a NULL planned time (see :func:`plan_time_rejects`)."""
     ev = unpivot_events(stops)
     planned = parse_stamp_strict(F.col("ev._pt"))
@@ -144,7 +191,7 @@ def plan_event_rows(stops: DataFrame) -> DataFrame:
         F.col("ev._l").alias("line"),
         F.col("ev._ppth").alias("planned_path"),
         F.lit(None).cast("int").alias("delay_minutes"),
-        F.lit(False).alias("is_cancelled"),
+        F.lit(False).alias("is_cancelled"), "folder", "file",
     )
 
 
@@ -180,6 +227,7 @@ def change_event_rows(stops: DataFrame) -> DataFrame:
         F.col("ev._ppth").alias("planned_path"),
         signed_delay(F.col("ev._dc"), pt, ct).alias("delay_minutes"),
         cancelled_event(F.col("ev._cs")).alias("is_cancelled"),
+        "folder", "file",
     )
 
 
@@ -191,24 +239,23 @@ def stop_trains(stops: DataFrame) -> DataFrame:
     return stops.select(train.alias("train")).distinct()
 
 
-def fact_as_rows(fact: DataFrame, dim_train: DataFrame) -> DataFrame:
-    """Existing fact rows as the earliest plan-phase rows of an upsert, so a
-    new batch folds onto the stored state (incremental load)."""
-    t = fact.join(dim_train, "train_key", "left")
-    zero = F.lit(0)
-    seq = order_key(-1, zero, zero, zero)  # before every batch row
-    return t.select(
-        F.lit(0).alias("phase"), seq.alias("seq"), *NATURAL_KEY,
-        F.struct(*[F.col(p) for p in DIM_TRAIN_PARTS]).alias("train"),
-        *EVENT_ROW_COLUMNS[7:])
+# -------------------------------------------------------------------- upsert
+def movement_key() -> F.Column:
+    """128 bits of the natural key, as 32 hex digits: wide enough for any
+    number of movements."""
+    halves = [F.lpad(F.hex(F.xxhash64(F.lit(i), *NATURAL_KEY)), 16, "0")
+              for i in (0, 1)]
+    return F.lower(F.concat(*halves))
 
 
-# -------------------------------------------------------------------- upsert
-def upsert_fact(rows: DataFrame) -> DataFrame:
+def upsert_fact(rows: DataFrame, key=train_key) -> DataFrame:
     """Fold event rows into one fact row per natural key (see module doc).
     ``seq`` orders the rows (any orderable type whose leading part is the
-    phase; the readers produce :func:`order_key`)."""
+    phase; the readers produce :func:`order_key`); rows of several files
+    carry their ranks too (:func:`with_file_rank`)."""
     order = F.col("seq")                   # phase is its leading part
+    if "file_rank" in rows.columns:
+        order = F.struct("phase", "folder_rank", "file_rank", "seq")
     is_plan = F.col("phase") == 0
     is_change = F.col("phase") == 1
     unk = unknown_train()
@@ -233,8 +280,8 @@ def upsert_fact(rows: DataFrame) -> DataFrame:
         F.bool_or("is_cancelled").alias("is_cancelled"),
     )
     return agg.select(
-        F.xxhash64(*NATURAL_KEY).alias("movement_key"),
-        "station_key", train_key(F.col("train")).alias("train_key"),
+        movement_key().alias("movement_key"),
+        "station_key", key(F.col("train")).alias("train_key"),
         "snapshot_time_key", "stop_id", "event_type", "planned_time_key",
         "changed_time_key", "event_status", "planned_platform",
         "changed_platform", "line", "planned_path", "delay_minutes",
@@ -260,9 +307,9 @@ def observed_times(rows: DataFrame, docs: DataFrame | None = None
 
 def load_statistics(docs: DataFrame, rejects: DataFrame,
                     rows: DataFrame) -> DataFrame:
-    """One-row load report: snapshots, files, event rows, skipped-station
-    files and malformed files, from one aggregation over the three inputs
-    tagged and unioned."""
+    """One-row load report: snapshots, files, event rows, documents of unknown
+    stations, malformed documents and files without any document, from one
+    aggregation over the three inputs tagged and unioned."""
     null_s = F.lit(None).cast("string")
     u = (docs.select(F.lit("doc").alias("kind"), "snapshot", "file_path",
                      null_s.alias("reason"))
@@ -282,4 +329,6 @@ def load_statistics(docs: DataFrame, rejects: DataFrame,
         F.count(F.when(F.col("reason") == "unknown station", 1))
         .alias("skipped_station"),
         F.count(F.when(F.col("reason") == "malformed xml", 1))
-        .alias("bad_xml"))
+        .alias("bad_xml"),
+        F.count(F.when(F.col("reason") == "no timetable", 1))
+        .alias("no_document"))

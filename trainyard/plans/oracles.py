@@ -3,8 +3,6 @@
 Written independently of the Spark code, over the raw driver views.
 """
 
-from trainyard.functions.text import LIVE_PATH_ALIASES
-
 DEPARTURE = "2024-01-01 00:00:00"
 HOP_SOURCE = "Berlin Hub 1"
 
@@ -13,9 +11,30 @@ def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
+# Names that a path may have, and the station they mean.
+ALIASES = """
+Berlin Zoo > Berlin Zoologischer Garten
+Zoo > Berlin Zoologischer Garten
+Berlin Hauptbahnhof > Berlin Hbf
+Berlin Hbf (S-Bahn) > Berlin Hbf
+Berlin Yorckstr.(S1) > Berlin Yorckstraße
+Berlin Yorckstr.(S2) > Berlin Yorckstraße
+Berlin Südkreuz (Bus) > Berlin Südkreuz
+Berlin Wittenau (Wilhelmsruher Damm) > Berlin Wittenau
+Bernau(b Berlin) > Bernau
+Borgsdorf, Hohen Neuendorf > Borgsdorf
+Birkenwerder Hauptstraße > Birkenwerder
+Buch, Berlin > Berlin Buch
+Karow Bahnhof, Berlin > Berlin Karow
+Pankow-Heinersdorf, Berlin > Berlin Pankow-Heinersdorf
+Köpenick/Parrisiusstr., Berlin > Berlin Köpenick
+Blankenburg, Berlin > Berlin Blankenburg
+"""
+
+
 def _alias_values() -> str:
-    return ", ".join(f"({_q(k)}, {_q(v)})" for k, v in
-                     LIVE_PATH_ALIASES.items())
+    pairs = [line.split(" > ") for line in ALIASES.strip().splitlines()]
+    return ", ".join(f"({_q(k)}, {_q(v)})" for k, v in pairs)
 
 
 def norm_station(x: str) -> str:
@@ -41,6 +60,14 @@ def norm_name(x: str) -> str:
             f"'\\s+', ' ', 'g')")
 
 
+PATH_NAMES = """'Berlin Zoo', 'Zoo', 'Berlin Hauptbahnhof',
+  'Berlin-Hbf (S-Bahn)', 'Berlin Yorckstr.(S1)', 'Berlin-Yorckstr.(S2) (S+U)',
+  'Berlin Südkreuz (Bus)', 'Berlin Wittenau (Wilhelmsruher Damm) (U)',
+  'Bernau(b Berlin)', 'Borgsdorf, Hohen Neuendorf',
+  'Birkenwerder Hauptstraße (S)', 'Buch (S), Berlin', 'Karow Bahnhof, Berlin',
+  'Pankow-Heinersdorf, Berlin', 'Köpenick/Parrisiusstr., Berlin',
+  'Blankenburg, Berlin', ' Zoo', 'Berlin-Zoo '"""
+
 TK = "CAST(strftime({}, '%Y%m%d%H%M') AS BIGINT)"
 
 def in_week(day, hours, minutes):
@@ -234,6 +261,70 @@ SELECT snapshot_time_key, station_key, stop_id, event_type, planned_time_key,
   train.trip_type AS trip_type, train.filter_flags AS filter_flags
 FROM fact"""
 
+# The XML load: documents of an order are in the snapshot folder of its key
+# modulo four; stations with k % 13 = 12 are not in the station list.
+SNAP = "(202509010800 + 15 * CAST({} % 4 AS BIGINT))"
+
+XML_STAR = f"""WITH {PLAN_RAW},
+  pk AS (
+    SELECT *, {SNAP.format('CAST(stop_id AS BIGINT)')} AS snap,
+      8000000 + CAST(substr(station_name, 2) AS INTEGER) AS station_key,
+      CAST(substr(station_name, 2) AS INTEGER) % 13 <> 12 AS known
+    FROM plan_raw),
+  prow AS (
+    SELECT snap, station_key, stop_id, 'A' AS event_type,
+      {TK.format('planned_arrival')} AS planned_time_key,
+      platform_arrival AS planned_platform, CAST(NULL AS VARCHAR) AS line,
+      CAST(NULL AS VARCHAR) AS planned_path,
+      train_category AS category, train_number
+    FROM pk WHERE known AND planned_arrival IS NOT NULL
+    UNION ALL
+    SELECT snap, station_key, stop_id, 'D',
+      {TK.format('planned_departure')}, platform_departure,
+      'L' || right(train_number, 1), station_name || '|S0',
+      train_category, train_number
+    FROM pk WHERE known AND planned_departure IS NOT NULL),
+  lines AS (
+    SELECT *, {SNAP.format('l_orderkey')} AS snap,
+      8000000 + o_custkey % 40 AS station_key,
+      CAST(l_orderkey AS VARCHAR) AS stop_id,
+      CAST('20' || strftime(l_shipdate + to_minutes(
+        CAST(l_linenumber * 7 AS BIGINT)), '%y%m%d%H%M') AS BIGINT) AS ck,
+      row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber,
+        l_shipdate, l_returnflag, l_quantity) AS rn
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+    WHERE o_custkey % 40 % 13 <> 12),
+  crow AS (
+    SELECT snap, station_key, stop_id, 'A' AS event_type, ck, rn,
+      CASE WHEN l_returnflag = 'R' THEN 'c' END AS event_status,
+      CAST(NULL AS INTEGER) AS delay_minutes FROM lines
+    UNION ALL
+    SELECT snap, station_key, stop_id, 'D', ck, rn, NULL,
+      CASE WHEN l_quantity > 25 THEN CAST(l_linenumber AS INTEGER) END
+    FROM lines),
+  ch AS (
+    SELECT snap, station_key, stop_id, event_type,
+      arg_max(ck, rn) FILTER (WHERE ck IS NOT NULL) AS changed_time_key,
+      arg_max(event_status, rn) FILTER (WHERE event_status IS NOT NULL)
+        AS event_status,
+      arg_max(delay_minutes, rn) FILTER (WHERE delay_minutes IS NOT NULL)
+        AS delay_minutes,
+      coalesce(bool_or(event_status = 'c'), false) AS is_cancelled
+    FROM crow GROUP BY ALL),
+  folded AS (
+    SELECT CAST(coalesce(p.snap, c.snap) AS BIGINT) AS snapshot_time_key,
+      CAST(coalesce(p.station_key, c.station_key) AS BIGINT) AS station_key,
+      coalesce(p.stop_id, c.stop_id) AS stop_id,
+      coalesce(p.event_type, c.event_type) AS event_type,
+      p.planned_time_key, c.changed_time_key, c.event_status,
+      p.planned_platform, p.line, p.planned_path, c.delay_minutes,
+      coalesce(c.is_cancelled, false) AS is_cancelled,
+      coalesce(p.category, 'UNK') AS category,
+      coalesce(p.train_number, 'UNK') AS train_number
+    FROM prow p FULL OUTER JOIN ch c
+      ON p.snap = c.snap AND p.station_key = c.station_key
+     AND p.stop_id = c.stop_id AND p.event_type = c.event_type)"""
+
 CUSTOMER_ENTRIES = """
 cust AS (
   SELECT c_custkey,
@@ -393,16 +484,20 @@ ORACLE: dict[str, str] = {
         count(DISTINCT (station_key, stop_id)) AS cancelled_trains
       FROM fact WHERE is_cancelled GROUP BY 1""",
     "q24_avg_delay": f"""{STAR}, {SUPPLIER_DIM},
-      j AS (SELECT s.station_name, f.delay_minutes FROM sdim s
-            JOIN fact f ON f.station_key = s.station_key
-            WHERE s.station_name ILIKE '%' || 'supplier' || '%'
-              AND f.event_type = 'D' AND f.is_cancelled = false
-              AND f.delay_minutes IS NOT NULL)
-      SELECT station_name,
-        {round2('CAST(sum(delay_minutes) AS BIGINT)', 'count(*)')}
-          AS avg_delay_minutes,
-        count(*) AS num_events_used
-      FROM j GROUP BY station_name""",
+      per_key AS (
+        SELECT station_key, sum(delay_minutes) AS minutes,
+          count(delay_minutes) AS events
+        FROM fact WHERE event_type = 'D' AND NOT is_cancelled
+        GROUP BY station_key HAVING count(delay_minutes) > 0),
+      per_name AS (
+        SELECT n.station_name, CAST(sum(minutes) AS BIGINT) AS minutes,
+          CAST(sum(events) AS BIGINT) AS events
+        FROM per_key JOIN sdim n USING (station_key)
+        WHERE contains(lower(n.station_name), 'supplier')
+        GROUP BY n.station_name)
+      SELECT station_name, {round2('minutes', 'events')}
+          AS avg_delay_minutes, events AS num_events_used
+      FROM per_name""",
     "dim_time": f"""WITH t AS (
         SELECT o_orderdate AS ts FROM orders UNION
         SELECT l_shipdate FROM lineitem UNION
@@ -508,24 +603,28 @@ ORACLE: dict[str, str] = {
         {_parse("strftime(planned_departure, '%y%m%d%H%M')")}
           AS planned_departure,
         platform_departure FROM plan_raw""",
-    "normalise_names": f"""WITH n AS (
-        SELECT p_partkey, CASE p_size % 8
+    "normalise_names": f"""WITH spelt AS (
+        SELECT p_partkey, CASE p_size % 5
           WHEN 0 THEN 'Berlin-' || p_name WHEN 1 THEN p_name || ' (S)'
-          WHEN 2 THEN p_name || '(U)' WHEN 3 THEN 'Berlin Zoo'
-          WHEN 4 THEN p_name || ' (S+U) ' WHEN 5 THEN 'Buch (S), Berlin'
-          WHEN 6 THEN 'Berlin Yorckstr.(S1)' ELSE ' ' || p_name END AS name
+          WHEN 2 THEN p_name || '(U)' WHEN 3 THEN p_name || ' (S+U) '
+          ELSE ' ' || p_name END AS name FROM part
+        UNION ALL
+        SELECT p_partkey, [{PATH_NAMES}][1 + CAST(p_partkey % 18 AS INTEGER)]
         FROM part)
-      SELECT p_partkey, name, {norm_station('name')} AS normalized FROM n""",
+      SELECT p_partkey, name, {norm_station('name')} AS normalized
+      FROM spelt""",
     "unique_stations": f"""WITH {PATHS},
       s AS (SELECT trim(unnest(list_filter(string_split(planned_path, '|'),
                                  lambda x: trim(x) <> ''))) AS x FROM paths)
       SELECT DISTINCT {norm_station('x')} AS station FROM s""",
     "static_graph": f"WITH {GRAPH} SELECT src, dst FROM edges",
     "graph_nodes": f"WITH {GRAPH} SELECT station FROM nodes",
-    "q21_lookup_single": f"""WITH {SUPPLIER_DIM}
-      SELECT station_name, lat, lon, eva AS identifier FROM sdim
-      WHERE station_name ILIKE '%' || 'plier#0' || '%'
-      ORDER BY station_name, eva LIMIT 1""",
+    "q21_lookup_single": f"""WITH {SUPPLIER_DIM},
+      hits AS (SELECT * FROM sdim
+               WHERE contains(lower(station_name), 'plier#0')),
+      best AS (SELECT min((station_name, eva)) AS b FROM hits)
+      SELECT h.station_name, h.lat, h.lon, h.eva AS identifier
+      FROM hits h JOIN best ON (h.station_name, h.eva) = b""",
     "connections_star": f"""{STAR}, {SUPPLIER_DIM},
       keys AS (
         SELECT snapshot_time_key AS k FROM ev_rows UNION
@@ -624,57 +723,68 @@ ORACLE: dict[str, str] = {
         CAST(coalesce(s.stations, 0) AS INTEGER) AS stations,
         coalesce(s.itinerary, '') AS itinerary
       FROM arrv a LEFT JOIN summ s ON s.target = a.station""",
-    "star_from_xml": f"""WITH {PLAN_RAW},
-      pk AS (
-        SELECT CAST(substr(station_name, 2) AS INTEGER) AS k, * FROM plan_raw),
-      prow AS (
-        SELECT 8000000 + k AS station_key, stop_id, 'A' AS event_type,
-          CAST(strftime(planned_arrival, '%Y%m%d%H%M') AS BIGINT)
-            AS planned_time_key,
-          platform_arrival AS planned_platform, CAST(NULL AS VARCHAR) AS line,
-          CAST(NULL AS VARCHAR) AS planned_path,
-          train_category AS category, train_number
-        FROM pk WHERE planned_arrival IS NOT NULL
-        UNION ALL
-        SELECT 8000000 + k, stop_id, 'D',
-          CAST(strftime(planned_departure, '%Y%m%d%H%M') AS BIGINT),
-          platform_departure, 'L' || right(train_number, 1),
-          station_name || '|S0', train_category, train_number
-        FROM pk WHERE planned_departure IS NOT NULL),
-      lastli AS (
-        SELECT * FROM (
-          SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY
-            l_linenumber DESC, l_shipdate DESC, l_returnflag DESC,
-            l_quantity DESC) AS rn FROM lineitem) WHERE rn = 1),
-      crow0 AS (
-        SELECT 8000000 + o_custkey % 40 AS station_key,
-          CAST(o_orderkey AS VARCHAR) AS stop_id,
-          CAST('20' || strftime(l_shipdate + to_minutes(
-            CAST(l_linenumber * 7 AS BIGINT)), '%y%m%d%H%M') AS BIGINT) AS ck,
-          l_returnflag, l_quantity, l_linenumber
-        FROM lastli JOIN orders ON l_orderkey = o_orderkey),
-      crow AS (
-        SELECT station_key, stop_id, 'A' AS event_type,
-          ck AS changed_time_key,
-          CASE WHEN l_returnflag = 'R' THEN 'c' END AS event_status,
-          CAST(NULL AS INTEGER) AS delay_minutes,
-          l_returnflag = 'R' AS is_cancelled FROM crow0
+    "star_from_xml": f"""{XML_STAR}
+      SELECT snapshot_time_key, station_key, stop_id, event_type,
+        planned_time_key, changed_time_key, event_status, planned_platform,
+        CAST(NULL AS VARCHAR) AS changed_platform, line, planned_path,
+        delay_minutes, is_cancelled, category, train_number, '' AS owner,
+        '' AS trip_type, '' AS filter_flags
+      FROM folded""",
+    "star_dim_train": f"""{XML_STAR}
+      SELECT DISTINCT train_category AS category, train_number, '' AS owner,
+        '' AS trip_type, '' AS filter_flags FROM pk WHERE known
+      UNION SELECT 'UNK', 'UNK', '', '', ''""",
+    "star_dim_time": f"""{XML_STAR},
+      minutes AS (
+        SELECT DISTINCT {SNAP.format('o_orderkey')} AS k FROM orders UNION
+        SELECT planned_time_key FROM prow UNION
+        SELECT ck FROM crow),
+      t AS (SELECT k AS time_key, strptime(CAST(k AS VARCHAR),
+              '%Y%m%d%H%M') AS ts FROM minutes WHERE k IS NOT NULL)
+      SELECT time_key, ts, CAST(ts AS DATE) AS date,
+        CAST(hour(ts) AS SMALLINT) AS hour,
+        CAST(minute(ts) AS SMALLINT) AS minute,
+        CAST(isodow(ts) AS SMALLINT) AS dow, isodow(ts) >= 6 AS is_weekend
+      FROM t""",
+    "star_load_stats": f"""{XML_STAR}
+      SELECT (SELECT count(DISTINCT o_orderkey % 4) FROM orders) AS snapshots,
+        (SELECT count(*) FROM prow) + (SELECT count(*) FROM crow)
+          AS event_rows,
+        (SELECT count(*) FROM pk WHERE NOT known) + (
+          SELECT count(DISTINCT o_orderkey) FROM orders
+          JOIN lineitem ON l_orderkey = o_orderkey
+          WHERE o_custkey % 40 % 13 = 12) AS skipped_station,
+        (SELECT count(*) FROM nation WHERE n_nationkey % 3 = 0) AS bad_xml,
+        (SELECT count(*) FROM nation WHERE n_nationkey % 3 <> 0)
+          AS no_document,
+        CAST(0 AS BIGINT) AS unaccounted""",
+    "load_constraints": f"""WITH {LI_KEYS}, {PLAN_ROWS}, {CHANGE_ROWS},
+      staged AS (
+        SELECT snapshot_time_key, station_key, stop_id, event_type,
+          event_status, {TRAIN} AS train FROM plan_rows
         UNION ALL
-        SELECT station_key, stop_id, 'D', ck, NULL,
-          CASE WHEN l_quantity > 25 THEN CAST(l_linenumber AS INTEGER) END,
-          false FROM crow0)
-      SELECT CAST(202509010800 AS BIGINT) AS snapshot_time_key,
-        CAST(coalesce(p.station_key, c.station_key) AS BIGINT) AS station_key,
-        coalesce(p.stop_id, c.stop_id) AS stop_id,
-        coalesce(p.event_type, c.event_type) AS event_type,
-        p.planned_time_key, c.changed_time_key, c.event_status,
-        p.planned_platform, CAST(NULL AS VARCHAR) AS changed_platform,
-        p.line, p.planned_path, c.delay_minutes,
-        coalesce(c.is_cancelled, false) AS is_cancelled,
-        coalesce(p.category, 'UNK') AS category,
-        coalesce(p.train_number, 'UNK') AS train_number,
-        '' AS owner, '' AS trip_type, '' AS filter_flags
-      FROM prow p FULL OUTER JOIN crow c
-        ON p.station_key = c.station_key AND p.stop_id = c.stop_id
-       AND p.event_type = c.event_type""",
+        SELECT snapshot_time_key, station_key,
+          CASE WHEN l_linenumber <> 6 THEN stop_id END, event_type,
+          CASE WHEN l_linenumber = 5 AND event_status = 'a' THEN 'x'
+               ELSE event_status END, {TRAIN} FROM change_rows),
+      trains AS (
+        SELECT DISTINCT train,
+          coalesce(TRY_CAST(train.train_number AS BIGINT), -1) AS key
+        FROM (SELECT train FROM staged UNION ALL SELECT {UNK})),
+      owner AS (
+        SELECT key, arg_min(train, (train <> {UNK}, train.category,
+          train.train_number, train.owner, train.trip_type,
+          train.filter_flags)) AS train FROM trains GROUP BY key),
+      checked AS (
+        SELECT *, CASE WHEN stop_id IS NULL THEN 'stop_id not null'
+          WHEN event_status NOT IN ('p', 'a', 'c') THEN 'event_status'
+          WHEN train NOT IN (SELECT train FROM owner)
+          THEN 'train key taken' END AS rule FROM staged)
+      SELECT coalesce(rule, 'loaded') AS rule, count(*) AS n FROM checked
+      GROUP BY 1
+      UNION ALL
+      SELECT 'facts', count(DISTINCT (snapshot_time_key, station_key,
+        stop_id, event_type)) FROM checked WHERE rule IS NULL
+      UNION ALL SELECT 'trains', count(*) FROM owner
+      UNION ALL SELECT 'facts without train', CAST(0 AS BIGINT)""",
 }

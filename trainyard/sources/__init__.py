@@ -1,16 +1,15 @@
 """Readers and writers."""
 
-from trainyard.sources.xml import (read_timetable_docs, split_rejects,
-                                   explode_stops, read_plan_raw,
+from trainyard.sources.xml import (list_timetable_files, read_timetable_docs,
+                                   split_rejects, read_plan_raw,
                                    read_change_raw, write_timetable_xml)
 from trainyard.sources.stations import read_station_entries
 from trainyard.sources.tables import (write_parquet, write_movements,
-                                      read_movements, write_partitioned,
-                                      checkpoint_table, batch_params)
+                                      read_movements, write_partitioned)
 
 __all__ = [
-    "read_timetable_docs", "split_rejects", "explode_stops", "read_plan_raw",
-    "read_change_raw", "write_timetable_xml", "read_station_entries",
-    "write_parquet", "write_movements", "read_movements",
-    "write_partitioned", "checkpoint_table", "batch_params",
+    "list_timetable_files", "read_timetable_docs", "split_rejects",
+    "read_plan_raw", "read_change_raw", "write_timetable_xml",
+    "read_station_entries", "write_parquet", "write_movements",
+    "read_movements", "write_partitioned",
 ]

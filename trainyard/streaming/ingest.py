@@ -1,12 +1,12 @@
 """Incremental star load driven by a stream of snapshot files.
 
-New XML files under a week folder arrive as a Structured Streaming file
-source; every micro-batch goes through the same code as the batch load and
-is folded into the stored tables (touched snapshot partitions only).  The
-micro-batch replayed after a failure is the latest one, which leaves the
-tables as they were; the stream's own checkpoint records which files were
-consumed.  Run one stream at a time on an output folder.  Files of one snapshot may arrive in several batches: the stored
-rows of that snapshot are folded first, then the new rows.
+New XML files anywhere under a week folder arrive as a Structured Streaming
+file source; every micro-batch goes through the same code as the batch load.
+Its files replace their stored rows and the snapshots they touch are folded
+again, so files may come in any order and a batch replayed after a failure
+changes nothing.  The stream's own checkpoint records which files were
+consumed, the tables' ledger which batches were applied.  One stream writes
+to an output folder at a time: two streams (plans and changes) take turns.
 """
 
 from __future__ import annotations
@@ -20,25 +20,27 @@ from trainyard.sources.xml import with_provenance
 
 
 def snapshot_stream(spark: SparkSession, root: str,
-                    glob: str = "*/*.[xX][mM][lL]",
                     max_files_per_trigger: int | None = None) -> DataFrame:
-    """XML documents of ``root/<glob>`` as a stream, with provenance."""
+    """XML documents under ``root``, at any depth, as a stream, with
+    provenance."""
     r = (spark.readStream.format("xml")
          .option("rowTag", "timetable")
+         .option("recursiveFileLookup", "true")
+         .option("pathGlobFilter", "*.[xX][mM][lL]")
          .option("mode", "PERMISSIVE")
          .option("columnNameOfCorruptRecord", "_bad")
          .schema(TIMETABLE_XML))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return with_provenance(r.load(f"{root.rstrip('/')}/{glob}"))
+    return with_provenance(r.load(root))
 
 
 def start_snapshot_stream(spark: SparkSession, root: str, kind: str,
                           station_json: str, out_dir: str,
-                          checkpoint: str,
-                          glob: str = "*/*.[xX][mM][lL]",
-                          available_now: bool = True,
-                          multi_line_json: bool = True) -> StreamingQuery:
+                          checkpoint: str, available_now: bool = True,
+                          multi_line_json: bool = True,
+                          max_files_per_trigger: int | None = None
+                          ) -> StreamingQuery:
     """Start folding ``kind`` ('plan' or 'change') snapshot files into the
     star tables under ``out_dir``.  ``available_now`` processes what is
     there and stops; otherwise the query keeps watching the folder."""
@@ -46,15 +48,14 @@ def start_snapshot_stream(spark: SparkSession, root: str, kind: str,
         raise ValueError("kind must be 'plan' or 'change'")
 
     def fold(batch: DataFrame, epoch_id: int) -> None:
-        if batch.isEmpty():
-            return
         docs = {"plan_docs": batch} if kind == "plan" else \
             {"change_docs": batch}
         t = build_star(batch.sparkSession, None, None, station_json,
                        multi_line_json, **docs)
-        write_star(t, out_dir, incremental=True)
+        write_star(t, out_dir, incremental=True,
+                   batch=f"{checkpoint}#{epoch_id}")
 
-    w = (snapshot_stream(spark, root, glob).writeStream
+    w = (snapshot_stream(spark, root, max_files_per_trigger).writeStream
          .foreachBatch(fold)
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else \
