@@ -144,10 +144,15 @@ def test_pieces_equal_whole_texts(docs):
 
 
 def test_spans_are_refined_by_bytes():
+    def cuts(spans, sizes):
+        x = np.array(spans)
+        return alignment.byte_cuts(x[:, 0], x[:, 1],
+                                   np.array(sizes)).tolist()
     # two ids inside one character, then an empty span before a whole one
-    assert alignment.byte_cuts([(0, 3), (0, 3), (3, 4)], [2, 1, 1]) == [2, 3, 4]
-    assert alignment.byte_cuts([(0, 0), (0, 0), (0, 3), (3, 5)],
-                               [1, 1, 1, 2]) == [1, 2, 3, 5]
+    assert cuts([(0, 3), (0, 3), (3, 4)], [2, 1, 1]) == [2, 3, 4]
+    assert cuts([(0, 0), (0, 0), (0, 3), (3, 5)], [1, 1, 1, 2]) == \
+        [1, 2, 3, 5]
+    assert alignment.char_bytes("aé漢".encode()).tolist() == [0, 1, 3, 6]
 
 
 def test_lookup_table():

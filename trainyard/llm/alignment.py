@@ -23,7 +23,6 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,9 +39,10 @@ from trainyard.session import work_dir
 
 TOKENIZER = "byte_bpe_50k.json"
 MODEL = "piece_bpe_32k.model"
-CACHED = 250_000        # pieces of a generation; two are kept
+CACHED = 200_000        # pieces of a generation; two are kept
 CACHED_CHARS = 64       # longer pieces are not kept
-SLICE = 1_000_000       # characters aligned at once
+SLICE = 500_000         # characters aligned at once
+TOGETHER = 1_000        # pieces encoded as one text
 HEAD = 1 << 20          # most frequent pairs, broadcast; others are joined
 LINKS = 1_000_000       # links counted at once
 _MARK = "\u2581"        # sentencepiece's blank
@@ -68,16 +68,21 @@ def cut(text: str) -> list[str]:
     return _CUT.split(" " + text)
 
 
-def byte_cuts(spans: list[tuple[int, int]], sizes: list[int]) -> list[int]:
+def byte_cuts(begin: np.ndarray, end: np.ndarray, size: np.ndarray
+              ) -> np.ndarray:
     """Where each id ends, in bytes: at its span's end where the span is its
-    own, else its decoded bytes behind the last such place.  Spans that
-    contradict the decoded bytes give way to them."""
-    out, at = [], 0
-    for i, ((begin, end), size) in enumerate(zip(spans, sizes)):
-        at += size
-        own = end > begin and (i + 1 == len(spans) or spans[i + 1][0] >= end)
-        out.append(end if own and end == at else at)
-    return out
+    own, else its decoded bytes (``size``) behind the last such place.  Spans
+    that contradict the decoded bytes give way to them."""
+    decoded = np.cumsum(size)
+    behind = np.append(begin[1:], np.iinfo(np.int64).max)
+    own = (end > begin) & (behind >= end) & (end == decoded)
+    return np.where(own, end, decoded)
+
+
+def char_bytes(text: bytes) -> np.ndarray:
+    """The byte where each character of ``text`` begins, and its length."""
+    raw = np.frombuffer(text, np.uint8)
+    return np.append(np.flatnonzero((raw & 0xC0) != 0x80), len(raw))
 
 
 class Aligner:
@@ -95,54 +100,94 @@ class Aligner:
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i)
                         else p.replace(_MARK, " ").encode()
                         for i, p in enumerate(pieces)]
+        self.a_size = np.array([len(x) for x in self.a_bytes], np.int64)
+        self.b_size = np.array([len(x) for x in self.b_bytes], np.int64)
         self.apart = not any(re.search(f"\n|[^{_MARK}]{_MARK}", p)
                              for p in pieces)
         self.new: dict[str, tuple] = {}
         self.old: dict[str, tuple] = {}
 
-    def _entry(self, piece: str, encoding, proto) -> tuple:
+    def _tokens(self, text: str, own_blank: bool):
+        """Both tokenizers' ids of ``text`` and their byte cuts; None where
+        the ids' bytes are not the text's.  ``own_blank``: the text's first
+        blank is the one that the model puts in front."""
+        whole = text.encode()
+        encoding = self.a.encode(text, add_special_tokens=False)
+        proto = self.b.encode(text[1:] if own_blank else text,
+                              return_type="proto")
+        a = encoding.ids
+        spans = [(p.id, p.begin, p.end) for p in proto.pieces]
+        if not own_blank:       # the model's blank is not in the text
+            spans = spans[1:]
+        b = [p[0] for p in spans]
+        if b"".join([self.a_bytes[i] for i in a]) != whole or \
+                b"".join([self.b_bytes[i] for i in b]) != whole:
+            return None
+        a, b = np.array(a, np.int64), np.array(b, np.int64)
+        at = np.array(encoding.offsets, np.int64).reshape(-1, 2)
+        if not text.isascii():
+            at = char_bytes(whole)[at]
+        spans = np.array(spans, np.int64).reshape(-1, 3)
+        begin, end = spans[:, 1] + own_blank, spans[:, 2] + own_blank
+        if own_blank:
+            begin[0] = 0
+        return (a, byte_cuts(at[:, 0], at[:, 1], self.a_size[a]),
+                b, byte_cuts(begin, end, self.b_size[b]))
+
+    def _entries(self, a, ends_a, b, ends_b, edges) -> list[tuple]:
         """ids of A and of B as bytes, the groups as text, numbers of groups
-        and of links; (.., -2**40) where the bytes differ."""
-        whole = piece.encode()
-        a, b = encoding.ids, [p.id for p in proto.pieces]
-        spans = [(p.begin, p.end) for p in proto.pieces]
-        if piece[0] == "\n":    # the model's own blank is not in the text
-            b, spans = b[1:], spans[1:]
-        else:
-            spans = [(x + 1 if i else 0, y + 1)
-                     for i, (x, y) in enumerate(spans)]
-        ab, bb = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-        if b"".join(ab) != whole or b"".join(bb) != whole:
+        and of links, for the stretch up to each of the byte ``edges``."""
+        cuts = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        group_a = np.searchsorted(cuts, ends_a)
+        group_b = np.searchsorted(cuts, ends_b)
+        last_a = np.append(group_a[1:] != group_a[:-1], True)
+        last_b = np.append(group_b[1:] != group_b[:-1], True)
+        # a group's ids of A, then its ids of B
+        order = np.argsort(np.concatenate((2 * group_a, 2 * group_b + 1)),
+                           kind="stable")
+        words = [f"{i}|" if e else f"{i}," for i, e in
+                 zip(a.tolist(), last_a.tolist())]
+        words += [f"{i};" if e else f"{i}," for i, e in
+                  zip(b.tolist(), last_b.tolist())]
+        words = [words[i] for i in order.tolist()]
+        flat_a, flat_b = a.astype("<u4").tobytes(), b.astype("<u4").tobytes()
+        to_a = np.searchsorted(ends_a, edges, "right").tolist()
+        to_b = np.searchsorted(ends_b, edges, "right").tolist()
+        to_cut = np.searchsorted(cuts, edges, "right").tolist()
+        out, i, j, k = [], 0, 0, 0
+        for x, y, z in zip(to_a, to_b, to_cut):
+            out.append((flat_a[4 * i:4 * x], flat_b[4 * j:4 * y],
+                        "".join(words[i + j:x + y])[:-1], z - k,
+                        x - i + y - j - z + k))
+            i, j, k = x, y, z
+        return out
+
+    def _one(self, piece: str) -> tuple:
+        """Entry of one piece; (.., -2**40) where the bytes differ."""
+        got = self._tokens(piece, piece[0] == " ")
+        if got is None:
             return b"", b"", "", 0, -1 << 40
-        offsets = encoding.offsets
-        if not piece.isascii():
-            at = [0]
-            for c in piece:
-                at.append(at[-1] + len(c.encode()))
-            offsets = [(at[x], at[y]) for x, y in offsets]
-        ends_a = byte_cuts(offsets, [len(x) for x in ab])
-        ends_b = byte_cuts(spans, [len(x) for x in bb])
-        groups, j, i0, j0, both = [], 0, 0, 0, 0
-        for i, end in enumerate(ends_a):
-            while ends_b[j] < end:
-                j += 1
-            if ends_b[j] == end:
-                groups.append(",".join(map(str, a[i0:i + 1])) + "|"
-                              + ",".join(map(str, b[j0:j + 1])))
-                i0, j0, both = i + 1, j + 1, both + 1
-        return (array("I", a).tobytes(), array("I", b).tobytes(),
-                ";".join(groups), both, len(a) + len(b) - both)
+        return self._entries(*got, np.array([len(piece.encode())]))[0]
 
     def _learn(self, pieces: list[str]) -> dict[str, tuple]:
-        out = {}
-        for i in range(0, len(pieces), 20_000):
-            some = pieces[i:i + 20_000]
-            encodings = self.a.encode_batch(some, add_special_tokens=False)
-            protos = self.b.encode(
-                [p if p[0] == "\n" else p[1:] for p in some],
-                return_type="proto", num_threads=1)
-            for p, e, q in zip(some, encodings, protos):
-                out[p] = self._entry(p, e, q)
+        """Entries of pieces.  Those with no white space behind their first
+        character and at their end are encoded many at once, as one text."""
+        out, plain = {}, []
+        for p in pieces:
+            if self.apart and len(p) > 1 and not p[1].isspace() \
+                    and not p[-1].isspace() and _MARK not in p:
+                plain.append(p)
+            else:
+                out[p] = self._one(p)
+        for i in range(0, len(plain), TOGETHER):
+            some = [" a", *plain[i:i + TOGETHER]]
+            edges = np.cumsum([len(p.encode()) for p in some])
+            got = self._tokens("".join(some), True)
+            if got is None or not np.isin(edges, got[1]).all() \
+                    or not np.isin(edges, got[3]).all():
+                out |= {p: self._one(p) for p in some[1:]}
+                continue
+            out |= zip(some[1:], self._entries(*got, edges)[1:])
         return out
 
     def align(self, texts: list[str]) -> list[tuple | None]:
@@ -221,8 +266,7 @@ class Links:
 
     def __init__(self, tokenizer: str, model: str):
         tok = aligner(tokenizer, model)
-        self.a = np.array([len(x) for x in tok.a_bytes], np.int64)
-        self.b = np.array([len(x) for x in tok.b_bytes], np.int64)
+        self.a, self.b = tok.a_size, tok.b_size
 
     def keys(self, batch: pa.RecordBatch) -> Iterator[tuple]:
         """(first row, rows, keys) of slices of about ``LINKS`` links; a key
