@@ -27,15 +27,18 @@ from trainyard.operators import lake as L
 from trainyard.operators.common import cut_lineage
 from trainyard.operators.nearest import nearest_station
 from trainyard.plans import proxies as P
-from trainyard.plans.star import apply_event_rows, build_star
+from trainyard.plans.lake import run_lake_pipeline
+from trainyard.plans.star import (apply_event_rows, build_star, read_star,
+                                  write_star)
 from trainyard.schemas import STOP
 from pyspark.sql import types as T
 from trainyard.session import (apply_runtime_conf, ensure_checkpoint_dir,
                                work_dir)
 from trainyard.sources.stations import read_station_entries
 from trainyard.sources.tables import (read_movements, write_file,
-                                      write_movements)
-from trainyard.sources.xml import read_plan_raw, write_timetable_xml
+                                      write_movements, write_parquet)
+from trainyard.sources.xml import (read_change_raw, read_plan_raw,
+                                   write_timetable_xml)
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 DEPARTURE = "2024-01-01 00:00:00"
@@ -187,6 +190,74 @@ def q24_avg_delay(spark, d):
                                  "supplier")
 
 
+def _part_dim(spark, d):
+    """part -> stations named by their part's name and key."""
+    p = P.table(spark, d, "part")
+    return p.select(
+        F.col("p_partkey").alias("station_key"),
+        F.col("p_partkey").alias("eva"),
+        F.concat_ws(" ", "p_name", F.col("p_partkey").cast("string"))
+        .alias("station_name"), (F.col("p_size") / 1.0).alias("lat"),
+        F.col("p_retailprice").alias("lon"))
+
+
+def q21_wildcards(spark, d):
+    """Lookup texts with wildcards, short ones, and texts no name has."""
+    c = P.table(spark, d, "customer")
+    k, n = F.col("c_custkey"), F.col("c_custkey").cast("string")
+    text = F.when(k % 8 == 0, F.concat(F.lit("%"), n)) \
+        .when(k % 8 == 1, F.concat(F.substring(n, 1, 1), F.lit("_"),
+                                   F.substring(n, 2, 2))) \
+        .when(k % 8 == 2, F.repeat(F.lit("_"), (k % 40).cast("int"))) \
+        .when(k % 8 == 3, F.upper(F.concat(F.lit("r%"), n))) \
+        .when(k % 8 == 4, F.lit("")) \
+        .when(k % 8 == 5, F.concat(F.lit(" "), n)) \
+        .when(k % 8 == 6, F.substring("c_name", 1, 4)) \
+        .otherwise(F.concat(F.lit("\\_"), n))
+    return A.station_lookup_batch(_part_dim(spark, d), c.select(
+        k.alias("request_id"), text.alias("text")))
+
+
+def q22_uneven(spark, d):
+    """Stations in one dense town with an outlier far away; points in the
+    town, around it and far off."""
+    town = _part_dim(spark, d).select(
+        "station_name", (F.col("lat") / 10_000 + 52.5).alias("lat"),
+        (F.col("lon") / 100_000 + 13.4).alias("lon"))
+    far = spark.range(1).select(
+        F.lit("null island").alias("station_name"), F.lit(0.0).alias("lat"),
+        F.lit(0.0).alias("lon"))
+    c = P.table(spark, d, "customer")
+    near = F.col("c_custkey") % 3 != 0
+    points = c.select(
+        F.col("c_custkey").alias("request_id"),
+        F.when(near, F.col("c_acctbal") / 1_000_000 + 52.5)
+        .otherwise(F.col("c_acctbal") / 120).alias("lat"),
+        F.when(near, F.col("c_nationkey") / 1000 + 13.4)
+        .otherwise(F.col("c_nationkey") * 7 - 80.0).alias("lon"))
+    return nearest_station(town.unionByName(far), points).select(
+        "request_id", "station_name")
+
+
+def q23_one_snapshot(spark, d):
+    """Cancellations of one snapshot of the XML load, by its stamp."""
+    return A.cancelled_trains(_star(spark, d).fact, SNAPSHOTS[1])
+
+
+def q32_absent_station(spark, d):
+    """A station without movements gives no row."""
+    mv = cut_lineage(movements(spark, d), "movements")
+    r = A.daily_mean_delay(mv, "S3").unionByName(
+        A.daily_mean_delay(mv, "Nowhere"))
+    return r.select("station_name", F.round("final_avg", 6)
+                    .alias("final_avg"), "days")
+
+
+def q33_top(spark, d):
+    """The report's first rows: most peak departures, ties by name."""
+    return A.peak_hour_departures(movements(spark, d), top=7)
+
+
 def q21_lookup_single(spark, d):
     """Single-text lookup as the original query: ILIKE with the text between
     wildcards, first by name."""
@@ -203,6 +274,17 @@ def q_connections_star(spark, d):
     return G.connections(ev).drop("train_id")
 
 
+def q_connections_day(spark, d):
+    """Timetable connections of one date; the date reaches the fact scan."""
+    base = work_dir(spark, "star-day")
+    rows = fact_rows(spark, d)
+    FT.upsert_fact(rows).write.parquet(base)
+    times = D.build_dim_time(FT.observed_times(rows))
+    ev = G.timetable_events(spark.read.parquet(base), supplier_dim(spark, d),
+                            times, "1995-03-10")
+    return G.connections(ev).drop("train_id")
+
+
 def q_dim_time(spark, d):
     o = P.table(spark, d, "orders").select(F.col("o_orderdate").alias("ts"))
     li = P.table(spark, d, "lineitem").select(F.col("l_shipdate").alias("ts"))
@@ -335,6 +417,15 @@ def q_check_fk(spark, d):
                                 "c_custkey", "fk customer")
 
 
+def q_check_fk_missing(spark, d):
+    """Keys of line items, shifted so that some have no part."""
+    li = P.table(spark, d, "lineitem").select(
+        "l_orderkey", "l_linenumber", (F.col("l_partkey") * 2)
+        .alias("part"))
+    return C.missing_references(li, "part", P.table(spark, d, "part"),
+                                "p_partkey", "fk part")
+
+
 def q_check_domain(spark, d):
     li = P.table(spark, d, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus",
@@ -411,6 +502,52 @@ def q_xml_roundtrip(spark, d):
     return read_plan_raw(spark, root)
 
 
+def q_change_roundtrip(spark, d):
+    """Change stops written as XML, one document a line item, and read back
+    as the raw change table."""
+    raw = P.change_raw(spark, d)
+    stamp = "yyMMddHHmm"
+    doc = raw.select(
+        F.lit(None).cast("string").alias("_station"),
+        F.lit("8000001").alias("_eva"), F.array(F.struct(
+            F.col("stop_id").alias("_id"),
+            F.lit(None).cast("struct<_c:string,_n:string,_o:string,"
+                             "_t:string,_f:string>").alias("tl"),
+            _event(_ct=F.date_format("actual_arrival", stamp),
+                   _cp=F.col("actual_platform_arrival"),
+                   _cs=F.col("arrival_status")).alias("ar"),
+            _event(_ct=F.date_format("actual_departure", stamp),
+                   _cp=F.col("actual_platform_departure"),
+                   _cs=F.col("departure_status")).alias("dp")))
+        .alias("s"))
+    root = work_dir(spark, "xml-changes")
+    write_timetable_xml(doc, os.path.join(root, "week", SNAPSHOTS[0]))
+    return read_change_raw(spark, root).drop("source_file")
+
+
+def q_raw_tables(spark, d):
+    """The raw plan table, written and read back."""
+    path = work_dir(spark, "raw-plan")
+    write_parquet(P.plan_raw(spark, d), path)
+    return spark.read.parquet(path)
+
+
+def _lake(spark, d):
+    proot, croot, _ = _xml_star_inputs(spark, d)
+    path = work_dir(spark, "lake")
+    return path, run_lake_pipeline(spark, proot, croot, path)
+
+
+def q_lake_from_xml(spark, d):
+    """The lake pipeline on XML trees (broken files among them)."""
+    return read_movements(spark, _lake(spark, d)[0])
+
+
+def q_lake_counts(spark, d):
+    return spark.createDataFrame([_lake(spark, d)[1]],
+                                 "plan_rows long, change_rows long")
+
+
 def _event(**attrs):
     """A full ``ar``/``dp`` struct; attributes not given are absent."""
     fields = ["_pt", "_pp", "_ct", "_cp", "_cs", "_dc", "_l", "_ppth"]
@@ -536,6 +673,19 @@ def q_star_load_stats(spark, d):
         .alias("unaccounted"))
 
 
+def q_star_written(spark, d):
+    """The star schema's tables, written and read back: their rows, and the
+    constraints they break."""
+    base = work_dir(spark, "star-written")
+    write_star(_star(spark, d), base)
+    t = read_star(spark, base)
+    broken = C.star_violations(t["dim_station"], t["dim_train"],
+                               t["dim_time"], t["fact_train_movement"])
+    parts = [df.agg(F.lit(name).alias("name"), F.count("*").alias("n"))
+             for name, df in (t | {"violations": broken}).items()]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
 # ==================================================================== graph
 def _paths(spark, d):
     return G.departure_paths(P.lineitem_paths(spark, d))
@@ -607,8 +757,66 @@ def q_shortest_hops(spark, d):
     req = nodes.select(F.xxhash64("station").alias("request_id"),
                        F.lit(HOP_SOURCE).alias("source"),
                        F.col("station").alias("target"))
-    r = G.shortest_hops(nodes, edges, req, inputs_materialized=True)
-    return r.select("target_station", "hops")
+    r = G.shortest_hops(nodes, edges, req, inputs_materialized=True,
+                        paths=False)
+    return r.filter(F.col("status") == G.FOUND).select("target_station",
+                                                       "hops")
+
+
+def _part_stops(spark, d):
+    """lineitem -> an order's distinct parts as the stops of a train, in line
+    order; stations and edges grow with the tables."""
+    return P.table(spark, d, "lineitem").groupBy(
+        "l_orderkey", F.format_string("Part %07d", "l_partkey")
+        .alias("station")).agg(F.min("l_linenumber").alias("line"))
+
+
+def q_hop_routes(spark, d):
+    """Routes for every customer between several hundred sources and many
+    targets; some ends do not exist."""
+    # an order has few lines
+    paths = _part_stops(spark, d).groupBy("l_orderkey").agg(F.array_join(
+        F.transform(F.sort_array(F.collect_list(F.struct("line", "station"))),
+                    lambda x: x["station"]), "|").alias("planned_path"))
+    nodes, edges = G.static_graph(paths.select("planned_path").distinct())
+    c = F.col("c_custkey")
+    req = P.table(spark, d, "customer").select(
+        c.alias("request_id"),
+        F.when(c % 97 == 0, F.lit("Nowhere")).otherwise(
+            F.format_string("part %07d", c * 7 % 300 + 1)).alias("source"),
+        F.when(c % 89 == 0, F.lit("%")).otherwise(
+            F.format_string("Part %07d", c * 131 % 2500 + 1))
+        .alias("target"))
+    return G.shortest_hops(nodes, edges, req, inputs_materialized=True) \
+        .drop("path")
+
+
+def q_earliest_routes(spark, d):
+    """Earliest arrival for every customer, from many sources at many times;
+    an order is a train that stops at its parts."""
+    stop = _part_stops(spark, d)
+    ready = F.timestamp_add("MINUTE", (F.col("l_orderkey") * 37 % 720)
+                            + F.col("line") * 15,
+                            F.lit("2025-09-01").cast("timestamp_ntz"))
+    events = stop.select(
+        F.col("l_orderkey").alias("train_key"), "station",
+        F.explode(F.array(
+            F.struct(F.lit("A").alias("event_type"), ready.alias("ts")),
+            F.struct(F.lit("D").alias("event_type"),
+                     F.timestamp_add("MINUTE", F.lit(5), ready)
+                     .alias("ts")))).alias("e"),
+        F.col("line").cast("string").alias("stop_id")).select(
+        "train_key", "station", "e.*", "stop_id",
+        F.to_date("e.ts").alias("date"))
+    c = F.col("c_custkey")
+    req = P.table(spark, d, "customer").select(
+        c.alias("request_id"),
+        F.when(c % 97 == 0, F.lit("Nowhere")).otherwise(
+            F.format_string("Part %07d", c * 7 % 60 + 1)).alias("source"),
+        F.format_string("Part %07d", c * 131 % 2500 + 1).alias("target"),
+        F.timestamp_add("HOUR", c % 4 * 3, F.lit("2025-09-01")
+                        .cast("timestamp_ntz")).alias("departure"))
+    return G.earliest_arrival(G.connections(events), req, itinerary=False)
 
 
 def q_connections(spark, d):
@@ -633,13 +841,14 @@ def _timetable(spark, d):
 def q_earliest_arrival(spark, d):
     conns = _timetable(spark, d)
     r = G.earliest_arrival(conns, _arrival_requests(conns), itinerary=False)
-    return r.select("target_station", "arrival")
+    return r.filter(F.col("status") == G.FOUND).select("target_station",
+                                                       "arrival")
 
 
 def q_itinerary(spark, d):
     conns = _timetable(spark, d)
     r = G.earliest_arrival(conns, _arrival_requests(conns))
-    return G.itinerary_summary(r).select(
+    return G.itinerary_summary(r.filter(F.col("status") == G.FOUND)).select(
         "target_station", "arrival", "duration_minutes", "segments",
         "stations", "itinerary")
 
@@ -665,8 +874,18 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "star_dim_train": q_star_dim_train,
     "star_dim_time": q_star_dim_time,
     "star_load_stats": q_star_load_stats,
+    "star_written": q_star_written,
+    "lake_from_xml": q_lake_from_xml,
+    "lake_counts": q_lake_counts,
+    "change_roundtrip": q_change_roundtrip,
+    "raw_tables": q_raw_tables,
     "q21_station_lookup": q21_station_lookup,
     "q21_lookup_single": q21_lookup_single,
+    "q21_wildcards": q21_wildcards,
+    "q22_uneven": q22_uneven,
+    "q23_one_snapshot": q23_one_snapshot,
+    "q32_absent_station": q32_absent_station,
+    "q33_top": q33_top,
     "q22_nearest": q22_nearest,
     "q23_cancelled_distinct": q23_cancelled_distinct,
     "q24_avg_delay": q24_avg_delay,
@@ -681,6 +900,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "event_unpivot": q_event_unpivot,
     "check_unique": q_check_unique,
     "check_fk": q_check_fk,
+    "check_fk_missing": q_check_fk_missing,
     "check_domain": q_check_domain,
     "parse_stamp": q_parse_stamp,
     "signed_delay": q_signed_delay,
@@ -692,8 +912,11 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "graph_nodes": q_graph_nodes,
     "resolve_fuzzy": q_resolve_fuzzy,
     "shortest_hops": q_shortest_hops,
+    "hop_routes": q_hop_routes,
+    "earliest_routes": q_earliest_routes,
     "connections": q_connections,
     "connections_star": q_connections_star,
+    "connections_day": q_connections_day,
     "earliest_arrival": q_earliest_arrival,
     "itinerary": q_itinerary,
 }

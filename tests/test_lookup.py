@@ -1,9 +1,13 @@
 """Station lookups: single-text ILIKE, batch substring join, fuzzy
 resolution rules."""
 
+import random
+import re
+
 from trainyard.operators.analysis import (station_lookup,
                                           station_lookup_batch)
 from trainyard.operators.graph import resolve_stations, static_graph
+from trainyard.operators.textmatch import text_matches
 
 
 def dim(spark):
@@ -27,6 +31,61 @@ def test_lookup_single_and_batch(spark):
     assert got == {1: "Alexanderplatz Bus", 2: "Berlin Hbf"}
 
 
+def like(text):
+    """The text as a regular expression, with LIKE's wildcards."""
+    out, i = "", 0
+    while i < len(text):
+        c = text[i]
+        if c == "\\" and text[i + 1:i + 2] in ("%", "_", "\\"):
+            out, i = out + re.escape(text[i + 1]), i + 1
+        else:
+            out += {"%": ".*", "_": "."}.get(c) or re.escape(c)
+        i += 1
+    return re.compile(out, re.S)
+
+
+def test_batch_lookup_with_wildcards(spark):
+    """Every kind of text against a scan of all names."""
+    names = ["Berlin Hbf", "Berlin Alexanderplatz", "S Hackescher Markt",
+             "İstanbul Kapısı", "50%_Rabatt\\Weg", "Zoo", "zoo", "A", "Ü",
+             "Straße des 17. Juni", "  "] + [f"Halt {i}" for i in range(40)]
+    texts = ["berlin%platz", "_oo", "", "%", "__", "_" * 9, "_" * 40, "hbf",
+             "H%t 3", "alt _", "i̇st", "İST", "kapısı", "\\%", "\\_", "\\\\w",
+             "50\\%\\_r", "%%z", "ß", "ü", "17. j", "17._j", "x", "_", "lt 3_",
+             "be\\rlin", None, "%3%9%", "Weg\\", "t\\\\"]
+    d = spark.createDataFrame(
+        [(i, i, n, 1.0, 2.0) for i, n in enumerate(names)],
+        "station_key long, eva long, station_name string, lat double, "
+        "lon double")
+    req = spark.createDataFrame(list(enumerate(texts)),
+                                "request_id long, text string")
+    got = {r.request_id: r.identifier
+           for r in station_lookup_batch(d, req).collect()}
+    for i, t in enumerate(texts):
+        want = None
+        if t is not None:
+            hits = [(n.encode(), k) for k, n in enumerate(names)
+                    if like(t.lower()).search(n.lower())]
+            want = min(hits)[1] if hits else None
+        assert got.get(i) == want, t
+
+
+def test_postings_reach_every_literal_match(spark):
+    rnd = random.Random(2)
+    names = sorted({"".join(rnd.choice("abcÄ ") for _ in range(
+        rnd.randint(1, 9))) for _ in range(80)})
+    texts = sorted({"".join(rnd.choice("abcä%_") for _ in range(
+        rnd.randint(0, 4))) for _ in range(120)})
+    n = spark.createDataFrame([(x,) for x in names], "station string")
+    t = spark.createDataFrame([(x,) for x in texts], "text string")
+    for wildcards in (False, True):
+        got = {(r.text, r.name) for r in text_matches(
+            n, "station", t, wildcards).collect()}
+        assert got == {(x, y) for x in texts for y in names if (
+            like(x) if wildcards else re.compile(re.escape(x))).search(
+            y.lower())}
+
+
 def test_fuzzy_resolution(spark):
     nodes = spark.createDataFrame(
         [("Berlin Hbf",), ("Hbf Nord",), ("Berlin Ostkreuz",),

@@ -6,6 +6,7 @@ import heapq
 import random
 from collections import deque
 
+import pytest
 from pyspark.sql import functions as F
 
 from trainyard.operators.fact import upsert_fact
@@ -123,11 +124,11 @@ def test_shortest_hops_vs_bfs(spark):
            shortest_hops(nodes_df, edges_df, req_df).collect()}
     for _, s, t in reqs:
         d = bfs(edges, s, t)
+        r = got[t]
         if d is None:
-            assert t not in got
+            assert (r.status, r.hops, r.path) == ("no path", None, None)
         else:
-            r = got[t]
-            assert r.hops == d
+            assert r.hops == d and r.status == "found"
             assert r.path[0] == s and r.path[-1] == t
             assert all((a, b) in edges for a, b in zip(r.path, r.path[1:]))
 
@@ -142,8 +143,53 @@ def test_direction_and_same_station(spark):
     got = {r.request_id: r for r in
            shortest_hops(nodes, edges, req).collect()}
     assert got[1].hops == 2 and got[1].path_text == "A → B → C"
-    assert 2 not in got
-    assert got[3].hops == 0
+    assert got[2].status == "no path" and got[2].path is None
+    assert got[3].hops == 0 and got[3].path == ["B"]
+
+
+def least_path(edges, s, t):
+    """The least of the shortest paths, by levels of whole paths."""
+    level, seen = {s: (s,)}, {s}
+    while level:
+        if t in level:
+            return list(level[t])
+        ahead = {}
+        for u, path in level.items():
+            for a, b in edges:
+                if a == u and b not in seen:
+                    ahead[b] = min(ahead.get(b, path + (b,)), path + (b,))
+        seen |= set(ahead)
+        level = ahead
+    return None
+
+
+@pytest.mark.parametrize("seed, n_pairs", [(1, 30), (2, 400)])
+def test_hops_between_many_pairs(spark, seed, n_pairs):
+    """From both ends (few pairs) and from one (many): the least path, and an
+    answer of some kind for every request."""
+    rnd = random.Random(seed)
+    names = ["N%02d" % i for i in range(40)]
+    edges = {(rnd.choice(names), rnd.choice(names)) for _ in range(75)}
+    edges = sorted((a, b) for a, b in edges if a != b)
+    nodes = spark.createDataFrame([(n,) for n in names], "station string")
+    reqs = [(i, rnd.choice(names), rnd.choice(names))
+            for i in range(n_pairs)]
+    reqs += [(9001, "nowhere", "N01"), (9002, "N01", "nowhere"),
+             (9003, "nowhere", "elsewhere"), (9004, None, "N01")]
+    req = spark.createDataFrame(reqs, "request_id long, source string, "
+                                "target string")
+    got = {r.request_id: r for r in shortest_hops(
+        nodes, spark.createDataFrame(edges, "src string, dst string"),
+        req).collect()}
+    assert len(got) == len(reqs)
+    for i, s, t in reqs[:n_pairs]:
+        path = least_path(edges, s, t)
+        assert got[i].path == path, (s, t)
+        assert got[i].status == ("found" if path else "no path")
+        assert got[i].hops == (len(path) - 1 if path else None)
+    assert [got[i].status for i in (9001, 9002, 9003, 9004)] == [
+        "source not found", "target not found", "source not found",
+        "source not found"]
 
 
 def dijkstra(conns, s, t, t0):
@@ -184,11 +230,11 @@ def test_earliest_arrival_vs_dijkstra(spark):
     got = {r.target_station: r for r in earliest_arrival(cdf, rdf).collect()}
     for _, s, t, t0 in reqs:
         e = dijkstra(conns, s, t, t0)
+        r = got[t]
         if e is None:
-            assert t not in got
+            assert (r.status, r.arrival, r.legs) == ("no path", None, None)
             continue
-        r = got[t]
-        assert r.arrival == e
+        assert r.arrival == e and r.status == "found"
         # itinerary is a valid chain from the source to the target
         legs = r.legs
         if t == s:
@@ -201,6 +247,82 @@ def test_earliest_arrival_vs_dijkstra(spark):
             assert y.departure_time >= x.arrival_time
 
 
+@pytest.mark.parametrize("minutes", [7, 60, 1440])
+def test_earliest_arrival_from_many_sources(spark, minutes):
+    """Labels equal the least (arrival, departure, from, train) of all
+    connections that can be reached, whatever the bucket width."""
+    rnd = random.Random(5)
+    names = ["S%d" % i for i in range(9)]
+    base = dt.datetime(2025, 9, 2, 22, 0)
+    conns = []
+    for i in range(200):
+        a, b = rnd.sample(names, 2)
+        dep = base + dt.timedelta(minutes=5 * rnd.randint(0, 60))
+        conns.append((a, b, dep, dep + dt.timedelta(
+            minutes=5 * rnd.randint(1, 12)), i))
+    cdf = spark.createDataFrame(
+        conns, "from_station string, to_station string, departure_time "
+        "timestamp_ntz, arrival_time timestamp_ntz, train_id long")
+    reqs = [(i, rnd.choice(names), rnd.choice(names),
+             base + dt.timedelta(minutes=rnd.choice([0, 33, 120, 400])))
+            for i in range(60)] + [(99, "S1", "nowhere", base),
+                                   (98, "S1", "S1", None)]
+    rdf = spark.createDataFrame(reqs, "request_id long, source string, "
+                                "target string, departure timestamp_ntz")
+    got = {r.request_id: r for r in earliest_arrival(
+        cdf, rdf, bucket_minutes=minutes).collect()}
+    assert len(got) == len(reqs) and got[99].status == "target not found"
+    assert got[98].status == "no path"
+    for i, s, t, t0 in reqs[:60]:
+        arr = {s: t0}
+        while True:
+            more = {}
+            for a, b, dep, at, _ in conns:
+                if a in arr and dep >= arr[a] and at < arr.get(
+                        b, more.get(b, dt.datetime.max)):
+                    more[b] = at
+            if not more:
+                break
+            arr.update(more)
+        assert got[i].arrival == arr.get(t)
+        if t == s or t not in arr:
+            continue
+        last = min((at, dep, a, k) for a, b, dep, at, k in conns
+                   if b == t and a in arr and dep >= arr[a])
+        leg = got[i].legs[-1]
+        assert (leg.arrival_time, leg.departure_time, leg.from_station,
+                leg.train_id) == last
+        assert got[i].legs[0].from_station == s
+
+
+def test_a_hub_makes_one_row_per_neighbour(spark):
+    """A label meets one row of the profile for each neighbour, however many
+    connections leave the hub behind it."""
+    from trainyard.operators.graph import profile
+    base = dt.datetime(2025, 9, 2, 0, 0)
+    rows = [("hub", f"N{i % 7}", base + dt.timedelta(minutes=i % 1400),
+             base + dt.timedelta(minutes=i % 1400 + 3 + i % 11), i)
+            for i in range(6000)]
+    conns = spark.createDataFrame(
+        rows, "from_station string, to_station string, departure_time "
+        "timestamp_ntz, arrival_time timestamp_ntz, train_id long")
+    p = profile(conns, F.lit(base).cast("timestamp_ntz"), 60).cache()
+    labels = spark.createDataFrame(
+        [(i, base + dt.timedelta(minutes=i, seconds=30)) for i in
+         range(0, 1380, 60)], "id long, ready timestamp_ntz")
+    met = labels.join(p, (F.col("after").isNull() |
+                          (F.col("ready") > F.col("after"))) &
+                      (F.col("ready") <= F.col("dep")) &
+                      (F.floor(F.unix_micros(F.col("ready").cast("timestamp"))
+                               / F.lit(3600_000_000)) == F.col("bucket")))
+    for r in met.collect():
+        want = min((c[3], c[2], c[4]) for c in rows
+                   if c[1] == r.to and c[2] >= r.ready)
+        assert (r.arr, r.dep, r.train) == want
+    per = met.groupBy("id").count().collect()
+    assert {r["count"] for r in per} == {7} and len(per) == 23
+
+
 def test_connection_pairing(spark):
     t = dt.datetime(2025, 9, 2, 12, 0)
     ev = spark.createDataFrame(
@@ -236,3 +358,50 @@ def test_nearest_vs_brute_force(spark):
         best = min((((a - la) ** 2 + (b - lo) ** 2), n) for n, a, b in st
                    if a is not None)
         assert got[i] == best[1]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_nearest_with_clusters_and_outliers(spark, seed):
+    """A dense town, a line, twins and one station at 0/0 far away; points
+    in the town, far off and on stations: exact, and no point looks at more
+    than a few cells."""
+    from trainyard.operators.nearest import open_cells, station_tree
+    rnd = random.Random(seed)
+    st = {(0.0, 0.0): "null island"}
+    for i in range(900):
+        st[52.5 + rnd.gauss(0, .01), 13.4 + rnd.gauss(0, .01)] = f"town{i}"
+    for i in range(100):
+        st[50 + i / 1000, 11.0] = f"line{i}"
+        st[48.0, 9 + rnd.random() * 1e-9] = f"twin{i}"
+    pts = [(i, *rnd.choice([
+        (52.5 + rnd.gauss(0, .02), 13.4 + rnd.gauss(0, .02)),
+        (rnd.uniform(-90, 90), rnd.uniform(-180, 180)),
+        (50.05, 11 + rnd.gauss(0, 1)), (48.0, 9.0), (0.5, 0.5),
+        rnd.choice(list(st))])) for i in range(300)] + [(999, None, 1.0)]
+    sdf = spark.createDataFrame([(n, a, b) for (a, b), n in st.items()],
+                                "station_name string, lat double, lon double")
+    pdf = spark.createDataFrame(pts, "request_id long, lat double, lon double")
+    got = {r.request_id: r for r in nearest_station(sdf, pdf).collect()}
+    assert 999 not in got
+    for i, la, lo in pts[:-1]:
+        best = min(((a - la) * (a - la) + (b - lo) * (b - lo), n)
+                   for (a, b), n in st.items())
+        assert (got[i].d2, got[i].station_name) == best
+    tree, placed = station_tree(sdf.toDF("station_name", "s_lat", "s_lon"))
+    assert placed.count() == len(st)
+    places = pdf.dropna().withColumnRenamed("request_id", "place")
+    seen = open_cells(tree, places).join(placed, ["depth", "cell"]).groupBy(
+        "place").count().agg(F.max("count"), F.avg("count")).first()
+    # the twins alone are a hundred, closer than the finest cell
+    assert seen[0] <= 180 and seen[1] < 60
+
+
+def test_nearest_without_stations_or_points(spark):
+    schema = "station_name string, lat double, lon double"
+    none = spark.createDataFrame([("x", None, None)], schema)
+    one = spark.createDataFrame([("x", 1.0, 2.0)], schema)
+    pts = spark.createDataFrame([(1, 5.0, 5.0)], "request_id long, lat double,"
+                                " lon double")
+    assert nearest_station(none, pts).count() == 0
+    assert nearest_station(one, pts.limit(0)).count() == 0
+    assert nearest_station(one, pts).first().station_name == "x"

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trainyard.functions.times import stamp_key
-from trainyard.operators.textmatch import request_lengths, substrings
+from trainyard.operators.textmatch import like_pattern, text_matches
 
 PEAK_HOURS = [7, 8, 17, 18]
 
@@ -34,26 +34,24 @@ def round_ratio(num, den, scale: int = 2) -> F.Column:
 def station_lookup(dim_station: DataFrame, text: str) -> DataFrame:
     """First station (by name, then EVA) whose name contains ``text``
     case-insensitively; ``%`` and ``_`` in the text act as wildcards."""
-    hits = dim_station.filter(F.ilike(
-        F.col("station_name"), F.concat(F.lit("%"), F.lit(text), F.lit("%"))))
+    hits = dim_station.filter(F.ilike(F.col("station_name"),
+                                      like_pattern(F.lit(text))))
     return hits.orderBy("station_name", "eva").limit(1).select(
         "station_name", "lat", "lon", F.col("eva").alias("identifier"))
 
 
 def station_lookup_batch(dim_station: DataFrame, requests: DataFrame
                          ) -> DataFrame:
-    """Batch form: ``requests(request_id, text)``; the text is matched
-    literally.  Requests without a match are absent."""
-    lengths = request_lengths(requests, "text", dim_station, "station_name")
-    subs = substrings(dim_station.select("station_name", "lat", "lon", "eva"),
-                      "station_name", lengths)
-    best = subs.groupBy("sub").agg(
-        F.min(F.struct("station_name", "eva", "lat", "lon")).alias("b"))
-    r = requests.withColumn("sub", F.lower("text"))
-    return r.join(best, "sub").select(
-        "request_id", F.col("b.station_name").alias("station_name"),
-        F.col("b.lat").alias("lat"), F.col("b.lon").alias("lon"),
-        F.col("b.eva").alias("identifier"))
+    """Batch form: ``requests(request_id, text)``, with the same wildcards.
+    Requests without a match are absent."""
+    first = dim_station.groupBy("station_name").agg(F.min(
+        F.struct("eva", "lat", "lon")).alias("s"))
+    hits = text_matches(dim_station, "station_name", requests.select("text"),
+                        wildcards=True)
+    best = hits.groupBy("text").agg(F.min("name").alias("station_name"))
+    return requests.join(best, "text").join(first, "station_name").select(
+        "request_id", "station_name", F.col("s.lat").alias("lat"),
+        F.col("s.lon").alias("lon"), F.col("s.eva").alias("identifier"))
 
 
 # ----------------------------------------------------- Q23 cancellations
@@ -87,7 +85,7 @@ def avg_departure_delay(fact: DataFrame, dim_station: DataFrame,
     st = dim_station.select("station_key", "station_name")
     if text is not None:
         st = st.filter(F.ilike(F.col("station_name"),
-                               F.concat(F.lit("%"), F.lit(text), F.lit("%"))))
+                               like_pattern(F.lit(text))))
     j = per_key.join(st, "station_key")
     g = j.groupBy("station_name").agg(F.sum("s").alias("s"),
                                       F.sum("n").alias("n"))
@@ -144,5 +142,5 @@ def peak_hour_departures(movements: DataFrame,
         round_ratio(F.sum("daily_departures"), F.count(F.lit(1)))
         .alias("avg_peak_departures"),
         F.count("daily_departures").alias("days_observed"),
-    ).orderBy(F.col("avg_peak_departures").desc())
+    ).orderBy(F.col("avg_peak_departures").desc(), "station_name")
     return out.limit(top) if top is not None else out

@@ -35,17 +35,11 @@ def cut_lineage(df: DataFrame, name: str = "round") -> DataFrame:
 
 def cut_and_count(df: DataFrame, name: str, cond, *more_conds):
     """:func:`cut_lineage` that also returns how many written rows satisfy
-    ``cond`` (and each of ``more_conds``), observed during the same write
-    (no extra job).  Returns ``(table, n)`` or ``(table, n, m, ...)``."""
-    from pyspark.sql import Observation
-    from trainyard.session import work_dir
+    ``cond`` (and each of ``more_conds``).  Returns ``(table, n)`` or
+    ``(table, n, m, ...)``.  Counted are the written rows, so a stage that is
+    run again after a lost executor changes no count."""
     conds = [F.expr(c) if isinstance(c, str) else c
              for c in (cond, *more_conds)]
-    obs = Observation(f"{name}-count")
-    path = work_dir(df.sparkSession, name)
-    metrics = [F.sum(F.when(c, 1).otherwise(0)).alias(f"n{i}")
-               for i, c in enumerate(conds)]
-    df.observe(obs, *metrics).write.mode("overwrite").parquet(path)
-    got = obs.get
-    counts = [int(got.get(f"n{i}") or 0) for i in range(len(conds))]
-    return (df.sparkSession.read.parquet(path), *counts)
+    table = cut_lineage(df, name)
+    got = table.agg(*[F.count_if(c) for c in conds]).first()
+    return (table, *got)

@@ -56,13 +56,3 @@ def merge_movements(plan: DataFrame, latest: DataFrame) -> DataFrame:
 
 def build_movements(plan: DataFrame, changes: DataFrame) -> DataFrame:
     return merge_movements(plan, latest_updates(changes))
-
-
-def input_counts(plan: DataFrame, changes: DataFrame
-                 ) -> tuple[DataFrame, DataFrame, object, object]:
-    """Row counts of both inputs collected as a side effect of the merge
-    job (``observe``), instead of two extra count jobs."""
-    from pyspark.sql import Observation
-    po, co = Observation("plan_rows"), Observation("change_rows")
-    return (plan.observe(po, F.count(F.lit(1)).alias("n")),
-            changes.observe(co, F.count(F.lit(1)).alias("n")), po, co)

@@ -1,45 +1,86 @@
 """Batch "contains" lookups without pairing every request with every name.
 
-A request text ``t`` occurs in a name ``n`` iff ``lower(t)`` equals one of
-the substrings of ``lower(n)`` of length ``len(t)``.  The name side is
-expanded only for the text lengths that occur in the requests (a set bounded
-by the longest name), each substring is reduced to its best candidate by a
-partial aggregation, and the requests then join that table on equality.
-Work is linear in (names x name length) and (requests); a text that occurs
-in very many names costs no more than any other.
+Names are indexed by the runs of one, two and three characters in their lower
+case.  A request text is found in a name only if the name has all of the
+text's runs, so each distinct text looks through the names of its rarest run of
+the greatest length it has, and each of those names is held against the whole
+text.  The text is matched literally, or as a pattern with ``%`` and ``_``;
+then only the stretches between them have runs.  A pattern of nothing but
+wildcards asks for a least length, and there are no more of those than lengths
+of names.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+RUN = 3
 
-def request_lengths(requests: DataFrame, text_col: str, names: DataFrame,
-                    name_col: str) -> list[int]:
-    """Distinct lengths of the lower-cased request texts.  The set is bounded by the
-    longest request text (a few hundred values at most), so collecting it
-    is safe; lengths longer than a name are skipped per name later."""
-    rows = requests.select(F.char_length(F.lower(text_col)).alias("n")) \
-        .filter(F.col("n").isNotNull()).distinct().collect()
-    return sorted(r["n"] for r in rows)
-
-
-def substrings(names: DataFrame, name_col: str, lengths: list[int]
-               ) -> DataFrame:
-    """Rows (sub, start, name...) for every substring of ``lower(name)``
-    whose length is in ``lengths``; ``at_end`` marks a suffix."""
-    low = F.lower(F.col(name_col))
-    n = F.char_length(low)
-    lens = F.array(*[F.lit(x) for x in lengths]) if lengths else \
-        F.array().cast("array<int>")
-    with_len = names.withColumn("_low", low).withColumn(
-        "_len", F.explode(F.filter(lens, lambda x: x <= n)))
-    starts = F.sequence(F.lit(1), F.char_length("_low") - F.col("_len") + 1)
-    ex = with_len.withColumn("_start", F.explode(starts))
-    return ex.withColumn(
-        "sub", F.substring(F.col("_low"), F.col("_start"), F.col("_len"))
-        .alias("sub")) \
-        .withColumn("at_end", F.col("_start") + F.col("_len") ==
-                    F.char_length("_low") + 1) \
-        .drop("_low", "_len", "_start")
+
+def _runs(text: Column, size: int) -> Column:
+    """All stretches of ``size`` characters."""
+    n = F.char_length(text) - size + 1
+    return F.when(n > 0, F.transform(
+        F.sequence(F.lit(1), n),
+        lambda i: F.substring(text, i, F.lit(size)))).otherwise(
+        F.array().cast("array<string>"))
+
+
+def postings(names: DataFrame, name_col: str) -> DataFrame:
+    """(run, name) for the distinct runs of each distinct name, and for the
+    empty run."""
+    low = F.lower(name_col)
+    runs = F.array_distinct(F.concat(F.array(F.lit("")), *[
+        _runs(low, size) for size in range(1, RUN + 1)]))
+    return names.select(name_col).distinct().select(
+        F.explode(runs).alias("run"), F.col(name_col).alias("name"))
+
+
+def like_pattern(text: Column, wildcards: bool = True) -> Column:
+    """The text as a LIKE pattern to be found anywhere.  A backslash in front
+    of ``%``, ``_`` or a backslash takes their meaning away, others are
+    themselves."""
+    # a backslash that is not itself taken away by one in front of it
+    special = r"(?<=(?<!\\)(?:\\\\){0,99})\\(?![%_\\])" if wildcards \
+        else r"[%_\\]"
+    return F.concat(F.lit("%"), F.regexp_replace(text, special, r"\\$0"),
+                    F.lit("%"))
+
+
+def text_matches(names: DataFrame, name_col: str, texts: DataFrame,
+                 wildcards: bool = False) -> DataFrame:
+    """(text, name) for all distinct ``texts(text)`` and the names that
+    contain them, ignoring case."""
+    texts = texts.select("text").filter(F.col("text").isNotNull()).distinct()
+    low = F.lower("text")
+    if wildcards:
+        # nothing but wildcards: as many characters as there are "_"
+        plain = F.col("text").rlike("^[%_]*$")
+        texts = texts.withColumn("asked", F.when(
+            plain, F.replace("text", F.lit("%"), F.lit("")))
+            .otherwise(F.col("text")))
+        parts = F.split(low, r"[%_\\]")
+    else:
+        texts = texts.withColumn("asked", F.col("text"))
+        parts = F.array(low)
+    asked = texts.select("asked").distinct().withColumnRenamed("asked", "text")
+
+    def of(size: int) -> Column:
+        return F.flatten(F.transform(parts, lambda p: _runs(p, size)))
+
+    runs = F.array(F.lit(""))
+    for size in range(1, RUN + 1):
+        runs = F.when(F.size(of(size)) > 0, of(size)).otherwise(runs)
+    index = postings(names, name_col)
+    held = index.groupBy("run").agg(F.count(F.lit(1)).alias("n"))
+    wanted = asked.select("text", F.explode(F.array_distinct(runs))
+                          .alias("run"))
+    # a run that no name has makes the text one that no name has
+    rarest = wanted.join(held, "run", "left").groupBy("text").agg(
+        F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "run"))
+        .alias("r")).filter("r.n > 0").select("text", "r.run")
+    found = rarest.join(index, "run").filter(F.ilike(
+        F.col("name"), like_pattern(F.col("text"), wildcards)))
+    return texts.join(found.select(F.col("text").alias("asked"), "name"),
+                      "asked").select("text", "name")

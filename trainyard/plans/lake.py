@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from trainyard.operators.analysis import (daily_mean_delay,
                                           peak_hour_departures)
-from trainyard.operators.lake import build_movements, input_counts
+from trainyard.operators.lake import build_movements
+from trainyard.session import work_dir
 from trainyard.sources.tables import (read_movements, write_movements,
                                       write_parquet)
 from trainyard.sources.xml import read_change_raw, read_plan_raw
@@ -17,20 +18,17 @@ def run_lake_pipeline(spark: SparkSession, plan_root: str, change_root: str,
                       out_path: str, raw_plan_path: str | None = None,
                       raw_change_path: str | None = None,
                       incremental: bool = False) -> dict:
-    """Parse both XML trees, optionally keep the raw tables, merge and
-    write the movement table.  Returns the input row counts (observed while
-    the merge runs)."""
-    plan = read_plan_raw(spark, plan_root)
-    changes = read_change_raw(spark, change_root)
-    if raw_plan_path:
-        write_parquet(plan, raw_plan_path)
-        plan = spark.read.parquet(raw_plan_path)
-    if raw_change_path:
-        write_parquet(changes, raw_change_path)
-        changes = spark.read.parquet(raw_change_path)
-    plan, changes, po, co = input_counts(plan, changes)
+    """Parse both XML trees once into raw tables (at the given paths, else in
+    the shared work folder), merge and write the movement table.  Returns the
+    raw tables' row counts, taken from their files' footers: a stage that runs
+    again changes none."""
+    paths = [raw_plan_path or work_dir(spark, "raw-plan"),
+             raw_change_path or work_dir(spark, "raw-changes")]
+    write_parquet(read_plan_raw(spark, plan_root), paths[0])
+    write_parquet(read_change_raw(spark, change_root), paths[1])
+    plan, changes = map(spark.read.parquet, paths)
     write_movements(build_movements(plan, changes), out_path, incremental)
-    return {"plan_rows": po.get.get("n"), "change_rows": co.get.get("n")}
+    return {"plan_rows": plan.count(), "change_rows": changes.count()}
 
 
 def run_analyses(spark: SparkSession, movements_path: str,

@@ -325,6 +325,48 @@ XML_STAR = f"""WITH {PLAN_RAW},
       ON p.snap = c.snap AND p.station_key = c.station_key
      AND p.stop_id = c.stop_id AND p.event_type = c.event_type)"""
 
+PART_STOPS = """
+stops AS (
+  SELECT l_orderkey, printf('Part %07d', l_partkey) AS station,
+         min(l_linenumber) AS line
+  FROM lineitem GROUP BY 1, 2)"""
+
+
+def hop_levels(n: int) -> str:
+    """Breadth-first levels 0 to n from every requested source, each with the
+    least path to a node; no shortest path there is longer."""
+    out = f"""{PART_STOPS},
+  ranked_stops AS (
+    SELECT l_orderkey, station, lead(station) OVER (
+      PARTITION BY l_orderkey ORDER BY line, station) AS dst FROM stops),
+  part_edges AS (SELECT DISTINCT station AS src, dst FROM ranked_stops
+                 WHERE dst IS NOT NULL),
+  part_nodes AS (SELECT DISTINCT station AS node FROM stops),
+  hop_req AS (
+    SELECT c_custkey AS request_id,
+      CASE WHEN c_custkey % 97 = 0 THEN 'Nowhere' ELSE
+        printf('Part %07d', c_custkey * 7 % 300 + 1) END AS source,
+      CASE WHEN c_custkey % 89 = 0 THEN '%' ELSE
+        printf('Part %07d', c_custkey * 131 % 2500 + 1) END AS target
+    FROM customer),
+  level0 AS MATERIALIZED (
+    SELECT DISTINCT source AS src, source AS node, [source] AS path
+    FROM hop_req WHERE source IN (SELECT node FROM part_nodes))"""
+    for i in range(1, n + 1):
+        seen = " UNION ALL ".join(f"SELECT src, node FROM level{j}"
+                                  for j in range(i))
+        out += f""",
+  level{i} AS MATERIALIZED (
+    SELECT s.src, s.node, min(s.path) AS path FROM (
+      SELECT l.src, e.dst AS node, list_append(l.path, e.dst) AS path
+      FROM level{i - 1} l JOIN part_edges e ON e.src = l.node) s
+    ANTI JOIN ({seen}) o ON o.src = s.src AND o.node = s.node
+    GROUP BY s.src, s.node)"""
+    return out + """,
+  reached AS (""" + " UNION ALL ".join(
+        f"SELECT * FROM level{i}" for i in range(n + 1)) + ")"
+
+
 CUSTOMER_ENTRIES = """
 cust AS (
   SELECT c_custkey,
@@ -396,6 +438,10 @@ sdim AS (SELECT s_suppkey AS station_key, s_suppkey AS eva,
                 s_name AS station_name, s_acctbal / 100.0 AS lat,
                 CAST(s_nationkey AS DOUBLE) AS lon FROM supplier)"""
 
+PART_DIM = """
+pdim AS (SELECT p_partkey AS eva, p_name || ' ' || p_partkey AS station_name,
+                p_size / 1.0 AS lat, p_retailprice AS lon FROM part)"""
+
 STAMP_TEXT = """CASE WHEN o_orderstatus = 'F'
     THEN strftime(o_orderdate + to_hours(CAST(o_orderkey % 24 AS BIGINT)),
                   '%y%m%d%H%M')
@@ -671,6 +717,64 @@ ORACLE: dict[str, str] = {
         WHERE b.depth < (SELECT count(*) FROM nodes))
       SELECT node AS target_station, CAST(min(depth) AS INTEGER) AS hops
       FROM bfs GROUP BY node""",
+    "hop_routes": f"""WITH {hop_levels(9)},
+      answers AS (
+        SELECT r.*, s.node AS source_station, t.node AS target_station
+        FROM hop_req r LEFT JOIN part_nodes s ON s.node = r.source
+        LEFT JOIN part_nodes t ON t.node = r.target)
+      SELECT a.request_id, a.source_station, a.target_station,
+        CASE WHEN a.source_station IS NULL THEN 'source not found'
+          WHEN a.target_station IS NULL THEN 'target not found'
+          WHEN l.path IS NULL THEN 'no path' ELSE 'found' END AS status,
+        CAST(len(l.path) - 1 AS INTEGER) AS hops,
+        array_to_string(l.path, ' → ') AS path_text
+      FROM answers a LEFT JOIN reached l
+        ON l.src = a.source_station AND l.node = a.target_station""",
+    "earliest_routes": f"""WITH RECURSIVE {PART_STOPS},
+      calls AS (
+        SELECT l_orderkey, station, line, kind, TIMESTAMP '2025-09-01'
+          + to_minutes(CAST(l_orderkey * 37 % 720 + line * 15
+            + CASE kind WHEN 'D' THEN 5 ELSE 0 END AS BIGINT)) AS ts
+        FROM stops, (VALUES ('A'), ('D')) k(kind)),
+      legs AS (
+        SELECT station AS frm, kind, ts AS dep, lead(station) OVER w AS dst,
+          lead(kind) OVER w AS next_kind, lead(ts) OVER w AS arr
+        FROM calls WINDOW w AS (PARTITION BY l_orderkey
+          ORDER BY ts, kind, station, CAST(line AS VARCHAR))),
+      conn AS (SELECT frm, dst, dep, arr FROM legs
+               WHERE kind = 'D' AND next_kind = 'A'),
+      st AS (SELECT frm AS node FROM conn UNION SELECT dst FROM conn),
+      req AS (
+        SELECT c_custkey AS request_id,
+          CASE WHEN c_custkey % 97 = 0 THEN 'Nowhere' ELSE
+            printf('Part %07d', c_custkey * 7 % 60 + 1) END AS source,
+          printf('Part %07d', c_custkey * 131 % 2500 + 1) AS target,
+          TIMESTAMP '2025-09-01' + to_hours(CAST(c_custkey % 4 * 3
+            AS BIGINT)) AS departure
+        FROM customer),
+      known AS (
+        SELECT r.*, s.node AS source_station, t.node AS target_station
+        FROM req r LEFT JOIN st s ON s.node = r.source
+        LEFT JOIN st t ON t.node = r.target),
+      reach(src, dep0, node, arr) USING KEY (src, dep0, node) AS (
+        SELECT DISTINCT source_station, departure, source_station, departure
+        FROM known WHERE source_station IS NOT NULL
+          AND target_station IS NOT NULL
+        UNION
+        SELECT n.src, n.dep0, n.dst, n.arr FROM (
+          SELECT r.src, r.dep0, c.dst, min(c.arr) AS arr
+          FROM reach r JOIN conn c ON c.frm = r.node AND c.dep >= r.arr
+          GROUP BY ALL) n
+        LEFT JOIN recurring.reach o ON o.src = n.src AND o.dep0 = n.dep0
+          AND o.node = n.dst
+        WHERE o.arr IS NULL OR n.arr < o.arr)
+      SELECT k.request_id, k.source_station, k.target_station, k.departure,
+        CASE WHEN k.source_station IS NULL THEN 'source not found'
+          WHEN k.target_station IS NULL THEN 'target not found'
+          WHEN r.arr IS NULL THEN 'no path' ELSE 'found' END AS status,
+        r.arr AS arrival
+      FROM known k LEFT JOIN reach r ON r.src = k.source_station
+        AND r.dep0 = k.departure AND r.node = k.target_station""",
     "connections": f"WITH {EVENT_CONN} SELECT * FROM conn",
     "earliest_arrival": f"""WITH RECURSIVE {EVENT_CONN},
       st AS (SELECT from_station AS s FROM conn UNION
@@ -723,6 +827,103 @@ ORACLE: dict[str, str] = {
         CAST(coalesce(s.stations, 0) AS INTEGER) AS stations,
         coalesce(s.itinerary, '') AS itinerary
       FROM arrv a LEFT JOIN summ s ON s.target = a.station""",
+    "q21_wildcards": f"""WITH {PART_DIM},
+      req AS (
+        SELECT c_custkey AS request_id, CASE c_custkey % 8
+          WHEN 0 THEN '%' || c_custkey
+          WHEN 1 THEN substr(CAST(c_custkey AS VARCHAR), 1, 1) || '_'
+               || substr(CAST(c_custkey AS VARCHAR), 2, 2)
+          WHEN 2 THEN repeat('_', CAST(c_custkey % 40 AS INTEGER))
+          WHEN 3 THEN 'R%' || c_custkey WHEN 4 THEN ''
+          WHEN 5 THEN ' ' || c_custkey WHEN 6 THEN substr(c_name, 1, 4)
+          ELSE '\\_' || c_custkey END AS text FROM customer)
+      SELECT request_id, min(station_name) AS station_name,
+        arg_min(lat, (station_name, eva)) AS lat,
+        arg_min(lon, (station_name, eva)) AS lon,
+        arg_min(eva, (station_name, eva)) AS identifier
+      FROM req JOIN pdim
+        ON station_name ILIKE '%' || text || '%' ESCAPE '\\'
+      GROUP BY request_id""",
+    "q22_uneven": f"""WITH {PART_DIM},
+      town AS (
+        SELECT station_name, lat / 10000 + 52.5 AS lat,
+          lon / 100000 + 13.4 AS lon FROM pdim
+        UNION ALL SELECT 'null island', 0.0, 0.0),
+      pts AS (
+        SELECT c_custkey AS request_id,
+          CASE WHEN c_custkey % 3 <> 0 THEN c_acctbal / 1000000 + 52.5
+               ELSE c_acctbal / 120 END AS lat,
+          CASE WHEN c_custkey % 3 <> 0 THEN c_nationkey / 1000 + 13.4
+               ELSE c_nationkey * 7 - 80.0 END AS lon
+        FROM customer)
+      SELECT p.request_id, arg_min(t.station_name, ((t.lat - p.lat) ^ 2
+        + (t.lon - p.lon) ^ 2, t.station_name)) AS station_name
+      FROM pts p, town t GROUP BY p.request_id""",
+    "q23_one_snapshot": f"""{XML_STAR}
+      SELECT snapshot_time_key, count(DISTINCT (station_key, stop_id))
+        AS cancelled_trains
+      FROM folded WHERE is_cancelled AND snapshot_time_key = 202509010815
+      GROUP BY 1""",
+    "q32_absent_station": f"""{LAKE},
+      per_day AS (SELECT date, avg(arrival_delay_minutes) AS a FROM movements
+                  WHERE NOT is_cancelled AND station_name = 'S3'
+                  GROUP BY date)
+      SELECT 'S3' AS station_name, round(avg(a), 6) AS final_avg,
+        count(*) AS days FROM per_day HAVING count(*) > 0""",
+    "q33_top": f"""{LAKE},
+      per_day AS (SELECT station_name, date, count(*) AS n FROM movements
+                  WHERE planned_departure IS NOT NULL
+                    AND hour IN (7, 8, 17, 18)
+                  GROUP BY station_name, date),
+      per_station AS (
+        SELECT station_name, {round2('CAST(sum(n) AS BIGINT)', 'count(*)')}
+          AS avg_peak_departures, count(*) AS days_observed
+        FROM per_day GROUP BY station_name)
+      SELECT * FROM per_station
+      ORDER BY avg_peak_departures DESC, station_name LIMIT 7""",
+    "check_fk_missing": """
+      SELECT l_orderkey, l_linenumber, l_partkey * 2 AS part,
+        'fk part' AS rule
+      FROM lineitem WHERE l_partkey * 2 NOT IN (SELECT p_partkey FROM part)
+      """,
+    "change_roundtrip": f"""WITH {CHANGE_RAW}
+      SELECT * EXCLUDE (source_file, update_timestamp),
+        '2509010800' AS update_timestamp FROM change_raw""",
+    "raw_tables": f"WITH {PLAN_RAW} SELECT * FROM plan_raw",
+    "lake_counts": """
+      SELECT (SELECT count(*) FROM orders) AS plan_rows,
+        (SELECT count(*) FROM lineitem JOIN orders
+         ON l_orderkey = o_orderkey) AS change_rows""",
+    "lake_from_xml": f"""WITH {PLAN_RAW},
+      called AS (
+        SELECT CAST(l_orderkey AS VARCHAR) AS stop_id,
+          max((strptime('20' || strftime(l_shipdate + to_minutes(
+            CAST(l_linenumber * 7 AS BIGINT)), '%y%m%d%H%M'),
+            '%Y%m%d%H%M'), l_returnflag = 'R')) AS m
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1),
+      latest AS (SELECT stop_id, m[1] AS t, m[2] AS c FROM called)
+      SELECT p.stop_id, 'Stop ' || substr(station_name, 2) AS station_name,
+        train_category, train_number, planned_arrival,
+        u.t AS actual_arrival,
+        {_clamp('u.t', 'planned_arrival')} AS arrival_delay_minutes,
+        planned_departure, u.t AS actual_departure,
+        {_clamp('u.t', 'planned_departure')} AS departure_delay_minutes,
+        coalesce(u.c, false) AS is_cancelled,
+        CAST(coalesce(planned_departure, planned_arrival) AS DATE) AS date,
+        CAST(hour(coalesce(planned_departure, planned_arrival)) AS INTEGER)
+          AS hour
+      FROM plan_raw p LEFT JOIN latest u USING (stop_id)""",
+    "star_written": f"""{XML_STAR},
+      minutes AS (
+        SELECT DISTINCT {SNAP.format('o_orderkey')} AS k FROM orders UNION
+        SELECT planned_time_key FROM prow UNION SELECT ck FROM crow)
+      SELECT 'dim_station' AS name, count(DISTINCT o_custkey % 40) AS n
+      FROM orders WHERE o_custkey % 40 % 13 <> 12
+      UNION ALL SELECT 'dim_train', 1 + count(*) FROM (
+        SELECT DISTINCT train_category, train_number FROM pk WHERE known)
+      UNION ALL SELECT 'dim_time', count(k) FROM minutes
+      UNION ALL SELECT 'fact_train_movement', count(*) FROM folded
+      UNION ALL SELECT 'violations', CAST(0 AS BIGINT)""",
     "star_from_xml": f"""{XML_STAR}
       SELECT snapshot_time_key, station_key, stop_id, event_type,
         planned_time_key, changed_time_key, event_status, planned_platform,
@@ -788,3 +989,7 @@ ORACLE: dict[str, str] = {
       UNION ALL SELECT 'trains', count(*) FROM owner
       UNION ALL SELECT 'facts without train', CAST(0 AS BIGINT)""",
 }
+
+# the connections of one day: no train runs over midnight
+ORACLE["connections_day"] = ORACLE["connections_star"] + \
+    " AND date = DATE '1995-03-10'"
