@@ -251,7 +251,6 @@ def test_quality_edges(spark, odd):
 # -- 4 ------------------------------------------------------------------
 def token_rows(pairs):
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     start = 0
     for i, x in pairs:
         ids = t.encode(x or "", add_special_tokens=False).ids + [0]
@@ -275,7 +274,6 @@ def test_token_pieces_equal_whole_texts():
     path = public_tokenizers.path("byte_bpe_50k.json")
     e = token_files.Encoder(path, limit=50)  # clears its cache again and again
     whole = Tokenizer.from_file(path)
-    whole.encode_special_tokens = True
     for i in range(0, len(texts), 500):
         ids, edge = e.encode(texts[i:i + 500])
         for k, t in enumerate(texts[i:i + 500]):
@@ -283,6 +281,16 @@ def test_token_pieces_equal_whole_texts():
                 t, add_special_tokens=False).ids + [0], repr(t)
 
 
+def test_names_of_added_tokens_are_their_ids(spark):
+    """As the tokenizer itself takes them."""
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|", "a b"]
+    df = spark.createDataFrame(list(enumerate(texts)),
+                               "doc_id long, text string")
+    got = sorted(rows_of(token_files.op4_query(df)))
+    assert got == list(token_rows(enumerate(texts)))
+    assert [r[2] for r in got] == [5, 2, 8, 3]
+
+
 def test_token_files_edges(spark, odd, tmp):
     got = rows_of(token_files.op4_query(odd))
     assert len(got) == 9 and sum(r[2] for r in got) > 9

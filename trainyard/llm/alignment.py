@@ -39,10 +39,10 @@ from trainyard.session import work_dir
 
 TOKENIZER = "byte_bpe_50k.json"
 MODEL = "piece_bpe_32k.model"
-CACHED = 200_000        # pieces of a generation; two are kept
+CACHED = 240_000        # pieces of a generation; two are kept
 CACHED_CHARS = 64       # longer pieces are not kept
-SLICE = 500_000         # characters aligned at once
-TOGETHER = 1_000        # pieces encoded as one text
+SLICE = 1_000_000       # characters aligned at once
+TOGETHER = 100          # pieces encoded as one text
 HEAD = 1 << 20          # most frequent pairs, broadcast; others are joined
 LINKS = 1_000_000       # links counted at once
 _MARK = "\u2581"        # sentencepiece's blank
@@ -50,6 +50,9 @@ _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
 _OTHER_SPACE = re.compile(
     "[\t\x0b\x0c\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f"
     "\u205f\u3000]")
+# Nor do they join a letter with marks behind it (also looked for).
+_LETTER = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+_MARKED = re.compile(f"(.*[{_LETTER}])([.,;:!?]+)", re.DOTALL)
 # Byte-level vocabularies write each byte as a character: printable ones of
 # Latin-1 as they are, the others, in order, as the characters from 256 on.
 _PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -104,6 +107,9 @@ class Aligner:
         self.b_size = np.array([len(x) for x in self.b_bytes], np.int64)
         self.apart = not any(re.search(f"\n|[^{_MARK}]{_MARK}", p)
                              for p in pieces)
+        self.marks_apart = self.apart and not any(
+            re.search(f"[{_LETTER}][.,;:!?]", p) for p in pieces)
+        self.marks: dict[str, tuple | None] = {}
         self.new: dict[str, tuple] = {}
         self.old: dict[str, tuple] = {}
 
@@ -169,6 +175,16 @@ class Aligner:
             return b"", b"", "", 0, -1 << 40
         return self._entries(*got, np.array([len(piece.encode())]))[0]
 
+    def _marks(self, marks: str) -> tuple | None:
+        """Entry of marks behind a letter; None where they cannot be told
+        from it."""
+        if marks not in self.marks:
+            got, edges = self._tokens(" a" + marks, True), np.array(
+                [2, 2 + len(marks)])
+            self.marks[marks] = self._entries(*got, edges)[1] if got \
+                and 2 in got[1] and 2 in got[3] else None
+        return self.marks[marks]
+
     def _learn(self, pieces: list[str]) -> dict[str, tuple]:
         """Entries of pieces.  Those with no white space behind their first
         character and at their end are encoded many at once, as one text."""
@@ -199,12 +215,25 @@ class Aligner:
                 for t in texts]
         new, old = self.new, self.old
         missing = {p: 0 for c in cuts for p in c if p not in new}
+        # words with marks are put together from both, for this slice only
+        marked = {}
+        for p in list(missing) if self.marks_apart else ():
+            m = _MARKED.fullmatch(p)
+            if m and self._marks(m[2]):
+                marked[p] = m.groups()
+                del missing[p]
+                if m[1] not in new:
+                    missing[m[1]] = 0
         for p in missing.keys() & old.keys():
             new[p] = old[p]
             del missing[p]
         long = {}
         for p, e in self._learn(list(missing)).items():
             (new if len(p) <= CACHED_CHARS else long)[p] = e
+        for p, (word, marks) in marked.items():
+            a, b = new.get(word) or long[word], self._marks(marks)
+            long[p] = (a[0] + b[0], a[1] + b[1], f"{a[2]};{b[2]}",
+                       a[3] + b[3], a[4] + b[4])
         out = []
         for c in cuts:
             es = [new.get(p) or long[p] for p in c]

@@ -34,11 +34,12 @@ END = 0                 # id behind each document
 STRIPE_BYTES = 16 << 20
 INDEX_ROWS = 1000
 SLICE = 1_000_000       # characters encoded at once
+TOGETHER = 1_000        # pieces encoded as one text
 
 # A text is cut in front of each single blank or line end between two
 # characters that are no white space.  The tokenizer never joins ids across
 # such a place, so the pieces can be encoded apart; texts with other white
-# space are encoded whole.
+# space, and those with the name of an added token, are encoded whole.
 _OTHER_SPACE = re.compile(
     "[\t\x0b\x0c\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f"
     "\u205f\u3000]")
@@ -49,64 +50,81 @@ def _single_spaced(t: str) -> bool:
                 or "\n " in t or "\n\n" in t or _OTHER_SPACE.search(t))
 
 
-# Nor does it join a line end, letters and marks (no apostrophes): a piece
-# made of them is the ids of its parts.  Latin letters are enough here.
-_PARTS = re.compile("(\n?)( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)"
-                    "([!\"#$%&()*+,./:;<=>?@|~-]*)")
-
-
 # Byte-level vocabularies write each byte as a character: printable ones of
 # Latin-1 as they are, the others, in order, as the characters from 256 on.
 _PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
-_BYTE_CHARS = {b: 256 + i for i, b in enumerate(
-    b for b in range(256) if b not in _PRINTED)}
+_CHAR_BYTE = {chr(b): b for b in _PRINTED} | {
+    chr(256 + i): b for i, b in enumerate(
+        b for b in range(256) if b not in _PRINTED)}
+
+
+class Store:
+    """Ids of pieces, one after the other; entry 0 is the end id."""
+
+    def __init__(self):
+        self.known: dict[str, int] = {}
+        self.flat, self.edge = array("i", [END]), array("q", [0, 1])
+
+    def ids(self, piece: str) -> array:
+        k = self.known[piece]
+        return self.flat[self.edge[k]:self.edge[k + 1]]
+
+    def add(self, pieces: list[str], ids: np.ndarray, ends: np.ndarray
+            ) -> None:
+        """``ends``: where each piece's ids end in ``ids``."""
+        first = len(self.edge) - 1
+        self.known.update(zip(pieces, range(first, first + len(pieces))))
+        self.edge.frombytes((ends + len(self.flat)).astype("q").tobytes())
+        self.flat.frombytes(ids.astype("i").tobytes())
 
 
 class Encoder:
-    """Ids of whole texts; those of pieces are kept in a bounded cache."""
+    """Ids of whole texts, as the tokenizer gives them by default.  Those of
+    pieces are kept in two generations of a bounded size: a full one becomes
+    the old one, and a piece of the old one that is seen again moves on."""
 
-    def __init__(self, path: str, limit: int = 1_200_000):
+    def __init__(self, path: str, limit: int = 400_000):
         self.tokenizer = Tokenizer.from_file(path)
-        # names of special tokens in a text are text
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content for t in
+                      self.tokenizer.get_added_tokens_decoder().values()]
+        vocabulary = self.tokenizer.get_vocab()
+        self.size = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, i in vocabulary.items():
+            self.size[i] = len(token) if all(
+                c in _CHAR_BYTE for c in token) else 0
         self.limit = limit
-        self._clear()
-
-    def _clear(self) -> None:
-        self.known: dict[str, int] = {}
-        self.flat, self.edge = array("i"), array("q", [0])
-        self._add([END])  # entry 0
-
-    def _add(self, ids) -> int:
-        self.flat.extend(ids)
-        self.edge.append(len(self.flat))
-        return len(self.edge) - 2
-
-    def _learn_parts(self, parts: list[str]) -> None:
-        """Parts that the tokenizer's own splitting leaves whole go to its
-        merges directly."""
-        tokenize = self.tokenizer.model.tokenize
-        for t in parts:
-            self.known[t] = self._add([x.id for x in tokenize(
-                t.encode().decode("latin-1").translate(_BYTE_CHARS))])
-
-    def _learn(self, texts: list[str]) -> None:
-        for i in range(0, len(texts), 20_000):
-            part = texts[i:i + 20_000]
-            for t, e in zip(part, self.tokenizer.encode_batch_fast(
-                    part, add_special_tokens=False)):
-                self.known[t] = self._add(e.ids)
+        self.new, self.old = Store(), Store()
+
+    def _encoded(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(
+            texts, add_special_tokens=False)]
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Pieces are encoded many at once, as one text; the bytes of the ids
+        tell them apart."""
+        for i in range(0, len(pieces), TOGETHER):
+            some = pieces[i:i + TOGETHER]
+            ids = np.array(self._encoded(["".join(some)])[0], np.int64)
+            cuts = np.cumsum(self.size[ids])
+            edges = np.cumsum([len(p.encode()) for p in some])
+            ends = np.searchsorted(cuts, edges) + 1
+            if not len(cuts) or cuts[-1] != edges[-1] or not (
+                    cuts[ends - 1] == edges).all():
+                each = self._encoded(some)
+                ids = np.array([x for e in each for x in e], np.int64)
+                ends = np.cumsum([len(e) for e in each])
+            self.new.add(some, ids, ends)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after the other with the end id behind each,
         and the places where texts begin and end."""
-        if len(self.known) > self.limit:
-            self._clear()
-        known = self.known
+        if len(self.new.known) > self.limit:
+            self.old, self.new = self.new, Store()
         pieces: list[str] = []
         count, whole = [], []
         for t in texts:
-            if t and _single_spaced(t):
+            if t and _single_spaced(t) and not any(x in t
+                                                   for x in self.added):
                 p = t.replace("\n", " \n").split(" ")
                 # a piece behind a blank has the blank in front again
                 pieces.append(p[0])
@@ -116,45 +134,43 @@ class Encoder:
                 count.append(0)
                 if t:
                     whole.append(len(count) - 1)
+        known = self.new.known
         at = np.fromiter(map(known.get, pieces, repeat(-1)), np.int64,
                          len(pieces))
         miss = np.flatnonzero(at < 0).tolist()
         if miss:
-            split, new, single = {}, {}, {}
-            for i in miss:
-                x = pieces[i]
-                m = _PARTS.fullmatch(x)
-                if not m:
-                    new[x] = 0
-                    continue
-                parts = [g for g in m.groups() if g]
-                for g in parts:
-                    if g not in known:
-                        single[g] = 0
-                if len(parts) > 1:
-                    split[x] = parts
-            self._learn_parts(list(single))
-            self._learn(list(new))
-            flat, edge = self.flat, self.edge
-            for x, parts in split.items():
-                ids = array("i")
-                for g in parts:
-                    k = known[g]
-                    ids += flat[edge[k]:edge[k + 1]]
-                known[x] = self._add(ids)
+            missing = dict.fromkeys(pieces[i] for i in miss)
+            seen = [p for p in missing if p in self.old.known]
+            if seen:
+                parts = [self.old.ids(p) for p in seen]
+                self.new.add(seen, np.concatenate(
+                    [np.frombuffer(x, np.int32) for x in parts]),
+                    np.cumsum([len(x) for x in parts]))
+            first, rest = [], []
+            for p in missing:
+                if p not in known:
+                    # a text's first piece has no blank in front
+                    (rest if p[0] in " \n" else first).append(p)
+            self._learn(rest)
+            for i in range(0, len(first), TOGETHER):
+                some = first[i:i + TOGETHER]
+                each = self._encoded(some)
+                self.new.add(some, np.array([x for e in each for x in e],
+                                            np.int64),
+                             np.cumsum([len(e) for e in each]))
             at[miss] = [known[pieces[i]] for i in miss]
         # the texts' own entries: pieces, then the end
         number = np.array(count, np.int64)
-        extra = {}
-        for i, e in zip(whole, self.tokenizer.encode_batch_fast(
-                [texts[i] for i in whole], add_special_tokens=False)):
-            extra[i] = e.ids
-        flat, edge = np.array(self.flat, np.int32), np.array(self.edge)
+        extra = dict(zip(whole, self._encoded([texts[i] for i in whole])))
+        flat = np.frombuffer(self.new.flat, np.int32)
+        edge = np.frombuffer(self.new.edge, np.int64)
         entry = np.insert(at, np.cumsum(number), 0)  # entry 0 ends a text
         n = np.diff(edge)[entry]
         ends = np.cumsum(n)
         ids = flat[np.arange(int(n.sum())) + np.repeat(edge[entry] - ends + n,
                                                        n)]
+        # arrays cannot grow while a view of them is left
+        del flat, edge
         bounds = np.concatenate(([0], ends[np.cumsum(number + 1) - 1]))
         if extra:
             rows = [np.concatenate([np.array(extra[i], np.int32), x])
