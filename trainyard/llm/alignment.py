@@ -39,12 +39,12 @@ from trainyard.session import work_dir
 
 TOKENIZER = "byte_bpe_50k.json"
 MODEL = "piece_bpe_32k.model"
-CACHED = 240_000        # pieces of a generation; two are kept
+CACHED = 160_000        # pieces of a generation; two are kept
 CACHED_CHARS = 64       # longer pieces are not kept
-SLICE = 1_000_000       # characters aligned at once
+SLICE = 500_000         # characters aligned at once
 TOGETHER = 100          # pieces encoded as one text
 HEAD = 1 << 20          # most frequent pairs, broadcast; others are joined
-LINKS = 1_000_000       # links counted at once
+LINKS = 400_000         # links counted at once
 _MARK = "\u2581"        # sentencepiece's blank
 _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
 _OTHER_SPACE = re.compile(
@@ -295,6 +295,7 @@ class Links:
 
     def __init__(self, tokenizer: str, model: str):
         tok = aligner(tokenizer, model)
+        tok.new, tok.old = {}, {}   # pieces are not needed here
         self.a, self.b = tok.a_size, tok.b_size
 
     def keys(self, batch: pa.RecordBatch) -> Iterator[tuple]:

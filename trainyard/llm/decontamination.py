@@ -54,27 +54,36 @@ class TestBlock:
     items_from: np.ndarray  # CSR: items of each window, as numbers
     items: np.ndarray
     item_ids: list
+    opens: np.ndarray       # suffixes that begin with a window,
+    open_len: np.ndarray    # and the words of that window
 
 
 def test_block(rows: list[tuple], window: int = WINDOW) -> TestBlock:
     """``rows``: (item_id, text).  Items without an id still mark words."""
     vocabulary: dict[bytes, int] = {}
     text, suffixes, windows, ids = [], {}, {}, {}
-    for item, body in rows:
+    for row, (item, body) in enumerate(rows):
         w = [vocabulary.setdefault(x, len(vocabulary) + 1)
              for x in words_of(body)]
         at = len(text)
         text += [*w, 0]
         number = None if item is None else ids.setdefault(item, len(ids))
         for i in range(len(w)):
-            suffixes.setdefault(tuple(w[i:i + 64]) if len(w) - i <= 64
-                                else (item, i), (at + i, len(w) - i, item, i))
+            # long suffixes are not compared, each is one
+            suffixes.setdefault(
+                tuple(w[i:]) if len(w) - i <= 64 else (-1 - row, i),
+                (at + i, len(w) - i, item, i,
+                 min(window, len(w)) if i == 0 or len(w) - i >= window
+                 else 0))
         for i in range(max(1, len(w) - window + 1) if w else 0):
             start, owners = windows.setdefault(
                 tuple(w[i:i + window]), (at + i, set()))
             if number is not None:
                 owners.add(number)
     s, k = list(suffixes.values()), list(windows)
+    # a short item that ends another one's text is a window all the same
+    opens = np.array([x[4] or (x[1] if key in windows else 0)
+                      for key, x in suffixes.items()], np.int64)
     owners = [sorted(windows[x][1]) for x in k]
     flat = [x for o in owners for x in o]
     return TestBlock(
@@ -85,7 +94,8 @@ def test_block(rows: list[tuple], window: int = WINDOW) -> TestBlock:
         np.array([windows[x][0] for x in k], np.int64),
         np.array([len(x) for x in k], np.int64),
         np.cumsum([0] + [len(o) for o in owners]),
-        np.array(flat, np.int64), list(ids))
+        np.array(flat, np.int64), list(ids), np.flatnonzero(opens),
+        opens[opens > 0])
 
 
 def suffix_array(ids: np.ndarray, depth: int) -> np.ndarray:
@@ -213,6 +223,39 @@ class Shard:
         return best, doc, place - (self.starts[doc] if len(self.starts)
                                    else 0)
 
+    def matches(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place, suffix, length): where a test suffix that begins with a
+        window has that window in the documents, and how many words of the
+        suffix follow there."""
+        b = self.block
+        query = b.suffix[b.opens]
+        lo = search(self.ids, self.sa, b.text, query, b.open_len)
+        n = search(self.ids, self.sa, b.text, query, b.open_len, True) - lo
+        k = np.repeat(np.arange(len(n)), n)
+        place = self.sa[np.arange(len(k)) - np.repeat(np.cumsum(n) - n, n)
+                        + np.repeat(lo, n)]
+        suffix = b.opens[k]
+        length, _ = _common(self.ids, place, b.text, b.suffix[suffix],
+                            b.suffix_len[suffix])
+        return place, suffix, length
+
+    def longest_by_document(self) -> tuple[np.ndarray, ...]:
+        """(length, word, suffix) of each document's longest match that holds
+        a window; 0, -1, -1 where there is none.  Ties: the first word, then
+        the first suffix."""
+        place, suffix, length = self.matches()
+        doc = np.searchsorted(self.starts, place, "right") - 1
+        order = np.lexsort((suffix, place, -length, doc))
+        first = order[np.concatenate(([True], np.diff(doc[order]) > 0))] \
+            if len(order) else order
+        out = [np.zeros(len(self.starts), np.int64)] + [
+            np.full(len(self.starts), -1, np.int64) for _ in range(2)]
+        at = doc[first]
+        out[0][at] = length[first]
+        out[1][at] = place[first] - self.starts[at]
+        out[2][at] = suffix[first]
+        return tuple(out)
+
     def hit_counts(self, hit: np.ndarray) -> np.ndarray:
         total = np.concatenate(([0], np.cumsum(hit)))
         return total[self.starts + self.n_words] - total[self.starts]
@@ -279,19 +322,32 @@ def _hit_rows(part: pa.Table, shard: Shard) -> pa.Table:
              for i in range(len(part))]
     places = [np.flatnonzero(hit[s:s + n]).tolist() if c else []
               for s, n, c in zip(shard.starts, shard.n_words, counts)]
+    length, word, suffix = shard.longest_by_document()
+    longest = pa.StructArray.from_arrays(
+        [pa.array(length), pa.array(word), pa.array(
+            [None if k < 0 or b.suffix_item[k] is None
+             else str(b.suffix_item[k]) for k in suffix.tolist()],
+            pa.string()),
+         pa.array(np.where(suffix < 0, -1, b.suffix_pos[suffix])
+                  if len(b.suffix_pos) else suffix)],
+        ["length", "word", "item", "item_word"])
     return pa.table({
         "doc_id": part.column("doc_id"), "key": part.column("key"),
         "n_words": pa.array(shard.n_words), "hits": pa.array(
             places, pa.list_(pa.int32())),
-        "items": pa.array(items, pa.list_(pa.string()))})
+        "items": pa.array(items, pa.list_(pa.string())),
+        "longest": longest})
 
 
 def contamination(docs: DataFrame, bench: DataFrame, window: int = WINDOW,
                   shard_words: int = SHARD_WORDS,
                   block_chars: int = BLOCK_CHARS) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, n_words, hits
-    (word positions inside any occurrence of a window, ascending) and items
-    (ids, as strings, of the items with occurring windows, sorted).
+    (word positions inside any occurrence of a window, ascending), items
+    (ids, as strings, of the items with occurring windows, sorted) and longest
+    (length, word, item, item_word: the longest verbatim match that holds a
+    window, where it begins in the text, the item and where in it; null
+    where no window occurs).
 
     An item of fewer words than ``window`` is one window; null and wordless
     texts have no words and no windows; items with a null id mark words but
@@ -299,7 +355,8 @@ def contamination(docs: DataFrame, bench: DataFrame, window: int = WINDOW,
     side give no hits; other columns are ignored."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = (f"doc_id {kind}, key string, n_words long, hits array<int>, "
-              "items array<string>")
+              "items array<string>, longest struct<length: long, word: long, "
+              "item: string, item_word: long>")
     blocks = list(blocks_of(bench, window, block_chars))
     keyed = docs.select("doc_id", F.col("text").cast("string"))
     if len(blocks) == 1:
@@ -319,14 +376,20 @@ def contamination(docs: DataFrame, bench: DataFrame, window: int = WINDOW,
         found = found.groupBy("doc_id", "key").agg(
             F.max("n_words").alias("n_words"),
             F.array_distinct(F.flatten(F.collect_list("hits"))).alias("hits"),
-            F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
+            F.array_distinct(F.flatten(F.collect_list("items")))
+            .alias("items"),
+            F.max_by("longest", F.struct(
+                F.col("longest.length"), -F.col("longest.word"),
+                F.col("longest.item"))).alias("longest"))
         found = found.withColumnRenamed("doc_id", "_d") \
             .withColumnRenamed("key", "_k")
         rows = first.join(found, F.col("doc_id").eqNullSafe(F.col("_d"))
                           & (F.col("key") == F.col("_k")))
     return rows.select("doc_id", "n_words",
                        F.sort_array("hits").alias("hits"),
-                       F.sort_array("items").alias("items"))
+                       F.sort_array("items").alias("items"),
+                       F.when(F.col("longest.length") > 0, F.col("longest"))
+                       .alias("longest"))
 
 
 def longest_matches(docs: DataFrame, bench: DataFrame,
@@ -366,11 +429,10 @@ def longest_matches(docs: DataFrame, bench: DataFrame,
 def remove_contaminated(docs: DataFrame, bench: DataFrame,
                         window: int = WINDOW,
                         shard_words: int = SHARD_WORDS) -> DataFrame:
-    """The rows of ``docs`` in whose text no window occurs, all columns kept:
-    one pass over the rows per benchmark block, no shuffle."""
+    """The rows of ``docs`` without a verbatim match that holds a window, all
+    columns kept: one pass over the rows per benchmark block, no shuffle."""
     def emit(part: pa.Table, shard: Shard) -> pa.Table:
-        clean = shard.hit_counts(shard.hits()[0]) == 0
-        return part.filter(pa.array(clean))
+        return part.filter(pa.array(shard.longest_by_document()[0] == 0))
 
     for b in blocks_of(bench, window):
         docs = _over_shards(docs, b, docs.schema, emit, shard_words)
@@ -383,4 +445,8 @@ def op2_query(docs: DataFrame, bench: DataFrame) -> DataFrame:
         "doc_id", "n_words", F.size("hits").cast("long").alias("n_hit"),
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.encode(joined, "utf-8"), 256).alias("items_sha256"),
-        (F.size("hits") > 0).alias("contaminated"))
+        (F.size("hits") > 0).alias("contaminated"),
+        F.coalesce("longest.length", F.lit(0)).cast("long").alias("longest"),
+        F.col("longest.word").alias("longest_word"),
+        F.col("longest.item").alias("longest_item"),
+        F.col("longest.item_word").alias("longest_item_word"))

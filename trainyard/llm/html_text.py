@@ -2,15 +2,18 @@
 
 A page is parsed into a tree.  For every node the characters, tags, link
 characters and link tags below it give its composite density: characters per
-tag, adjusted by how much of them is in links.  The node whose children's
-densities have the largest sum is the core of the article.  The smallest
-density on the path from it up to the body is the threshold: going up that
-path, siblings at least that dense belong to the text too.  If the core lies
-in an ``article`` or ``main`` element, that whole element is the text.
+tag, adjusted by how much of them is in links.  Elements that only dress a
+line (bold, line breaks, spans) are text, not tags.  The node whose children's
+densities have the largest sum is the core of the article; of equal ones an
+``article`` or ``main`` element.  The smallest density on the path from it up
+to the body, with all that these nodes hold, is the threshold: going up that
+path, siblings at least that dense belong to the text too, and headings.
 
 Parts that are no article by their element, role or class (menus, page
 headers, footers, sidebars, notices, adverts, forms, comments) are left out
-before densities are taken.
+of the sums and of the text.  A name alone decides nothing against the text: an
+element with such a name that holds most of the body's characters outside
+links stays.
 """
 
 from __future__ import annotations
@@ -18,6 +21,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -56,32 +60,41 @@ COMMENT_WORDS = frozenset(
     "comment comments commentlist commentary disqus respond replies reply "
     "discussion usercomments".split())
 LANDMARK = ("article", "main")
+# Dress of a line: neither tags nor candidates.
+INLINE = frozenset(
+    "abbr acronym b bdi bdo big br cite code data del dfn em font i ins kbd "
+    "mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u "
+    "var wbr".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
-_MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>",
-    re.S)
+_MARKUP = re.compile(r"<(?:!--|[!?]|(/?)([a-zA-Z][^\s/>]*))")
+_STOP = re.compile("[>\"']")
 _ATTRIBUTE = re.compile(
     r"([^\s=\"'/<>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _WORDS = re.compile(r"[a-z0-9]+")
 _RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])", re.I) for t in RAW}
-# what an opening element ends, and where the search for it stops
-_ENDS = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}),
-         "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
-         "tr": ({"tr", "td", "th"}, {"table"}),
-         "td": ({"td", "th"}, {"tr", "table"}),
-         "th": ({"td", "th"}, {"tr", "table"}),
-         "tbody": ({"tbody", "thead", "tfoot", "tr", "td", "th"}, {"table"}),
-         "tfoot": ({"tbody", "thead", "tfoot", "tr", "td", "th"}, {"table"}),
-         "option": ({"option"}, {"select", "datalist"}),
-         "body": ({"head"}, set())}
+# what an opening element ends (the outermost of it), and the elements that
+# keep it from being ended
 _SCOPE = frozenset("table td th caption button object html body".split())
+_CELLS = frozenset(("td", "th"))
+_PARTS = frozenset("tbody thead tfoot tr td th".split())
+_ENDED = [(frozenset(("p",)), _SCOPE),
+          (frozenset(("li",)), frozenset("ul ol menu dir".split())),
+          (frozenset(("dt", "dd")), frozenset(("dl",))),
+          (frozenset(("tr", "td", "th")), frozenset(("table",))),
+          (_CELLS, frozenset(("tr", "table"))),
+          (_PARTS, frozenset(("table",))),
+          (frozenset(("option",)), frozenset(("select", "datalist"))),
+          (frozenset(("head",)), frozenset())]
+_ENDS = {"li": 1, "dt": 2, "dd": 2, "tr": 3, "td": 4, "th": 4, "tbody": 5,
+         "tfoot": 5, "option": 6, "body": 7}
+_ENDING = frozenset().union(*(tags | scope for tags, scope in _ENDED))
 
 
 class Node:
     __slots__ = ("tag", "parent", "children", "skip", "words", "chars",
-                 "tags", "link_chars", "link_tags", "density", "total")
+                 "tags", "link_chars", "link_tags", "density", "total",
+                 "whole", "ended")
 
     def __init__(self, tag: str, parent: Node | None):
         self.tag, self.parent = tag, parent
@@ -89,24 +102,21 @@ class Node:
         self.skip = False
         self.words: frozenset | set = frozenset()
         self.chars = self.tags = self.link_chars = self.link_tags = 0
-        self.density = self.total = 0.0
+        self.density = self.total = self.whole = 0.0
+        # per kind of _ENDED the outermost open element that it would end
+        up = parent.ended if parent else (None,) * len(_ENDED)
+        self.ended = up if tag not in _ENDING else tuple(
+            (x or self) if tag in tags else None if tag in scope else x
+            for x, (tags, scope) in zip(up, _ENDED))
 
 
-def _within(node: Node | None, tags) -> bool:
-    while node is not None:
-        if node.tag in tags:
-            return True
-        node = node.parent
-    return False
-
-
-def _judge(node: Node, attributes: str) -> None:
+def _judge(node: Node, attributes: str, in_article: bool) -> None:
     """Mark ``node`` if its element, role, style or names say no article."""
     tag = node.tag
     if tag in NO_TEXT:
         node.skip = True
     elif tag == "header":
-        node.skip = not _within(node.parent, ("article",))
+        node.skip = not in_article
     if not attributes or tag in ("html", "body"):
         return
     names: set[str] = set()
@@ -128,60 +138,83 @@ def _judge(node: Node, attributes: str) -> None:
         node.skip, node.words = True, names
 
 
+def _tag_end(page: str, at: int) -> int:
+    """Where the tag whose name ends at ``at`` is closed: the first ``>``
+    outside quotes, or, with a quote that nothing closes, the first at all."""
+    i = at
+    while m := _STOP.search(page, i):
+        if m[0] == ">":
+            return m.start()
+        i = page.find(m[0], m.end()) + 1
+        if not i:
+            break
+    return page.find(">", at)
+
+
 def parse(page: str) -> Node:
     """The page as a tree; unclosed, misnested and unknown elements are
-    accepted the way browsers do in the common cases."""
+    accepted the way browsers do in the common cases.  The time grows with
+    the page's length, however deep or broken it is."""
     root = node = Node("#root", None)
-    at, end = 0, len(page)
+    opened: Counter[str] = Counter()    # tags of the nodes above
+    at, text_from, end = 0, 0, len(page)
+    last = page.rfind(">")
 
-    def close(tags, scope) -> None:
+    def leave(x: Node) -> None:
+        """Close everything up to ``x``."""
         nonlocal node
-        x = node
-        while x.parent is not None and x.tag not in scope:
-            if x.tag in tags:
-                node = x.parent
-                return
-            x = x.parent
-
-    while at < end:
-        m = _MARKUP.search(page, at)
-        text = page[at:m.start() if m else end]
-        if text:
-            node.children.append(html.unescape(text))
-        if not m:
-            break
-        at = m.end()
+        while node is not x:
+            opened[node.tag] -= 1
+            node = node.parent
+        opened[x.tag] -= 1
+        node = x.parent
+
+    while m := _MARKUP.search(page, at):
         tag = m[2]
+        if tag:
+            # without a ">" behind it, it is text
+            stop = _tag_end(page, m.end()) if m.end() <= last else -1
+            at = stop + 1 if stop >= 0 else m.end()
+            if stop < 0:
+                continue
+        else:
+            close = "-->" if m[0] == "<!--" else ">"
+            stop = page.find(close, m.end())
+            at = stop + len(close) if stop >= 0 else end
+        if m.start() > text_from:
+            node.children.append(html.unescape(page[text_from:m.start()]))
+        text_from = at
         if not tag:
             continue
         tag = tag.lower()
         if m[1]:
-            x = node
-            while x is not None and x.tag != tag:
-                x = x.parent
-            if x is not None and x.parent is not None:
-                node = x.parent
+            if opened[tag]:
+                x = node
+                while x.tag != tag:
+                    x = x.parent
+                leave(x)
             continue
-        if tag in BLOCK:
-            close({"p"}, _SCOPE)
-        if tag in _ENDS:
-            tags, scope = _ENDS[tag]
-            for _ in tags:
-                close(tags, scope)
+        if tag in BLOCK and (x := node.ended[0]):
+            leave(x)
+        if tag in _ENDS and (x := node.ended[_ENDS[tag]]):
+            leave(x)
         child = Node(tag, node)
-        _judge(child, m[3])
+        attributes = page[m.end():stop]
+        _judge(child, attributes, opened["article"] > 0)
         node.children.append(child)
         if tag in RAW:
             stop = _RAW_END[tag].search(page, at)
             stop = stop.start() if stop else end
             if tag == "textarea":
                 child.children.append(html.unescape(page[at:stop]))
-            at = stop
-            node = child
-        elif tag not in VOID and not m[3].endswith("/") or tag in (
-                "p", "div", "article", "section", "main", "span") and \
-                tag not in VOID:
-            node = child
+            at = text_from = stop
+        elif tag in VOID or attributes.endswith("/") and tag not in (
+                "p", "div", "article", "section", "main", "span"):
+            continue
+        node = child
+        opened[tag] += 1
+    if text_from < end:
+        node.children.append(html.unescape(page[text_from:]))
     return root
 
 
@@ -195,43 +228,66 @@ def _in_order(root: Node) -> list[Node]:
     return out
 
 
+def _count(nodes: list[Node]) -> float:
+    """Take the counts below all nodes (parents first); returns the share of
+    the body's characters that is in links."""
+    for n in reversed(nodes):
+        n.chars = n.tags = n.link_chars = n.link_tags = 0
+        for c in n.children:
+            if type(c) is str:
+                n.chars += len(" ".join(c.split()))
+            else:
+                n.chars += c.chars
+                n.tags += c.tags + (c.tag not in INLINE)
+                n.link_chars += c.chars if c.tag == "a" else c.link_chars
+                n.link_tags += c.link_tags + (c.tag == "a")
+    body = next((n for n in nodes if n.tag == "body"), nodes[0])
+    return body.link_chars / max(1, body.chars)
+
+
+def _density(n: Node, in_links: float) -> float:
+    return density(n.chars, n.tags, n.link_chars, n.link_tags, in_links)
+
+
 def _measure(root: Node) -> list[Node]:
-    """Drop what is no article and take the counts and densities of the
-    rest; returns the remaining nodes, parents first."""
+    """Take the densities of all nodes, then drop what is no article and take
+    those of the rest; returns the remaining nodes, parents first."""
     nodes = _in_order(root)
+    in_links = _count(nodes)
+    for n in nodes:
+        n.whole = _density(n, in_links)
+    # names are no reason to drop most of the text
+    body = next((n for n in nodes if n.tag == "body"), root)
+    most = (body.chars - body.link_chars) / 2
+    for n in nodes:
+        if n.skip and n.words and not n.words & COMMENT_WORDS \
+                and n.chars - n.link_chars > most:
+            n.skip = False
     # a wrapper named after what stands beside the article is no such part
+    seen: set[int] = set()
     for n in nodes:
         if n.tag == "main" or n.tag == "article" and not n.skip:
-            x = n.parent
-            while x is not None and not (x.skip and not x.words) \
+            x, above = n.parent, []
+            while x is not None and id(x) not in seen \
+                    and not (x.skip and not x.words) \
                     and not x.words & COMMENT_WORDS:
+                above.append(x)
+                seen.add(id(x))
                 x = x.parent
-            if x is None:
-                x = n.parent
-                while x is not None:
+            if x is None or id(x) in seen and not x.skip:
+                for x in above:
                     x.skip = False
-                    x = x.parent
     for n in nodes:
         if n.children:
             n.children = [c for c in n.children
                           if type(c) is str or not c.skip]
     nodes = _in_order(root)
-    for n in reversed(nodes):
-        for c in n.children:
-            if type(c) is str:
-                n.chars += len(" ".join(c.split()))
-            else:
-                n.chars += c.chars
-                n.tags += c.tags + 1
-                n.link_chars += c.chars if c.tag == "a" else c.link_chars
-                n.link_tags += c.link_tags + (c.tag == "a")
-    body = next((n for n in nodes if n.tag == "body"), root)
-    in_links = body.link_chars / max(1, body.chars)
+    in_links = _count(nodes)
     for n in nodes:
-        n.density = density(n.chars, n.tags, n.link_chars, n.link_tags,
-                            in_links)
+        n.density = _density(n, in_links)
     for n in nodes:
-        n.total = sum(c.density for c in n.children if type(c) is Node)
+        n.total = sum(c.density for c in n.children
+                      if type(c) is Node and c.tag not in INLINE)
     return nodes
 
 
@@ -252,27 +308,24 @@ def density(chars: int, tags: int, link_chars: int, link_tags: int,
 
 def _select(root: Node, nodes: list[Node]) -> set[int]:
     """The chosen subtrees, as ids of their top nodes."""
-    inside = [n for n in nodes if _within(n, ("body",))] or nodes
-    core = max(inside, key=lambda n: (n.total, n.density))
+    body = next((n for n in nodes if n.tag == "body"), root)
+    inside = [n for n in _in_order(body) if n.tag not in INLINE]
+    core = max(inside, key=lambda n: (n.total, n.tag in LANDMARK, n.density))
     if core.total == 0:  # no elements with text: the text itself
         core = max(inside, key=lambda n: (n.chars, -n.tags))
     path, x = [], core
     while x is not None and x.tag not in ("html", "#root"):
         path.append(x)
         x = x.parent
-    landmark = [n for n in path if n.tag in LANDMARK]
-    if landmark:
-        # the innermost article that holds the core, or else the main part
-        named = [n for n in landmark if n.tag == "article"]
-        return {id((named or landmark)[0])}
     if not path:
         return {id(root)}
-    limit = min(n.density for n in path)
+    limit = min(n.whole for n in path)
     chosen = {id(core)}
+    on_path = {id(n) for n in path}
     for n in path[1:]:
         for c in n.children:
-            if type(c) is Node and id(c) not in chosen and c not in path \
-                    and c.chars and 2 * c.link_chars < c.chars and (
+            if type(c) is Node and id(c) not in on_path and c.chars \
+                    and 2 * c.link_chars < c.chars and (
                         c.density >= limit or c.tag in HEADINGS):
                 chosen.add(id(c))
     return chosen
@@ -323,8 +376,10 @@ def main_text(page: str | None) -> str:
 
 def extract(pages: DataFrame, html_column: str = "html") -> DataFrame:
     """``pages`` plus text and n_chars (code points), one row per row; a null
-    page gives the empty text.  Columns of these names are replaced.  One
-    pass, no shuffle; a page is handled whole, one at a time."""
+    or textless page gives the empty text.  Columns of these names are
+    replaced, others kept; repeated rows give repeated rows, an empty table
+    none.  One pass, no shuffle; a page of any length is handled whole, one at
+    a time, in time that grows with its length."""
     keep = [c for c in pages.columns if c not in ("text", "n_chars",
                                                   html_column)]
 

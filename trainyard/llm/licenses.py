@@ -12,6 +12,7 @@ sequence and name the licence.  A rule may step over a few foreign sentences
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -225,6 +226,19 @@ _PUBLIC = re.compile(
     r"(?:is|are|was|were|been|be) )?(?:hereby )?(?:(?:released|dedicated"
     r"|placed|put|made available|published) )?(?:in|into|to) the "
     r"public domain(?: by [^ ]+(?: [^ ]+){0,10})?\Z")
+# what says of a work that a licence holds for it, anywhere in a sentence
+_GIVEN = ("(?:(?:re|dual |multi |triple )?licen[sc]ed|released"
+          "|(?:re)?distributed|made available|made public|available|usable"
+          "|published|provided|shared|offered|issued|covered|open sourced?)")
+_CORE = re.compile(
+    rf"(?<![^ ])(?:{_GIVEN}(?:(?: and| or| and or)? {_GIVEN})*(?: (?:to you"
+    r"|for use|for free|freely|as open source|as free software))?"
+    r" (?:under|pursuant to|according to|in accordance with)"
+    r"(?: and (?:under|by))?|(?:governed|covered|protected) by|subject to) ")
+_GIVEN_UP = re.compile(r"(?<![^ ])(?:released|dedicated|placed|put) (?:in|into"
+                       r"|to) the public domain(?![^ ])")
+_DENIED = re.compile(r"(?<![^ ])(?:not|never|no longer|cannot|isn|aren|without"
+                     r"|unless|if|whether|when)(?: [^ ]+){0,2} \Z")
 # identifiers a notice shares with the sentences above
 _SAME = {"Apache-2.0": "apache2-under", "MPL-2.0": "mpl2-subject"}
 
@@ -259,44 +273,75 @@ def licence_at(words: str, at: int) -> tuple[str, str, int] | None:
     return None
 
 
+def _named(words: str, at: int) -> tuple[list[tuple[str, str, int]], int]:
+    """The licences that are named from ``at`` on, joined by "and", "or" and
+    the like, and where the last one ends."""
+    found, end = [], at
+    while True:
+        skip = _FILLER.match(words, at)
+        got = licence_at(words, at) or (
+            licence_at(words, skip.end()) if skip else None)
+        if not got:
+            return found, end
+        found.append(got)
+        at = end = got[2]
+        j = _JOIN.match(words, at)
+        if j:
+            at = j.end()
+        if words[at:at + 1] != " ":
+            return found, end
+        at += 1
+
+
+def _once(found: list[tuple[str, str, int]]) -> list[str]:
+    # "... Public License (GPL) version 3" names one licence
+    named = {f for f, n, _ in found if n != f}
+    return list(dict.fromkeys(n for f, n, _ in found
+                              if n != f or f not in named))
+
+
+def cores(words: str) -> list[tuple[int, int, list[str]]]:
+    """(start, end, licences) of every "... licensed under the <name>" in
+    normalised words, whatever stands before and behind it, but for a denial
+    right before.  A name that is also a common word counts with "licence"
+    or a version, or at the end of what is said."""
+    out, at = [], 0
+    if "licen" not in words and "under" not in words:
+        return out
+    while m := _CORE.search(words, at):
+        at = m.end()
+        if _DENIED.search(words, max(0, m.start() - 80), m.start()):
+            continue
+        found, end = _named(words, m.end())
+        if found and ("licen" in words[m.end():end]
+                      or any(n != f for f, n, _ in found)
+                      or _REST.match(words, end)):
+            out.append((m.start(), end, _once(found)))
+            at = end
+    return out
+
+
 def notice(words: str) -> list[str]:
     """Licences that a normalised sentence names as those of a work ("... is
     licensed under the <name>"), in order; none if it is no such notice.  A
     family without a version is named without one."""
     if "licen" not in words and "under" not in words:
-        if "public domain" in words and _PUBLIC.match(words):
-            return ["public-domain"]
-        return []
+        if "public domain" not in words:
+            return []
     if _PUBLIC.match(words):
         return ["public-domain"]
     for head in (_HEAD, _LABEL):
         m = head.match(words)
-        if not m:
-            continue
-        at, found = m.end(), []
-        while True:
-            skip = _FILLER.match(words, at)
-            got = licence_at(words, at) or (
-                licence_at(words, skip.end()) if skip else None)
-            if not got:
-                break
-            found.append(got)
-            at = got[2]
-            end = at
-            j = _JOIN.match(words, at)
-            if j:
-                at = j.end()
-            if words[at:at + 1] != " ":
-                break
-            at += 1
-        if not found or not _REST.match(words, end):
-            continue
-        # "... Public License (GPL) version 3" names one licence
-        named = {f for f, n, _ in found if n != f}
-        return list(dict.fromkeys(
-            n for f, n, _ in found
-            if n != f or f not in named))
-    return []
+        if m:
+            found, end = _named(words, m.end())
+            if found and _REST.match(words, end):
+                return _once(found)
+    names = list(dict.fromkeys(n for _, _, names in cores(words)
+                               for n in names))
+    m = None if names else _GIVEN_UP.search(words)
+    if m and not _DENIED.search(words, max(0, m.start() - 80), m.start()):
+        return ["public-domain"]
+    return names
 
 
 def normal(sentence: str) -> str:
@@ -307,63 +352,90 @@ def normal(sentence: str) -> str:
     return " ".join(_WORD.findall(sentence.translate(_LOWER)))
 
 
-def sentence_id(words: str) -> str | None:
-    """Identifier of a normalised sentence, with or without a number or
-    letter in front that counts it."""
+def known_id(words: str) -> str | None:
+    """Identifier of a normalised sentence that is known as it is, with or
+    without a number or letter in front that counts it."""
+    if words.count(" ") >= _LONGEST:
+        return None
     for w in (words, _NUMBERING.sub("", words)):
         if w in _NORMAL:
             return _NORMAL[w]
         for key, pattern in _OPEN.get(" ".join(w.split(" ", 2)[:2]), ()):
             if pattern.match(w):
                 return key
-    names = notice(words) or notice(_NUMBERING.sub("", words))
+    return None
+
+
+def _notice_id(names: list[str]) -> str | None:
     if len(names) == 1 and names[0] in _SAME:
         return _SAME[names[0]]
     return _NAMES + " ".join(names) if names else None
 
 
+def sentence_id(words: str) -> str | None:
+    """Identifier of a normalised sentence: a known one, or a notice."""
+    return known_id(words) or _notice_id(
+        notice(words) or notice(_NUMBERING.sub("", words)))
+
+
+def _lines(lines: list[tuple[int, int, str]]
+           ) -> Iterator[tuple[str | None, int, int]]:
+    """(identifier or None, start, end) in the lines (start, end, words) of
+    one sentence: runs of lines that are a known sentence, the longest first,
+    runs that say a licence holds, and single lines that are a notice."""
+    words = " ".join(x[2] for x in lines)
+    starts = [0]
+    for x in lines:
+        starts.append(starts[-1] + len(x[2]) + 1)
+    said = {bisect_right(starts, a) - 1: (
+        bisect_right(starts, b - 1) - 1, names)
+        for a, b, names in reversed(cores(words))}
+    i = 0
+    while i < len(lines):
+        hit = None
+        if lines[i][2].split(" ", 1)[0] in _FIRST \
+                or _NUMBERING.match(lines[i][2]):
+            run, n = [], 0
+            for j in range(i, len(lines)):
+                run.append(lines[j][2])
+                n += lines[j][2].count(" ") + 1
+                if n > _LONGEST:
+                    break
+                if key := known_id(" ".join(run)):
+                    hit = key, j
+        if not hit and i in said:
+            hit = _notice_id(said[i][1]), said[i][0]
+        if not hit and (key := _notice_id(notice(lines[i][2]))):
+            hit = key, i
+        yield (hit[0], lines[i][0], lines[hit[1]][1]) if hit else (
+            None, lines[i][0], lines[i][1])
+        i = hit[1] + 1 if hit else i + 1
+
+
 def sentence_ids(text: str | None) -> list[tuple[str | None, int, int]]:
     """(identifier or None, start, end) of the sentences of a text, in
-    order.  Sentences end at . ! ? before white space and at empty lines.  If
-    a sentence of several lines is not known, each run of its lines that is
-    counts as one, the longest first."""
+    order.  Sentences end at . ! ? before white space and at empty lines.  A
+    sentence of several lines is looked up whole, then by runs of its
+    lines.  The time grows with the text's length."""
     out: list[tuple[str | None, int, int]] = []
     for m in _SENTENCE.finditer(text or ""):
         body = m.group()
-        if "\n" not in body:
-            words = normal(body)
-            if not words:
-                continue
-            key = sentence_id(words) if words.count(" ") < _LONGEST else None
-            out.append((key, m.start(), m.end()))
-            continue
         lines, at = [], m.start()
         for line in body.split("\n"):
             lines.append((at, at + len(line), normal(line)))
             at += len(line) + 1
         lines = [x for x in lines if x[2]]
-        # a notice may start with any word
-        said = _SAYS.search(body) is not None
-        i = 0
-        while i < len(lines):
-            hit = None
-            if said or lines[i][2].split(" ", 1)[0] in _FIRST \
-                    or _NUMBERING.match(lines[i][2]):
-                run, n = [], 0
-                for j in range(i, len(lines)):
-                    run.append(lines[j][2])
-                    n += lines[j][2].count(" ") + 1
-                    if n > _LONGEST:
-                        break
-                    key = sentence_id(" ".join(run))
-                    if key:
-                        hit = (key, j)
-            if hit:
-                out.append((hit[0], lines[i][0], lines[hit[1]][1]))
-                i = hit[1] + 1
-            else:
-                out.append((None, lines[i][0], lines[i][1]))
-                i += 1
+        if not lines:
+            continue
+        if len(lines) == 1:
+            out.append((sentence_id(lines[0][2]), m.start(), m.end()))
+            continue
+        found = list(_lines(lines))
+        if all(k is None for k, _, _ in found):
+            names = notice(" ".join(x[2] for x in lines))
+            if names:
+                found = [(_notice_id(names), lines[0][0], lines[-1][1])]
+        out += found
     return out
 
 

@@ -78,6 +78,12 @@ def row_key() -> list[Column]:
             text_words().alias("size")]
 
 
+def source_key() -> Column:
+    """The source, without nulls."""
+    return F.coalesce(F.concat(F.lit("="), F.col("source")),
+                      F.lit("null")).alias("skey")
+
+
 def mix_sources(docs: DataFrame, weights: Sequence[float] = WEIGHTS,
                 cap: float = CAP, block_words: int = BLOCK_WORDS,
                 shard_slots: int = SHARD_SLOTS, seed: int = 5
@@ -97,9 +103,8 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = WEIGHTS,
     of its own; repeated rows are packed one after the other; an empty table
     gives empty results; other columns are ignored."""
     spark = docs.sparkSession
-    skey = F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("null"))
-    rows = written(docs.select("doc_id", "source", skey.alias("skey"),
-                               *row_key()), "mix-rows")
+    rows = written(docs.select("doc_id", "source", source_key(), *row_key()),
+                   "mix-rows")
     buckets = bucket_count(spark, rows.count())
     rows = rows.withColumn("b", F.pmod(F.xxhash64("h", F.lit(seed)),
                                        F.lit(buckets)).cast("int"))
@@ -205,18 +210,20 @@ def mixed_documents(docs: DataFrame, packed: DataFrame, mix: DataFrame
     Texts are shuffled once."""
     runs = mix.groupBy("skey", "off", "pass").agg(
         F.sort_array(F.collect_list(F.struct("w_from", "w_to"))).alias("runs"))
-    # equal rows are told apart by their order only
-    same = Window.partitionBy("h", "size").orderBy("skey", "off")
+    # equal rows of a source are told apart by their order only
+    same = Window.partitionBy("h", "size", "skey").orderBy("off")
     runs = (packed.where("off is not null")
             .withColumn("n", F.row_number().over(same))
             .join(runs, ["skey", "off"])
-            .select(F.struct("h", "size", "n", "runs").alias("__m")))
-    rows = docs.withColumn("__r", F.struct(*row_key()))
-    same = Window.partitionBy("__r.h", "__r.size").orderBy("source")
+            .select(F.struct("h", "size", "skey", "n", "runs").alias("__m")))
+    rows = docs.withColumn("__r", F.struct(*row_key(), source_key()))
+    same = Window.partitionBy("__r.h", "__r.size", "__r.skey").orderBy(
+        "source")
     rows = rows.withColumn("__n", F.row_number().over(same))
     # as two comparisons: the window's partitioning serves the join as well
     got = rows.join(runs, (F.col("__r.h") == F.col("__m.h"))
                     & (F.col("__r.size") == F.col("__m.size"))
+                    & (F.col("__r.skey") == F.col("__m.skey"))
                     & (F.col("__n") <= F.col("__m.n"))
                     & (F.col("__n") >= F.col("__m.n")))
     taken = F.aggregate("__m.runs", F.lit(0).cast("long"),

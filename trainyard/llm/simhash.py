@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from trainyard.llm.common import LOWER, written
+from trainyard.llm.common import LOWER, spread_join, written
 
 SHINGLE = 3
 MAX_BITS = 2
@@ -213,10 +213,13 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"),
                                               F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select(
-            F.col("u"), F.least("u", "m").alias("m"))
-        # no more rows than edges, so equal ones can wait for the end
-        large = both.join(low, "u").where("v > u").select(
+        low = written(both.groupBy("u").agg(
+            F.min("v").alias("m"), F.count("*").alias("_n")).select(
+            F.col("u"), F.least("u", "m").alias("m"), "_n"), "star-low")
+        # no more rows than edges, so equal ones can wait for the end; the
+        # centre of a star may hold most of them
+        large = spread_join(both, low.select("u", "m"), ["u"],
+                            low.select("u", "_n")).where("v > u").select(
             F.col("v").alias("u"), F.col("m").alias("v"))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select("m", F.explode(
@@ -260,8 +263,10 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE,
     named = written(_groups(rows, max_bits).join(first, "fp"),
                     "simhash-named")
     smallest = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    return rows.join(named.join(smallest, "root").select(
-        "fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+    found = written(named.join(smallest, "root").select(
+        "fp", "component_id"), "simhash-found")
+    return spread_join(rows, found, ["fp"]).select("doc_id", "fp",
+                                                   "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE,
@@ -269,21 +274,30 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE,
     """The rows of ``docs`` without near-duplicates: of each component the
     row with the smallest doc_id (null ids last; ties: by a hash of the
     text) stays, all columns kept."""
-    key = docs.withColumn("__th", F.xxhash64("text"))
-    rows = written(fingerprints(key, shingle, ("doc_id", "__th")),
-                   "simhash-fp")
-    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__th")
+    h, id_, th, n = (_free(name, docs) for name in ("h", "id", "th", "n"))
+    key = docs.withColumn(h, F.xxhash64("text"))
+    rows = written(fingerprints(key, shingle, ("doc_id", h)), "simhash-fp")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id",
+                     F.col(h).alias("th"))
     # per fingerprint first: copies are many
     first = rows.groupBy("fp").agg(F.min(order).alias("f"))
     stay = _groups(rows, max_bits).join(first, "fp").groupBy("root").agg(
-        F.min("f").alias("f")).select(F.col("f.doc_id").alias("__id"),
-                                      F.col("f.__th").alias("__h"))
+        F.min("f").alias("f")).select(F.col("f.doc_id").alias(id_),
+                                      F.col("f.th").alias(th))
     stay = written(stay, "simhash-stay")
-    kept = key.join(stay, F.col("doc_id").eqNullSafe(F.col("__id"))
-                    & (F.col("__th") == F.col("__h")))
-    once = Window.partitionBy("__id", "__h").orderBy("__h")
-    return (kept.withColumn("__n", F.row_number().over(once))
-            .where("__n = 1").select(*docs.columns))
+    kept = key.join(stay, F.col("doc_id").eqNullSafe(F.col(id_))
+                    & (F.col(h) == F.col(th)))
+    once = Window.partitionBy(id_, th).orderBy(th)
+    return (kept.withColumn(n, F.row_number().over(once))
+            .where(F.col(n) == 1).select(*docs.columns))
+
+
+def _free(name: str, df: DataFrame) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while (name := "_" + name) in taken:
+        pass
+    return name
 
 
 def op10_query(docs: DataFrame) -> DataFrame:

@@ -34,7 +34,7 @@ END = 0                 # id behind each document
 STRIPE_BYTES = 16 << 20
 INDEX_ROWS = 1000
 SLICE = 1_000_000       # characters encoded at once
-TOGETHER = 1_000        # pieces encoded as one text
+TOGETHER = 200          # pieces encoded as one text
 
 # A text is cut in front of each single blank or line end between two
 # characters that are no white space.  The tokenizer never joins ids across
@@ -45,9 +45,12 @@ _OTHER_SPACE = re.compile(
     "\u205f\u3000]")
 
 
-def _single_spaced(t: str) -> bool:
-    return not (t[0] in " \n" or t[-1] in " \n" or "  " in t or " \n" in t
-                or "\n " in t or "\n\n" in t or _OTHER_SPACE.search(t))
+def _cut(t: str) -> list[str] | None:
+    """The pieces of a text, without the blanks in front; None for a text
+    with other white space."""
+    p = t.replace("\n", " \n").split(" ")
+    # two white spaces in a row, or one at an end, leave one of these
+    return None if "" in p or "\n" in p or _OTHER_SPACE.search(t) else p
 
 
 # Byte-level vocabularies write each byte as a character: printable ones of
@@ -59,15 +62,27 @@ _CHAR_BYTE = {chr(b): b for b in _PRINTED} | {
 
 
 class Store:
-    """Ids of pieces, one after the other; entry 0 is the end id."""
+    """Ids of pieces, one after the other; entry 0 is the end id.  A piece is
+    written without the blank in front; one that begins a text has a tab
+    there (cut texts have none), one behind a line end begins with it."""
 
     def __init__(self):
         self.known: dict[str, int] = {}
         self.flat, self.edge = array("i", [END]), array("q", [0, 1])
 
-    def ids(self, piece: str) -> array:
-        k = self.known[piece]
-        return self.flat[self.edge[k]:self.edge[k + 1]]
+    def take(self, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of entries, and where each one's end."""
+        # arrays cannot grow while a view of them is left
+        flat = np.frombuffer(self.flat, np.int32)
+        edge = np.frombuffer(self.edge, np.int64)
+        begin = edge[entries]
+        n = edge[entries + 1] - begin
+        ends = np.cumsum(n)
+        total = int(ends[-1]) if len(ends) else 0
+        kind = np.int32 if max(total, len(flat)) < 1 << 31 else np.int64
+        at = np.arange(total, dtype=kind)
+        at += np.repeat((begin - ends + n).astype(kind), n)
+        return flat[at], ends
 
     def add(self, pieces: list[str], ids: np.ndarray, ends: np.ndarray
             ) -> None:
@@ -99,21 +114,24 @@ class Encoder:
         return [e.ids for e in self.tokenizer.encode_batch_fast(
             texts, add_special_tokens=False)]
 
-    def _learn(self, pieces: list[str]) -> None:
+    def _learn(self, pieces: list[str], texts: list[str]) -> None:
         """Pieces are encoded many at once, as one text; the bytes of the ids
         tell them apart."""
-        for i in range(0, len(pieces), TOGETHER):
-            some = pieces[i:i + TOGETHER]
-            ids = np.array(self._encoded(["".join(some)])[0], np.int64)
+        joined = ["".join(texts[i:i + TOGETHER])
+                  for i in range(0, len(texts), TOGETHER)]
+        for k, ids in enumerate(self._encoded(joined)):
+            some = texts[k * TOGETHER:(k + 1) * TOGETHER]
+            ids = np.array(ids, np.int64)
             cuts = np.cumsum(self.size[ids])
-            edges = np.cumsum([len(p.encode()) for p in some])
+            edges = np.cumsum([len(p) for p in some] if joined[k].isascii()
+                              else [len(p.encode()) for p in some])
             ends = np.searchsorted(cuts, edges) + 1
             if not len(cuts) or cuts[-1] != edges[-1] or not (
                     cuts[ends - 1] == edges).all():
                 each = self._encoded(some)
                 ids = np.array([x for e in each for x in e], np.int64)
                 ends = np.cumsum([len(e) for e in each])
-            self.new.add(some, ids, ends)
+            self.new.add(pieces[k * TOGETHER:(k + 1) * TOGETHER], ids, ends)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after the other with the end id behind each,
@@ -123,12 +141,10 @@ class Encoder:
         pieces: list[str] = []
         count, whole = [], []
         for t in texts:
-            if t and _single_spaced(t) and not any(x in t
-                                                   for x in self.added):
-                p = t.replace("\n", " \n").split(" ")
-                # a piece behind a blank has the blank in front again
-                pieces.append(p[0])
-                pieces += [x if x[0] == "\n" else " " + x for x in p[1:]]
+            p = None if any(x in t for x in self.added) else _cut(t)
+            if p:
+                p[0] = "\t" + p[0]
+                pieces += p
                 count.append(len(p))
             else:
                 count.append(0)
@@ -139,38 +155,27 @@ class Encoder:
                          len(pieces))
         miss = np.flatnonzero(at < 0).tolist()
         if miss:
-            missing = dict.fromkeys(pieces[i] for i in miss)
-            seen = [p for p in missing if p in self.old.known]
-            if seen:
-                parts = [self.old.ids(p) for p in seen]
-                self.new.add(seen, np.concatenate(
-                    [np.frombuffer(x, np.int32) for x in parts]),
-                    np.cumsum([len(x) for x in parts]))
+            missing = list(dict.fromkeys(map(pieces.__getitem__, miss)))
+            old = np.fromiter(map(self.old.known.get, missing, repeat(-1)),
+                              np.int64, len(missing))
+            self.new.add([missing[i] for i in np.flatnonzero(old >= 0)
+                          .tolist()], *self.old.take(old[old >= 0]))
             first, rest = [], []
-            for p in missing:
-                if p not in known:
-                    # a text's first piece has no blank in front
-                    (rest if p[0] in " \n" else first).append(p)
-            self._learn(rest)
-            for i in range(0, len(first), TOGETHER):
-                some = first[i:i + TOGETHER]
-                each = self._encoded(some)
-                self.new.add(some, np.array([x for e in each for x in e],
-                                            np.int64),
-                             np.cumsum([len(e) for e in each]))
-            at[miss] = [known[pieces[i]] for i in miss]
+            for i in np.flatnonzero(old < 0).tolist():
+                p = missing[i]
+                (first if p[0] == "\t" else rest).append(p)
+            self._learn(rest, [p if p[0] == "\n" else " " + p for p in rest])
+            each = self._encoded([p[1:] for p in first])
+            self.new.add(first, np.array([x for e in each for x in e],
+                                         np.int64),
+                         np.cumsum([len(e) for e in each]))
+            at[miss] = list(map(known.__getitem__,
+                                map(pieces.__getitem__, miss)))
         # the texts' own entries: pieces, then the end
         number = np.array(count, np.int64)
         extra = dict(zip(whole, self._encoded([texts[i] for i in whole])))
-        flat = np.frombuffer(self.new.flat, np.int32)
-        edge = np.frombuffer(self.new.edge, np.int64)
-        entry = np.insert(at, np.cumsum(number), 0)  # entry 0 ends a text
-        n = np.diff(edge)[entry]
-        ends = np.cumsum(n)
-        ids = flat[np.arange(int(n.sum())) + np.repeat(edge[entry] - ends + n,
-                                                       n)]
-        # arrays cannot grow while a view of them is left
-        del flat, edge
+        ids, ends = self.new.take(np.insert(
+            at, np.cumsum(number), 0))      # entry 0 ends a text
         bounds = np.concatenate(([0], ends[np.cumsum(number + 1) - 1]))
         if extra:
             rows = [np.concatenate([np.array(extra[i], np.int32), x])
