@@ -27,6 +27,7 @@ WIDTH = 16          # of keys, queries and values
 PARTS = 16
 BATCH = 128         # windows scored at once: their arrays stay in the cache
 FAR = np.float32(-1e9)
+LEAST_STEPS = 200   # of a part's fit, if its windows are few
 
 
 @dataclass
@@ -120,16 +121,16 @@ class Model:
         return out
 
 
-def windows(texts: list[np.ndarray], start: int):
-    """Inputs (n, CONTEXT; -1: padding), targets (n, STRIDE), which targets
+def windows(texts: list[np.ndarray], start: int, stride: int = STRIDE):
+    """Inputs (n, CONTEXT; -1: padding), targets (n, stride), which targets
     are real, and the text of each window.  Window w of a text scores tokens
-    [w * STRIDE, (w + 1) * STRIDE) of it."""
-    lead = CONTEXT - STRIDE
+    [w * stride, (w + 1) * stride) of it."""
+    lead = CONTEXT - stride
     size = np.array([len(t) for t in texts], np.int64)
-    count = -(-size // STRIDE)
+    count = -(-size // stride)
     owner = np.repeat(np.arange(len(texts)), count)
     # all texts in one array, each behind a padding of ``lead``
-    room = lead + count * STRIDE
+    room = lead + count * stride
     begin = np.cumsum(room) - room
     x = np.full(int(room.sum()) + 1, -1, np.int32)
     y = np.zeros(len(x), np.int32)
@@ -140,21 +141,21 @@ def windows(texts: list[np.ndarray], start: int):
             x[b + lead + 1:b + lead + n] = t[:-1]
             y[b + lead:b + lead + n] = t
             ok[b + lead:b + lead + n] = True
-    first = np.repeat(begin, count) + STRIDE * (
+    first = np.repeat(begin, count) + stride * (
         np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count))
     at = first[:, None] + np.arange(CONTEXT)[None, :]
     return x[at], y[at[:, lead:]], ok[at[:, lead:]], owner
 
 
-def causal(near: np.ndarray) -> np.ndarray:
-    """(STRIDE, CONTEXT) bias by distance, forbidding what lies ahead."""
-    back = _back()
+def causal(near: np.ndarray, stride: int = STRIDE) -> np.ndarray:
+    """(stride, CONTEXT) bias by distance, forbidding what lies ahead."""
+    back = _back(stride)
     return np.where(back < 0, FAR, near[np.maximum(back, 0)]).astype(
         np.float32)
 
 
-def _back() -> np.ndarray:
-    return (CONTEXT - STRIDE + np.arange(STRIDE))[:, None] \
+def _back(stride: int) -> np.ndarray:
+    return (CONTEXT - stride + np.arange(stride))[:, None] \
         - np.arange(CONTEXT)[None, :]
 
 
@@ -179,7 +180,8 @@ SMALL = ("key", "query", "value", "mix", "near")
 
 
 class Adam:
-    """Fits the weights ``P`` in place, one batch of windows at a time."""
+    """Fits the weights ``P`` in place, one batch of windows at a time.  Of the
+    tables only the rows of the batch's subwords are touched."""
 
     def __init__(self, P: dict[str, np.ndarray]):
         self.P, self.steps = P, 0
@@ -196,12 +198,13 @@ class Adam:
         x = number[:x.size].reshape(x.shape)
         y = number[x.size:].reshape(y.shape)
         part = words.take(here)
-        last = x[:, -STRIDE:]
+        stride = y.shape[1]
+        last = x[:, -stride:]
         e = part.total(P["embed"], True)
         ex, el = e[x], e[last]
         k, q, v = ex @ P["key"], el @ P["query"], ex @ P["value"]
         a = q @ k.transpose(0, 2, 1)
-        a += causal(P["near"])
+        a += causal(P["near"], stride)
         if pad.any():
             a += FAR * pad[:, None, :]
         a = softmax(a)
@@ -228,7 +231,7 @@ class Adam:
         dv = a.transpose(0, 2, 1) @ dc
         da = dc @ v.transpose(0, 2, 1)
         ds = a * (da - (a * da).sum(axis=2, keepdims=True))
-        g["near"] = np.bincount(np.maximum(_back(), 0).ravel(),
+        g["near"] = np.bincount(np.maximum(_back(stride), 0).ravel(),
                                 ds.sum(axis=0).ravel(), CONTEXT).astype(f)
         dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
         g["key"] = product(ex, dk)
@@ -246,15 +249,18 @@ class Adam:
         for name, d in (("embed", de / sizes[:, None]),
                         ("current", d_now / sizes[:, None]),
                         ("output", d_out)):
-            g[name] = np.zeros_like(P[name])
-            g[name][ids] = by_row(at, d[of].astype(f), len(ids))
+            g[name] = by_row(at, d[of].astype(f), len(ids))
         self.steps += 1
-        for name, w in P.items():
-            m1, m2 = self.m1[name], self.m2[name]
+        bias1, bias2 = f(1 - .9 ** self.steps), f(1 - .98 ** self.steps)
+        for name in P:
+            rows = ids if name in TABLES else slice(None)
+            m1 = self.m1[name][rows]
+            m2 = self.m2[name][rows]
             m1 += f(.1) * (g[name] - m1)
             m2 += f(.02) * (g[name] * g[name] - m2)
-            w -= f(lr) * (m1 / f(1 - .9 ** self.steps)) / (
-                np.sqrt(m2 / f(1 - .98 ** self.steps)) + f(1e-8))
+            self.m1[name][rows], self.m2[name][rows] = m1, m2
+            P[name][rows] -= f(lr) * (m1 / bias1) / (
+                np.sqrt(m2 / bias2) + f(1e-8))
 
 
 def by_row(at: np.ndarray, values: np.ndarray, rows: int) -> np.ndarray:
@@ -291,10 +297,12 @@ def train(texts: list[np.ndarray], words: Words, start: int,
 
 
 class Local:
-    """One task's share of a pass over all windows: Adam from the common
-    weights, then the change of the weights, to be averaged over the tasks.
-    A subword's rows count as often as the task has seen it, the small
-    matrices as often as it has seen windows."""
+    """One part's share of a pass over all windows: Adam from the common
+    weights, then the change of the weights, to be averaged over the parts.
+    A subword's rows count as often as the part has seen it, the small
+    matrices as often as it has seen windows.  The windows of a pass do not
+    overlap, so each token is read and predicted once; a part too small for
+    ``LEAST_STEPS`` steps goes over its windows again."""
 
     def __init__(self, model: Model, rate: float = 0.01, batch: int = 512,
                  seed: int = 9):
@@ -304,15 +312,24 @@ class Local:
         self.rng = np.random.default_rng(seed)
         self.seen = np.zeros(len(model.embed), np.float64)
         self.windows = 0
+        self.kept: list[tuple] = []
 
     def add(self, texts: list[np.ndarray], words: Words, start: int) -> None:
         """Every window of the texts, each once."""
-        inputs, targets, valid, _ = windows(texts, start)
+        made = windows(texts, start, CONTEXT)[:3]
         times = np.bincount(np.concatenate(texts),
                             minlength=len(words.edge) - 1)
         self.seen += np.bincount(words.ids, np.repeat(
             times, np.diff(words.edge)), len(self.seen))
-        self.windows += len(inputs)
+        self.windows += len(made[0])
+        if self.windows < LEAST_STEPS * self.batch:
+            self.kept.append((*made, words, start))
+        else:
+            self.kept = []
+        self._steps(*made, words, start)
+
+    def _steps(self, inputs, targets, valid, words: Words, start: int
+               ) -> None:
         order = self.rng.permutation(len(inputs))
         for i in range(0, len(order), self.batch):
             rows = order[i:i + self.batch]
@@ -321,6 +338,13 @@ class Local:
                                1.0, (self.adam.steps + 1) / 20)
                            * len(rows) / self.batch)
 
+    def finish(self) -> None:
+        done = sum(-(-len(x[0]) // self.batch) for x in self.kept)
+        for _ in range(min(20, LEAST_STEPS // done) - 1 if done else 0):
+            for x in self.kept:
+                self._steps(*x)
+        self.kept = []
+
     def blocks(self) -> Iterator[tuple[int, np.ndarray]]:
         """(number, weight and weighted change of BLOCK subwords); the small
         matrices have number -1."""

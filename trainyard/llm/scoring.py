@@ -4,8 +4,11 @@ Tokens are lower-cased words and one end per text.  Two scores are given: a
 unigram base from the word counts of all training texts, and the probability
 under the attention model of ``attention.py``, which tilts the base by
 context.  Counts, vocabulary, the network's weights and the model's P(k) come
-from every training text, whatever its length; a bounded sample only gives the
-weights that the pass over all texts starts from.
+from every training text, whatever its length.  The network starts from random
+weights; every window of every training text is fitted once, in two rounds (the
+first, of a fixed share, gives the second its start).  In a round, parts
+that a hash of the rows makes are fitted apart and their changes averaged, so
+the weights do not depend on how the input is split.
 
 The counts of the ``HEAD`` most frequent words are broadcast (a bounded
 number of rows); rarer words of each text are joined to the table of counts.
@@ -29,14 +32,14 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from trainyard.llm import attention
-from trainyard.llm.common import LOWER, hash_share, written
+from trainyard.llm.common import LOWER, written
 
 TOKENIZER = "byte_bpe_50k.json"
 HEAD = 100_000          # words whose counts are broadcast
-START_TEXTS = 1_000     # training texts of the weights the fit starts from, ...
-START_CHARS = 50_000    # ... that many characters of each at most
+FIRST = 8               # one in so many texts is in the first round
+PART_TOKENS = 5_000_000     # training tokens of a part
+LEAST_PARTS = 8
 FAN = 256               # tasks whose changes of the weights are added at once
-EPOCHS = 2
 SLICE = 1_500_000       # characters of text scored at once
 FOLDS, HELD_OUT = 10, 0
 SMOOTH = 0.1
@@ -152,74 +155,88 @@ def subwords(path: str) -> Subwords:
     return _SUBWORDS[path]
 
 
-def start_model(train: DataFrame, n_train: int, tokenizer: str,
-                texts: int = START_TEXTS, chars: int = START_CHARS,
-                epochs: int = EPOCHS) -> attention.Model:
-    """Weights that the pass over all texts starts from: about ``texts`` of
-    the ``n_train`` training texts, the beginnings of ``chars`` characters,
-    by hash; equal rows count once."""
+def fit(train: DataFrame, n_tokens: int, tokenizer: str) -> attention.Model:
+    """Network weights from all windows of all training texts, in two rounds
+    of disjoint texts.  In each, every part goes through its texts in the
+    order of their hash, and the changes of the weights are averaged, each
+    subword's by how often a part has seen it."""
+    model = attention.Model(**attention.initial(
+        Subwords(tokenizer).end + 1))
     h = F.xxhash64("doc_id", "text")
-    rows = (train.where(hash_share(h, texts, n_train))
-            .select(h.alias("h"), F.substring("text", 1, chars).alias("text"))
-            .groupBy("h").agg(F.min("text").alias("text"))
-            .orderBy("h").limit(2 * texts + 100).collect())
-    t, words = numbered([words_of(r.text) for r in rows])
-    sub = Subwords(tokenizer)
-    return attention.train(t, sub.of(words), 0, sub.end + 1, epochs)
-
-
-def fit(train: DataFrame, n_train: int, tokenizer: str,
-        texts: int = START_TEXTS) -> attention.Model:
-    """Network weights from all windows of all training texts: every task
-    goes through its texts from the common start weights, and the changes are
-    averaged, each subword's by how often a task has seen it."""
-    model = start_model(train, n_train, tokenizer, texts)
-    spark = train.sparkSession
-    sent = spark.sparkContext.broadcast(model)
+    rows = train.select("text", h.alias("h"))
+    first = F.pmod(F.col("h"), F.lit(FIRST)) == 0
+    for some, share in ((rows.where(first), 1 / FIRST),
+                        (rows.where(~first), 1 - 1 / FIRST)):
+        model = _round(some, model, tokenizer, max(
+            LEAST_PARTS, int(n_tokens * share) // PART_TOKENS))
+    return model
+
+
+def _round(rows: DataFrame, model: attention.Model, tokenizer: str,
+           parts: int) -> attention.Model:
+    sent = rows.sparkSession.sparkContext.broadcast(model)
+
+    def fitted(part: int, local: attention.Local
+               ) -> Iterator[pa.RecordBatch]:
+        local.finish()
+        for k, x in local.blocks() if local.windows else ():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([part], pa.int32()), pa.array([part], pa.int32()),
+                 pa.array([k], pa.int32()), pa.array([x.tobytes()],
+                                                     pa.binary())],
+                ["part", "at", "k", "x"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        local = attention.Local(sent.value)
-        texts, size = [], 0
+        part, local, texts, size = None, None, [], 0
 
         def go() -> None:
-            t, words = numbered(texts)
-            local.add(t, subwords(tokenizer).of(words), 0)
-            texts.clear()
+            if texts:
+                t, words = numbered(texts)
+                local.add(t, subwords(tokenizer).of(words), 0)
+                texts.clear()
 
         for batch in batches:
-            for t in batch.column("text"):
+            for p, t in zip(batch.column("part").to_pylist(),
+                            batch.column("text")):
+                if p != part:
+                    if local:
+                        go()
+                        yield from fitted(part, local)
+                    part, local, size = p, attention.Local(sent.value), 0
                 t = t.as_py()
                 texts.append(words_of(t))
                 size += len(t or "")
                 if size > SLICE:
                     go()
                     size = 0
-        if texts:
+        if local:
             go()
-        if local.windows:
-            part = TaskContext.get().partitionId()
-            for k, x in local.blocks():
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([part], pa.int32()), pa.array([k], pa.int32()),
-                     pa.array([x.tobytes()], pa.binary())], ["part", "k", "x"])
+            yield from fitted(part, local)
 
     def add(table: pa.Table) -> pa.Table:
+        # in the order of the parts, so that reruns round alike
+        table = table.sort_by("at")
         k = table.column("k")[0].as_py()
         kind = np.float64 if k < 0 else np.float32
         x = sum(np.frombuffer(v.as_py(), kind) for v in table.column("x"))
         return pa.table({"part": table.column("part").slice(0, 1),
+                         "at": table.column("at").slice(0, 1),
                          "k": table.column("k").slice(0, 1),
                          "x": pa.array([x.tobytes()], pa.binary())})
 
-    kind = "part int, k int, x binary"
-    got = train.select("text").mapInArrow(run, kind)
-    # no group adds up more than FAN blocks, up to FAN ** 3 tasks
+    kind = "part int, at int, k int, x binary"
+    got = rows.withColumn("part", F.pmod(F.xxhash64("h"), F.lit(parts))
+                          .cast("int")).repartition(parts, "part") \
+        .sortWithinPartitions("part", "h").select("part", "text") \
+        .mapInArrow(run, kind)
+    # no group adds up more than FAN blocks, up to FAN ** 3 parts
     for _ in range(3):
         got = got.withColumn("part", F.floor(F.col("part") / FAN)
                              .cast("int")).groupBy("part", "k").applyInArrow(
                                  add, kind)
     total: dict[int, np.ndarray] = {}
-    for r in got.collect():  # the weights once
+    for r in sorted(got.collect(), key=lambda r: (r.k, r.at)):
+        # the weights once
         x = np.frombuffer(r.x, np.float64 if r.k < 0 else np.float32)
         total[r.k] = total[r.k] + x if r.k in total else x
     return attention.averaged(model, total)
@@ -227,12 +244,14 @@ def fit(train: DataFrame, n_train: int, tokenizer: str,
 
 def part_shares(counts: DataFrame, model: attention.Model, tokenizer: str
                 ) -> np.ndarray:
-    """P(k) over all training tokens: each distinct word once, by count."""
+    """P(k) under the base: each distinct word once, by its smoothed count,
+    so that the tilted chances of all known words sum to what the base gives
+    them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(attention.PARTS)
         for batch in batches:
             words = batch.column("word").to_pylist()
-            n = batch.column("n").to_numpy(zero_copy_only=False)
+            n = batch.column("n").to_numpy(zero_copy_only=False) + SMOOTH
             for i in range(0, len(words), 20_000):
                 r = model.parts_of(subwords(tokenizer).of(words[i:i + 20_000]))
                 total += n[i:i + 20_000] @ r.astype(float)
@@ -310,8 +329,7 @@ def score_texts(docs: DataFrame, tokenizer: str | None = None,
     n_train, distinct = counts.agg(F.sum("n"), F.count("*")).first()
     n_train = n_train or 0
     log_all = math.log10(n_train + SMOOTH * (distinct + 1))
-    n_texts = counts.where(F.length("word") == 0).agg(F.sum("n")).first()[0]
-    model = fit(train, n_texts or 0, tokenizer)
+    model = fit(train, n_train, tokenizer)
     model.share = part_shares(counts, model, tokenizer)
     most = {bytes(r.word): math.log10(r.n + SMOOTH) - log_all
             for r in frequent(counts, head).collect()}
