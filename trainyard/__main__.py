@@ -90,6 +90,20 @@ def cmd_avg_delay(args):
                               args.text))
 
 
+def cmd_stations(args):
+    """The stations of the planned paths, or (--graph) the size of the
+    network they make."""
+    from trainyard.operators.graph import (departure_paths, static_graph,
+                                           unique_path_stations)
+    spark = _session(args)
+    paths = departure_paths(_star(spark, args.star)["fact_train_movement"])
+    if not args.graph:
+        return _show(unique_path_stations(paths))
+    nodes, edges = static_graph(paths)
+    _show(nodes.agg(F.count("*").alias("stations")).crossJoin(
+        edges.agg(F.count("*").alias("connections"))))
+
+
 def cmd_hops(args):
     from trainyard.operators.graph import (departure_paths, shortest_hops,
                                            static_graph)
@@ -162,6 +176,10 @@ def main(argv=None):
         for flag, typ, req in extra:
             p.add_argument(flag, type=typ, required=req)
         p.set_defaults(fn=fn)
+    p = sub.add_parser("stations")
+    p.add_argument("--star", required=True)
+    p.add_argument("--graph", action="store_true")
+    p.set_defaults(fn=cmd_stations)
     p = sub.add_parser("hops")
     p.add_argument("--star", required=True)
     p.add_argument("route", nargs="+", help="SOURCE:TARGET")

@@ -3,8 +3,8 @@
 Everything that must survive an executor loss (loop checkpoints, tables
 handed from one job to the next) is written below ``spark.checkpoint.dir``,
 which on a cluster names a shared file system.  The setting is read from the
-session; where it is unset, a folder below ``spark.sql.warehouse.dir`` serves,
-which is shared storage too.
+session; where it is unset, a folder below ``spark.sql.warehouse.dir`` serves.
+On a cluster with neither on shared storage the jobs stop.
 """
 
 from __future__ import annotations
@@ -73,8 +73,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or \
-        spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoint"
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured:
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        if not sc.master.startswith("local") and (
+                warehouse.startswith("file:") or warehouse.startswith("/")):
+            raise RuntimeError(
+                "set spark.checkpoint.dir to a folder that driver and "
+                "executors share")
+        configured = warehouse + "/_checkpoint"
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
