@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from trainyard.operators.analysis import round_ratio
 from trainyard.operators.common import cut_and_count, cut_lineage
-from trainyard.operators.textmatch import request_lengths
+from trainyard.operators.textmatch import text_matches
 from trainyard.plans.proxies import change_rows
 from trainyard.sources.tables import overwrite_mode
 
@@ -50,8 +50,18 @@ def test_round_ratio_beyond_double_precision(spark):
     assert row.a == float(big) and row.b == -4.0
 
 
-def test_request_lengths_of_lower_case(spark):
+def test_counts_come_from_the_written_rows(spark):
+    """Whatever happens while a table is written, its rows are counted."""
+    df = spark.range(100).repartition(7).groupBy(
+        (F.col("id") % 5).alias("k")).agg(F.count("*").alias("n"))
+    out, rows, big = cut_and_count(df, "t", F.lit(True), "n > 30")
+    assert (rows, big) == (5, 0) == (out.count(), out.filter("n > 30").count())
+    assert "CollectMetrics" not in out._jdf.queryExecution().toString()
+
+
+def test_text_whose_lower_case_is_longer(spark):
     """The lower case of U+0130 is two characters."""
-    names = spark.createDataFrame([("x",)], "name string")
-    req = spark.createDataFrame([("\u0130s",), (None,)], "q string")
-    assert request_lengths(req, "q", names, "name") == [3]
+    names = spark.createDataFrame([("x\u0130s",), ("is",)], "name string")
+    req = spark.createDataFrame([("\u0130s",), (None,)], "text string")
+    got = text_matches(names, "name", req).collect()
+    assert [tuple(r) for r in got] == [("\u0130s", "x\u0130s")]

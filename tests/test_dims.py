@@ -7,8 +7,8 @@ from conftest import write
 
 from trainyard.operators.dims import (build_dim_station, build_dim_time,
                                       build_dim_train, build_station_aliases,
-                                      merge_dim_station, merge_dim_time,
-                                      merge_dim_train, train_parts)
+                                      changed_stations, merge_dim_station,
+                                      new_times, new_trains, train_parts)
 from trainyard.sources.stations import read_station_entries
 
 ENTRIES = [
@@ -46,13 +46,14 @@ def test_merges_keep_old_and_overwrite(spark):
     new = spark.createDataFrame([(2, 2, "B2", 3.0, 4.0)], old.schema)
     m = {r.eva: r for r in merge_dim_station(old, new).collect()}
     assert m[1].station_name == "A" and m[2].station_name == "B2"
+    assert changed_stations(old, old) is None
+    assert changed_stations(old, new).count() == 2
     t_old = build_dim_time(spark.createDataFrame(
         [("2025-09-01 10:00:00",)], "ts string"))
     t_new = build_dim_time(spark.createDataFrame(
         [("2025-09-01 10:00:00",), ("2025-09-07 23:59:00",)], "ts string"))
-    t = merge_dim_time(t_old, t_new).collect()
-    assert sorted(r.time_key for r in t) == [202509011000, 202509072359]
-    assert [r.is_weekend for r in t if r.time_key == 202509072359] == [True]
+    t = new_times(t_old, t_new).collect()
+    assert [(r.time_key, r.is_weekend) for r in t] == [(202509072359, True)]
     tl = spark.createDataFrame([(("ICE", "5", None, "", None),),
                                 ((None, "", "o", "t", "f"),)],
                                "tl struct<_c:string,_n:string,_o:string,"
@@ -61,5 +62,5 @@ def test_merges_keep_old_and_overwrite(spark):
     got = sorted((r.category, r.train_number, r.owner) for r in
                  trains.collect())
     assert got == [("ICE", "5", ""), ("UNK", "UNK", ""), ("UNK", "UNK", "o")]
-    again = merge_dim_train(trains, trains)
-    assert again.count() == trains.count()
+    assert new_trains(trains, trains).count() == 0
+    assert new_trains(None, trains).count() == trains.count()
