@@ -111,3 +111,17 @@ def test_static_graph_rules(spark):
         [("A", "B"), ("E", "F")]
     assert sorted(r.station for r in nodes.collect()) == \
         ["A", "B", "C", "D", "E", "F", "G"]
+
+
+def test_lookup_index_is_never_broadcast(spark):
+    """The runs of the names are many times what the planner expects."""
+    names = spark.range(2000).selectExpr(
+        "id AS station_key", "id AS eva", "concat('Halt ', id) AS "
+        "station_name", "1.0D AS lat", "2.0D AS lon")
+    texts = spark.range(500).selectExpr(
+        "id AS request_id", "concat('%', id * 3, '_') AS text")
+    out = station_lookup_batch(names, texts)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan
+    # 0_: the first of a digit behind a 0, in the order of names
+    assert out.filter("request_id = 0").first().station_name == "Halt 100"

@@ -49,7 +49,9 @@ def station_lookup_batch(dim_station: DataFrame, requests: DataFrame
     hits = text_matches(dim_station, "station_name", requests.select("text"),
                         wildcards=True)
     best = hits.groupBy("text").agg(F.min("name").alias("station_name"))
-    return requests.join(best, "text").join(first, "station_name").select(
+    # as many rows as requests or names: not to be broadcast
+    return requests.join(best.hint("merge"), "text").join(
+        first.hint("merge"), "station_name").select(
         "request_id", "station_name", F.col("s.lat").alias("lat"),
         F.col("s.lon").alias("lon"), F.col("s.eva").alias("identifier"))
 
