@@ -405,3 +405,35 @@ def test_nearest_without_stations_or_points(spark):
     assert nearest_station(none, pts).count() == 0
     assert nearest_station(one, pts.limit(0)).count() == 0
     assert nearest_station(one, pts).first().station_name == "x"
+
+
+def test_upsert_shuffles_rows_not_aggregates(spark):
+    """What the aggregates keep of a row is many times the row."""
+    rows = spark.createDataFrame([], ROW_T)
+    plan = upsert_fact(rows)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert "REPARTITION_BY_COL" in plan
+
+
+def test_search_does_not_broadcast_many_labels(spark, monkeypatch):
+    """A search gives the same answers where all its joins shuffle."""
+    from trainyard.operators import graph
+    few = spark.range(5).withColumnRenamed("id", "k")
+    for n, broadcast in ((graph.FEW, True), (graph.FEW + 1, False)):
+        plan = graph._dealt(few, n).join(few.withColumn("v", F.lit(1)), "k") \
+            ._jdf.queryExecution().executedPlan().toString()
+        assert ("BroadcastHashJoin" in plan) == broadcast
+    t = dt.datetime(2025, 9, 1)
+    conns = spark.createDataFrame(
+        [(f"S{i}", f"S{i + 1}", t + dt.timedelta(minutes=10 * i),
+          t + dt.timedelta(minutes=10 * i + 5), i) for i in range(6)],
+        "from_station string, to_station string, departure_time "
+        "timestamp_ntz, arrival_time timestamp_ntz, train_id long")
+    req = spark.createDataFrame([(1, "S0", "S6", t), (2, "S2", "S5", t)],
+                                "request_id long, source string, "
+                                "target string, departure timestamp_ntz")
+    monkeypatch.setattr(graph, "FEW", -1)
+    got = {r.request_id: (r.arrival, len(r.legs))
+           for r in earliest_arrival(conns, req).collect()}
+    assert got == {1: (t + dt.timedelta(minutes=55), 6),
+                   2: (t + dt.timedelta(minutes=45), 3)}

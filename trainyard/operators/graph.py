@@ -142,6 +142,14 @@ def _status(found) -> F.Column:
 
 # ---------------------------------------------------------------------- G4
 COMPACT = 4     # levels kept as tables of their own
+FEW = 50_000    # counted rows that a join may broadcast
+
+
+def _dealt(df: DataFrame, n: int) -> DataFrame:
+    """``df`` of ``n`` rows, marked for a join: broadcast while few, else
+    shuffled.  A label takes so few bytes of a file that the planner, which
+    goes by file sizes, would broadcast millions."""
+    return F.broadcast(df) if n <= FEW else df.hint("merge")
 
 
 class _Side:
@@ -471,6 +479,7 @@ def earliest_arrival(conns: DataFrame, requests: DataFrame,
             F.lit(None).cast("string"), F.lit(None).cast("bigint"))
         .cast(label_t).alias("lab"), F.lit(True).alias("ahead")),
         "ea-labels", "ahead")
+    n_searches = n_ahead
     # appended tables of improved labels; the least of a station counts
     tables, last = [start], start
 
@@ -490,22 +499,23 @@ def earliest_arrival(conns: DataFrame, requests: DataFrame,
                                   "ea-labels")]
         known = best()
         # the latest of a search's targets; none while one is not reached
-        bound = goals.join(known, [*S, "station"], "left").groupBy(*S).agg(
+        bound = goals.join(known.hint("merge"), [*S, "station"],
+                           "left").groupBy(*S).agg(
             F.when(F.count("lab") == F.count(F.lit(1)), F.max("lab.arr"))
             .alias("bound"))
-        sent = last.filter("ahead").join(bound, S).filter(
+        sent = last.filter("ahead").join(_dealt(bound, n_searches), S).filter(
             F.col("bound").isNull() |
             (F.col("lab.arr") <= F.col("bound"))).select(
             *S, "station", F.col("lab.arr").alias("ready"),
             F.floor(F.unix_micros(F.col("lab.arr").cast("timestamp"))
                     / F.lit(width)).alias("bucket"))
-        new = sent.join(steps, ["station", "bucket"]).filter(
+        new = _dealt(sent, n_ahead).join(steps, ["station", "bucket"]).filter(
             (F.col("ready") <= F.col("dep")) &
             (F.col("after").isNull() | (F.col("ready") > F.col("after")))) \
             .groupBy(*S, F.col("to").alias("station")).agg(F.min(F.struct(
                 F.col("arr"), F.col("dep"), F.col("station").alias("from"),
                 F.col("train"))).cast(label_t).alias("new"))
-        old = new.join(known, [*S, "station"], "left")
+        old = new.join(known.hint("merge"), [*S, "station"], "left")
         last, n_ahead = cut_and_count(old.filter(
             F.col("lab").isNull() | (F.col("new") < F.col("lab"))).select(
             *S, "station", F.col("new").alias("lab"),
@@ -513,7 +523,7 @@ def earliest_arrival(conns: DataFrame, requests: DataFrame,
             .alias("ahead")), "ea-labels", "ahead")
         tables.append(last)
     labels = cut_lineage(best(), "ea-labels")
-    arrived = keyed.join(labels, [*S, "station"]).select(
+    arrived = keyed.join(labels.hint("merge"), [*S, "station"]).select(
         "request_id", F.col("lab.arr").alias("arrival"))
     out = req.select("request_id", "source_station", "target_station",
                      "departure").join(arrived, "request_id", "left") \
@@ -540,7 +550,7 @@ def _legs(keyed: DataFrame, goals: DataFrame, labels: DataFrame) -> DataFrame:
                        F.lit(0).alias("step"))
     legs = []
     while True:
-        step = cur.join(labels, [*S, "station"]) \
+        step = cur.join(labels.hint("merge"), [*S, "station"]) \
             .filter(F.col("lab.from").isNotNull()) \
             .select(*K, "step", F.struct(
                 F.col("lab.from").alias("from_station"),
