@@ -1071,3 +1071,30 @@ def test_entry_lists_the_operators():
     assert all(any(n.startswith(f"op{i}_") for n in names)
                for i in range(1, 14)) and "pipeline" in names
     assert {"op12_minhash", "op13_lexical"} <= set(entry.oracle_sql())
+
+
+def test_quality_is_fitted_on_all_pairs(spark):
+    """At the fitted weights the loss over every pair has no slope, and as
+    many rows as are marked bad score below the cut."""
+    rng = random.Random(5)
+    rows = []
+    for i in range(400):
+        bad = rng.random() < 0.4
+        words = ["alpha", "beta.", "gamma", "x1", "##", "||", "Delta", "7"]
+        rows.append((i, " ".join(rng.choice(words[3:] if bad and
+                     rng.random() < 0.6 else words[:6])
+                     for _ in range(rng.randint(3, 40))), int(not bad)))
+    df = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    model = quality.train(df.select("doc_id", "text"),
+                          df.select("doc_id", "quality"))
+    learned = [r for r in rows
+               if zlib.crc32(str(r[0]).encode()) % 4 != 2]
+    x = np.array([quality.features(r[1]) for r in learned])
+    good = np.array([r[2] for r in learned]) == 1
+    scale = np.where(x.std(axis=0) < 1e-9, 1.0, x.std(axis=0))
+    z, x = x @ model.weights, x / scale
+    wrong = 1 / (1 + np.exp(z[good][:, None] - z[~good][None, :]))
+    slope = (np.einsum("ij,ik->k", wrong, x[good])
+             - np.einsum("ij,jk->k", wrong, x[~good])) / wrong.size
+    assert np.abs(slope - quality.RIDGE * model.weights * scale).max() < 1e-4
+    assert (z < model.cut).sum() == (~good).sum()
