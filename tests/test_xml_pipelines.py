@@ -376,3 +376,15 @@ def test_daily_report_and_run_analyses(spark, inputs, tmp):
     daily, peak = run_analyses(spark, out, "Berlin Alexanderplatz", [12])
     assert daily.first().final_avg == 0.0
     assert peak.count() >= 1
+
+
+def test_xml_files_are_bounded(spark, tmp, monkeypatch):
+    """One file is read by one task."""
+    from trainyard.sources import xml
+    monkeypatch.setattr(xml, "FILE_DOCS", 5)
+    docs = spark.range(23).coalesce(1).selectExpr(
+        "concat('X', id) AS _station", "cast(null AS string) AS _eva",
+        "array(named_struct('_id', cast(id AS string))) AS s")
+    xml.write_timetable_xml(docs, os.path.join(tmp, "2509010800"))
+    assert xml.list_timetable_files(spark, tmp).count() == 5
+    assert xml.read_timetable_docs(spark, tmp).count() == 23
