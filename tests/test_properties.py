@@ -9,7 +9,7 @@ from collections import deque
 import pytest
 from pyspark.sql import functions as F
 
-from trainyard.operators.fact import upsert_fact
+from trainyard.operators.fact import observed_times, upsert_fact
 from trainyard.operators.graph import (connections, earliest_arrival,
                                        shortest_hops)
 from trainyard.operators.nearest import nearest_station
@@ -342,6 +342,40 @@ def test_connection_pairing(spark):
     assert one_minute == got
 
 
+def test_connections_run_their_input_once(spark, tmp):
+    t = dt.datetime(2025, 9, 2, 12, 0)
+    spark.createDataFrame(
+        [(1, "A", "D", t, "x"), (1, "B", "A", t.replace(minute=9), "y"),
+         (None, "A", "D", t, "x"), (None, "B", "A", t, "y"),
+         (2, "A", "D", t, "x"), (2, "A", "D", t, "x"),
+         (2, "B", "A", t, "y")],
+        "train_key long, station string, event_type string, "
+        "ts timestamp_ntz, stop_id string").withColumn(
+        "date", F.to_date("ts")).write.parquet(tmp + "/events")
+    events = spark.read.parquet(tmp + "/events")
+    got = connections(events)
+    assert [(r.train_id, r.from_station, r.to_station)
+            for r in got.collect()] == [(1, "A", "B")]
+    assert not set(got.inputFiles()) & set(events.inputFiles())
+
+
+def test_observed_times_are_made_once_a_minute(spark, tmp):
+    from trainyard.operators.dims import build_dim_time
+    spark.createDataFrame(
+        [(202509010000, 202509011200, None)] * 3
+        + [(202509010000, None, 202402290001)],
+        "snapshot_time_key long, planned_time_key long, "
+        "changed_time_key long").write.parquet(tmp + "/rows")
+    times = build_dim_time(observed_times(spark.read.parquet(tmp + "/rows")))
+    plan = times._jdf.queryExecution().sparkPlan().toString()
+    # in front of (in the text: below) the first aggregate nothing is parsed
+    assert "gettimestamp" in plan
+    assert "gettimestamp" not in plan[plan.index("Generate explode"):]
+    assert "gettimestamp" not in plan[plan.rindex("HashAggregate("):]
+    assert sorted(r.time_key for r in times.collect()) == [
+        202402290001, 202509010000, 202509011200]
+
+
 def test_nearest_vs_brute_force(spark):
     rnd = random.Random(5)
     st = [("st%03d" % i, round(rnd.uniform(0, 10), 1),

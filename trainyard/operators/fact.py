@@ -301,9 +301,12 @@ def observed_times(rows: DataFrame, docs: DataFrame | None = None
     if docs is not None:
         k = k.unionByName(docs.select(stamp_key(F.col("snapshot"))
                                       .alias("k")).distinct())
-    k = k.filter(F.col("k").isNotNull())
-    return k.distinct().select(
-        F.to_timestamp_ntz(F.col("k").cast("string"),
+    # the time is made from what the aggregate gives, not from its key: the
+    # planner moves what hangs on the key alone in front of it, to all rows
+    one = k.filter(F.col("k").isNotNull()).groupBy("k").agg(
+        F.min("k").alias("minute"))
+    return one.select(
+        F.to_timestamp_ntz(F.col("minute").cast("string"),
                            F.lit("yyyyMMddHHmm")).alias("ts"))
 
 

@@ -339,11 +339,12 @@ def next_in_sequence(events: DataFrame, part: list[str], order: list[str],
     ``order`` (columns ``next_<payload>``), without sorting a whole group in
     one task: rows are ordered inside (part, bucket) slices, and the last
     row of a slice takes the first row of the next non-empty slice.
-    ``bucket`` must be monotone in ``order``."""
+    ``bucket`` must be monotone in ``order``.  The slices are read twice, so
+    they are written once: what ``events`` comes from runs once."""
     ev = events.withColumn("_b", bucket)
     key = F.struct(*[F.col(c) for c in order + payload])
     w = Window.partitionBy(*part, "_b").orderBy(*order)
-    ev = ev.withColumn("_next", F.lead(key).over(w))
+    ev = cut_lineage(ev.withColumn("_next", F.lead(key).over(w)), "sequence")
     firsts = ev.groupBy(*part, "_b").agg(F.min(key).alias("_first"))
     wb = Window.partitionBy(*part).orderBy("_b")
     firsts = firsts.withColumn("_next_slice", F.lead("_first").over(wb)) \

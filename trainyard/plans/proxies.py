@@ -107,10 +107,13 @@ def _li_seq(phase: int):
                      F.col("l_partkey"))
 
 
+def _month():
+    return F.date_trunc("month", "l_shipdate").cast("timestamp_ntz")
+
+
 def _li_key():
     return [
-        time_key(F.date_trunc("month", "l_shipdate")
-                 .cast("timestamp_ntz")).alias("snapshot_time_key"),
+        time_key("month").alias("snapshot_time_key"),
         F.col("l_suppkey").alias("station_key"),
         F.concat("l_returnflag", "l_linestatus").alias("stop_id"),
         F.when(F.col("l_linenumber") % 2 == 1, "A").otherwise("D")
@@ -120,7 +123,10 @@ def _li_key():
 
 def plan_rows(spark, sf_dir) -> DataFrame:
     """lineitem -> plan-phase event rows."""
-    li = table(spark, sf_dir, "lineitem")
+    # made in front of the keys, whose digits each ask for the time
+    li = table(spark, sf_dir, "lineitem").withColumns({
+        "month": _month(), "planned": F.when(F.col("l_discount") != 0, _plus(
+            F.col("l_shipdate"), F.col("l_linenumber"), "HOUR"))})
     unk = F.col("l_quantity") < 5
     train = F.when(unk, _unk()).otherwise(F.struct(
         F.concat(F.lit("T"), F.col("l_linenumber").cast("string"))
@@ -131,9 +137,7 @@ def plan_rows(spark, sf_dir) -> DataFrame:
     return li.select(
         F.lit(0).alias("phase"), _li_seq(0).alias("seq"), *_li_key(),
         train.alias("train"),
-        F.when(F.col("l_discount") != 0, time_key(_plus(
-            F.col("l_shipdate"), F.col("l_linenumber"), "HOUR")))
-        .alias("planned_time_key"),
+        time_key("planned").alias("planned_time_key"),
         F.lit(None).cast("long").alias("changed_time_key"),
         F.lit(None).cast("string").alias("event_status"),
         F.when(F.col("l_tax") != 0, F.col("l_linenumber").cast("string"))
@@ -153,16 +157,18 @@ def plan_rows(spark, sf_dir) -> DataFrame:
 def change_rows(spark, sf_dir) -> DataFrame:
     """lineitem -> change-phase event rows (own planned time, changed time,
     status, delay text)."""
-    li = table(spark, sf_dir, "lineitem")
+    li = table(spark, sf_dir, "lineitem").withColumns({
+        "month": _month(),
+        "planned": F.when(F.col("l_quantity") >= 10, F.col("l_shipdate")),
+        "changed": F.when(F.col("l_discount") <= 0.08, _plus(
+            F.col("l_shipdate"), F.col("l_linenumber") * 13, "MINUTE"))})
     train = F.when(F.col("l_linestatus") == "O", _unk()).otherwise(F.struct(
         F.concat(F.lit("T"), (F.col("l_linenumber") + 1).cast("string"))
         .alias("category"),
         F.col("l_partkey").cast("string").alias("train_number"),
         F.lit("o").alias("owner"), F.lit("").alias("trip_type"),
         F.lit("").alias("filter_flags")))
-    pt = F.when(F.col("l_quantity") >= 10, F.col("l_shipdate"))
-    ct = F.when(F.col("l_discount") <= 0.08, _plus(
-        F.col("l_shipdate"), F.col("l_linenumber") * 13, "MINUTE"))
+    pt, ct = F.col("planned"), F.col("changed")
     dc = F.when(F.col("l_quantity") > 45, F.col("l_linenumber").cast("string")) \
         .when(F.col("l_quantity") < 2, F.lit("--5"))
     status = F.when(F.col("l_returnflag") == "R", "c") \
