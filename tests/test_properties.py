@@ -376,6 +376,41 @@ def test_observed_times_are_made_once_a_minute(spark, tmp):
         202402290001, 202509010000, 202509011200]
 
 
+def test_runs_of_names_are_made_in_many_tasks(spark):
+    from trainyard.operators.textmatch import text_matches
+    names = spark.range(3000).select(F.concat(F.lit("Stop "), F.col("id"))
+                                     .alias("name"))
+    texts = spark.createDataFrame([("top 29",), ("nowhere",)], "text string")
+    got = text_matches(names.distinct(), "name", texts)
+    assert got.count() == 111
+    # a shuffle of a given width is not made narrower for its few bytes
+    assert "REPARTITION_BY_NUM" in \
+        got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_static_graph_makes_names_once(spark, monkeypatch):
+    from trainyard.operators import graph
+    plans, cut = [], graph.cut_lineage
+
+    def cut_lineage(df, name="round"):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return cut(df, name)
+
+    monkeypatch.setattr(graph, "cut_lineage", cut_lineage)
+    paths = spark.createDataFrame(
+        [("A| |B|A",), ("B|(S)|C",), ("D|D",), ("(S)",), (None,), ("",)],
+        "planned_path string")
+    nodes, edges = graph.static_graph(paths)
+    assert sorted(r.station for r in nodes.collect()) == ["A", "B", "C", "D"]
+    assert sorted(map(tuple, edges.collect())) == [("A", "B"), ("B", "A")]
+    assert len(plans) == 1 and plans[0].count("posexplode") == 1
+    lazy = graph.static_graph(paths, materialize=False)
+    assert sorted(map(tuple, lazy[0].collect())) == \
+        sorted(map(tuple, nodes.collect()))
+    assert sorted(map(tuple, lazy[1].collect())) == \
+        sorted(map(tuple, edges.collect()))
+
+
 def test_nearest_vs_brute_force(spark):
     rnd = random.Random(5)
     st = [("st%03d" % i, round(rnd.uniform(0, 10), 1),

@@ -66,16 +66,18 @@ def static_graph(paths: DataFrame, materialize: bool = True
     w = Window.partitionBy("planned_path").orderBy("i")
     pairs = seg.select(F.col("station").alias("src"),
                        F.lead("station").over(w).alias("dst"))
-    edges = pairs.filter(F.col("dst").isNotNull() & (F.col("src") != "") &
-                         (F.col("dst") != "") &
-                         (F.col("src") != F.col("dst"))).distinct()
+    is_edge = F.col("dst").isNotNull() & (F.col("src") != "") & \
+        (F.col("dst") != "") & (F.col("src") != F.col("dst"))
+    edges = pairs.filter(is_edge).distinct()
     nodes = seg.filter(F.col("station") != "").select("station").distinct()
     if materialize:
-        both = nodes.select(F.lit(True).alias("is_node"),
-                            F.col("station").alias("src"),
-                            F.lit(None).cast("string").alias("dst")) \
-            .unionByName(edges.select(F.lit(False).alias("is_node"),
-                                      "src", "dst"))
+        # every segment is the first of a pair, so the names are made once
+        both = pairs.select(F.inline(F.array(
+            F.struct(F.lit(True).alias("is_node"), "src",
+                     F.lit(None).cast("string").alias("dst")),
+            F.struct(F.lit(False).alias("is_node"), "src", "dst")))) \
+            .filter(is_edge | (F.col("is_node") & (F.col("src") != ""))) \
+            .distinct()
         both = cut_lineage(both, "graph")
         nodes = both.filter("is_node").select(F.col("src").alias("station"))
         edges = both.filter(~F.col("is_node")).select("src", "dst")

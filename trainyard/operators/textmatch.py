@@ -11,7 +11,9 @@ lengths of names.
 
 The index holds many times the rows of the names it is made from, which the
 planner's estimate does not see: its joins are asked to shuffle, so that it is
-never collected to be broadcast.
+never collected to be broadcast, and the names are dealt to as many tasks as
+shuffles have before the runs are made (by their few bytes, one task would make
+the runs of millions).
 """
 
 from __future__ import annotations
@@ -79,9 +81,10 @@ def text_matches(names: DataFrame, name_col: str, texts: DataFrame,
         "asked", "text").select("text", F.array_distinct(F.transform(
             runs, lambda r: F.xxhash64(r))).alias("runs"),
             plain.alias("plain"))
+    width = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     names = names.select(F.col(name_col).alias("name")).filter(
         F.col("name").isNotNull()).distinct().withColumn(
-        "id", F.xxhash64("name"))
+        "id", F.xxhash64("name")).repartition(width, "id")
     held_against = F.ilike(F.col("name"),
                            like_pattern(F.col("text"), wildcards))
 
