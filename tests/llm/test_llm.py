@@ -13,6 +13,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 import xxhash
@@ -914,6 +915,121 @@ def test_pass_over_all_windows_is_averaged():
             == model.output[30:]).all()
 
 
+def test_step_follows_the_gradient():
+    """The first moments after one step are a tenth of the gradient."""
+    rng = np.random.default_rng(3)
+    size = rng.integers(1, 12, 40)
+    words = attention.Words(rng.integers(0, 50, size.sum()).astype(np.int32),
+                            np.concatenate([[0], np.cumsum(size)]))
+    texts = [np.append(rng.integers(1, 40, n), 0).astype(np.int32)
+             for n in (3, 40, 70)] + [np.full(90, 5, np.int32)]
+    for stride in (attention.STRIDE, attention.CONTEXT):
+        x, y, ok, _ = attention.windows(texts, 0, stride)
+
+        def loss(P):
+            def mean(table):
+                return np.array([table[words.ids[i:j]].mean(axis=0) for i, j
+                                 in zip(words.edge, words.edge[1:])])
+
+            e, now = mean(P["embed"]), mean(P["current"])
+            r = np.exp(mean(P["output"]) * size[:, None])
+            r /= r.sum(axis=1, keepdims=True)
+            r = r[y]
+            at, last = np.maximum(x, 0), np.maximum(x, 0)[:, -stride:]
+            a = (e @ P["query"])[last] @ (e @ P["key"])[at].transpose(0, 2, 1)
+            a += attention.causal(P["near"], stride)
+            a = np.where((x < 0)[:, None, :], -1e9, a)
+            a = np.exp(a - a.max(axis=2, keepdims=True))
+            a /= a.sum(axis=2, keepdims=True)
+            z = np.exp(a @ (e @ P["value"])[at] @ P["mix"] + now[last])
+            z /= z.sum(axis=2, keepdims=True)
+            return -np.log((z * r / r[ok].mean(axis=0)).sum(axis=2)[ok]).mean()
+
+        first = attention.initial(50)
+        adam = attention.Adam({k: v.copy() for k, v in first.items()})
+        adam.step(x, y, ok, words, 0, .01)
+        exact = {k: v.astype(float) for k, v in first.items()}
+        for name in (*attention.TABLES, *attention.SMALL):
+            got = (adam.rows[1][:, attention.SIDE[name]]
+                   if name in attention.TABLES else adam.m1[name]) * 10
+            for i in rng.integers(0, got.size, 6).tolist():
+                at = np.unravel_index(i, got.shape)
+                was, both = exact[name][at], []
+                for d in (1e-5, -1e-5):
+                    exact[name][at] = was + d
+                    both.append(loss(exact))
+                exact[name][at] = was
+                assert got[at] == pytest.approx(
+                    (both[0] - both[1]) / 2e-5, rel=2e-2, abs=2e-6), name
+
+
+def test_run_sums():
+    rng = np.random.default_rng(4)
+    values = rng.integers(0, 9, (3_000, 5)).astype(np.float32)
+    for most in (1, 8, 9, 100):
+        at = np.minimum(rng.integers(0, 400, 3_000),
+                        rng.integers(0, 4 * most, 3_000))
+        want = np.zeros((500, 5), np.float32)
+        np.add.at(want, at, values)
+        assert (attention.by_row(at, values, 500) == want).all()
+
+
+class Counted:
+    """A tokenizer that counts the texts it is given."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.texts = tokenizer, 0
+
+    def encode_batch_fast(self, texts, **kwargs):
+        self.texts += len(texts)
+        return self.tokenizer.encode_batch_fast(texts, **kwargs)
+
+    def encode(self, text, **kwargs):
+        return self.tokenizer.encode(text, **kwargs)
+
+
+def test_words_are_encoded_together():
+    """Ids are those of each word alone, found in few calls; words asked for
+    again are kept."""
+    path = public_tokenizers.path(scoring.TOKENIZER)
+    rng = random.Random(5)
+    signs = list("ab1,'s<|>\u00e9\u4e2d\u0308\u0120\x00\U0001f600")
+    blanks = list("\u00a0\u3000\u0085\x1c\u180e")
+    plain, odd = ([w.encode() for w in dict.fromkeys(
+        "".join(rng.choices(c, k=rng.randint(1, 6))) for _ in range(2_000))]
+        for c in (signs, signs + blanks))
+    plain += [b"<|endoftext|>", b"x" * 3_000]
+    for words in (plain, odd + [b""], [b""]):
+        sub = scoring.Subwords(path)
+        got = sub.of(words)
+        want = [sub.tokenizer.encode(" " + w.decode(), add_special_tokens=False
+                                     ).ids if w else [sub.end] for w in words]
+        assert [got.ids[i:j].tolist() for i, j in
+                zip(got.edge, got.edge[1:])] == want
+    sub = scoring.Subwords(path, limit=1_000)
+    sub.tokenizer = counted = Counted(sub.tokenizer)
+    sub.of(plain)
+    assert counted.texts < len(plain) / 100
+    often, counted.texts = b" ".join(plain[:300]).decode(), 0
+    for i in range(5):
+        sub.numbered(pa.array([often + f" new{i}-" + f" new{i}-".join(
+            map(str, range(400)))]))
+    assert len(sub.known) < 1_800
+    assert counted.texts <= 2 + 5 * 3
+
+
+def test_numbers_of_words():
+    path = public_tokenizers.path(scoring.TOKENIZER)
+    texts = [" The cat\tTHE  dog\n", None, "", "dog \x1c\u00a0 \u00c9", " "]
+    for texts in (texts, texts[1:], texts[1:3]):
+        flat, subs, words, _ = scoring.Subwords(path).numbered(
+            pa.array(texts, pa.string()))
+        words = words.to_pylist()
+        assert words[0] == b"" and len(subs.edge) == len(words) + 1
+        assert [[words[i] for i in t] for t in flat] == [
+            [w.encode() for w in [*blank_words(lower(t)), ""]] for t in texts]
+
+
 def test_windows_score_each_token_once():
     texts = [np.arange(1, n + 1, dtype=np.int32) for n in (0, 1, 16, 17, 100)]
     for stride in (attention.STRIDE, attention.CONTEXT):
