@@ -388,3 +388,26 @@ def test_xml_files_are_bounded(spark, tmp, monkeypatch):
     xml.write_timetable_xml(docs, os.path.join(tmp, "2509010800"))
     assert xml.list_timetable_files(spark, tmp).count() == 5
     assert xml.read_timetable_docs(spark, tmp).count() == 23
+
+
+def test_the_fold_shuffles_and_sorts_rows_once(spark, inputs):
+    """No row is shuffled for its rank, and the order is sorted with the key;
+    the folders' order is that of their components."""
+    from trainyard.operators.fact import (LOG_COLUMNS, upsert_fact,
+                                          with_file_rank)
+    p, c, sj = inputs
+    row = build_star(spark, p, c, sj).rows.filter(
+        "stop_id = '1' AND phase = 1 AND changed_platform = '5'").first()
+    rows = spark.createDataFrame(
+        [row.asDict() | {"folder": folder, "file": file,
+                         "changed_platform": platform}
+         for folder, file, platform in (
+             ("w-/1", "b", "1"), ("w/1", "z", "2"), ("w-/1", "a", "3"),
+             ("w-/1", None, "4"))],
+        build_star(spark, p, c, sj).rows.schema).select(*LOG_COLUMNS)
+    fact = upsert_fact(with_file_rank(rows))
+    assert [r.changed_platform for r in fact.collect()] == ["1"]
+    plan = fact._jdf.queryExecution().sparkPlan().toString()
+    assert "Join" not in plan and "Window" not in plan
+    plan = fact._jdf.queryExecution().executedPlan().initialPlan().toString()
+    assert plan.count("Exchange ") == 1 and plan.count("Sort [") == 1
