@@ -411,3 +411,32 @@ def test_the_fold_shuffles_and_sorts_rows_once(spark, inputs):
     assert "Join" not in plan and "Window" not in plan
     plan = fact._jdf.queryExecution().executedPlan().initialPlan().toString()
     assert plan.count("Exchange ") == 1 and plan.count("Sort [") == 1
+
+
+def test_a_load_leaves_no_copies(spark, inputs, tmp):
+    """Rows of a batch are written where they will lie and moved there; no
+    copy and no shuffle file outlives the load."""
+    import glob
+    from trainyard.session import DROP_SHUFFLES, ensure_checkpoint_dir
+    p, c, sj = inputs
+    out = os.path.join(tmp, "star")
+
+    def shuffles():
+        local = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get() \
+            .blockManager().diskBlockManager().localDirsString()
+        return {f for d in local for f in glob.glob(
+            os.path.join(d, "*", "shuffle_*"))}
+
+    for i in range(2):
+        t = build_star(spark, p, c, sj)
+        folder = ensure_checkpoint_dir(spark).removeprefix("file:")
+        before = set(glob.glob(os.path.join(folder, "trainyard", "*")))
+        seen = shuffles()
+        write_star(t, out, incremental=i > 0)
+        new = {os.path.basename(f).rsplit("-", 1)[0] for f in
+               set(glob.glob(os.path.join(folder, "trainyard", "*"))) - before}
+        assert new <= {"dim_station", "dim_time"}
+        # the dimensions' own, which are small
+        assert len(shuffles() - seen) < 60
+        assert not os.path.exists(os.path.join(out, "_staged"))
+    assert spark.conf.get(DROP_SHUFFLES, None) in (None, "false")
