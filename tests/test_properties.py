@@ -506,3 +506,40 @@ def test_search_does_not_broadcast_many_labels(spark, monkeypatch):
            for r in earliest_arrival(conns, req).collect()}
     assert got == {1: (t + dt.timedelta(minutes=55), 6),
                    2: (t + dt.timedelta(minutes=45), 3)}
+
+
+def test_small_groups_are_not_sliced(spark, monkeypatch):
+    """One shuffle pairs the events of small groups; large ones, and groups
+    or times that are NULL, come out alike, sliced or not."""
+    from trainyard.operators import graph
+    rng = random.Random(3)
+    t = dt.datetime(2025, 9, 2, 12, 0)
+    ev = spark.createDataFrame(
+        [(rng.choice([1, 2, 3, None]), f"S{rng.randrange(9)}",
+          rng.choice("AD"), None if i % 17 == 0 else
+          t + dt.timedelta(seconds=rng.randrange(900)), str(i))
+         for i in range(400)],
+        "train_key long, station string, event_type string, "
+        "ts timestamp_ntz, stop_id string").withColumn(
+        "date", F.lit("2025-09-02").cast("date"))
+    whole = connections(ev)
+    plan = whole._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and "Join" not in plan
+    want = sorted(map(str, whole.collect()))
+    for least in (-60, -10 ** 6):           # some groups are large, or all
+        monkeypatch.setattr(graph, "LARGE", least + 160)
+        assert sorted(map(str, connections(ev).collect())) == want
+    assert len(want) > 50
+
+
+def test_first_connections_are_kept_once(spark):
+    from trainyard.operators.graph import profile
+    t = dt.datetime(2025, 9, 2)
+    conns = spark.createDataFrame(
+        [("A", f"B{i}", t + dt.timedelta(hours=20), t + dt.timedelta(hours=21),
+          i) for i in range(5)], "from_station string, to_station string, "
+        "departure_time timestamp_ntz, arrival_time timestamp_ntz, "
+        "train_id long")
+    first = F.lit(t).cast("timestamp_ntz")
+    assert profile(conns, first, 60, True).count() == 5
+    assert profile(conns, first, 60).count() == 5 * 21

@@ -335,27 +335,64 @@ def timetable_events(fact: DataFrame, dim_station: DataFrame,
                     "date")
 
 
+LARGE = 100_000     # rows of a group that one task may sort
+GROUP_PARTS = 4096  # parts that groups are counted in
+
+
+def _large_groups(table: DataFrame, part: list[str]) -> F.Column | None:
+    """Whether a row's group may be large; None: no group is.  Groups are
+    counted by parts of a hash, a part of many groups as one; at most
+    ``GROUP_PARTS`` numbers reach the driver, however many groups there are.
+    A part counts as large when it holds ``LARGE`` rows more than twice the
+    mean, so a group that is sorted whole is small beside the table or small
+    in itself."""
+    key = F.pmod(F.xxhash64(*part), F.lit(GROUP_PARTS))
+    sizes = {r[0]: r[1] for r in table.groupBy(key.alias("k")).count()
+             .collect()}
+    most = LARGE + 2 * sum(sizes.values()) / GROUP_PARTS
+    large = [k for k, n in sizes.items() if n > most]
+    return key.isin(large) if large else None
+
+
 def next_in_sequence(events: DataFrame, part: list[str], order: list[str],
-                     payload: list[str], bucket: F.Column) -> DataFrame:
+                     payload: list[str], bucket: F.Column,
+                     written: bool = False) -> DataFrame:
     """Attach to every row the next row of its ``part`` group in
-    ``order`` (columns ``next_<payload>``), without sorting a whole group in
-    one task: rows are ordered inside (part, bucket) slices, and the last
-    row of a slice takes the first row of the next non-empty slice.
-    ``bucket`` must be monotone in ``order``.  The slices are read twice, so
-    they are written once: what ``events`` comes from runs once."""
-    ev = events.withColumn("_b", bucket)
+    ``order`` (columns ``next_<payload>``), without sorting a large group in
+    one task: its rows are ordered inside (part, bucket) slices, and the last
+    row of a slice takes the first row of the next non-empty slice.  Other
+    groups are one slice.  ``bucket`` must be monotone in ``order``; a NULL
+    bucket, or a NULL in ``part``, links no slices.  The rows are read several
+    times, so they are written once (unless they are ``written``): what
+    ``events`` comes from runs once."""
+    ev = (events if written else cut_lineage(events, "events")) \
+        .withColumn("_b", bucket)
     key = F.struct(*[F.col(c) for c in order + payload])
-    w = Window.partitionBy(*part, "_b").orderBy(*order)
-    ev = cut_lineage(ev.withColumn("_next", F.lead(key).over(w)), "sequence")
+    no_part = F.lit(False)
+    for c in part:
+        no_part = no_part | F.col(c).isNull()
+    large = _large_groups(ev, part)
+    sliced = no_part if large is None else large | no_part
+    ev = ev.withColumn("_slice", F.when(sliced, F.col("_b")))
+    w = Window.partitionBy(*part, F.col("_b").isNull(), "_slice") \
+        .orderBy(*order)
+    out = [*events.columns, *[F.col(f"_next.{c}").alias(f"next_{c}")
+                              for c in order + payload]]
+
+    def followed(df: DataFrame) -> DataFrame:
+        return df.withColumn("_next", F.lead(key).over(w))
+
+    if large is None:
+        return followed(ev).select(*out)
+    small = followed(ev.filter(~large)).select(*out)
+    ev = cut_lineage(followed(ev.filter(large)), "sequence")
     firsts = ev.groupBy(*part, "_b").agg(F.min(key).alias("_first"))
     wb = Window.partitionBy(*part).orderBy("_b")
     firsts = firsts.withColumn("_next_slice", F.lead("_first").over(wb)) \
         .select(*part, "_b", "_next_slice")
     ev = ev.join(firsts, [*part, "_b"], "left") \
         .withColumn("_next", F.coalesce("_next", "_next_slice"))
-    return ev.select(*events.columns,
-                     *[F.col(f"_next.{c}").alias(f"next_{c}")
-                       for c in order + payload])
+    return small.unionByName(ev.select(*out))
 
 
 def connections(events: DataFrame, bucket_minutes: int = 1) -> DataFrame:
@@ -383,8 +420,8 @@ def connections(events: DataFrame, bucket_minutes: int = 1) -> DataFrame:
 
 
 # ---------------------------------------------------------------------- G6
-def profile(conns: DataFrame, first: F.Column, bucket_minutes: int = 60
-            ) -> DataFrame:
+def profile(conns: DataFrame, first: F.Column, bucket_minutes: int = 60,
+            heads_once: bool = False) -> DataFrame:
     """What a traveller who is ready at some time takes from one station to
     the next: rows ``(station, bucket, after, dep, to, arr, train)``.  Ready
     later than ``after`` (NULL: any time) and no later than ``dep``, the
@@ -397,7 +434,10 @@ def profile(conns: DataFrame, first: F.Column, bucket_minutes: int = 60
     small per-bucket summaries link, so two stations with most of the
     connections are not sorted in one task.  A row is repeated for each
     bucket its span touches, from that of ``first`` (the earliest ready
-    time): a label then meets its rows by station and bucket."""
+    time): a label then meets its rows by station and bucket.  With
+    ``heads_once`` the first connections of two stations (no ``after``), one a
+    pair, are not repeated but have no bucket: a label meets one for each
+    neighbour by the station alone."""
     pair = ["from_station", "to_station"]
     width = bucket_minutes * 60_000_000
 
@@ -424,7 +464,7 @@ def profile(conns: DataFrame, first: F.Column, bucket_minutes: int = 60
         F.col("c.train").alias("train"))
     kept = cut_lineage(kept, "profile")
     nxt = next_in_sequence(kept, pair, ["dep"], ["arr", "train"],
-                           bucket("dep"))
+                           bucket("dep"), written=True)
     spans = nxt.filter(F.col("next_dep").isNotNull()).select(
         *pair, F.col("dep").alias("after"), F.col("next_dep").alias("dep"),
         F.col("next_arr").alias("arr"), F.col("next_train").alias("train"))
@@ -433,8 +473,12 @@ def profile(conns: DataFrame, first: F.Column, bucket_minutes: int = 60
         *pair, F.lit(None).cast("timestamp_ntz").alias("after"), "h.*")
     low = F.greatest(bucket(first), F.coalesce(bucket("after"),
                                                bucket(first)))
+    buckets = F.sequence(low, bucket("dep"))
+    if heads_once:
+        buckets = F.when(F.col("after").isNull(), F.array(
+            F.lit(None).cast("bigint"))).otherwise(buckets)
     rows = spans.unionByName(heads).filter(F.col("dep") >= first).withColumn(
-        "bucket", F.explode(F.sequence(low, bucket("dep"))))
+        "bucket", F.explode(buckets))
     return rows.select(F.col("from_station").alias("station"), "bucket",
                        "after", "dep", F.col("to_station").alias("to"), "arr",
                        "train")
@@ -493,7 +537,7 @@ def earliest_arrival(conns: DataFrame, requests: DataFrame,
     if n_ahead:
         first = F.lit(goals.agg(F.min("dep0")).first()[0]) \
             .cast("timestamp_ntz")
-        steps = cut_lineage(profile(conns, first, bucket_minutes),
+        steps = cut_lineage(profile(conns, first, bucket_minutes, True),
                             "ea-profile")
         width = bucket_minutes * 60_000_000
     while n_ahead > 0:
@@ -512,7 +556,20 @@ def earliest_arrival(conns: DataFrame, requests: DataFrame,
             *S, "station", F.col("lab.arr").alias("ready"),
             F.floor(F.unix_micros(F.col("lab.arr").cast("timestamp"))
                     / F.lit(width)).alias("bucket"))
-        new = _dealt(sent, n_ahead).join(steps, ["station", "bucket"]).filter(
+        near, n_sent = steps, n_ahead
+        if n_ahead > FEW:
+            # only what leaves from the labels' stations is dealt out with them
+            sent, n_sent = cut_and_count(sent, "ea-sent", F.lit(True))
+            at, n_at = cut_and_count(sent.select("station").distinct(),
+                                     "ea-near", F.lit(True))
+            if n_at <= FEW:
+                near = steps.join(F.broadcast(at), "station", "left_semi")
+        sent = _dealt(sent, n_sent)
+        met = sent.join(near.filter("bucket IS NOT NULL"),
+                        ["station", "bucket"]).drop("bucket")
+        met = met.unionByName(sent.drop("bucket").join(
+            near.filter("bucket IS NULL").drop("bucket"), "station"))
+        new = met.filter(
             (F.col("ready") <= F.col("dep")) &
             (F.col("after").isNull() | (F.col("ready") > F.col("after")))) \
             .groupBy(*S, F.col("to").alias("station")).agg(F.min(F.struct(
